@@ -3,7 +3,7 @@
 ``row_number() OVER (ORDER BY k)`` and running sums over a global order move
 every row into one task (``Exchange SinglePartition``). At scale we instead:
 
-1. count the rows; if they fit one task (a checked bound), use the plain window;
+1. count the rows; if they are few (a checked bound), use the plain window;
 2. otherwise take a seeded sample of the sort key, sort it (bounded: about
    ``OVERSAMPLE`` rows per bucket, at most ``MAX_BUCKETS`` buckets) and pick
    bucket bounds;
@@ -29,9 +29,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SINGLE_TASK_ROWS = 200_000   # up to this many rows, one plain window is cheapest
 ROWS_PER_BUCKET = 4_000_000  # one task sorts this many rows comfortably
 MAX_BUCKETS = 1024           # bounds the offsets table and the bucket tree
 OVERSAMPLE = 32              # sampled keys per bucket
+MAX_PREFIX = 3               # sort columns used to place rows in buckets
 _SEED = 20240601
 
 _BUCKET = "__bucket"
@@ -59,6 +61,7 @@ def global_order(
     total (end with a unique key) for the numbering to be deterministic.
     """
     running_sums = dict(running_sums or {})
+    single_task = rows_per_bucket or SINGLE_TASK_ROWS
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     keys = [_as_col(c) for c in order_cols]
     key_names = [f"__k{i}" for i in range(len(keys))]
@@ -66,8 +69,8 @@ def global_order(
     ordering = [F.col(n).asc_nulls_first() for n in key_names]
 
     n = base.count()
-    if n <= rows_per_bucket:
-        # Checked bound: at most rows_per_bucket rows meet in the one task.
+    if n <= single_task:
+        # Checked bound: at most single_task rows meet in the one task.
         w = Window.orderBy(*ordering)
         out = base
         if row_number_col:
@@ -77,11 +80,12 @@ def global_order(
             out = out.withColumn(name, F.sum(_as_col(value)).over(wr))
         return out.drop(*key_names)
 
-    buckets = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    buckets = min(MAX_BUCKETS, max(math.ceil(n / rows_per_bucket), parallelism))
     # Bucket on the leading sort columns of simple types (a monotone prefix).
     fields = {f.name: f.dataType for f in base.schema.fields}
     prefix: list[str] = []
-    for name in key_names:
+    for name in key_names[:MAX_PREFIX]:
         if not isinstance(fields[name], _SIMPLE):
             break
         prefix.append(name)

@@ -48,11 +48,13 @@ def dim_promotion(stg: dict[str, DataFrame]) -> DataFrame:
     """Key 1 is the reserved 'no promotion' member; promotions follow from 2."""
     promos = dense_key(stg["stg_promotions"], ["promotion_id"], "promotion_key",
                        start=NO_PROMOTION_KEY + 1)
-    spark = promos.sparkSession
-    none = spark.createDataFrame(
-        [(NO_PROMOTION_KEY, None, "NONE", "No promotion applied", "none")],
-        "promotion_key long, promotion_id long, promotion_code string, description string, "
-        "discount_type string").withColumn("discount_value", F.lit(0).cast("decimal(10,2)"))
+    none = promos.sparkSession.range(1).select(
+        F.lit(NO_PROMOTION_KEY).cast("long").alias("promotion_key"),
+        F.lit(None).cast("long").alias("promotion_id"),
+        F.lit("NONE").alias("promotion_code"),
+        F.lit("No promotion applied").alias("description"),
+        F.lit("none").alias("discount_type"),
+        F.lit(0).cast("decimal(10,2)").alias("discount_value"))
     return conform(none.unionByName(promos.select(*STAR["dim_promotion"].names)),
                    STAR["dim_promotion"])
 
@@ -63,8 +65,9 @@ def dim_payment_method(stg: dict[str, DataFrame]) -> DataFrame:
     methods = (stg["stg_payments"].select("payment_method")
                .where(F.col("payment_method").isNotNull()).distinct())
     keyed = dense_key(methods, ["payment_method"], "payment_method_key")
-    unknown = keyed.sparkSession.createDataFrame(
-        [(UNKNOWN_PAYMENT_KEY, "UNKNOWN")], "payment_method_key long, payment_method string")
+    unknown = keyed.sparkSession.range(1).select(
+        F.lit(UNKNOWN_PAYMENT_KEY).cast("long").alias("payment_method_key"),
+        F.lit("UNKNOWN").alias("payment_method"))
     return conform(unknown.unionByName(keyed), STAR["dim_payment_method"])
 
 
@@ -131,6 +134,14 @@ def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
     return conform(dense_key(fact, ["order_item_id"], "sales_key"), STAR["fact_sales"])
 
 
+def cluster_by(df: DataFrame, *cols: str) -> DataFrame:
+    """Lay a fact out in ``spark.sql.shuffle.partitions`` range-clustered
+    files on ``cols`` (sorted inside each): scans run in parallel and a date
+    filter skips whole files and row groups through their min/max stats."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+
+
 def fact_returns(stg: dict[str, DataFrame], sales: DataFrame,
                  store: LazyStore | None = None) -> DataFrame:
     """Returns carrying the keys resolved for their sale (B12); returns
@@ -157,6 +168,7 @@ def build_star(stg: dict[str, DataFrame], store: LazyStore | None = None) -> dic
     dims["dim_channel"] = store.put("dim_channel", dim_channel(stg))
     dims["dim_promotion"] = store.put("dim_promotion", dim_promotion(stg))
     dims["dim_payment_method"] = store.put("dim_payment_method", dim_payment_method(stg))
-    sales = store.put("fact_sales", fact_sales(stg, dims, store))
-    returns = store.put("fact_returns", fact_returns(stg, sales, store))
+    sales = store.put("fact_sales", cluster_by(fact_sales(stg, dims, store), "order_date_key"))
+    returns = store.put("fact_returns",
+                        cluster_by(fact_returns(stg, sales, store), "return_date_key"))
     return {**dims, "fact_sales": sales, "fact_returns": returns}

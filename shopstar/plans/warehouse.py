@@ -13,14 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from shopstar.plans.staging import stage_all
 from shopstar.plans.star import build_star
 from shopstar.sources.fixture import load_sources
-from shopstar.sources.store import LazyStore
+from shopstar.sources.store import CachedStore, LazyStore
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, store: LazyStore | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, store: LazyStore | None = None,
+                 source_store: LazyStore | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.store = store or LazyStore()
+        # where the landed source tables go (default: with the rest)
+        self.source_store = source_store or self.store
         self._sources: dict[str, DataFrame] | None = None
         self._staged: dict[str, DataFrame] | None = None
         self._star: dict[str, DataFrame] | None = None
@@ -28,7 +31,7 @@ class Warehouse:
     @property
     def sources(self) -> dict[str, DataFrame]:
         if self._sources is None:
-            self._sources = load_sources(self.spark, self.sf_dir)
+            self._sources = load_sources(self.spark, self.sf_dir, self.source_store)
         return self._sources
 
     @property
@@ -49,9 +52,10 @@ _CACHE: dict[tuple[int, str], Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The cached lazy warehouse for this session and folder."""
+    """The warehouse for this session and folder, built once: staged and
+    star tables are cached on first use and shared by every query."""
     key = (id(spark), sf_dir.rstrip("/"))
     wh = _CACHE.get(key)
     if wh is None or wh.spark is not spark:
-        wh = _CACHE[key] = Warehouse(spark, sf_dir.rstrip("/"))
+        wh = _CACHE[key] = Warehouse(spark, sf_dir.rstrip("/"), CachedStore())
     return wh

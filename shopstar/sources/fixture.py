@@ -220,19 +220,26 @@ def returns(t: dict[str, DataFrame], lines: DataFrame | None = None,
         SOURCE["returns"])
 
 
-def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All source tables (8 relational + product documents) for ``sf_dir``."""
+def load_sources(spark: SparkSession, sf_dir: str, store=None) -> dict[str, DataFrame]:
+    """All source tables (8 relational + product documents) for ``sf_dir``.
+
+    With a store, each table is landed there once (the load-sources step);
+    orders and the numbered lines are landed first since several source
+    tables derive from them."""
+    from shopstar.sources.store import LazyStore
+
+    store = store or LazyStore()
     t = read_tpch(spark, sf_dir)
-    o = orders(t)
-    lines = order_lines(t)
+    o = store.put("src_orders", orders(t))
+    lines = store.put("src_order_lines", order_lines(t))
     return {
-        "sales_channels": sales_channels(t),
-        "promotions": promotions(t),
-        "customers": customers(t),
-        "customer_addresses": customer_addresses(t),
+        "sales_channels": store.put("src_sales_channels", sales_channels(t)),
+        "promotions": store.put("src_promotions", promotions(t)),
+        "customers": store.put("src_customers", customers(t)),
+        "customer_addresses": store.put("src_customer_addresses", customer_addresses(t)),
         "orders": o,
-        "order_items": order_items(t, lines),
-        "payments": payments(t, o),
-        "returns": returns(t, lines, o),
-        "products": product_documents(t),
+        "order_items": store.put("src_order_items", order_items(t, lines)),
+        "payments": store.put("src_payments", payments(t, o)),
+        "returns": store.put("src_returns", returns(t, lines, o)),
+        "products": store.put("src_products", product_documents(t)),
     }

@@ -30,3 +30,11 @@ class ParquetStore(LazyStore):
 
     def get(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
+
+
+class CachedStore(LazyStore):
+    """Keeps each table as a plan but caches its rows on first use
+    (memory, spilling to disk); a lost block is recomputed from lineage."""
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        return df.persist()
