@@ -332,3 +332,26 @@ def cross_layer_checks(stg: dict[str, DataFrame], star: dict[str, DataFrame]) ->
     return table_checks("cross", both, [Rule(
         "consistency", "staged items equal fact rows",
         F.max(F.abs(F.col("a") - F.col("b"))))])
+
+
+# Tables whose staging load must be audited
+CORE_AUDITED = ["stg_customers", "stg_orders", "stg_order_items", "stg_products"]
+
+
+def timeliness_checks(audit: DataFrame, runs: DataFrame, as_of: dt.datetime,
+                      max_age_days: int = 2) -> DataFrame:
+    """Freshness of the last staging load and the last build, and an audit
+    entry for every core table (D22-D24; ``as_of`` replaces the clock)."""
+    L = "timeliness"
+    at = F.lit(as_of).cast("timestamp_ntz")
+    age = lambda c: F.coalesce(F.datediff(at, F.max(c)), F.lit(99999))
+    loads = table_checks(L, audit, [Rule("timeliness", "last staging load is recent",
+                                         age("loaded_at"), max_age_days - 1)])
+    build = table_checks(L, runs.where(F.col("step_name") == "build_analytics"), [
+        Rule("timeliness", "last build is recent", age("completed_at"), max_age_days - 1)])
+    expected = audit.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(t) for t in CORE_AUDITED])).alias("table_name"))
+    missing = expected.join(audit.select("table_name").distinct(), "table_name", "left_anti")  # U3
+    audited = table_checks(L, missing, [Rule("completeness", "core tables audited",
+                                             F.count(F.lit(1)))])
+    return union_all([loads, build, audited])
