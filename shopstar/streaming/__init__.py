@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled system has no stream, watermark or stateful operator: every
+run is a full batch refresh of staging and the star (see
+``shopstar.plans.pipeline``). No streaming operator is built for it.
+"""
