@@ -96,8 +96,9 @@ def global_order(
     fraction = min(1.0, OVERSAMPLE * buckets / n)
     sample = (base.select(F.struct(*prefix).alias(_KEY))
               .sample(withReplacement=False, fraction=fraction, seed=_SEED)
-              .orderBy(F.col(_KEY).asc_nulls_first())
-              .collect())  # bounded: ~OVERSAMPLE * buckets rows
+              .coalesce(1)  # bounded: ~OVERSAMPLE * buckets rows, sorted in one task
+              .sortWithinPartitions(F.col(_KEY).asc_nulls_first())
+              .collect())
     step = max(1, len(sample) // buckets)
     bounds: list[tuple] = []
     for i in range(step, len(sample), step):
