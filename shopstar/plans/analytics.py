@@ -57,13 +57,19 @@ def filter_channels(star: Star) -> DataFrame:
 
 
 # ------------------------------------------------------------------ N2
-def kpi_summary(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def kpi_summary(star: Star, filters: QueryFilters = NO_FILTERS,
+                approx_distinct: bool = False) -> DataFrame:
     """Headline KPIs; one row even when the slice is empty (N2). Refunds are
-    an independent total over returns in the slice (by return date)."""
+    an independent total over returns in the slice (by return date).
+
+    ``approx_distinct`` counts orders and customers with HyperLogLog++ (about
+    1 % error, no distinct shuffle) for dashboards; exact by default."""
     f = filters.sales(star)
+    distinct = (lambda c: F.approx_count_distinct(c, 0.01)) if approx_distinct \
+        else F.count_distinct
     sales = f.agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_key").alias("customers"),
+        distinct("order_id").alias("orders"),
+        distinct("customer_key").alias("customers"),
         F.sum("gross_revenue").alias("gross_revenue"),
         F.sum("discount_amount").alias("total_discounts"),
         F.sum("net_revenue").alias("net_revenue"),

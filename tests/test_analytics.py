@@ -51,6 +51,11 @@ def test_kpi_and_empty_slice(tiny):
     assert len(e) == 1 and (e[0].orders, e[0].net_revenue, e[0].refunds) == (0, None, 0.0)
 
 
+def test_kpi_approximate_distinct(tiny):
+    a = A.kpi_summary(tiny, approx_distinct=True).collect()[0]
+    assert (a.orders, a.customers, a.net_revenue) == (4, 3, 500.0)
+
+
 def test_filters_combine(tiny):
     f = QueryFilters(start_date=dt.date(2024, 1, 2), end_date=dt.date(2024, 1, 4),
                      categories=("Tools",), channels=("web",))

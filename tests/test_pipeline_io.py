@@ -7,6 +7,8 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 
+from decimal import Decimal
+
 import pytest
 
 from shopstar.plans import analytics as A
@@ -21,6 +23,21 @@ def test_missing_source_is_a_clear_error(spark):
         read_csv(spark, "/nonexistent/orders.csv", SOURCE["orders"])
 
 
+def test_whole_file_json_documents(spark, tmp_path):
+    """A document collection exported as one JSON array (store id included)."""
+    from shopstar.sources.io import read_documents
+    path = tmp_path / "products.json"
+    path.write_text('[{"_id": {"$oid": "x"}, "product_id": "P1", "name": " Saw ", '
+                    '"brand": {"name": "Acme"}, "category": {"name": "Saws", "parent": "Tools"},'
+                    ' "pricing": {"price": 9.5}, "tags": ["a", "b"], "variants": [],'
+                    ' "metadata": {"created_at": "2024-01-01T00:00:00+00:00"}},'
+                    ' {"product_id": "P2", "pricing": null}]')
+    docs = read_documents(spark, str(path), multi_line=True)
+    assert "_id" not in docs.columns
+    rows = {r.product_id: r for r in docs.collect()}
+    assert rows["P1"].pricing.price == Decimal("9.50") and rows["P2"].pricing is None
+
+
 def test_parameterised_sql(spark):
     df = read_sql(spark, "SELECT * FROM VALUES (1, 'billing'), (2, 'shipping') AS t(id, kind) "
                          "WHERE kind = :kind", {"kind": "billing"})
