@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,9 +77,14 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     staged_path = f"{root}/staging"
 
     if "stage" in run:
-        for name, df in stage_all(sources).items():
-            counts[name] = load(df, f"{staged_path}/{name}")
-            record_audit(spark, f"{root}/etl_audit", name, counts[name])
+        def stage_one(name: str, df: DataFrame) -> int:
+            rows = load(df, f"{staged_path}/{name}")
+            record_audit(spark, f"{root}/etl_audit", name, rows)
+            return rows
+
+        with ThreadPoolExecutor(max_workers=4) as pool:  # independent loads overlap
+            futures = {n: pool.submit(stage_one, n, df) for n, df in stage_all(sources).items()}
+            counts.update({n: f.result() for n, f in futures.items()})
         log_run(spark, root, "stage", counts)
     staged = {name: spark.read.parquet(f"{staged_path}/{name}") for name in _staged_names()}
 

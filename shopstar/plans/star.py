@@ -161,14 +161,18 @@ def build_star(stg: dict[str, DataFrame], store: LazyStore | None = None) -> dic
     """All star tables in dependency order; with a ``ParquetStore`` each
     table is written and read back before the next uses it."""
     store = store or LazyStore()
-    dims: dict[str, DataFrame] = {}
-    dims["dim_date"] = store.put("dim_date", dim_date(stg))
-    dims["dim_customer"] = store.put("dim_customer", dim_customer(stg))
-    dims["dim_category"] = store.put("dim_category", dim_category(stg))
+    dims = store.put_all({
+        "dim_date": lambda: dim_date(stg),
+        "dim_customer": lambda: dim_customer(stg),
+        "dim_category": lambda: dim_category(stg),
+        "dim_channel": lambda: dim_channel(stg),
+        "dim_promotion": lambda: dim_promotion(stg),
+        "dim_payment_method": lambda: dim_payment_method(stg),
+    })
     dims["dim_product"] = store.put("dim_product", dim_product(stg, dims["dim_category"]))
-    dims["dim_channel"] = store.put("dim_channel", dim_channel(stg))
-    dims["dim_promotion"] = store.put("dim_promotion", dim_promotion(stg))
-    dims["dim_payment_method"] = store.put("dim_payment_method", dim_payment_method(stg))
+    dims = {name: dims[name] for name in ("dim_date", "dim_customer", "dim_category",
+                                          "dim_product", "dim_channel", "dim_promotion",
+                                          "dim_payment_method")}
     sales = store.put("fact_sales", cluster_by(fact_sales(stg, dims, store), "order_date_key",
                                             "order_item_id"))
     returns = store.put("fact_returns",

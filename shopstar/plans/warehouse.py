@@ -37,8 +37,8 @@ class Warehouse:
     @property
     def staged(self) -> dict[str, DataFrame]:
         if self._staged is None:
-            self._staged = {name: self.store.put(name, df)
-                            for name, df in stage_all(self.sources).items()}
+            plans = stage_all(self.sources)
+            self._staged = self.store.put_all({name: (lambda d=df: d) for name, df in plans.items()})
         return self._staged
 
     @property

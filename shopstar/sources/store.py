@@ -8,18 +8,35 @@ from the sources, and later steps get column pruning and footer counts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 class LazyStore:
+    parallel = 1
+
     def put(self, name: str, df: DataFrame) -> DataFrame:
         return df
 
+    def put_all(self, builders: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        """Build and put independent tables. A writing store runs them as
+        concurrent Spark jobs from a few driver threads, so small jobs
+        overlap instead of queueing behind each other."""
+        if self.parallel <= 1 or len(builders) <= 1:
+            return {name: self.put(name, build()) for name, build in builders.items()}
+        with ThreadPoolExecutor(max_workers=min(self.parallel, len(builders))) as pool:
+            futures = {name: pool.submit(lambda n=name, b=build: self.put(n, b()))
+                       for name, build in builders.items()}
+            return {name: f.result() for name, f in futures.items()}
+
 
 class ParquetStore(LazyStore):
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, parallel: int = 4):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.parallel = parallel
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
