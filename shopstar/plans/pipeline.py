@@ -77,14 +77,13 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     staged_path = f"{root}/staging"
 
     if "stage" in run:
-        def stage_one(name: str, df: DataFrame) -> int:
-            rows = load(df, f"{staged_path}/{name}")
-            record_audit(spark, f"{root}/etl_audit", name, rows)
-            return rows
-
-        with ThreadPoolExecutor(max_workers=4) as pool:  # independent loads overlap
-            futures = {n: pool.submit(stage_one, n, df) for n, df in stage_all(sources).items()}
-            counts.update({n: f.result() for n, f in futures.items()})
+        # independent loads overlap; each writes its own folder
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            futures = {n: pool.submit(load, df, f"{staged_path}/{n}")
+                       for n, df in stage_all(sources).items()}
+            loaded = {n: f.result() for n, f in futures.items()}
+        counts.update(loaded)
+        record_audit(spark, f"{root}/etl_audit", loaded)  # one append for all tables
         log_run(spark, root, "stage", counts)
     staged = {name: spark.read.parquet(f"{staged_path}/{name}") for name in _staged_names()}
 

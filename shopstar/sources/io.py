@@ -96,13 +96,16 @@ def load(df: DataFrame, path: str, schema: T.StructType | None = None) -> int:
 AUDIT_SCHEMA = "audit_id string, table_name string, row_count long, loaded_at timestamp_ntz"
 
 
-def record_audit(spark: SparkSession, path: str, table: str, rows: int,
+def record_audit(spark: SparkSession, path: str, loaded: dict[str, int],
                  at: dt.datetime | None = None) -> None:
-    """Append one audit row."""
+    """Append one audit row per loaded table (S9), in a single append: the
+    folder has one writer at a time."""
     at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    spark.range(1).select(
-        F.uuid().alias("audit_id"), F.lit(table).alias("table_name"),
-        F.lit(rows).cast("long").alias("row_count"),
+    entries = F.array(*[F.struct(F.lit(t).alias("table_name"),
+                                 F.lit(int(n)).cast("long").alias("row_count"))
+                        for t, n in loaded.items()])
+    spark.range(1).select(F.inline(entries)).select(
+        F.uuid().alias("audit_id"), "table_name", "row_count",
         F.lit(at).cast("timestamp_ntz").alias("loaded_at"),
     ).write.mode("append").parquet(path)
 
