@@ -166,7 +166,7 @@ def concentration(sw: str, key: str) -> str:
 
 def pareto(entity: str, key: str) -> str:
     return with_star(f"""
-        SELECT '{entity}' AS entity, 80.0 AS revenue_share, MIN(entity_pct) AS entity_pct,
+        SELECT '{entity}' AS entity, CAST(80.0 AS DOUBLE) AS revenue_share, MIN(entity_pct) AS entity_pct,
                CAST(MIN(rank) AS BIGINT) AS entities
         FROM {_curve('', key)} WHERE cumulative_revenue_pct >= 80""")
 
