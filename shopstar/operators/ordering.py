@@ -7,11 +7,12 @@ every row into one task (``Exchange SinglePartition``). At scale we instead:
 2. otherwise take a seeded sample of the sort key, sort it (bounded: about
    ``OVERSAMPLE`` rows per bucket, at most ``MAX_BUCKETS`` buckets) and pick
    bucket bounds;
-3. map every row to its bucket with a pure, monotone expression (a balanced
-   search tree of comparisons against the bounds), so a retried task lands
+3. map every row to its bucket with a pure, monotone expression (a binary
+   search over one constant array of the bounds), so a retried task lands
    rows in the same bucket;
-4. aggregate counts (and sums) per bucket, prefix them over the few bucket
-   rows and broadcast-join the offsets back (bounded by ``MAX_BUCKETS``);
+4. aggregate counts (and sums) per bucket, collect those few rows (bounded
+   by ``MAX_BUCKETS``), prefix them exactly on the driver and apply them as
+   one constant array indexed by bucket (no join);
 5. finish with ``row_number`` / running ``sum`` partitioned by bucket.
 
 The key is the full sort tuple, so a heavily repeated leading value is split
@@ -22,6 +23,7 @@ once; it must be deterministic (a table or a deterministic plan over tables).
 
 from __future__ import annotations
 
+import decimal
 import math
 from collections.abc import Sequence
 
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 
 SINGLE_TASK_ROWS = 200_000   # up to this many rows, one plain window is cheapest
 ROWS_PER_BUCKET = 4_000_000  # one task sorts this many rows comfortably
-MAX_BUCKETS = 1024           # bounds the offsets table and the bucket tree
+MAX_BUCKETS = 1024           # bounds the bucket bounds and offsets arrays
 OVERSAMPLE = 32              # sampled keys per bucket
 MAX_PREFIX = 3               # sort columns used to place rows in buckets
 _SEED = 20240601
@@ -106,49 +108,97 @@ def global_order(
         if not bounds or b != bounds[-1]:
             bounds.append(b)
 
-    def lit_key(values: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(key_type[i].dataType).alias(prefix[i])
-                          for i, v in enumerate(values)])
+    def lit_key(values: tuple) -> str:
+        return "named_struct(" + ", ".join(
+            f"'{prefix[i]}', {sql_literal(v, key_type[i].dataType)}"
+            for i, v in enumerate(values)) + ")"
 
-    key = F.struct(*[F.col(p) for p in prefix])
-
-    def tree(lo: int, hi: int) -> Column:
-        # rows with key < bounds[lo] never reach here; returns bucket in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lit_key(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    bucketed = base.withColumn(_BUCKET, tree(0, len(bounds)))
+    bucketed = base.withColumn(_KEY, F.struct(*[F.col(p) for p in prefix]))
+    bucketed = _assign_bucket(bucketed, [lit_key(b) for b in bounds])
 
     value_names = {name: f"__v_{name}" for name in running_sums}
-    bucketed = bucketed.select("*", *[_as_col(v).alias(value_names[k]) for k, v in running_sums.items()])
+    bucketed = bucketed.select("*", *[_as_col(v).alias(value_names[k])
+                                      for k, v in running_sums.items()])
+    sum_types = {k: bucketed.select(F.sum(value_names[k])).schema[0].dataType
+                 for k in running_sums}  # analysis only, no job
     stats = bucketed.groupBy(_BUCKET).agg(
         F.count(F.lit(1)).alias("__cnt"),
         *[F.sum(value_names[k]).alias(f"__s_{k}") for k in running_sums],
-    )
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(
-        _BUCKET,
-        F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off_cnt"),
-        *[F.sum(f"__s_{k}").over(before).alias(f"__off_{k}") for k in running_sums],
-    )  # at most MAX_BUCKETS rows: broadcast is bounded
-    joined = bucketed.join(F.broadcast(offsets), _BUCKET)
+    ).collect()  # one row per bucket: at most len(bounds) + 1 <= ~MAX_BUCKETS rows
+    per_bucket = {r[_BUCKET]: r for r in stats}
+    # exclusive prefix over buckets, exact (integers / wide decimals)
+    cnt_off, sum_off = [], {k: [] for k in running_sums}
+    total, sums = 0, {k: None for k in running_sums}
+    with decimal.localcontext() as ctx:
+        ctx.prec = 80
+        for b in range(len(bounds) + 1):
+            cnt_off.append(total)
+            for k in running_sums:
+                sum_off[k].append(sums[k])
+            r = per_bucket.get(b)
+            if r is not None:
+                total += r["__cnt"]
+                for k in running_sums:
+                    v = r[f"__s_{k}"]
+                    if v is not None:
+                        sums[k] = v if sums[k] is None else sums[k] + v
+    idx = F.col(_BUCKET) + 1
     w = Window.partitionBy(_BUCKET).orderBy(*ordering)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = joined
+    out = bucketed
     if row_number_col:
+        offsets = F.element_at(_sql_array(cnt_off, T.LongType()), idx)
         out = out.withColumn(row_number_col,
-                             (F.row_number().over(w) + F.col("__off_cnt") + (start - 1)).cast("long"))
+                             (F.row_number().over(w) + offsets + (start - 1)).cast("long"))
     for name in running_sums:
+        t = sum_types[name]
+        off = F.element_at(_sql_array(sum_off[name], t), idx)
         inner = F.sum(value_names[name]).over(wr)
-        out = out.withColumn(name, F.when(F.col(f"__off_{name}").isNull(), inner)
-                             .otherwise(inner + F.col(f"__off_{name}")))
-    drop = key_names + [_BUCKET, "__off_cnt"] + list(value_names.values()) + \
-        [f"__off_{k}" for k in running_sums]
+        out = out.withColumn(name, F.when(off.isNull(), inner).when(inner.isNull(), off)
+                             .otherwise((inner + off).cast(t)))
+    drop = key_names + [_BUCKET, _KEY] + list(value_names.values())
     return out.drop(*drop)
 
 
+def sql_literal(value, dtype: T.DataType) -> str:
+    """Exact SQL text for a collected value of ``dtype``. Built as text so a
+    thousand bounds cost one parse, not thousands of driver-JVM calls."""
+    t = dtype.simpleString()
+    if value is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(dtype, T.StringType):
+        return f"CAST(X'{value.encode('utf-8').hex()}' AS STRING)"
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        text = repr(float(value)).replace("inf", "Infinity").replace("nan", "NaN")
+        return f"CAST('{text}' AS {t})"
+    return f"CAST('{value}' AS {t})"  # integers, decimals, dates
+
+
+def _sql_array(values: list, dtype: T.DataType) -> Column:
+    return F.expr("array(" + ", ".join(sql_literal(v, dtype) for v in values) + ")")
+
+
+def _assign_bucket(df: DataFrame, bounds: list[str]) -> DataFrame:
+    """``_BUCKET`` = number of ``bounds`` (sorted, distinct) that are <= the
+    row's ``_KEY``: a binary search over one constant array, one small step
+    per halving, so the expression stays compact (and compiled) for any
+    number of buckets. Pure and monotone in the key."""
+    m = len(bounds)
+    arr = F.expr("array(" + ", ".join(bounds) + ")")  # literals: folded into one constant
+    out = df.withColumn(_BUCKET, F.lit(0))
+    step = 1
+    while step * 2 <= m:
+        step *= 2
+    while step >= 1:
+        cand = F.col(_BUCKET) + step
+        hit = (cand <= m) & (F.col(_KEY) >= F.element_at(arr, F.least(cand, F.lit(m))))
+        out = out.withColumn(_BUCKET, F.when(hit, cand).otherwise(F.col(_BUCKET)))
+        step //= 2
+    return out
+
+
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], name: str,
               start: int = 1, rows_per_bucket: int | None = None) -> DataFrame:
     """Dense surrogate key ``start..start+n-1`` in business-key order."""
