@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,7 +20,7 @@ from shopstar.plans import analytics as A  # noqa: E402
 from shopstar.plans import quality as Q  # noqa: E402
 from shopstar.plans.pricing import price_order_lines  # noqa: E402
 from shopstar.plans.warehouse import Warehouse  # noqa: E402
-from shopstar.session import local_session  # noqa: E402
+from shopstar.session import local_session, scratch_folder  # noqa: E402
 from shopstar.sources.store import CachedStore, ParquetStore  # noqa: E402
 
 import datetime as dt  # noqa: E402
@@ -36,7 +35,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="shopstar-bench")
-    root = tempfile.mkdtemp(prefix="shopstar-bench-")
+    root = scratch_folder(spark, "shopstar-bench")  # under spark.checkpoint.dir
     times: dict[str, float] = {}
 
     t0 = time.perf_counter()

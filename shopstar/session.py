@@ -53,3 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return spark.sparkContext.getCheckpointDir() or current
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for written intermediate tables, under the shared
+    checkpoint folder the session names (never a machine-local path on a
+    cluster)."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

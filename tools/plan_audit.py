@@ -10,11 +10,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import tempfile  # noqa: E402
-
 from __spark_entry__ import queries  # noqa: E402
 from shopstar.plans import warehouse as W  # noqa: E402
-from shopstar.session import local_session  # noqa: E402
+from shopstar.session import local_session, scratch_folder  # noqa: E402
 from shopstar.sources.store import CachedStore, ParquetStore  # noqa: E402
 
 FLAGS = {
@@ -30,7 +28,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
     # staging and star written as Parquet, so every plan starts at its own scans
-    root = tempfile.mkdtemp(prefix="shopstar-audit-")
+    root = scratch_folder(spark, "shopstar-audit")
     W._CACHE[(id(spark), sf_dir.rstrip("/"))] = W.Warehouse(
         spark, sf_dir.rstrip("/"), ParquetStore(spark, root), source_store=CachedStore())
     for name, fn in queries().items():
