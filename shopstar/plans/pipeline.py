@@ -24,7 +24,7 @@ from shopstar.plans import quality as Q
 from shopstar.plans.staging import stage_all
 from shopstar.plans.star import build_star
 from shopstar.sources.io import load, record_audit
-from shopstar.sources.schemas import DIMENSIONS, FACTS, STAR
+from shopstar.sources.schemas import DIMENSIONS, FACTS
 from shopstar.sources.store import ParquetStore
 
 STEPS = ("stage", "quality-staging", "transform", "quality-analytics")
@@ -113,5 +113,4 @@ def _staged_names() -> list[str]:
     return [f"stg_{n}" for n in PLAIN_TABLES] + ["stg_customers", "stg_products"]
 
 
-__all__ = ["run_pipeline", "last_refresh", "published_star", "current_build", "log_run",
-           "STAR"]
+__all__ = ["run_pipeline", "last_refresh", "published_star", "current_build", "log_run"]
