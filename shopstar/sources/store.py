@@ -51,7 +51,11 @@ class ParquetStore(LazyStore):
 
 class CachedStore(LazyStore):
     """Keeps each table as a plan but caches its rows on first use
-    (memory, spilling to disk); a lost block is recomputed from lineage."""
+    (memory, spilling to disk); a lost block is recomputed from lineage.
+    Independent tables are still built concurrently (their size checks are
+    Spark jobs)."""
+
+    parallel = 4
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         return df.persist()
