@@ -535,11 +535,19 @@ def oracle_sql() -> dict[str, str]:
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS net_before "
         "FROM fact_sales")
     q["s13_upsert_channels"] = with_star(
-        ", ch_changes AS (SELECT channel_id * 3 AS channel_id, 'NEW ' || channel_name "
-        "AS channel_name, 'partner' AS channel_type FROM stg_sales_channels "
-        "WHERE channel_id <= 2) "
-        "SELECT * FROM ch_changes UNION ALL SELECT * FROM stg_sales_channels "
-        "WHERE channel_id NOT IN (SELECT channel_id FROM ch_changes)")
+        ", ch_changes AS (SELECT channel_id * 2 AS channel_id, 'NEW ' || channel_name "
+        "AS channel_name, 'partner' AS channel_type FROM stg_sales_channels) "
+        "SELECT * FROM ch_changes UNION ALL SELECT * FROM stg_sales_channels s "
+        "WHERE NOT EXISTS (SELECT 1 FROM ch_changes c WHERE c.channel_id = s.channel_id)")
+    q["s13_upsert_customers"] = with_star(
+        ", cu_changes AS (SELECT customer_id * 2 AS customer_id, first_name, last_name, "
+        "email, phone, signup_date, 'MOVED ' || city AS city, state, country "
+        "FROM stg_customers), cu_all AS (SELECT * FROM cu_changes UNION ALL "
+        "SELECT * FROM stg_customers s WHERE NOT EXISTS "
+        "(SELECT 1 FROM cu_changes c WHERE c.customer_id = s.customer_id)) "
+        "SELECT CAST(customer_id AS BIGINT) AS customer_id, first_name, last_name, email, "
+        "phone, strftime(signup_date, '%Y-%m-%d') AS signup_date, city, state, country "
+        "FROM cu_all")
     q["dq_staging_gate"] = dq_staging()
     q["dq_analytics_gate"] = dq_analytics()
     q["dq_staging_suite"] = dq_staging_suite()

@@ -103,16 +103,29 @@ def _segmented_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _upsert(spark: SparkSession, d: str) -> DataFrame:
-    """Keyed upsert (S13): the staged channels upserted with a renamed and a
-    new channel derived from them."""
+    """Keyed upsert (S13): the staged channels upserted with a change row per
+    channel, re-keyed to twice its id, so ids that already exist are updated
+    and the rest are inserted."""
     ch = warehouse(spark, d).staged["stg_sales_channels"]
-    changes = ch.where(F.col("channel_id") <= 2).select(
-        (F.col("channel_id") * F.lit(3)).alias("channel_id"),  # 3, 6: one update, one insert
+    changes = ch.select(
+        (F.col("channel_id") * F.lit(2)).alias("channel_id"),
         F.concat(F.lit("NEW "), F.col("channel_name")).alias("channel_name"),
         F.lit("partner").alias("channel_type"))
     return upsert(ch, changes, ["channel_id"])
 
 
+def _upsert_customers(spark: SparkSession, d: str) -> DataFrame:
+    """Keyed upsert (S13) at fact-like size: every staged customer yields a
+    change row keyed by twice its id (a moved address), so about half the
+    keys update and half insert. Both sides are whole tables."""
+    cu = warehouse(spark, d).staged["stg_customers"]
+    changes = cu.select(*[
+        (F.col(c) * F.lit(2)).alias(c) if c == "customer_id"
+        else F.concat(F.lit("MOVED "), F.col(c)).alias(c) if c == "city"
+        else F.col(c) for c in cu.columns])
+    return edge(upsert(cu, changes, ["customer_id"]))
+
+
 GUARDED_SQL = ("SELECT c.parent_category, COUNT(DISTINCT f.order_id) AS orders, "
                "CAST(SUM(f.net_revenue) AS DOUBLE) AS net_revenue "
                "FROM fact_sales f JOIN dim_category c USING (category_key) GROUP BY 1")
@@ -173,6 +186,7 @@ def queries() -> dict[str, Query]:
     q["w1_w2_bucketed_rank"] = _bucketed_rank
     q["w6_segmented_running_sum"] = _segmented_sum
     q["s13_upsert_channels"] = _upsert
+    q["s13_upsert_customers"] = _upsert_customers
     q["dq_staging_gate"] = lambda spark, d: Q.staging_checks(warehouse(spark, d).staged)
     q["dq_analytics_gate"] = lambda spark, d: Q.analytics_checks(
         _star(spark, d), as_of=dt.date(2002, 1, 1))
