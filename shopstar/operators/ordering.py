@@ -98,7 +98,9 @@ def global_order(
     fraction = min(1.0, OVERSAMPLE * buckets / n)
     sample = (base.select(F.struct(*prefix).alias(_KEY))
               .sample(withReplacement=False, fraction=fraction, seed=_SEED)
-              .coalesce(1)  # bounded: ~OVERSAMPLE * buckets rows, sorted in one task
+              # Shuffle only the sampled keys (~OVERSAMPLE * buckets rows) to one
+              # task; coalesce(1) would pull the whole scan into that task.
+              .repartition(1)
               .sortWithinPartitions(F.col(_KEY).asc_nulls_first())
               .collect())
     step = max(1, len(sample) // buckets)
