@@ -96,13 +96,7 @@ def global_order(
     key_type = T.StructType([T.StructField(p, fields[p], True) for p in prefix])
 
     fraction = min(1.0, OVERSAMPLE * buckets / n)
-    sample = (base.select(F.struct(*prefix).alias(_KEY))
-              .sample(withReplacement=False, fraction=fraction, seed=_SEED)
-              # Shuffle only the sampled keys (~OVERSAMPLE * buckets rows) to one
-              # task; coalesce(1) would pull the whole scan into that task.
-              .repartition(1)
-              .sortWithinPartitions(F.col(_KEY).asc_nulls_first())
-              .collect())
+    sample = key_sample(base, prefix, fraction).collect()
     step = max(1, len(sample) // buckets)
     bounds: list[tuple] = []
     for i in range(step, len(sample), step):
@@ -162,6 +156,17 @@ def global_order(
     return out.drop(*drop)
 
 
+def key_sample(base: DataFrame, prefix: list[str], fraction: float) -> DataFrame:
+    """Seeded sample of the bucket key, sorted. The scan and the sampling run
+    in parallel; only the sampled keys (~OVERSAMPLE * buckets rows) are
+    shuffled to one task to be sorted (``coalesce(1)`` here would pull the
+    whole scan into that task)."""
+    return (base.select(F.struct(*prefix).alias(_KEY))
+            .sample(withReplacement=False, fraction=fraction, seed=_SEED)
+            .repartition(1)
+            .sortWithinPartitions(F.col(_KEY).asc_nulls_first()))
+
+
 def sql_literal(value, dtype: T.DataType) -> str:
     """Exact SQL text for a collected value of ``dtype``. Built as text so a
     thousand bounds cost one parse, not thousands of driver-JVM calls."""

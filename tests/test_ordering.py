@@ -86,3 +86,13 @@ def test_bucket_bounds_round_trip_awkward_keys(spark):
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
         want = df.select("id", F.row_number().over(w).alias("rn"))
         assert sorted(got.collect()) == sorted(want.collect()), order
+
+
+def test_key_sample_scans_in_parallel(spark):
+    """Only the sampled keys meet in one task; the scan keeps its partitions."""
+    from shopstar.operators.ordering import key_sample
+
+    base = spark.range(0, 10_000, numPartitions=8).select(F.col("id").alias("__k0"))
+    plan = key_sample(base, ["__k0"], 0.1)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan
+    assert "Exchange SinglePartition" in plan

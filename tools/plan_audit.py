@@ -19,6 +19,7 @@ FLAGS = {
     "single-partition exchange": re.compile(r"Exchange SinglePartition"),
     "nested-loop join": re.compile(r"BroadcastNestedLoopJoin"),
     "cartesian product": re.compile(r"CartesianProduct"),
+    "coalesce to one task": re.compile(r"\bCoalesce 1\b"),
     "python evaluation": re.compile(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas"
                                     r"|MapInPandas)"),
 }
