@@ -3,8 +3,9 @@
 Every check yields one row ``(layer, dimension, check_name, observed,
 passed)``: ``observed`` is the number of violating rows (for timeliness, the
 age in days). Checks on one table share one scan: a single aggregate with a
-conditional count per rule, unpivoted into rows. Foreign keys are anti/left
-joins against the distinct parent keys; AQE broadcasts the small parents.
+conditional count per rule, unpivoted into rows. Foreign keys are anti joins
+of the child's pre-aggregated (key, count) rows against the distinct parent
+keys; AQE broadcasts the small parents.
 """
 
 from __future__ import annotations
@@ -67,22 +68,21 @@ def table_checks(layer: str, df: DataFrame, rules: list[Rule]) -> DataFrame:
 def orphan_rule_rows(layer: str, child: DataFrame, links: list[tuple[str, str, DataFrame, str]],
                      dimension: str = "consistency") -> DataFrame:
     """Rows of ``child`` whose ``fk`` has no match in ``parent.pk`` (J10),
-    for several links in one scan of ``child``: each parent's distinct keys
-    are left-joined with a hit flag. A NULL foreign key counts as dangling,
-    as in ``LEFT JOIN ... WHERE parent.key IS NULL``; ``nullable`` links
-    (name ending in '?') skip NULL keys."""
-    fks = sorted({fk for _, fk, _, _ in links})
-    base = child.select(*fks)
-    rules = []
-    for i, (name, fk, parent, pk) in enumerate(links):
-        hits = parent.select(F.col(pk).alias(f"__k{i}")).distinct() \
-            .withColumn(f"__hit{i}", F.lit(True))
-        base = base.join(hits, base[fk] == hits[f"__k{i}"], "left").drop(f"__k{i}")
-        miss = F.col(f"__hit{i}").isNull()
+    one row per link. The child is first reduced to (key, row count): the
+    aggregate combines map-side, so a key held by a third of the rows ships
+    as one row per task, and only distinct keys meet the parent's distinct
+    keys in the anti join. A NULL foreign key counts as dangling, as in
+    ``LEFT JOIN ... WHERE parent.key IS NULL``; ``nullable`` links (name
+    ending in '?') skip NULL keys."""
+    frames = []
+    for name, fk, parent, pk in links:
+        keys = child.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
         if name.endswith("?"):
-            name, miss = name[:-1], miss & F.col(fk).isNotNull()
-        rules.append(Rule(dimension, name, count_if(miss)))
-    return table_checks(layer, base, rules)
+            name, keys = name[:-1], keys.where(F.col("__fk").isNotNull())
+        parents = parent.select(F.col(pk).alias("__pk")).distinct()
+        missing = keys.join(parents, keys["__fk"] == parents["__pk"], "left_anti")
+        frames.append(table_checks(layer, missing, [Rule(dimension, name, F.sum("__n"))]))
+    return union_all(frames)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
