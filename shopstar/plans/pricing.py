@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstar.functions.money import cents, from_cents, idiv
+from shopstar.operators.lookup import left_lookup
 from shopstar.operators.ordering import segmented_exclusive_sum
 
 
@@ -22,9 +23,10 @@ def price_order_lines(order_items: DataFrame, orders: DataFrame,
     """Per line: gross, promotion discount and line total under the line's
     order promotion (no promotion: no discount)."""
     lines = (order_items.select("order_item_id", "order_id", "quantity", "unit_price")
-             .join(orders.select("order_id", "promotion_id"), "order_id")
-             .join(promotions.select("promotion_id", "promotion_code", "discount_type",
-                                     "discount_value"), "promotion_id", "left"))
+             .join(orders.select("order_id", "promotion_id"), "order_id"))
+    # most lines have no promotion: their NULL keys spread, never match
+    lines = left_lookup(lines, "promotion_id", promotions, "order_item_id",
+                        "promotion_code", "discount_type", "discount_value")
     gross_c = cents(F.col("quantity") * F.col("unit_price"))
     lines = lines.withColumn("__gross_c", gross_c)
     lines = segmented_exclusive_sum(lines, ["order_id"], "order_item_id", "__gross_c",

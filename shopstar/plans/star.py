@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shopstar.functions.cleaning import date_key
+from shopstar.operators.lookup import left_lookup
 from shopstar.operators.ordering import dense_key
 from shopstar.sources.schemas import STAR, conform
 from shopstar.sources.store import LazyStore
@@ -96,20 +96,6 @@ def one_payment_per_order(payments: DataFrame) -> DataFrame:
         F.min_by("payment_method", "payment_id").alias("payment_method"))
 
 
-def _left_lookup(fact: DataFrame, key: str, lookup: DataFrame, value: str) -> DataFrame:
-    """Left join ``lookup`` (``key`` -> ``value``) to ``fact`` on a nullable
-    key. NULL keys never match, but if the lookup is not broadcast they would
-    all hash to one shuffle partition (most lines have no promotion), so
-    they join on a distinct stand-in built from the line id; the NOT NULL
-    guard keeps a stand-in from ever matching."""
-    standin = F.col("order_item_id").cast("string") if isinstance(
-        fact.schema[key].dataType, T.StringType) else -F.col("order_item_id")
-    probe = F.coalesce(F.col(key), standin)
-    right = lookup.select(F.col(key).alias("__lk"), F.col(value))
-    return (fact.join(right, (probe == F.col("__lk")) & F.col(key).isNotNull(), "left")
-            .drop("__lk"))
-
-
 def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
                store: LazyStore | None = None) -> DataFrame:
     """One row per order item (B11). Inner joins drop items whose order,
@@ -132,8 +118,9 @@ def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
             .join(dims["dim_product"].select("product_key", "product_id", "category_key"),
                   "product_id")
             .join(dims["dim_channel"].select("channel_key", "channel_id"), "channel_id"))
-    fact = _left_lookup(fact, "payment_method", methods, "payment_method_key")
-    fact = _left_lookup(fact, "promotion_id", promo_lookup, "promotion_key")
+    # nullable keys (most lines have no promotion): NULLs spread, never match
+    fact = left_lookup(fact, "payment_method", methods, "order_item_id", "payment_method_key")
+    fact = left_lookup(fact, "promotion_id", promo_lookup, "order_item_id", "promotion_key")
     fact = fact.select(
         "order_id", "order_item_id", "order_date_key", "customer_key", "product_key",
         "category_key", "channel_key",
