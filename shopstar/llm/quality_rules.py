@@ -81,8 +81,10 @@ def _n_repeat_words(words: Column) -> Column:
         F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(repeated(h), covered))))
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words)."""
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
+def _measured(docs: DataFrame, key: Column, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     by_words = let(split_words(F.col(text_col)), lambda w: F.struct(
         F.size(w).alias("n_words"), F.length(F.array_join(w, "")).alias("word_chars"),
@@ -90,21 +92,31 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     by_lines = let(F.filter(F.split(text, "\n"), lambda x: ~x.rlike(f"^(?:{SPACES})?$")),
                    lambda x: F.struct(F.size(x).alias("n_lines"),
                                       (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
-    found = docs.select(F.col(id_col).alias("doc_id"), by_words.alias("w"), by_lines.alias("l"),
-                        F.regexp_count(text, F.lit(SYMBOLS)).alias("n_symbols"))
-    return found.select("doc_id", *[F.col(c).cast("long").alias(c.split(".")[-1]) for c in (
-        "w.n_words", "w.word_chars", "n_symbols", "l.n_lines", "l.n_dup_lines",
-        "w.n_repeat_words")])
+    found = docs.select(key.alias("key"), by_words.alias("w"), by_lines.alias("l"),
+                        F.struct(F.regexp_count(text, F.lit(SYMBOLS)).alias("n_symbols")).alias("s"))
+    return found.select("key", "w.*", "l.*", "s.*").select(
+        "key", *[F.col(c).cast("long").alias(c) for c in MEASURES])
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The measurements with ``fail_bits``: bit ``rule.bit`` is set if it failed."""
+def _bits(rules: tuple[Rule, ...]) -> Column:
     bits = F.lit(0).cast("long")
     for rule in rules:
         bits = bits.bitwiseOR(F.when(rule.fails(), F.lit(1 << rule.bit).cast("long"))
                               .otherwise(F.lit(0).cast("long")))
-    return measure(docs, id_col, text_col).withColumn("fail_bits", bits)
+    return bits
+
+
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(doc_id, the measurements, fail_bits): bit ``rule.bit`` is set if it failed."""
+    found = _measured(docs, F.col(id_col), text_col).withColumn("fail_bits", _bits(rules))
+    return found.withColumnRenamed("key", "doc_id")
+
+
+def keep_documents(docs: DataFrame, policy: "Policy", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass ``policy``, all columns unchanged."""
+    found = _measured(docs, F.struct("*"), text_col).withColumn("fail_bits", _bits(RULES))
+    return found.where(passes(policy)).select(*[F.col("key")[c].alias(c) for c in docs.columns])
 
 
 def passes(policy: Policy) -> Column:
