@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstar.llm import (chat_collapse, decontamination, hash_tree, license_scan, line_dedup, packing,
-                          quality_rules, simhash)
+                          pitman_yor, quality_rules, simhash)
 from shopstar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
                       "n_lines", "n_dropped")
 
 
+def op2_pitman_yor(spark: SparkSession, d: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, d, "documents"))
+
+
 def op3_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents"), with_ids=False)
 
@@ -57,7 +61,7 @@ def op9_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_line_dedup, op3_packing, op4_hash_tree, op5_license_scan, op6_chat_collapse,
+        op1_line_dedup, op2_pitman_yor, op3_packing, op4_hash_tree, op5_license_scan, op6_chat_collapse,
         op7_simhash, op8_decontamination, op9_quality_rules)}
 
 
