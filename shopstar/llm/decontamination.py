@@ -47,63 +47,64 @@ def item_windows(benchmark: DataFrame, size: int = WINDOW, id_col: str = "item_i
             .groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items")))
 
 
-class WindowSet:
-    """Windows of one block, looked up by the numbers of their words."""
-
-    def __init__(self, rows: list[tuple[str, list[str]]]):
-        self.numbers: dict[bytes, int] = {}
-        split = [(w.encode(), items) for w, items in rows]
-        for window, _ in split:
-            for word in window.split():
-                self.numbers.setdefault(word, len(self.numbers) + 1)
-        self.by_size: dict[int, tuple[np.ndarray, list[bytes], list[list[str]]]] = {}
-        self.factor = _FACTOR
-        while not self._build(split):  # two windows with one key: another factor
-            self.factor += 2
-
-    def _build(self, rows: list[tuple[bytes, list[str]]]) -> bool:
-        sizes: dict[int, list] = {}
-        for window, items in rows:
-            sizes.setdefault(window.count(b" ") + 1, []).append((window, items))
+def window_keys(ids: np.ndarray, at: np.ndarray, size: int, factor: int) -> np.ndarray:
+    """64-bit key of the ``size`` word numbers from each place ``at``."""
+    out = np.zeros(at.size, np.uint64)
+    for k in range(size):
+        out = out * np.uint64(factor) + ids[at + k]
+    return out
+
+
+def window_set(rows: list[tuple[str, list[str]]]) -> tuple:
+    """A block's windows as plain data to broadcast: the words' numbers, the
+    key's factor, and per window size the sorted keys, windows and items."""
+    split = [(w.encode(), items) for w, items in rows]
+    numbers: dict[bytes, int] = {}
+    sizes: dict[int, list] = {}
+    for window, items in split:
+        words = window.split()
+        sizes.setdefault(len(words), []).append((window, items))
+        for word in words:
+            numbers.setdefault(word, len(numbers) + 1)
+    factor = _FACTOR
+    while True:
+        tables = {}
         for size, own in sizes.items():
-            ids = np.array([[self.numbers[w] for w in window.split()] for window, _ in own], np.uint64)
-            keys = self.keys(ids.ravel(), np.arange(0, ids.size, size), size)
+            ids = np.array([[numbers[w] for w in window.split()] for window, _ in own], np.uint64)
+            keys = window_keys(ids.ravel(), np.arange(0, ids.size, size), size, factor)
             order = np.argsort(keys)
-            if (np.diff(keys[order]) == 0).any():
-                return False
-            self.by_size[size] = (keys[order], [own[k][0] for k in order], [own[k][1] for k in order])
-        return True
-
-    def keys(self, ids: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-        out = np.zeros(at.size, np.uint64)
-        for k in range(size):
-            out = out * np.uint64(self.factor) + ids[at + k]
-        return out
-
-    def scan(self, words: list[bytes], hit: np.ndarray, items: set[str]) -> None:
-        """Marks the words inside occurring windows and adds their items."""
-        ids = np.fromiter(map(self.numbers.get, words, repeat(0)), np.uint64, len(words))
-        known = np.concatenate(([0], np.cumsum(ids != 0)))
-        for size, (keys, windows, owners) in self.by_size.items():
-            if len(words) < size:
-                continue
-            at = np.flatnonzero(known[size:] - known[:-size] == size)
-            if not at.size:
-                continue
-            found = self.keys(ids, at, size)
-            place = np.minimum(np.searchsorted(keys, found), keys.size - 1)
-            for p, k in zip(at[keys[place] == found].tolist(), place[keys[place] == found].tolist()):
-                if b" ".join(words[p:p + size]) == windows[k]:
-                    hit[p:p + size] = True
-                    items.update(owners[k])
-
-
-def _blocks(benchmark: DataFrame, size: int, max_windows: int) -> list[WindowSet]:
+            tables[size] = (keys[order], [own[k][0] for k in order], [own[k][1] for k in order])
+        if all(np.diff(keys).all() for keys, _, _ in tables.values()):
+            return numbers, factor, tables
+        factor += 2  # two windows with one key: another factor
+
+
+def scan_words(windows: tuple, words: list[bytes], hit: np.ndarray, items: set[str]) -> None:
+    """Marks the words inside occurring windows and adds the windows' items."""
+    numbers, factor, tables = windows
+    ids = np.fromiter(map(numbers.get, words, repeat(0)), np.uint64, len(words))
+    known = np.concatenate(([0], np.cumsum(ids != 0)))
+    for size, (keys, texts, owners) in tables.items():
+        if len(words) < size:
+            continue
+        at = np.flatnonzero(known[size:] - known[:-size] == size)
+        if not at.size:
+            continue
+        found = window_keys(ids, at, size, factor)
+        place = np.minimum(np.searchsorted(keys, found), keys.size - 1)
+        same = keys[place] == found
+        for p, k in zip(at[same].tolist(), place[same].tolist()):
+            if b" ".join(words[p:p + size]) == texts[k]:
+                hit[p:p + size] = True
+                items.update(owners[k])
+
+
+def _blocks(benchmark: DataFrame, size: int, max_windows: int) -> list[tuple]:
     windows = written(item_windows(benchmark, size), "benchmark_windows")
     n = windows.agg(F.coalesce(F.sum(F.greatest(F.size("items"), F.lit(1))), F.lit(0))).first()[0]
     blocks = max(1, -(-n // max_windows))
     block = F.pmod(F.xxhash64("window"), F.lit(blocks))
-    return [WindowSet([tuple(r) for r in windows.where(block == b).collect()])
+    return [window_set([tuple(r) for r in windows.where(block == b).collect()])
             for b in range(blocks)]
 
 
@@ -165,7 +166,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "report", s
                     words = _words(text)
                     hit = np.zeros(len(words), bool) if old is None else np.frombuffer(old, bool).copy()
                     items = set(had)
-                    shared.value.scan(words, hit, items)
+                    scan_words(shared.value, words, hit, items)
                     hits.append(hit)
                     listed.append(items)
                 if not last:

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -61,8 +60,7 @@ NOTICES = (
 )
 
 
-@lru_cache(maxsize=256)
-def _pattern(notice: Notice):
+def _pattern(notice: Notice):  # regex keeps what it compiled
     return regex.compile(f"(?be)(?:{regex.escape(notice.text, special_only=True)}){{e<={notice.edits}}}")
 
 
@@ -107,8 +105,8 @@ def fuzzy_places(joined: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[t
                 hi += 1
             window = joined[lo:hi].decode("utf-8", "surrogatepass")
             outer = (lo == 0 or joined[lo - 1] == 32, hi == len(joined) or joined[hi] == 32)
-            pos = 0
-            while (m := _pattern(notice).search(window, pos)) is not None:
+            pos, pattern = 0, _pattern(notice)
+            while (m := pattern.search(window, pos)) is not None:
                 s, e = m.span()
                 s, e = s + (window[s:s + 1] == " "), e - (window[e - 1:e] == " ")
                 whole = _at_words(window, s, e) and (s > 0 or outer[0]) and (e < len(window) or outer[1])

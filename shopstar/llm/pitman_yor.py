@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from shopstar.llm.common import LOWER, text_bytes
 from shopstar.session import ensure_checkpoint_dir
 
-N_CONTEXTS = 32
+N_CONTEXTS = 4096
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 3, 3
 #: Largest number of customers whose tables are drawn from the exact law.
