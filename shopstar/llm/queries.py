@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstar.llm import (chat_collapse, decontamination, hash_tree, license_scan, line_dedup, packing,
+from shopstar.llm import (chat_collapse, decontamination, hash_tree, html_extract, license_scan, line_dedup, packing,
                           pitman_yor, quality_rules, simhash)
 from shopstar.llm.common import table
 
@@ -59,10 +59,14 @@ def op9_quality_rules(spark: SparkSession, d: str) -> DataFrame:
                        (~base).alias("base_failed"), (base & web).alias("kept"))
 
 
+def op10_html_tree(spark: SparkSession, d: str) -> DataFrame:
+    return html_extract.extract(table(spark, d, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_pitman_yor, op3_packing, op4_hash_tree, op5_license_scan, op6_chat_collapse,
-        op7_simhash, op8_decontamination, op9_quality_rules)}
+        op7_simhash, op8_decontamination, op9_quality_rules, op10_html_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
