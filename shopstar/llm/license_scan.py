@@ -86,7 +86,8 @@ def _at_words(window: str, start: int, end: int) -> bool:
 def fuzzy_places(joined: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[tuple[int, int, str, int, float]]:
     """(start, end, label, edits, similarity) of the notices in ``joined``:
     byte spans that begin and end at words. Candidates whose windows overlap
-    are searched together; a stretch keeps its least edited reading of a notice."""
+    are searched together. Of readings that overlap, the least edited (then the
+    longest) stays: a notice one word away from another is not the other."""
     out = []
     for notice in notices:
         spans: list[list[int]] = []
@@ -118,7 +119,11 @@ def fuzzy_places(joined: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[t
                     pos = max(m.end(), pos + 1)
                 else:
                     pos = m.start() + 1
-    return sorted(set(out))
+    kept: list[tuple[int, int, str, int, float]] = []
+    for x in sorted(set(out), key=lambda x: (x[3], x[0] - x[1], x)):
+        if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):
+            kept.append(x)
+    return sorted(kept)
 
 
 def scan_text(text: str | None, notices: tuple[Notice, ...] = NOTICES) -> dict:
