@@ -7,7 +7,7 @@ declares a role. Sum-product messages go up the tree and down again and give
 each node's exact marginal; a node's text is kept if content is likelier.
 
 Trained from labelled pages: a bounded sample (``train_pages`` pages, those
-with the smallest hashes) whose markup labels their nodes: content below an
+with the smallest hashes of id and url) whose markup labels their nodes: content below an
 article or main element, not content below any other declared role. Counts are
 added to the prior counts below, so that roles the sample lacks keep a meaning.
 Training is one job over the sample; the counts are a few dozen numbers.
@@ -147,11 +147,14 @@ def _unit(a: float, b: float) -> tuple[float, float]:
     return a - total, b - total
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+def train(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
           train_pages: int = TRAIN_PAGES) -> Model:
     """The model from the labelled pages of the sample."""
-    sample = (pages.where(F.col(html_col).isNotNull()).select(F.col(html_col).alias("html"))
-              .orderBy(F.xxhash64("html"), "html").limit(train_pages))
+    given = pages.where(F.col(html_col).isNotNull()).select(
+        F.xxhash64(id_col, url_col).alias("key"), F.col(html_col).alias("html"))
+    # the bound is found on the keys alone; pages move only once they are chosen
+    last = given.select("key").orderBy("key").limit(train_pages).agg(F.max("key")).first()[0]
+    sample = given.where(F.col("key") <= F.lit(last).cast("long")).limit(train_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -163,7 +166,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
              pa.array(list(total.values()), pa.int64())], ["key", "n"])
 
     counts: Counter = Counter()
-    for r in sample.mapInArrow(run, "key array<string>, n bigint").collect():
+    for r in sample.select("html").mapInArrow(run, "key array<string>, n bigint").collect():
         counts[tuple({"True": True, "False": False}.get(x, x) for x in r.key)] += r.n
     return Model(counts)
 
@@ -178,7 +181,7 @@ def extract_text(page: str | None, model: Model) -> str:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             train_pages: int = TRAIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) for each page."""
-    model = train(pages, id_col, html_col, train_pages)
+    model = train(pages, id_col, url_col, html_col, train_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
