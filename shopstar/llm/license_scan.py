@@ -61,7 +61,8 @@ NOTICES = (
 
 
 def _pattern(notice: Notice):  # regex keeps what it compiled
-    return regex.compile(f"(?be)(?:{regex.escape(notice.text, special_only=True)}){{e<={notice.edits}}}")
+    notice_words = regex.escape(notice.text, special_only=True)
+    return regex.compile(f"(?be)(?<![^ ])(?:{notice_words}){{e<={notice.edits}}}(?![^ ])")
 
 
 def _places(data: bytes, part: bytes) -> Iterator[int]:
@@ -78,11 +79,6 @@ def base_places(joined: bytes) -> list[tuple[int, str]]:
                   for at in _places(padded, f" {phrase} ".encode()))
 
 
-def _at_words(window: str, start: int, end: int) -> bool:
-    return (start == 0 or " " in window[start - 1:start + 1]) and \
-        (end == len(window) or " " in window[end - 1:end + 1])
-
-
 def fuzzy_places(joined: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[tuple[int, int, str, int, float]]:
     """(start, end, label, edits, similarity) of the notices in ``joined``:
     byte spans that begin and end at words. Candidates whose windows overlap
@@ -99,26 +95,18 @@ def fuzzy_places(joined: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[t
                 spans[-1][1] = max(spans[-1][1], hi)
             else:
                 spans.append([lo, hi])
-        for lo, hi in spans:
-            while lo > 0 and joined[lo] & 0xC0 == 0x80:  # whole characters
-                lo -= 1
-            while hi < len(joined) and joined[hi] & 0xC0 == 0x80:
-                hi += 1
+        for lo, hi in spans:  # whole words
+            lo, hi = joined.rfind(b" ", 0, lo) + 1, len(joined) if (end := joined.find(b" ", hi)) < 0 else end
             window = joined[lo:hi].decode("utf-8", "surrogatepass")
-            outer = (lo == 0 or joined[lo - 1] == 32, hi == len(joined) or joined[hi] == 32)
             pos, pattern = 0, _pattern(notice)
             while (m := pattern.search(window, pos)) is not None:
-                s, e = m.span()
-                s, e = s + (window[s:s + 1] == " "), e - (window[e - 1:e] == " ")
-                whole = _at_words(window, s, e) and (s > 0 or outer[0]) and (e < len(window) or outer[1])
-                if whole and e > s:
-                    edits = sum(m.fuzzy_counts)
-                    a = lo + len(window[:s].encode("utf-8", "surrogatepass"))
-                    b = lo + len(window[:e].encode("utf-8", "surrogatepass"))
+                a = lo + len(window[:m.start()].encode("utf-8", "surrogatepass"))
+                b = a + len(m.group().encode("utf-8", "surrogatepass"))
+                a, b = a + (joined[a:a + 1] == b" "), b - (joined[b - 1:b] == b" ")
+                edits = sum(m.fuzzy_counts)
+                if b > a:
                     out.append((a, b, notice.label, edits, 1 - edits / len(notice.text)))
-                    pos = max(m.end(), pos + 1)
-                else:
-                    pos = m.start() + 1
+                pos = max(m.end(), m.start() + 1)
     kept: list[tuple[int, int, str, int, float]] = []
     for x in sorted(set(out), key=lambda x: (x[3], x[0] - x[1], x)):
         if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):
