@@ -85,12 +85,11 @@ def _interval_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _bucketed_rank(spark: SparkSession, d: str) -> DataFrame:
-    """Global rank and running revenue of all sales lines through the
-    bucketed path (forced with a small bucket size)."""
+    """Global rank and running revenue of all sales lines."""
     f = _star(spark, d)["fact_sales"].select(
         "order_item_id", F.col("net_revenue").alias("net"))
     ranked = global_order(f, [-F.col("net"), F.col("order_item_id")], "rank",
-                          running_sums={"running_net": "net"}, rows_per_bucket=5000)
+                          running_sums={"running_net": "net"})
     return edge(ranked.select("rank", "order_item_id", "net", "running_net"))
 
 

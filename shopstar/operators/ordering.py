@@ -1,52 +1,50 @@
 """Global order without a single-partition window.
 
 ``row_number() OVER (ORDER BY k)`` and running sums over a global order move
-every row into one task (``Exchange SinglePartition``). At scale we instead:
-
-1. count the rows; if they are few (a checked bound), use the plain window;
-2. otherwise take a seeded sample of the sort key, sort it (bounded: about
-   ``OVERSAMPLE`` rows per bucket, at most ``MAX_BUCKETS`` buckets) and pick
-   bucket bounds;
-3. map every row to its bucket with a pure, monotone expression (a binary
-   search over one constant array of the bounds), so a retried task lands
-   rows in the same bucket;
-4. aggregate counts (and sums) per bucket, collect those few rows (bounded
-   by ``MAX_BUCKETS``), prefix them exactly on the driver and apply them as
-   one constant array indexed by bucket (no join);
-5. finish with ``row_number`` / running ``sum`` partitioned by bucket.
-
-The key is the full sort tuple, so a heavily repeated leading value is split
-across buckets by the later columns. Sums must be decimals or integers so
-they do not depend on the order of addition. The input is read more than
-once; it must be deterministic (a table or a deterministic plan over tables).
+every row into one task (``Exchange SinglePartition``). Here, at every size:
+
+1. the rows are range-partitioned on the full sort tuple (Spark samples the
+   bounds; any orderable type, and a hot leading value is split by the later
+   columns), sorted inside each partition and written once with their place:
+   partition number and position;
+2. counts and sums per partition are read from the written table and prefixed:
+   one row per written partition;
+3. a row's number is its partition's offset plus its position, a running sum
+   its partition's offset plus a window inside the partition.
+
+The input is run twice (bounds, rows) and shuffled once; the written table
+cuts the lineage, so places stay the same when tasks are retried. Sums must be
+decimals or integers so they do not depend on the order of addition.
 """
 
 from __future__ import annotations
 
-import decimal
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SINGLE_TASK_ROWS = 200_000   # up to this many rows, one plain window is cheapest
-ROWS_PER_BUCKET = 4_000_000  # one task sorts this many rows comfortably
-MAX_BUCKETS = 1024           # bounds the bucket bounds and offsets arrays
-OVERSAMPLE = 32              # sampled keys per bucket
-MAX_PREFIX = 3               # sort columns used to place rows in buckets
-_SEED = 20240601
+from shopstar.sources.store import written
 
-_BUCKET = "__bucket"
-_KEY = "__sort_key"
-_SIMPLE = (T.NumericType, T.StringType, T.DateType, T.BooleanType)
+_PLACE = "__place"
+_POSITION_BITS = 33  # of monotonically_increasing_id
 
 
 def _as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def place_rows(df: DataFrame, order_cols: Sequence[str | Column], **values: Column) -> DataFrame:
+    """``df`` with ``values``, range-partitioned and sorted (NULLs first), and
+    each row's place in that order."""
+    names = [f"__k{i}" for i in range(len(order_cols))]
+    keyed = df.select("*", *[_as_col(c).alias(n) for n, c in zip(names, order_cols)],
+                      *[v.alias(n) for n, v in values.items()])
+    ordering = [F.col(n).asc_nulls_first() for n in names]
+    return (keyed.repartitionByRange(*ordering).sortWithinPartitions(*ordering)
+            .withColumn(_PLACE, F.monotonically_increasing_id()).drop(*names))
+
+
 def global_order(
     df: DataFrame,
     order_cols: Sequence[str | Column],
@@ -54,7 +52,6 @@ def global_order(
     *,
     start: int = 1,
     running_sums: dict[str, str | Column] | None = None,
-    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add a dense row number (from ``start``) and/or running sums in the
     ascending order of ``order_cols`` (NULLs first).
@@ -63,153 +60,34 @@ def global_order(
     total (end with a unique key) for the numbering to be deterministic.
     """
     running_sums = dict(running_sums or {})
-    single_task = rows_per_bucket or SINGLE_TASK_ROWS
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    keys = [_as_col(c) for c in order_cols]
-    key_names = [f"__k{i}" for i in range(len(keys))]
-    base = df.select("*", *[k.alias(n) for k, n in zip(keys, key_names)])
-    ordering = [F.col(n).asc_nulls_first() for n in key_names]
-
-    n = base.count()
-    if n <= single_task:
-        # Checked bound: at most single_task rows meet in the one task.
-        w = Window.orderBy(*ordering)
-        out = base
-        if row_number_col:
-            out = out.withColumn(row_number_col, (F.row_number().over(w) + (start - 1)).cast("long"))
-        wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        for name, value in running_sums.items():
-            out = out.withColumn(name, F.sum(_as_col(value)).over(wr))
-        return out.drop(*key_names)
-
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    buckets = min(MAX_BUCKETS, max(math.ceil(n / rows_per_bucket), parallelism))
-    # Bucket on the leading sort columns of simple types (a monotone prefix).
-    fields = {f.name: f.dataType for f in base.schema.fields}
-    prefix: list[str] = []
-    for name in key_names[:MAX_PREFIX]:
-        if not isinstance(fields[name], _SIMPLE):
-            break
-        prefix.append(name)
-    if not prefix:
-        raise TypeError("global_order needs a leading sort column of a simple type")
-    key_type = T.StructType([T.StructField(p, fields[p], True) for p in prefix])
-
-    fraction = min(1.0, OVERSAMPLE * buckets / n)
-    sample = key_sample(base, prefix, fraction).collect()
-    step = max(1, len(sample) // buckets)
-    bounds: list[tuple] = []
-    for i in range(step, len(sample), step):
-        b = tuple(sample[i][_KEY])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-
-    def lit_key(values: tuple) -> str:
-        return "named_struct(" + ", ".join(
-            f"'{prefix[i]}', {sql_literal(v, key_type[i].dataType)}"
-            for i, v in enumerate(values)) + ")"
-
-    bucketed = base.withColumn(_KEY, F.struct(*[F.col(p) for p in prefix]))
-    bucketed = _assign_bucket(bucketed, [lit_key(b) for b in bounds])
-
     value_names = {name: f"__v_{name}" for name in running_sums}
-    bucketed = bucketed.select("*", *[_as_col(v).alias(value_names[k])
-                                      for k, v in running_sums.items()])
-    sum_types = {k: bucketed.select(F.sum(value_names[k])).schema[0].dataType
-                 for k in running_sums}  # analysis only, no job
-    stats = bucketed.groupBy(_BUCKET).agg(
-        F.count(F.lit(1)).alias("__cnt"),
-        *[F.sum(value_names[k]).alias(f"__s_{k}") for k in running_sums],
-    ).collect()  # one row per bucket: at most len(bounds) + 1 <= ~MAX_BUCKETS rows
-    per_bucket = {r[_BUCKET]: r for r in stats}
-    # exclusive prefix over buckets, exact (integers / wide decimals)
-    cnt_off, sum_off = [], {k: [] for k in running_sums}
-    total, sums = 0, {k: None for k in running_sums}
-    with decimal.localcontext() as ctx:
-        ctx.prec = 80
-        for b in range(len(bounds) + 1):
-            cnt_off.append(total)
-            for k in running_sums:
-                sum_off[k].append(sums[k])
-            r = per_bucket.get(b)
-            if r is not None:
-                total += r["__cnt"]
-                for k in running_sums:
-                    v = r[f"__s_{k}"]
-                    if v is not None:
-                        sums[k] = v if sums[k] is None else sums[k] + v
-    idx = F.col(_BUCKET) + 1
-    w = Window.partitionBy(_BUCKET).orderBy(*ordering)
-    wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = bucketed
+    placed = written(place_rows(df, order_cols, **{
+        value_names[k]: _as_col(v) for k, v in running_sums.items()}), "ordered")
+    part = F.shiftright(_PLACE, _POSITION_BITS)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = (placed.groupBy(part.alias("__part")).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(v) for v in value_names.values()])
+        .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n"),
+                *[F.sum(v).over(before).alias(f"{v}_before") for v in value_names.values()]))
+    out = placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
     if row_number_col:
-        offsets = F.element_at(_sql_array(cnt_off, T.LongType()), idx)
-        out = out.withColumn(row_number_col,
-                             (F.row_number().over(w) + offsets + (start - 1)).cast("long"))
-    for name in running_sums:
-        t = sum_types[name]
-        off = F.element_at(_sql_array(sum_off[name], t), idx)
-        inner = F.sum(value_names[name]).over(wr)
-        out = out.withColumn(name, F.when(off.isNull(), inner).when(inner.isNull(), off)
-                             .otherwise((inner + off).cast(t)))
-    drop = key_names + [_BUCKET, _KEY] + list(value_names.values())
-    return out.drop(*drop)
-
-
-def key_sample(base: DataFrame, prefix: list[str], fraction: float) -> DataFrame:
-    """Seeded sample of the bucket key, sorted. The scan and the sampling run
-    in parallel; only the sampled keys (~OVERSAMPLE * buckets rows) are
-    shuffled to one task to be sorted (``coalesce(1)`` here would pull the
-    whole scan into that task)."""
-    return (base.select(F.struct(*prefix).alias(_KEY))
-            .sample(withReplacement=False, fraction=fraction, seed=_SEED)
-            .repartition(1)
-            .sortWithinPartitions(F.col(_KEY).asc_nulls_first()))
-
-
-def sql_literal(value, dtype: T.DataType) -> str:
-    """Exact SQL text for a collected value of ``dtype``. Built as text so a
-    thousand bounds cost one parse, not thousands of driver-JVM calls."""
-    t = dtype.simpleString()
-    if value is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(dtype, T.BooleanType):
-        return "TRUE" if value else "FALSE"
-    if isinstance(dtype, T.StringType):
-        return f"CAST(X'{value.encode('utf-8').hex()}' AS STRING)"
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        text = repr(float(value)).replace("inf", "Infinity").replace("nan", "NaN")
-        return f"CAST('{text}' AS {t})"
-    return f"CAST('{value}' AS {t})"  # integers, decimals, dates
-
-
-def _sql_array(values: list, dtype: T.DataType) -> Column:
-    return F.expr("array(" + ", ".join(sql_literal(v, dtype) for v in values) + ")")
-
-
-def _assign_bucket(df: DataFrame, bounds: list[str]) -> DataFrame:
-    """``_BUCKET`` = number of ``bounds`` (sorted, distinct) that are <= the
-    row's ``_KEY``: a binary search over one constant array, one small step
-    per halving, so the expression stays compact (and compiled) for any
-    number of buckets. Pure and monotone in the key."""
-    m = len(bounds)
-    arr = F.expr("array(" + ", ".join(bounds) + ")")  # literals: folded into one constant
-    out = df.withColumn(_BUCKET, F.lit(0))
-    step = 1
-    while step * 2 <= m:
-        step *= 2
-    while step >= 1:
-        cand = F.col(_BUCKET) + step
-        hit = (cand <= m) & (F.col(_KEY) >= F.element_at(arr, F.least(cand, F.lit(m))))
-        out = out.withColumn(_BUCKET, F.when(hit, cand).otherwise(F.col(_BUCKET)))
-        step //= 2
-    return out
+        position = F.col(_PLACE).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+        out = out.withColumn(row_number_col, (F.col("__n") + position + start).cast("long"))
+    inside = Window.partitionBy("__part").orderBy(_PLACE) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for name, value in value_names.items():
+        kind = placed.select(F.sum(value)).schema[0].dataType
+        so_far, own = F.col(f"{value}_before"), F.sum(value).over(inside)
+        out = out.withColumn(name, F.when(so_far.isNull(), own).when(own.isNull(), so_far)
+                             .otherwise((so_far + own).cast(kind)))
+    added = [c for c in [row_number_col, *running_sums] if c]
+    return out.select(*[c for c in df.columns if c not in added], *added)
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], name: str,
-              start: int = 1, rows_per_bucket: int | None = None) -> DataFrame:
+              start: int = 1) -> DataFrame:
     """Dense surrogate key ``start..start+n-1`` in business-key order."""
-    out = global_order(df, order_cols, name, start=start, rows_per_bucket=rows_per_bucket)
+    out = global_order(df, order_cols, name, start=start)
     return out.select(name, *[c for c in df.columns])
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shopstar.functions.filters import NO_FILTERS, QueryFilters
 from shopstar.functions.money import cents, half_up_ratio, idiv
 from shopstar.operators.ordering import global_order
+from shopstar.sources.store import written
 
 Star = dict[str, DataFrame]
 
@@ -204,10 +205,11 @@ def revenue_concentration(star: Star, entity: str = "product",
                           filters: QueryFilters = NO_FILTERS) -> DataFrame:
     """Pareto curve: entities ranked by net revenue (ties by key), with the
     share of entities and the cumulative share of revenue (N10). The global
-    rank and running sum use bucketed prefix sums, not one-task windows."""
+    rank and running sum need no one-task window. The per-entity totals are
+    written once; the ordering and the grand totals read that table."""
     key = "customer_key" if entity == "customer" else "product_key"
     ranked = filters.sales(star).groupBy(key).agg(F.sum("net_revenue").alias("net"))
-    ranked = ranked.withColumn("net_c", cents(F.col("net")))
+    ranked = written(ranked.withColumn("net_c", cents(F.col("net"))), "entity_totals")
     curve = global_order(ranked, [-F.col("net_c"), F.col(key)], "rank",
                          running_sums={"cum_c": "net_c"})
     totals = ranked.agg(F.sum("net_c").alias("total_c"), F.count(F.lit(1)).alias("n"))
@@ -314,8 +316,8 @@ def promo_vs_baseline(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFra
 def clv_histogram(star: Star, bins: int = 50, filters: QueryFilters = NO_FILTERS) -> DataFrame:
     """Customers per equal-width lifetime-value bin between the smallest and
     largest value; the maximum falls in the last bin (N17)."""
-    per = filters.sales(star).groupBy("customer_key").agg(
-        cents(F.sum("net_revenue")).alias("v"))
+    per = written(filters.sales(star).groupBy("customer_key").agg(
+        cents(F.sum("net_revenue")).alias("v")), "customer_totals")  # read for bounds and bins
     bounds = per.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     width = F.col("hi") - F.col("lo")
     bucket = F.when(width == 0, F.lit(1)).otherwise(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shopstar.functions.money import cents, from_cents, idiv
 from shopstar.operators.lookup import left_lookup
 from shopstar.operators.ordering import segmented_exclusive_sum
+from shopstar.sources.store import written
 
 
 def price_order_lines(order_items: DataFrame, orders: DataFrame,
@@ -28,7 +29,7 @@ def price_order_lines(order_items: DataFrame, orders: DataFrame,
     lines = left_lookup(lines, "promotion_id", promotions, "order_item_id",
                         "promotion_code", "discount_type", "discount_value")
     gross_c = cents(F.col("quantity") * F.col("unit_price"))
-    lines = lines.withColumn("__gross_c", gross_c)
+    lines = written(lines.withColumn("__gross_c", gross_c), "priced_lines")  # joined once
     lines = segmented_exclusive_sum(lines, ["order_id"], "order_item_id", "__gross_c",
                                     "__before_c")
     pct_c = cents(F.col("discount_value"))

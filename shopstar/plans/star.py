@@ -1,7 +1,7 @@
 """Star schema at order-item grain (B4-B12): 7 dimensions, 2 facts.
 
 Surrogate keys are dense from 1 in business-key order (``dense_key``, no
-single-partition window once a table outgrows one task). Joins are left to
+single-partition window at any size). Joins are left to
 AQE: a dimension is broadcast when its measured size is under the broadcast
 threshold and sort-merge joined (with skew splitting) otherwise; the only
 hinted broadcasts are tables with a fixed bound (one-row aggregates).
@@ -96,13 +96,9 @@ def one_payment_per_order(payments: DataFrame) -> DataFrame:
         F.min_by("payment_method", "payment_id").alias("payment_method"))
 
 
-def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
-               store: LazyStore | None = None) -> DataFrame:
+def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
     """One row per order item (B11). Inner joins drop items whose order,
-    customer, product or channel is unknown; cancelled orders still count.
-
-    The joined rows are put in ``store`` before numbering: the numbering
-    reads its input several times (count, sample, bucket totals, final)."""
+    customer, product or channel is unknown; cancelled orders still count."""
     orders = stg["stg_orders"].select(
         "order_id", "customer_id", "channel_id", "promotion_id",
         date_key(F.col("order_date")).alias("order_date_key"))
@@ -132,21 +128,25 @@ def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
         "discount_amount",
         F.col("line_total").alias("net_revenue"),
     )
-    fact = (store or LazyStore()).put("fact_sales_unkeyed", fact)
     return conform(dense_key(fact, ["order_item_id"], "sales_key"), STAR["fact_sales"])
 
 
+#: Rows in one clustered file, a few hundred MB of a fact.
+ROWS_PER_FILE = 8_000_000
+
+
 def cluster_by(df: DataFrame, *cols: str) -> DataFrame:
-    """Lay a fact out in ``spark.sql.shuffle.partitions`` range-clustered
-    files on ``cols`` (sorted inside each): scans run in parallel and a date
-    filter skips whole files and row groups through their min/max stats.
-    The last column is unique, so one hot date is still split over files."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Lay a fact out in range-clustered files on ``cols`` (sorted inside
+    each): scans run in parallel and a date filter skips whole files and row
+    groups through their min/max stats. The number of files follows the rows
+    (a count of the written numbering), ``spark.sql.shuffle.partitions`` at
+    least. The last column is unique, so one hot date is still split over files."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(least, -(-df.count() // ROWS_PER_FILE))
     return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
 
 
-def fact_returns(stg: dict[str, DataFrame], sales: DataFrame,
-                 store: LazyStore | None = None) -> DataFrame:
+def fact_returns(stg: dict[str, DataFrame], sales: DataFrame) -> DataFrame:
     """Returns carrying the keys resolved for their sale (B12); returns
     without a sale are dropped."""
     keys = sales.select("order_item_id", "customer_key", "product_key", "channel_key")
@@ -155,7 +155,6 @@ def fact_returns(stg: dict[str, DataFrame], sales: DataFrame,
         date_key(F.col("return_date")).alias("return_date_key"),
         "customer_key", "product_key", "channel_key",
         F.col("quantity").alias("quantity_returned"), "refund_amount", "reason")
-    r = (store or LazyStore()).put("fact_returns_unkeyed", r)
     return conform(dense_key(r, ["return_id"], "return_key"), STAR["fact_returns"])
 
 
@@ -175,9 +174,9 @@ def build_star(stg: dict[str, DataFrame], store: LazyStore | None = None) -> dic
     dims = {name: dims[name] for name in ("dim_date", "dim_customer", "dim_category",
                                           "dim_product", "dim_channel", "dim_promotion",
                                           "dim_payment_method")}
-    sales = store.put("fact_sales", cluster_by(fact_sales(stg, dims, store), "order_date_key",
+    sales = store.put("fact_sales", cluster_by(fact_sales(stg, dims), "order_date_key",
                                             "order_item_id"))
     returns = store.put("fact_returns",
-                        cluster_by(fact_returns(stg, sales, store), "return_date_key",
+                        cluster_by(fact_returns(stg, sales), "return_date_key",
                                            "return_id"))
     return {**dims, "fact_sales": sales, "fact_returns": returns}

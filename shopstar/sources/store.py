@@ -13,6 +13,16 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopstar.session import scratch_folder
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: computed once, its
+    lineage cut, its size known to later joins."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 class LazyStore:
     parallel = 1

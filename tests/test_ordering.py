@@ -1,5 +1,5 @@
-"""Global numbering and running sums: the bucketed path must equal the
-single-window result, including ties, NULLs and a hot leading value."""
+"""Global numbering and running sums must equal the single-window result,
+including ties, NULLs and a hot leading value."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shopstar.operators.ordering import dense_key, global_order, segmented_exclusive_sum
+from shopstar.operators.ordering import (dense_key, global_order, place_rows,
+                                         segmented_exclusive_sum)
 
 
 def _frame(spark, n=3000, seed=7):
@@ -29,16 +30,15 @@ def _reference(df, order, value):
                      F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
 
 
-def test_bucketed_equals_single_window(spark):
+def test_equals_single_window(spark):
     df = _frame(spark)
     order = [F.col("k").asc_nulls_first(), F.col("name").asc_nulls_first(), F.col("id")]
-    got = global_order(df, ["k", "name", "id"], "rn", running_sums={"cum": "v"},
-                       rows_per_bucket=200).select("id", "rn", "cum")
+    got = global_order(df, ["k", "name", "id"], "rn", running_sums={"cum": "v"}).select("id", "rn", "cum")
     want = _reference(df, order, "v")
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_descending_by_negation_and_plain_path(spark):
+def test_descending_by_negation(spark):
     df = _frame(spark, 500)
     got = global_order(df, [-F.col("v"), F.col("id")], "rn", running_sums={"cum": "v"})
     want = _reference(df, [F.col("v").desc(), F.col("id")], "v")
@@ -49,7 +49,7 @@ def test_descending_by_negation_and_plain_path(spark):
 
 def test_dense_key_start_and_columns(spark):
     df = _frame(spark, 300)
-    keyed = dense_key(df, ["id"], "sk", start=2, rows_per_bucket=50)
+    keyed = dense_key(df, ["id"], "sk", start=2)
     assert keyed.columns == ["sk"] + df.columns
     rows = keyed.collect()
     assert sorted(r.sk for r in rows) == list(range(2, 302))
@@ -72,9 +72,9 @@ def test_segmented_exclusive_sum_with_hot_partition(spark):
     assert sorted(got.select("p", "o", "v", "before").collect()) == sorted(want.collect())
 
 
-def test_bucket_bounds_round_trip_awkward_keys(spark):
-    """Bounds are rebuilt from SQL text: strings with quotes, backslashes and
-    non-ASCII text, dates and doubles must land exactly where the sort says."""
+def test_awkward_keys(spark):
+    """Strings with quotes, backslashes and non-ASCII text, dates and doubles
+    land exactly where the sort says."""
     import datetime as dt
     rnd = random.Random(5)
     words = ["it's", 'say "hi"', "back\\slash", "naïve", "日本", "", None, "a'b\\'c", "x"]
@@ -82,17 +82,38 @@ def test_bucket_bounds_round_trip_awkward_keys(spark):
              rnd.choice([0.1, -0.0, 1e300, -2.5, None])) for i in range(1500)]
     df = spark.createDataFrame(rows, "id long, s string, d date, x double")
     for order in (["s", "d", "id"], ["x", "s", "id"], ["d", "x", "id"]):
-        got = global_order(df, order, "rn", rows_per_bucket=100).select("id", "rn")
+        got = global_order(df, order, "rn").select("id", "rn")
         w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
         want = df.select("id", F.row_number().over(w).alias("rn"))
         assert sorted(got.collect()) == sorted(want.collect()), order
 
 
-def test_key_sample_scans_in_parallel(spark):
-    """Only the sampled keys meet in one task; the scan keeps its partitions."""
-    from shopstar.operators.ordering import key_sample
+def test_timestamp_and_binary_keys(spark):
+    df = spark.range(500).select("id", F.timestamp_seconds(1_000_000 - (F.col("id") % 70)).alias("ts"),
+                                 F.encode(F.lpad((F.col("id") % 9).cast("string"), 3, "0"), "utf-8").alias("b"))
+    got = global_order(df, ["ts", "b", "id"], "rn").select("id", "rn")
+    want = df.select("id", F.row_number().over(Window.orderBy("ts", "b", "id")).alias("rn"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
 
-    base = spark.range(0, 10_000, numPartitions=8).select(F.col("id").alias("__k0"))
-    plan = key_sample(base, ["__k0"], 0.1)._jdf.queryExecution().executedPlan().toString()
-    assert "Coalesce" not in plan
-    assert "Exchange SinglePartition" in plan
+def test_rows_equal_in_three_columns_spread_over_tasks(spark):
+    """The full sort tuple places rows: 100,000 rows that differ only in the
+    fourth column meet in no single task."""
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(100_000).select(F.lit(1).alias("a"), F.lit("x").alias("b"), F.lit(2).alias("c"), "id")
+        sizes = place_rows(df, ["a", "b", "c", "id"]).groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) >= 45 and max(r["count"] for r in sizes) < 6_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.enabled", before[1])
+
+
+def test_one_shuffle_and_no_single_partition(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
+    plan = place_rows(df, ["k", "id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    final = global_order(df, ["k", "id"], "rn")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in final.replace("Window [sum(__n", "")
