@@ -62,20 +62,6 @@ CTES: list[tuple[str, str]] = [
                'STATE_' || CAST(c_custkey % 50 AS VARCHAR), r_name,
                lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0')
         FROM src_geo"""),
-    ("src_orders", """
-        SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-               CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS channel_id,
-               CASE WHEN o_orderkey % 10 < 3 THEN
-                   (SELECT min(p.promotion_id) FROM src_promotions p
-                    WHERE CAST(o_orderdate AS DATE) BETWEEN p.start_date AND p.end_date)
-               END AS promotion_id,
-               CAST(o_orderdate AS TIMESTAMP) AS order_date,
-               CASE WHEN o_orderkey % 25 = 0 THEN 'cancelled'
-                    WHEN o_orderstatus = 'F' THEN 'delivered'
-                    WHEN o_orderstatus = 'O' THEN 'processing'
-                    WHEN o_orderstatus = 'P' THEN 'shipped' END AS status,
-               CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount
-        FROM orders"""),
     ("src_lines", """
         SELECT row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber,
                    l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
@@ -92,6 +78,24 @@ CTES: list[tuple[str, str]] = [
         SELECT *, CAST(round(gross * disc_rate, 2) AS DECIMAL(12,2)) AS discount
         FROM (SELECT *, CAST(CAST(unit_cents / 100.0 AS DECIMAL(10,2)) * quantity
                              AS DECIMAL(12,2)) AS gross FROM src_lines)"""),
+    ("src_line_totals", """
+        SELECT order_id, sum(CAST(gross - discount AS DECIMAL(12,2))) AS lines_total
+        FROM src_lines_priced GROUP BY order_id"""),
+    ("src_orders", """
+        SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+               CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS channel_id,
+               CASE WHEN o_orderkey % 10 < 3 THEN
+                   (SELECT min(p.promotion_id) FROM src_promotions p
+                    WHERE CAST(o_orderdate AS DATE) BETWEEN p.start_date AND p.end_date)
+               END AS promotion_id,
+               CAST(o_orderdate AS TIMESTAMP) AS order_date,
+               CASE WHEN o_orderkey % 25 = 0 THEN 'cancelled'
+                    WHEN o_orderstatus = 'F' THEN 'delivered'
+                    WHEN o_orderstatus = 'O' THEN 'processing'
+                    WHEN o_orderstatus = 'P' THEN 'shipped' END AS status,
+               coalesce(CAST(lines_total AS DECIMAL(12,2)), CAST(o_totalprice AS DECIMAL(12,2)))
+                   AS total_amount
+        FROM orders LEFT JOIN src_line_totals ON o_orderkey = order_id"""),
     ("src_order_items", """
         SELECT order_item_id, order_id, product_id, quantity,
                CAST(unit_cents / 100.0 AS DECIMAL(10,2)) AS unit_price,

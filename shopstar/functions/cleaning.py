@@ -37,6 +37,25 @@ def dedupe_first(df: DataFrame, key: str | list[str]) -> DataFrame:
             .select(*keys, *[F.col(f"__first.{c}").alias(c) for c in rest]))
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns becomes NULL (P4), other columns are untouched."""
+    return df.select(*[
+        F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
+def whole_number(text: Column, dtype: T.DataType) -> Column:
+    """Integer from text as frames with missing values write it (P4): ``3`` or
+    ``3.0``; empty or NaN is NULL; anything else is an error, never a guess."""
+    clean = F.trim(text)
+    exact = clean.rlike(r"^[+-]?\d+(\.0*)?$")
+    return F.when(clean.isNull() | F.lower(clean).isin("", "nan"), F.lit(None)).when(
+        exact, F.regexp_replace(clean, r"\..*$", "").cast(dtype)).otherwise(
+        F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast(dtype)).cast(dtype)
+
+
 def date_key(d: Column) -> Column:
     """Date -> yyyymmdd integer."""
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")

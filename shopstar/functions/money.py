@@ -32,14 +32,10 @@ def from_cents(c: Column, precision: int = 12) -> Column:
 
 
 def half_up_ratio(num: Column, den: Column, places: int = 2, scale: int = 1) -> Column:
-    """``round(scale * num / den, places)`` half-up as a double, for
-    non-negative integer operands. NULL when ``den`` is 0 or NULL."""
+    """``round(scale * num / den, places)`` as a double, halves away from zero
+    for either sign, for integer operands. NULL when ``den`` is 0 or NULL."""
     factor = scale * 10 ** places
-    n = num.cast(_BIG) * F.lit(2 * factor) + den.cast(_BIG)
-    q = idiv(n, den.cast(_BIG) * 2)
-    return (q / F.lit(float(10 ** places))).cast("double")
-
-
-def money_out(x: Column) -> Column:
-    """Final projection of an amount: exact decimal -> double."""
-    return x.cast("double")
+    n, d = F.abs(num.cast(_BIG)), F.abs(den.cast(_BIG))
+    q = idiv(n * F.lit(2 * factor) + d, d * 2)
+    sign = F.when((num < 0) != (den < 0), F.lit(-1)).otherwise(F.lit(1))
+    return (sign * q / F.lit(float(10 ** places))).cast("double")

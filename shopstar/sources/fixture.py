@@ -129,6 +129,17 @@ def product_documents(t: dict[str, DataFrame]) -> DataFrame:
     return conform(doc, PRODUCT_DOCUMENT)
 
 
+def line_amounts(li: DataFrame) -> DataFrame:
+    """lineitem with each line's quantity, unit price, discount and total."""
+    qty = F.col("l_quantity").cast("int")
+    unit = (F.floor(_cents(F.col("l_extendedprice")) / qty).cast("long") / 100).cast("decimal(10,2)")
+    gross = (unit * qty).cast("decimal(12,2)")
+    discount = F.round(gross * F.col("l_discount").cast("decimal(4,2)"), 2).cast("decimal(12,2)")
+    return li.withColumns({
+        "quantity": qty, "unit_price": unit, "discount_amount": discount,
+        "line_total": (gross - discount).cast("decimal(12,2)")})
+
+
 def orders(t: dict[str, DataFrame]) -> DataFrame:
     o = t["orders"]
     promos = promotions(t)
@@ -138,14 +149,17 @@ def orders(t: dict[str, DataFrame]) -> DataFrame:
               .when(F.col("o_orderstatus") == "F", "delivered")
               .when(F.col("o_orderstatus") == "O", "processing")
               .when(F.col("o_orderstatus") == "P", "shipped"))
-    return conform(with_promo.select(
+    totals = line_amounts(t["lineitem"]).groupBy("l_orderkey").agg(F.sum("line_total").alias("__lines"))
+    with_totals = with_promo.join(totals, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return conform(with_totals.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.substring("o_orderpriority", 1, 1).cast("long").alias("channel_id"),
         F.when(F.col("o_orderkey") % 10 < 3, F.col("__active_promo")).alias("promotion_id"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"),
         status.alias("status"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
+        F.coalesce(F.col("__lines"), F.col("o_totalprice").cast("decimal(12,2)"))
+        .alias("total_amount"),
     ), SOURCE["orders"])
 
 
@@ -156,20 +170,12 @@ LINE_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantit
 
 def order_lines(t: dict[str, DataFrame]) -> DataFrame:
     """Order items plus the lineitem columns the returns rule needs."""
-    li = global_order(t["lineitem"], LINE_ORDER, "order_item_id")
-    qty = F.col("l_quantity").cast("int")
-    unit_cents = F.floor(_cents(F.col("l_extendedprice")) / qty).cast("long")
-    unit = (unit_cents / 100).cast("decimal(10,2)")
-    gross = (unit * qty).cast("decimal(12,2)")
-    discount = F.round(gross * F.col("l_discount").cast("decimal(4,2)"), 2).cast("decimal(12,2)")
+    li = line_amounts(global_order(t["lineitem"], LINE_ORDER, "order_item_id"))
     return li.select(
         "order_item_id",
         F.col("l_orderkey").alias("order_id"),
         F.concat(F.lit("P"), F.lpad(F.col("l_partkey").cast("string"), 7, "0")).alias("product_id"),
-        qty.alias("quantity"),
-        unit.alias("unit_price"),
-        discount.alias("discount_amount"),
-        (gross - discount).cast("decimal(12,2)").alias("line_total"),
+        "quantity", "unit_price", "discount_amount", "line_total",
         "l_returnflag", "l_linenumber",
     )
 

@@ -14,38 +14,55 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from shopstar.functions.cleaning import whole_number
 from shopstar.sources.schemas import PRODUCT_DOCUMENT, SOURCE, conform
 
 RELATIONAL = tuple(SOURCE)
 
 
+#: RFC 4180: quotes are doubled inside quotes, blanks belong to the value.
+CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+
+
 class SourceNotFound(FileNotFoundError):
     pass
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row under a fixed schema (S1); a missing path is a
-    clear error, not an empty frame."""
+def _found(read, path: str) -> DataFrame:
     try:
-        return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST") \
-            .csv(path)
+        return read(path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise SourceNotFound(f"source file not found: {path}") from None
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            raise SourceNotFound(f"no source file at {path}") from None
         raise
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             multi_line: bool = True) -> DataFrame:
+    """CSV with a header row under a fixed schema (S1). Integer columns also
+    take ``3.0`` and NaN, as frames with missing values write them (P4). A
+    missing path or a malformed row is an error. ``multi_line`` lets quoted
+    values hold newlines, one task per file; turn it off for single huge files
+    known to hold none, which then split."""
+    whole = (T.LongType, T.IntegerType)
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, whole)
+                                          else f.dataType, True) for f in schema.fields])
+    reader = spark.read.schema(as_text).options(
+        **CSV_DIALECT, mode="FAILFAST", multiLine=multi_line, enforceSchema=False)
+    return _found(reader.csv, path).select(*[
+        whole_number(F.col(f.name), f.dataType).alias(f.name) if isinstance(f.dataType, whole)
+        else F.col(f.name) for f in schema.fields])
+
+
 def read_documents(spark: SparkSession, path: str, schema: T.StructType = PRODUCT_DOCUMENT,
                    multi_line: bool = False) -> DataFrame:
     """JSON documents under a fixed schema (S2). JSON lines by default (files
     split across tasks); ``multi_line`` for a whole-file array, which one task
-    must parse. A store-specific ``_id`` field is never part of the schema (S5)."""
-    try:
-        return spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise SourceNotFound(f"source file not found: {path}") from None
-        raise
+    must parse. A malformed document is an error. A store-specific ``_id``
+    field is never part of the schema (S5)."""
+    reader = spark.read.schema(schema).options(multiLine=multi_line, mode="FAILFAST")
+    return _found(reader.json, path)
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
@@ -72,7 +89,7 @@ def write_csv(df: DataFrame, path: str) -> int:
     """One CSV folder per entity with a header (S6); returns rows written."""
     obs = Observation()
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-        .option("header", True).csv(path)
+        .options(**CSV_DIALECT).csv(path)
     return int(obs.get["rows"])
 
 
@@ -110,12 +127,6 @@ def record_audit(spark: SparkSession, path: str, loaded: dict[str, int],
     ).write.mode("append").parquet(path)
 
 
-def upsert_reference(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Keyed upsert of reference rows (S13), see ``plans.upsert``."""
-    from shopstar.plans.upsert import upsert
-    return upsert(target, changes, keys)
-
-
 def export_sources(sources: dict[str, DataFrame], folder: str) -> dict:
     """Write relational sources as CSV and product documents as JSON lines,
     plus a manifest of counts and time (S6, S7); returns the manifest."""
@@ -133,3 +144,11 @@ def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     out = {name: read_csv(spark, f"{folder}/{name}", SOURCE[name]) for name in RELATIONAL}
     out["products"] = read_documents(spark, f"{folder}/products")
     return out
+
+
+def read_landing(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Landing files as the source system drops them: ``<entity>.csv`` for
+    each relational entity and the catalog as one JSON array, ``products.json``."""
+    out = {name: read_csv(spark, f"{folder}/{name}.csv", SOURCE[name]) for name in RELATIONAL}
+    out["products"] = read_documents(spark, f"{folder}/products.json", multi_line=True)
+    return out

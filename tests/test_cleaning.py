@@ -35,3 +35,22 @@ def test_half_up_integer_rounding(spark):
                      idiv(F.col("a"), F.col("b")).alias("q")).collect()
     assert [r.p for r in rows] == [12.5, 0.5, None, 233.33]
     assert [r.q for r in rows] == [0, 0, None, 2]
+
+
+def test_upsert_takes_one_change_per_key(spark):
+    from shopstar.plans.upsert import upsert
+    old = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "k int, v string, at int")
+    new = spark.createDataFrame([(2, "z", 5), (2, "y", 9), (2, "y", 9), (3, "c", 1)], "k int, v string, at int")
+    assert sorted(map(tuple, upsert(old, new, ["k"]).collect())) == [(1, "a", 0), (2, "y", 9), (3, "c", 1)]
+    newer = new.union(spark.createDataFrame([(2, "m", 10)], "k int, v string, at int"))
+    assert sorted(map(tuple, upsert(old, newer, ["k"], latest_by="at").collect())) == [
+        (1, "a", 0), (2, "m", 10), (3, "c", 1)]
+
+
+def test_ratios_round_halves_away_from_zero(spark):
+    from pyspark.sql import functions as F
+    from shopstar.functions.money import half_up_ratio
+    rows = [(1, 8), (-1, 8), (1, -8), (-1, -8), (-3, 200), (5, 0), (0, 7), (-1, 3)]
+    df = spark.createDataFrame(rows, "n long, d long")
+    got = [r.x for r in df.select(half_up_ratio(F.col("n"), F.col("d")).alias("x")).collect()]
+    assert got == [0.13, -0.13, -0.13, 0.13, -0.02, None, 0.0, -0.33]
