@@ -168,11 +168,11 @@ def queries() -> dict[str, Query]:
         q[f"{name}_filtered"] = _an(fn, filters=SLICE)
     q["n2_kpi_summary_empty"] = _an(A.kpi_summary, filters=QueryFilters(
         start_date=dt.date(2030, 1, 1)))
-    q["n4_revenue_by_product_clamped"] = _an(A.revenue_by_product, limit=1000)
+    q["n4_revenue_by_product_1000"] = _an(A.revenue_by_product, limit=1000)
     q["n5_sales_trend_day"] = _an(A.sales_trend, granularity="day")
     q["n9_top_customers_5"] = _an(A.top_customers, limit=5)
     q["n10_concentration_customer"] = _an(A.revenue_concentration, entity="customer")
-    q["n13_channel_product_matrix_clamped"] = _an(A.channel_product_matrix, limit=50)
+    q["n13_channel_product_matrix_50"] = _an(A.channel_product_matrix, limit=50)
     q["n16_promo_vs_baseline"] = _an(A.promo_vs_baseline)
     q["n17_clv_histogram"] = _an(A.clv_histogram)
     q["n18_gross_net_long"] = _an(A.gross_net_long)

@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopstar.functions.cleaning import date_key
+
 
 @dataclass(frozen=True)
 class QueryFilters:
@@ -24,19 +26,16 @@ class QueryFilters:
 
     def __post_init__(self):
         if self.start_date and self.end_date and self.start_date > self.end_date:
-            raise ValueError("start_date must be on or before end_date")
+            raise ValueError(f"the slice ends ({self.end_date}) before it starts ({self.start_date})")
         object.__setattr__(self, "categories", tuple(self.categories))
         object.__setattr__(self, "channels", tuple(self.channels))
 
-    @staticmethod
-    def date_key(value: dt.date) -> int:
-        return value.year * 10_000 + value.month * 100 + value.day
-
     def _dates(self, df: DataFrame, col: str) -> DataFrame:
-        if self.start_date is not None:
-            df = df.where(F.col(col) >= F.lit(self.date_key(self.start_date)))
-        if self.end_date is not None:
-            df = df.where(F.col(col) <= F.lit(self.date_key(self.end_date)))
+        """Bounds as the keys of their days: constants that reach the scan."""
+        if self.start_date:
+            df = df.where(F.col(col) >= date_key(F.lit(self.start_date)))
+        if self.end_date:
+            df = df.where(F.col(col) <= date_key(F.lit(self.end_date)))
         return df
 
     def _channels(self, df: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
@@ -64,4 +63,5 @@ class QueryFilters:
         return self._channels(r, star)
 
 
-NO_FILTERS = QueryFilters()
+#: The slice that holds everything.
+EVERYTHING = QueryFilters()

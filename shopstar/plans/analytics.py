@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstar.functions.filters import NO_FILTERS, QueryFilters
+from shopstar.functions.filters import EVERYTHING, QueryFilters
 from shopstar.functions.money import cents, half_up_ratio, idiv
 from shopstar.operators.ordering import global_order
 from shopstar.sources.store import written
@@ -32,8 +32,11 @@ def _money(c: str) -> F.Column:
     return F.col(c).cast("double").alias(c)
 
 
-def _clamp(n: int, lo: int, hi: int) -> int:
-    return max(lo, min(int(n), hi))
+def _rows(limit: int) -> int:
+    """The rows a top-k asks for, as asked: there is no silent ceiling."""
+    if limit < 1:
+        raise ValueError(f"limit must be 1 or more, not {limit}")
+    return limit
 
 
 def _day_text(c) -> F.Column:
@@ -58,7 +61,7 @@ def filter_channels(star: Star) -> DataFrame:
 
 
 # ------------------------------------------------------------------ N2
-def kpi_summary(star: Star, filters: QueryFilters = NO_FILTERS,
+def kpi_summary(star: Star, filters: QueryFilters = EVERYTHING,
                 approx_distinct: bool = False) -> DataFrame:
     """Headline KPIs; one row even when the slice is empty (N2). Refunds are
     an independent total over returns in the slice (by return date).
@@ -84,7 +87,7 @@ def kpi_summary(star: Star, filters: QueryFilters = NO_FILTERS,
 
 
 # ------------------------------------------------------------------ N3
-def revenue_by_category(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def revenue_by_category(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     per_key = filters.sales(star).groupBy("category_key").agg(
         F.sum("gross_revenue").alias("g"), F.sum("discount_amount").alias("d"),
         F.sum("net_revenue").alias("n"), F.sum("quantity").alias("q"))
@@ -99,9 +102,9 @@ def revenue_by_category(star: Star, filters: QueryFilters = NO_FILTERS) -> DataF
 
 # ------------------------------------------------------------------ N4
 def revenue_by_product(star: Star, limit: int = 20,
-                       filters: QueryFilters = NO_FILTERS) -> DataFrame:
+                       filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Top products by net revenue, grouped on name/brand/category name, so
-    same-named products merge (N4). ``limit`` is clamped to 1..200."""
+    same-named products merge (N4). ``limit`` is the k of the top-k."""
     per_key = filters.sales(star).groupBy("product_key").agg(
         F.sum("net_revenue").alias("n"), F.sum("gross_revenue").alias("g"),
         F.sum("quantity").alias("q"))
@@ -111,14 +114,14 @@ def revenue_by_product(star: Star, limit: int = 20,
                 F.sum("q").cast("long").alias("quantity_sold")))
     top = out.orderBy(F.desc("net_revenue"), F.asc_nulls_first("product_name"),
                       F.asc_nulls_first("brand"), F.asc_nulls_first("category_name")) \
-        .limit(_clamp(limit, 1, 200))  # top-k is the feature: TakeOrderedAndProject
+        .limit(_rows(limit))  # top-k is the feature: TakeOrderedAndProject
     return top.select("product_name", "brand", "category_name", _money("net_revenue"),
                       _money("gross_revenue"), "quantity_sold")
 
 
 # ------------------------------------------------------------------ N5
 def sales_trend(star: Star, granularity: str = "month",
-                filters: QueryFilters = NO_FILTERS) -> DataFrame:
+                filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Revenue, quantity and orders per day, or per month for any other
     granularity (N5)."""
     per_day = filters.sales(star).groupBy("order_date_key").agg(
@@ -135,7 +138,7 @@ def sales_trend(star: Star, granularity: str = "month",
 
 
 # ------------------------------------------------------------------ N6
-def category_trend(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def category_trend(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     per = filters.sales(star).groupBy("order_date_key", "category_key").agg(
         F.sum("net_revenue").alias("n"))
     dd = star["dim_date"]
@@ -159,7 +162,7 @@ SPENDING_TIERS = [(5000, "VIP (5k+)"), (1000, "High (1k-5k)"), (250, "Mid (250-1
 LOWEST_TIER = "Low (<250)"
 
 
-def customer_segments(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def customer_segments(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     spend = _per_customer(star, filters)
     tier = F.lit(LOWEST_TIER)
     for bound, label in reversed(SPENDING_TIERS):
@@ -170,7 +173,7 @@ def customer_segments(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFra
         "spending_tier", "customers", _money("net_revenue"))
 
 
-def repeat_vs_one_time(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def repeat_vs_one_time(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     per = _per_customer(star, filters)
     kind = F.when(F.col("orders") > 1, "Repeat buyers").otherwise("One-time buyers")
     out = per.groupBy(kind.alias("buyer_type")).agg(
@@ -181,7 +184,7 @@ def repeat_vs_one_time(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFr
         half_up_ratio(F.col("__orders"), F.col("customers")).alias("avg_orders"))
 
 
-def clv_distribution(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def clv_distribution(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     per = filters.sales(star).groupBy("customer_key").agg(
         F.sum("net_revenue").alias("lifetime_value"))
     return per.orderBy(F.desc("lifetime_value"), "customer_key").select(
@@ -189,25 +192,25 @@ def clv_distribution(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFram
 
 
 # ------------------------------------------------------------------ N9
-def top_customers(star: Star, limit: int = 20, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def top_customers(star: Star, limit: int = 20, filters: QueryFilters = EVERYTHING) -> DataFrame:
     per = _per_customer(star, filters)
     out = (per.join(star["dim_customer"], "customer_key")
            .groupBy("full_name", "country")
            .agg(F.sum("orders").cast("long").alias("orders"),
                 F.sum("total_spend").alias("lifetime_value")))
     top = out.orderBy(F.desc("lifetime_value"), F.asc_nulls_first("full_name"),
-                      F.asc_nulls_first("country")).limit(_clamp(limit, 1, 200))
+                      F.asc_nulls_first("country")).limit(_rows(limit))
     return top.select("full_name", "country", "orders", _money("lifetime_value"))
 
 
 # ------------------------------------------------------------------ N10 / N20
 def revenue_concentration(star: Star, entity: str = "product",
-                          filters: QueryFilters = NO_FILTERS) -> DataFrame:
+                          filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Pareto curve: entities ranked by net revenue (ties by key), with the
     share of entities and the cumulative share of revenue (N10). The global
     rank and running sum need no one-task window. The per-entity totals are
     written once; the ordering and the grand totals read that table."""
-    key = "customer_key" if entity == "customer" else "product_key"
+    key = {"customer": "customer_key"}.get(entity, "product_key")
     ranked = filters.sales(star).groupBy(key).agg(F.sum("net_revenue").alias("net"))
     ranked = written(ranked.withColumn("net_c", cents(F.col("net"))), "entity_totals")
     curve = global_order(ranked, [-F.col("net_c"), F.col(key)], "rank",
@@ -222,7 +225,7 @@ def revenue_concentration(star: Star, entity: str = "product",
 
 
 def pareto_threshold(star: Star, entity: str = "product", share: float = 80.0,
-                     filters: QueryFilters = NO_FILTERS) -> DataFrame:
+                     filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Smallest share of ranked entities reaching ``share`` % of revenue."""
     curve = revenue_concentration(star, entity, filters)
     return curve.where(F.col("cumulative_revenue_pct") >= share).agg(
@@ -232,7 +235,7 @@ def pareto_threshold(star: Star, entity: str = "product", share: float = 80.0,
 
 
 # ------------------------------------------------------------------ N12 / N13
-def channel_performance(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def channel_performance(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     per = filters.sales(star).groupBy("channel_key").agg(
         F.sum("net_revenue").alias("n"), F.sum("quantity").alias("q"),
         F.count_distinct("order_id").alias("o"))
@@ -245,11 +248,11 @@ def channel_performance(star: Star, filters: QueryFilters = NO_FILTERS) -> DataF
 
 
 def channel_product_matrix(star: Star, limit: int = 5,
-                           filters: QueryFilters = NO_FILTERS) -> DataFrame:
-    """Top ``limit`` (1..20) products per channel by net revenue (N13). The
+                           filters: QueryFilters = EVERYTHING) -> DataFrame:
+    """Top ``limit`` products per channel by net revenue (N13). The
     rank filter lets Spark insert a partial per-group limit before the
     window's shuffle, so each channel ships at most ``limit`` rows per task."""
-    n = _clamp(limit, 1, 20)
+    n = _rows(limit)
     per = filters.sales(star).groupBy("channel_key", "product_key").agg(
         F.sum("net_revenue").alias("n"), F.sum("quantity").alias("q"))
     grouped = (per.join(star["dim_channel"].select("channel_key", "channel_name"), "channel_key")
@@ -278,7 +281,7 @@ def _promotion_groups(star: Star, filters: QueryFilters) -> DataFrame:
                  F.sum("n").alias("net_revenue"), F.sum("lines").alias("lines")))
 
 
-def promotion_performance(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def promotion_performance(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     g = _promotion_groups(star, filters)
     return g.orderBy(F.desc("net_revenue"), "promotion_code").select(
         "promotion_code", "discount_type", _money("discount_value"), "orders",
@@ -286,7 +289,7 @@ def promotion_performance(star: Star, filters: QueryFilters = NO_FILTERS) -> Dat
         half_up_ratio(F.col("quantity_sold"), F.col("lines")).alias("avg_items_per_line"))
 
 
-def promo_vs_baseline(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def promo_vs_baseline(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Promoted orders and discount cost, and the mean over promotions of
     their average items per line against the no-promotion baseline (N16)."""
     g = _promotion_groups(star, filters)
@@ -313,7 +316,7 @@ def promo_vs_baseline(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFra
 
 
 # ------------------------------------------------------------------ N17 / N18 / N19
-def clv_histogram(star: Star, bins: int = 50, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def clv_histogram(star: Star, bins: int = 50, filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Customers per equal-width lifetime-value bin between the smallest and
     largest value; the maximum falls in the last bin (N17)."""
     per = written(filters.sales(star).groupBy("customer_key").agg(
@@ -330,7 +333,7 @@ def clv_histogram(star: Star, bins: int = 50, filters: QueryFilters = NO_FILTERS
         (F.col("hi_c") / 100.0).alias("max_value"))
 
 
-def gross_net_long(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
+def gross_net_long(star: Star, filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Gross and net revenue per category in long form."""
     wide = revenue_by_category(star, filters).select("category_name", "gross_revenue",
                                                      "net_revenue")
@@ -338,7 +341,7 @@ def gross_net_long(star: Star, filters: QueryFilters = NO_FILTERS) -> DataFrame:
 
 
 def top_products_by_quantity(star: Star, limit: int = 15,
-                             filters: QueryFilters = NO_FILTERS) -> DataFrame:
+                             filters: QueryFilters = EVERYTHING) -> DataFrame:
     """The top ``limit`` products by revenue, re-sorted by quantity."""
     top = revenue_by_product(star, limit, filters)
     return top.orderBy(F.desc("quantity_sold"), F.desc("net_revenue"),

@@ -49,7 +49,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     as_text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, whole)
                                           else f.dataType, True) for f in schema.fields])
     reader = spark.read.schema(as_text).options(
-        **CSV_DIALECT, mode="FAILFAST", multiLine=multi_line, enforceSchema=False)
+        **CSV_DIALECT, mode="FAILFAST", multiLine=multi_line, enforceSchema=False,
+        nullValue="\0")  # an absent value is NULL, a quoted empty one is ""
     return _found(reader.csv, path).select(*[
         whole_number(F.col(f.name), f.dataType).alias(f.name) if isinstance(f.dataType, whole)
         else F.col(f.name) for f in schema.fields])
