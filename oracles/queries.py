@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracles.retail import with_star
+from shopstar.sources import planted as P
 from shopstar.sources import schemas as S
 
 # A slice is the text of two CTEs: ``sold`` (sales) and ``sent_back`` (returns).
@@ -19,7 +20,7 @@ NOTHING = """, sold AS (FROM fact_sales WHERE order_date_key >= 20300101),
 sent_back AS (FROM fact_returns WHERE return_date_key >= 20300101)"""
 
 
-def _edge(table: str, schema) -> str:
+def _edge(table: str, schema, plants: dict | None = None, prefix: str = "") -> str:
     """Project a table like ``catalog.edge``: dates/timestamps as text,
     decimals as doubles, other columns cast to the Spark type."""
     from pyspark.sql import types as T
@@ -40,7 +41,7 @@ def _edge(table: str, schema) -> str:
             cols.append(f"CAST({n} AS BOOLEAN) AS {n}")
         else:
             cols.append(f"CAST({n} AS VARCHAR) AS {n}")
-    return with_star(f"SELECT {', '.join(cols)} FROM {table}")
+    return with_star(f"SELECT {', '.join(cols)} FROM {table}", plants, prefix)
 
 
 def ratio(num: str, den: str, scale: int = 1, places: int = 2) -> str:
@@ -278,11 +279,11 @@ def _count(table: str, cond: str) -> str:
     return f"SELECT COUNT(*) FROM {table} WHERE {cond}"
 
 
-def _union(checks: list[str]) -> str:
-    return with_star("\nUNION ALL\n".join(checks))
+def _union(checks: list[str], plants: dict | None = None, derived: bool = False) -> str:
+    return with_star("\nUNION ALL\n".join(checks), plants, derived=derived)
 
 
-def dq_staging() -> str:
+def dq_staging(plants: dict | None = None) -> str:
     L = "staging"
     return _union([
         _check(L, "completeness", "customer emails present",
@@ -297,10 +298,10 @@ def dq_staging() -> str:
                "SELECT count(*) FROM (FROM stg_order_items SELECT order_id, sum(line_total) AS lines "
                "GROUP BY ALL) NATURAL JOIN stg_orders WHERE lines NOT BETWEEN total_amount - 0.01 "
                "AND total_amount + 0.01"),
-    ])
+    ], plants)
 
 
-def dq_analytics() -> str:
+def dq_analytics(plants: dict | None = None) -> str:
     L = "analytics"
     return _union([
         _check(L, "completeness", "fact_sales keys not null",
@@ -314,7 +315,7 @@ def dq_analytics() -> str:
         _check(L, "timeliness", "latest order date is recent",
                "SELECT ifnull(DATE '2002-01-01' - max(full_date), 99999) FROM dim_date "
                "WHERE date_key IN (SELECT order_date_key FROM fact_sales)", 400),
-    ])
+    ], plants)
 
 
 ACCEPTED_SQL = {
@@ -333,7 +334,7 @@ def _accepted(table: str, col: str) -> str:
                                 f"({ACCEPTED_SQL[(table, col)]})"))
 
 
-def dq_staging_suite() -> str:
+def dq_staging_suite(plants: dict | None = None) -> str:
     L = "staging"
     u = "uniqueness"
     v = "validity"
@@ -387,10 +388,10 @@ def dq_staging_suite() -> str:
                _orphans("stg_returns", "order_item_id", "stg_order_items", "order_item_id")),
         _check(L, c, "addresses reference customers",
                _orphans("stg_customer_addresses", "customer_id", "stg_customers", "customer_id")),
-    ])
+    ], plants)
 
 
-def dq_star_suite() -> str:
+def dq_star_suite(plants: dict | None = None) -> str:
     L = "analytics"
     surrogate = {"dim_date": "date_key", "dim_customer": "customer_key",
                  "dim_category": "category_key", "dim_product": "product_key",
@@ -440,13 +441,13 @@ def dq_star_suite() -> str:
                "SELECT COUNT(*) FROM (SELECT email FROM dim_customer GROUP BY email "
                "HAVING COUNT(DISTINCT customer_id) > 1)"),
     ]
-    return _union(checks)
+    return _union(checks, plants)
 
 
-def dq_cross_layer() -> str:
+def dq_cross_layer(plants: dict | None = None) -> str:
     return _union([_check("cross", "consistency", "staged items equal fact rows",
                           "SELECT abs((SELECT COUNT(*) FROM stg_order_items) - "
-                          "(SELECT COUNT(*) FROM fact_sales))")])
+                          "(SELECT COUNT(*) FROM fact_sales))")], plants)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -493,9 +494,12 @@ def oracle_sql() -> dict[str, str]:
     q["n20_pareto_threshold_customer"] = pareto("customer", "customer_key")
     q["n21_price_order_lines"] = price_order_lines()
     q["n22_price_returns"] = with_star(
-        "SELECT return_id, order_item_id, strftime(return_date, '%Y-%m-%d %H:%M:%S') "
-        "AS return_date, quantity, CAST(refund_amount AS DOUBLE) AS refund_amount "
-        "FROM src_returns")
+        ", w AS (FROM stg_orders SELECT max(CAST(order_date AS DATE)) AS last) "
+        "FROM stg_returns r JOIN stg_order_items i USING (order_item_id) JOIN stg_orders o "
+        "ON o.order_id = i.order_id, w SELECT return_id, order_item_id, "
+        "CAST((200 * CAST(line_total * 100 AS HUGEINT) * r.quantity + 100 * i.quantity) // (200 * i.quantity) "
+        "AS DOUBLE) / 100 AS refund_amount, strftime(least(CAST(order_date AS DATE) + 30, last), "
+        "'%Y-%m-%d %H:%M:%S') AS return_date")
     q["j12_interval_join"] = with_star(
         "SELECT o.order_id, p.promotion_id FROM stg_orders o JOIN stg_promotions p "
         "ON CAST(o.order_date AS DATE) BETWEEN p.start_date AND p.end_date")
@@ -528,6 +532,27 @@ def oracle_sql() -> dict[str, str]:
     q["dq_staging_suite"] = dq_staging_suite()
     q["dq_star_suite"] = dq_star_suite()
     q["dq_cross_layer"] = dq_cross_layer()
+    q["dq_staging_gate_planted"] = dq_staging(P.STAGING)
+    q["dq_staging_suite_planted"] = dq_staging_suite(P.STAGING)
+    q["dq_analytics_gate_planted"] = dq_analytics(P.STAR)
+    q["dq_star_suite_planted"] = dq_star_suite(P.STAR)
+    q["dq_cross_layer_planted"] = _union([_check(
+        "cross", "consistency", "staged items equal fact rows",
+        "SELECT abs((SELECT count(*) FROM stg_order_items) - (SELECT count(*) FROM fact_sales))")], P.DANGLING, True)
+    q["b11_fact_sales_dangling"] = _edge("fact_sales", S.STAR["fact_sales"], P.DANGLING)
+    for name in P.REPEATED:
+        q[f"b1_stg_{name}_repeated"] = _edge(f"stg_{name}", S.SOURCE[name], P.REPEATED, "src_")
+    q["s4_billing_addresses"] = with_star(
+        "SELECT customer_id, city, state, country FROM src_customer_addresses WHERE address_type = 'billing'")
+    q["k3_latest_order"] = with_star(
+        "SELECT order_id, strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date FROM stg_orders "
+        "ORDER BY stg_orders.order_date DESC, order_id DESC LIMIT 1")
+    q["u3_products_never_returned"] = with_star(
+        "SELECT product_id FROM stg_products EXCEPT "
+        "SELECT product_id FROM stg_order_items JOIN stg_returns USING (order_item_id)")
+    q["g5_capped_rows"] = with_star(
+        "SELECT order_item_id, CAST(net_revenue AS DOUBLE) AS net_revenue FROM fact_sales "
+        "ORDER BY fact_sales.net_revenue DESC, order_item_id LIMIT 100")
     q["g_guarded_sql"] = with_star(
         "SELECT c.parent_category, COUNT(DISTINCT f.order_id) AS orders, "
         "CAST(SUM(f.net_revenue) AS DOUBLE) AS net_revenue "

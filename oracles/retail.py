@@ -10,6 +10,8 @@ integer cents, and every ranking has a unique last sort key.
 
 from __future__ import annotations
 
+import re
+
 PAYMENT_METHODS_SQL = ("['credit_card', 'debit_card', 'paypal', 'apple_pay', 'gift_card', "
                        "'bank_transfer']")
 RETURN_REASONS_SQL = ("['Defective item', 'Wrong size', 'Not as described', 'Changed mind', "
@@ -157,24 +159,29 @@ CTES: list[tuple[str, str]] = [
                   ORDER BY promotion_code NULLS FIRST, description NULLS FIRST) = 1""".format(
         a=_strip("promotion_code"), b=_strip("description"), c=_strip("discount_type"))),
     ("stg_customer_addresses", """
-        SELECT address_id, customer_id, {a} AS address_type, {b} AS street, {c} AS city,
+        SELECT * FROM (SELECT address_id, customer_id, {a} AS address_type, {b} AS street, {c} AS city,
                {d} AS state, {e} AS country, {f} AS postal_code
-        FROM src_customer_addresses""".format(
+        FROM src_customer_addresses)
+        QUALIFY row_number() OVER (PARTITION BY address_id ORDER BY customer_id NULLS FIRST, address_type NULLS FIRST, street NULLS FIRST, city NULLS FIRST, state NULLS FIRST, country NULLS FIRST, postal_code NULLS FIRST) = 1""".format(
         a=_strip("address_type"), b=_strip("street"), c=_strip("city"), d=_strip("state"),
         e=_strip("country"), f=_strip("postal_code"))),
     ("stg_orders", """
-        SELECT order_id, customer_id, channel_id, promotion_id, order_date,
-               {a} AS status, total_amount FROM src_orders""".format(a=_strip("status"))),
+        SELECT * FROM (SELECT order_id, customer_id, channel_id, promotion_id, order_date,
+               {a} AS status, total_amount FROM src_orders)
+        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY customer_id NULLS FIRST, channel_id NULLS FIRST, promotion_id NULLS FIRST, order_date NULLS FIRST, status NULLS FIRST, total_amount NULLS FIRST) = 1""".format(a=_strip("status"))),
     ("stg_order_items", """
-        SELECT order_item_id, order_id, {a} AS product_id, quantity, unit_price,
-               discount_amount, line_total FROM src_order_items""".format(a=_strip("product_id"))),
+        SELECT * FROM (SELECT order_item_id, order_id, {a} AS product_id, quantity, unit_price,
+               discount_amount, line_total FROM src_order_items)
+        QUALIFY row_number() OVER (PARTITION BY order_item_id ORDER BY order_id NULLS FIRST, product_id NULLS FIRST, quantity NULLS FIRST, unit_price NULLS FIRST, discount_amount NULLS FIRST, line_total NULLS FIRST) = 1""".format(a=_strip("product_id"))),
     ("stg_payments", """
-        SELECT payment_id, order_id, {a} AS payment_method, amount, payment_date,
-               {b} AS status FROM src_payments""".format(
+        SELECT * FROM (SELECT payment_id, order_id, {a} AS payment_method, amount, payment_date,
+               {b} AS status FROM src_payments)
+        QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY order_id NULLS FIRST, payment_method NULLS FIRST, amount NULLS FIRST, payment_date NULLS FIRST, status NULLS FIRST) = 1""".format(
         a=_strip("payment_method"), b=_strip("status"))),
     ("stg_returns", """
-        SELECT return_id, order_id, order_item_id, return_date, quantity, refund_amount,
-               {a} AS reason FROM src_returns""".format(a=_strip("reason"))),
+        SELECT * FROM (SELECT return_id, order_id, order_item_id, return_date, quantity, refund_amount,
+               {a} AS reason FROM src_returns)
+        QUALIFY row_number() OVER (PARTITION BY return_id ORDER BY order_id NULLS FIRST, order_item_id NULLS FIRST, return_date NULLS FIRST, quantity NULLS FIRST, refund_amount NULLS FIRST, reason NULLS FIRST) = 1""".format(a=_strip("reason"))),
     ("stg_customers", """
         SELECT c.customer_id, {a} AS first_name, {b} AS last_name, lower({c}) AS email,
                {d} AS phone, c.signup_date, {e} AS city, {f} AS state, {g} AS country
@@ -269,7 +276,26 @@ CTES: list[tuple[str, str]] = [
 ]
 
 
-def with_star(final_sql: str) -> str:
-    """``WITH <all CTEs> <final_sql>``."""
-    body = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES)
-    return f"WITH {body}\n{final_sql}"
+def _planted(name: str, plant) -> str:
+    """Definition of ``name`` with its planted errors, over ``<name>_clean``."""
+    changes = ", ".join(f"{plant.expression(c)} AS {c}" for c in plant.changes)
+    rows = [f"SELECT * {f'REPLACE ({changes})' if changes else ''} FROM {name}_clean"]
+    rows += [f"SELECT * FROM {name}_clean WHERE {c}" for c in plant.copies]
+    return f"{name} AS ({' UNION ALL '.join(rows)})"
+
+
+def with_star(final_sql: str, plants: dict | None = None, prefix: str = "",
+              derived: bool = True) -> str:
+    """``WITH <all CTEs> <final_sql>``; tables of ``plants`` (their names after
+    ``prefix``) hold planted errors. ``derived``: tables built from them see
+    the errors too; else only ``final_sql`` does."""
+    plants = {prefix + name: plant for name, plant in (plants or {}).items()}
+    body, last = [], []
+    for name, sql in CTES:
+        if not derived:
+            for other in plants:
+                sql = re.sub(rf"\b{other}\b", f"{other}_clean", sql)
+        body.append(f"{name}_clean AS ({sql})" if name in plants else f"{name} AS ({sql})")
+        if name in plants:
+            (body if derived else last).append(_planted(name, plants[name]))
+    return "WITH " + ",\n".join(body + last) + f"\n{final_sql}"

@@ -21,9 +21,14 @@ from shopstar.operators.ordering import global_order, segmented_exclusive_sum
 from shopstar.plans import analytics as A
 from shopstar.plans import quality as Q
 from shopstar.plans.guarded_sql import guarded_sql
-from shopstar.plans.pricing import price_order_lines
+from shopstar.plans.pricing import price_order_lines, price_returns
+from shopstar.plans.staging import stage_table
+from shopstar.plans.star import fact_sales
 from shopstar.plans.upsert import upsert
 from shopstar.plans.warehouse import warehouse
+from shopstar.sources import planted as P
+from shopstar.sources.io import read_sql
+from shopstar.sources.planted import planted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,9 +76,54 @@ def _order_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _price_returns(spark: SparkSession, d: str) -> DataFrame:
-    r = warehouse(spark, d).sources["returns"]
-    return edge(r.select("return_id", "order_item_id", "return_date", "quantity",
-                         "refund_amount"))
+    """Staged returns priced anew from their staged lines (N22): 30 days after
+    the order, at most the last order day."""
+    stg = warehouse(spark, d).staged
+    window = stg["stg_orders"].agg(F.max(F.to_date("order_date")).alias("window_end"))  # one row
+    lines = stg["stg_order_items"].select("order_item_id", "order_id", "quantity", "line_total")
+    returned = (stg["stg_returns"].select("return_id", "order_item_id",
+                                          F.col("quantity").alias("quantity_returned"))
+                .join(lines, "order_item_id")
+                .join(stg["stg_orders"].select("order_id", "order_date"), "order_id")
+                .withColumn("days_after", F.lit(30)).crossJoin(F.broadcast(window)))
+    priced = price_returns(returned, "window_end")
+    return edge(priced.select("return_id", "order_item_id", "refund_amount", "return_date"))
+
+
+def _billing(spark: SparkSession, d: str) -> DataFrame:
+    """Parameterised SELECT over a source table."""
+    warehouse(spark, d).sources["customer_addresses"].createOrReplaceTempView("s4_addresses")
+    return read_sql(spark, "SELECT customer_id, city, state, country FROM s4_addresses "
+                           "WHERE address_type = :kind", {"kind": "billing"})
+
+
+def _latest_order(spark: SparkSession, d: str) -> DataFrame:
+    """The newest row of a table (K3): a top-1, combined per task."""
+    o = warehouse(spark, d).staged["stg_orders"]
+    return edge(o.orderBy(F.desc("order_date"), F.desc("order_id")).limit(1).select("order_id", "order_date"))
+
+
+def _never_returned(spark: SparkSession, d: str) -> DataFrame:
+    """Set difference (U3): staged products without a returned line."""
+    stg = warehouse(spark, d).staged
+    back = stg["stg_order_items"].join(stg["stg_returns"].select("order_item_id"), "order_item_id", "left_semi")
+    return stg["stg_products"].select("product_id").join(
+        back.select("product_id").distinct(), "product_id", "left_anti")
+
+
+def _dangling(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return planted(warehouse(spark, d).staged, P.DANGLING)
+
+
+def _fact_dangling(spark: SparkSession, d: str) -> DataFrame:
+    """The sales fact over staging with unmatched keys."""
+    star = _star(spark, d)
+    return edge(fact_sales(_dangling(spark, d), star))
+
+
+def _repeated(name: str) -> Query:
+    """A staged table over a source with repeated keys (P5)."""
+    return lambda spark, d: edge(stage_table(planted(warehouse(spark, d).sources, P.REPEATED), name))
 
 
 def _interval_join(spark: SparkSession, d: str) -> DataFrame:
@@ -130,6 +180,10 @@ GUARDED_SQL = ("SELECT c.parent_category, COUNT(DISTINCT f.order_id) AS orders,
                "FROM fact_sales f JOIN dim_category c USING (category_key) GROUP BY 1")
 
 
+CAPPED_SQL = ("SELECT order_item_id, CAST(net_revenue AS DOUBLE) AS net_revenue FROM fact_sales "
+              "ORDER BY fact_sales.net_revenue DESC, order_item_id")
+
+
 def _guarded(spark: SparkSession, d: str) -> DataFrame:
     return guarded_sql(spark, GUARDED_SQL, _star(spark, d))
 
@@ -193,5 +247,21 @@ def queries() -> dict[str, Query]:
     q["dq_star_suite"] = lambda spark, d: Q.star_suite(_star(spark, d))
     q["dq_cross_layer"] = lambda spark, d: Q.cross_layer_checks(
         warehouse(spark, d).staged, _star(spark, d))
+    q["dq_staging_gate_planted"] = lambda spark, d: Q.staging_checks(
+        planted(warehouse(spark, d).staged, P.STAGING))
+    q["dq_staging_suite_planted"] = lambda spark, d: Q.staging_suite(
+        planted(warehouse(spark, d).staged, P.STAGING))
+    q["dq_analytics_gate_planted"] = lambda spark, d: Q.analytics_checks(
+        planted(_star(spark, d), P.STAR), as_of=dt.date(2002, 1, 1))
+    q["dq_star_suite_planted"] = lambda spark, d: Q.star_suite(planted(_star(spark, d), P.STAR))
+    q["dq_cross_layer_planted"] = lambda spark, d: Q.cross_layer_checks(
+        _dangling(spark, d), {"fact_sales": fact_sales(_dangling(spark, d), _star(spark, d))})
+    q["b11_fact_sales_dangling"] = _fact_dangling
+    for name in P.REPEATED:
+        q[f"b1_stg_{name}_repeated"] = _repeated(name)
+    q["s4_billing_addresses"] = _billing
+    q["k3_latest_order"] = _latest_order
+    q["u3_products_never_returned"] = _never_returned
+    q["g5_capped_rows"] = lambda spark, d: guarded_sql(spark, CAPPED_SQL, _star(spark, d), max_rows=100)
     q["g_guarded_sql"] = _guarded
     return q

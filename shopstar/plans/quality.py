@@ -4,8 +4,8 @@ Every check yields one row ``(layer, dimension, check_name, observed,
 passed)``: ``observed`` is the number of violating rows (for timeliness, the
 age in days). Checks on one table share one scan: a single aggregate with a
 conditional count per rule, unpivoted into rows. Foreign keys are anti joins
-of the child's pre-aggregated (key, count) rows against the distinct parent
-keys; AQE broadcasts the small parents.
+of the child's counted (link, key) rows against the distinct parent keys, one
+scan and one join for all links of a table.
 """
 
 from __future__ import annotations
@@ -67,22 +67,25 @@ def table_checks(layer: str, df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def orphan_rule_rows(layer: str, child: DataFrame, links: list[tuple[str, str, DataFrame, str]],
                      dimension: str = "consistency") -> DataFrame:
-    """Rows of ``child`` whose ``fk`` has no match in ``parent.pk`` (J10),
-    one row per link. The child is first reduced to (key, row count): the
-    aggregate combines map-side, so a key held by a third of the rows ships
-    as one row per task, and only distinct keys meet the parent's distinct
-    keys in the anti join. A NULL foreign key counts as dangling, as in
-    ``LEFT JOIN ... WHERE parent.key IS NULL``; ``nullable`` links (name
-    ending in '?') skip NULL keys."""
-    frames = []
-    for name, fk, parent, pk in links:
-        keys = child.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
+    """Rows of ``child`` whose ``fk`` has no match in ``parent.pk`` (J10), one
+    row per link (name, fk, parent, pk), from one scan of the child: its keys
+    are unpivoted to (link, key) and counted, combined map-side, so a key held
+    by a third of the rows ships as one row per task; the distinct keys then
+    meet all parents' distinct keys in one anti join. A NULL foreign key counts
+    as dangling, as in ``LEFT JOIN ... WHERE parent.key IS NULL``; links whose
+    name ends in '?' skip NULL keys."""
+    pairs, parents, rules = [], [], []
+    for k, (name, fk, parent, pk) in enumerate(links):
+        pairs.append(F.struct(F.lit(k).alias("link"), F.col(fk).cast("string").alias("key")))
+        parents.append(parent.select(F.lit(k).alias("link"), F.col(pk).cast("string").alias("key")))
+        hit = F.col("link") == k
         if name.endswith("?"):
-            name, keys = name[:-1], keys.where(F.col("__fk").isNotNull())
-        parents = parent.select(F.col(pk).alias("__pk")).distinct()
-        missing = keys.join(parents, keys["__fk"] == parents["__pk"], "left_anti")
-        frames.append(table_checks(layer, missing, [Rule(dimension, name, F.sum("__n"))]))
-    return union_all(frames)
+            name, hit = name[:-1], hit & F.col("key").isNotNull()
+        rules.append(Rule(dimension, name, F.sum(F.when(hit, F.col("n")))))
+    keys = child.select(F.inline(F.array(*pairs))).groupBy("link", "key").agg(
+        F.count(F.lit(1)).alias("n"))
+    missing = keys.join(union_all(parents).distinct(), ["link", "key"], "left_anti")
+    return table_checks(layer, missing, rules)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -1,5 +1,5 @@
 """Business questions on a tiny hand-made star: ties, empty slices, zero
-revenue, clamps, and invariants (Pareto ends at 100 %, ranks 1..n)."""
+revenue, limits, and invariants (Pareto ends at 100 %, ranks 1..n)."""
 
 from __future__ import annotations
 
@@ -66,7 +66,9 @@ def test_filters_combine(tiny):
 
 
 def test_top_products_merge_same_names_and_ties(tiny):
-    rows = A.revenue_by_product(tiny, limit=0).collect()  # clamped to 1
+    with pytest.raises(ValueError):
+        A.revenue_by_product(tiny, limit=0)
+    rows = A.revenue_by_product(tiny, limit=1).collect()
     assert len(rows) == 1 and rows[0].product_name == "Saw" and rows[0].net_revenue == 388.0
     cust = A.top_customers(tiny, limit=500).collect()
     assert [(r.full_name, r.orders, r.lifetime_value) for r in cust] == \
