@@ -65,6 +65,10 @@ def _table(name: str) -> Query:
     return lambda spark, d: edge(_star(spark, d)[name])
 
 
+def _over_staged(fn) -> Query:
+    return lambda spark, d: fn(warehouse(spark, d).staged)
+
+
 def _an(fn, **kw) -> Query:
     return lambda spark, d: fn(_star(spark, d), **kw)
 
@@ -75,10 +79,9 @@ def _order_lines(spark: SparkSession, d: str) -> DataFrame:
                                   src["stg_promotions"]))
 
 
-def _price_returns(spark: SparkSession, d: str) -> DataFrame:
+def price_staged_returns(stg: dict[str, DataFrame]) -> DataFrame:
     """Staged returns priced anew from their staged lines (N22): 30 days after
     the order, at most the last order day."""
-    stg = warehouse(spark, d).staged
     window = stg["stg_orders"].agg(F.max(F.to_date("order_date")).alias("window_end"))  # one row
     lines = stg["stg_order_items"].select("order_item_id", "order_id", "quantity", "line_total")
     returned = (stg["stg_returns"].select("return_id", "order_item_id",
@@ -126,26 +129,25 @@ def _repeated(name: str) -> Query:
     return lambda spark, d: edge(stage_table(planted(warehouse(spark, d).sources, P.REPEATED), name))
 
 
-def _interval_join(spark: SparkSession, d: str) -> DataFrame:
+def active_promotions(stg: dict[str, DataFrame]) -> DataFrame:
     """Every promotion active on each order's day (J12), not only the lowest."""
-    stg = warehouse(spark, d).staged
     return interval_join(stg["stg_orders"].select("order_id", "order_date"), "order_date",
                          stg["stg_promotions"], "start_date", "end_date", "promotion_id") \
         .select("order_id", "promotion_id")
 
 
-def _bucketed_rank(spark: SparkSession, d: str) -> DataFrame:
+def ranked_lines(star: dict[str, DataFrame]) -> DataFrame:
     """Global rank and running revenue of all sales lines."""
-    f = _star(spark, d)["fact_sales"].select(
+    f = star["fact_sales"].select(
         "order_item_id", F.col("net_revenue").alias("net"))
     ranked = global_order(f, [-F.col("net"), F.col("order_item_id")], "rank",
                           running_sums={"running_net": "net"})
     return edge(ranked.select("rank", "order_item_id", "net", "running_net"))
 
 
-def _segmented_sum(spark: SparkSession, d: str) -> DataFrame:
+def running_sums(star: dict[str, DataFrame]) -> DataFrame:
     """Per-order exclusive running sum of line revenue, segments of 2 ids."""
-    f = _star(spark, d)["fact_sales"].select("order_id", "order_item_id", "net_revenue")
+    f = star["fact_sales"].select("order_id", "order_item_id", "net_revenue")
     out = segmented_exclusive_sum(f, ["order_id"], "order_item_id", "net_revenue",
                                   "net_before", bucket_width=2)
     return edge(out.select("order_id", "order_item_id", "net_revenue", "net_before"))
@@ -163,11 +165,11 @@ def _upsert(spark: SparkSession, d: str) -> DataFrame:
     return upsert(ch, changes, ["channel_id"])
 
 
-def _upsert_customers(spark: SparkSession, d: str) -> DataFrame:
+def moved_customers(stg: dict[str, DataFrame]) -> DataFrame:
     """Keyed upsert (S13) at fact-like size: every staged customer yields a
     change row keyed by twice its id (a moved address), so about half the
     keys update and half insert. Both sides are whole tables."""
-    cu = warehouse(spark, d).staged["stg_customers"]
+    cu = stg["stg_customers"]
     changes = cu.select(*[
         (F.col(c) * F.lit(2)).alias(c) if c == "customer_id"
         else F.concat(F.lit("MOVED "), F.col(c)).alias(c) if c == "city"
@@ -234,12 +236,12 @@ def queries() -> dict[str, Query]:
     q["n20_pareto_threshold_product"] = _an(A.pareto_threshold)
     q["n20_pareto_threshold_customer"] = _an(A.pareto_threshold, entity="customer")
     q["n21_price_order_lines"] = _order_lines
-    q["n22_price_returns"] = _price_returns
-    q["j12_interval_join"] = _interval_join
-    q["w1_w2_bucketed_rank"] = _bucketed_rank
-    q["w6_segmented_running_sum"] = _segmented_sum
+    q["n22_price_returns"] = _over_staged(price_staged_returns)
+    q["j12_interval_join"] = _over_staged(active_promotions)
+    q["w1_w2_bucketed_rank"] = _an(ranked_lines)
+    q["w6_segmented_running_sum"] = _an(running_sums)
     q["s13_upsert_channels"] = _upsert
-    q["s13_upsert_customers"] = _upsert_customers
+    q["s13_upsert_customers"] = _over_staged(moved_customers)
     q["dq_staging_gate"] = lambda spark, d: Q.staging_checks(warehouse(spark, d).staged)
     q["dq_analytics_gate"] = lambda spark, d: Q.analytics_checks(
         _star(spark, d), as_of=dt.date(2002, 1, 1))

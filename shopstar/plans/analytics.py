@@ -208,14 +208,14 @@ def revenue_concentration(star: Star, entity: str = "product",
                           filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Pareto curve: entities ranked by net revenue (ties by key), with the
     share of entities and the cumulative share of revenue (N10). The global
-    rank and running sum need no one-task window. The per-entity totals are
-    written once; the ordering and the grand totals read that table."""
+    rank and running sum need no one-task window. The ordering writes the
+    per-entity totals once; the grand totals read that table too."""
     key = {"customer": "customer_key"}.get(entity, "product_key")
     ranked = filters.sales(star).groupBy(key).agg(F.sum("net_revenue").alias("net"))
-    ranked = written(ranked.withColumn("net_c", cents(F.col("net"))), "entity_totals")
+    ranked = ranked.withColumn("net_c", cents(F.col("net")))
     curve = global_order(ranked, [-F.col("net_c"), F.col(key)], "rank",
                          running_sums={"cum_c": "net_c"})
-    totals = ranked.agg(F.sum("net_c").alias("total_c"), F.count(F.lit(1)).alias("n"))
+    totals = curve.agg(F.sum("net_c").alias("total_c"), F.count(F.lit(1)).alias("n"))
     return curve.crossJoin(F.broadcast(totals)).select(  # totals: one row
         "rank",
         half_up_ratio(F.col("rank"), F.col("n"), 2, scale=100).alias("entity_pct"),

@@ -88,6 +88,20 @@ def orphan_rule_rows(layer: str, child: DataFrame, links: list[tuple[str, str, D
     return table_checks(layer, missing, rules)
 
 
+def duplicate_rule_rows(layer: str, keys: list[tuple[str, DataFrame, str]],
+                        dimension: str = "uniqueness") -> DataFrame:
+    """``COUNT(*) - COUNT(DISTINCT key)`` for several (check, table, key) at
+    once: all keys are counted by (check, key), combined map-side, in one
+    shuffle. NULL keys count as violations."""
+    pairs = union_all([df.select(F.lit(k).alias("link"), F.col(key).cast("string").alias("key"))
+                       for k, (_, df, key) in enumerate(keys)])
+    counted = pairs.groupBy("link", "key").agg(F.count(F.lit(1)).alias("n"))
+    return table_checks(layer, counted, [
+        Rule(dimension, name, F.sum(F.when(F.col("link") == k, F.col("n")))
+             - F.count(F.when((F.col("link") == k) & F.col("key").isNotNull(), 1)))
+        for k, (name, _, _) in enumerate(keys)])
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -173,21 +187,26 @@ def staging_suite(stg: dict[str, DataFrame]) -> DataFrame:
     L = "staging"
     s = stg
     frames = [
-        table_checks(L, s["stg_sales_channels"], [
-            Rule("uniqueness", "stg_sales_channels.channel_id unique", dup_count("channel_id")),
-            Rule("uniqueness", "channel name unique", dup_count("channel_name")),
+        duplicate_rule_rows(L, [
+            ("stg_sales_channels.channel_id unique", s["stg_sales_channels"], "channel_id"),
+            ("channel name unique", s["stg_sales_channels"], "channel_name"),
+            ("stg_promotions.promotion_id unique", s["stg_promotions"], "promotion_id"),
+            ("promotion code unique", s["stg_promotions"], "promotion_code"),
+            ("stg_customer_addresses.address_id unique", s["stg_customer_addresses"], "address_id"),
+            ("stg_order_items.order_item_id unique", s["stg_order_items"], "order_item_id"),
+            ("stg_payments.payment_id unique", s["stg_payments"], "payment_id"),
+            ("stg_returns.return_id unique", s["stg_returns"], "return_id"),
+            ("stg_customers.customer_id unique", s["stg_customers"], "customer_id"),
+            ("customer email unique", s["stg_customers"], "email"),
+            ("stg_products.product_id unique", s["stg_products"], "product_id"),
         ]),
         table_checks(L, s["stg_promotions"], [
-            Rule("uniqueness", "stg_promotions.promotion_id unique", dup_count("promotion_id")),
-            Rule("uniqueness", "promotion code unique", dup_count("promotion_code")),
             Rule("validity", "promotion end after start",
                  count_if(F.col("end_date") < F.col("start_date"))),
             Rule("validity", "promotion value positive", count_if(F.col("discount_value") <= 0)),
             _accepted("stg_promotions", "discount_type"),
         ]),
         table_checks(L, s["stg_customer_addresses"], [
-            Rule("uniqueness", "stg_customer_addresses.address_id unique",
-                 dup_count("address_id")),
             _accepted("stg_customer_addresses", "address_type"),
         ]),
         table_checks(L, s["stg_orders"], [
@@ -195,29 +214,22 @@ def staging_suite(stg: dict[str, DataFrame]) -> DataFrame:
             _accepted("stg_orders", "status"),
         ]),
         table_checks(L, s["stg_order_items"], [
-            Rule("uniqueness", "stg_order_items.order_item_id unique",
-                 dup_count("order_item_id")),
             Rule("validity", "item quantity positive", count_if(F.col("quantity") <= 0)),
             Rule("validity", "item price not negative", count_if(F.col("unit_price") < 0)),
         ]),
         table_checks(L, s["stg_payments"], [
-            Rule("uniqueness", "stg_payments.payment_id unique", dup_count("payment_id")),
             Rule("validity", "payment amount not negative", count_if(F.col("amount") < 0)),
             _accepted("stg_payments", "payment_method"),
             _accepted("stg_payments", "status"),
         ]),
         table_checks(L, s["stg_returns"], [
-            Rule("uniqueness", "stg_returns.return_id unique", dup_count("return_id")),
             Rule("validity", "return quantity positive", count_if(F.col("quantity") <= 0)),
         ]),
         table_checks(L, s["stg_customers"], [
-            Rule("uniqueness", "stg_customers.customer_id unique", dup_count("customer_id")),
-            Rule("uniqueness", "customer email unique", dup_count("email")),
             Rule("accuracy", "emails have valid format",
                  count_if(F.col("email").isNull() | ~F.col("email").rlike(EMAIL_PATTERN))),
         ]),
         table_checks(L, s["stg_products"], [
-            Rule("uniqueness", "stg_products.product_id unique", dup_count("product_id")),
             Rule("completeness", "product categories present",
                  count_if(F.col("category_name").isNull() | (F.col("category_name") == "")
                           | F.col("parent_category").isNull()
@@ -268,22 +280,22 @@ def star_suite(star: dict[str, DataFrame]) -> DataFrame:
                  "dim_category": "category_key", "dim_product": "product_key",
                  "dim_channel": "channel_key", "dim_promotion": "promotion_key",
                  "dim_payment_method": "payment_method_key"}
-    frames = [table_checks(L, s[t], [Rule("uniqueness", f"{t}.{k} unique", dup_count(k))])
-              for t, k in surrogate.items()]
+    frames = [duplicate_rule_rows(L, [
+        *((f"{t}.{k} unique", s[t], k) for t, k in surrogate.items()),
+        ("fact_sales.sales_key unique", s["fact_sales"], "sales_key"),
+        ("fact_returns.return_id unique", s["fact_returns"], "return_id")])]
     fs_keys = ["order_date_key", "customer_key", "product_key", "category_key", "channel_key",
                "promotion_key", "payment_method_key"]
     frames.append(table_checks(L, s["fact_sales"], [
         Rule("completeness", "fact_sales foreign keys not null",
              count_if(_any_null(fs_keys))),
         Rule("validity", "sold quantities positive", count_if(F.col("quantity") <= 0)),
-        Rule("uniqueness", "fact_sales.sales_key unique", dup_count("sales_key")),
     ]))
     fr_keys = ["return_date_key", "customer_key", "product_key", "channel_key"]
     frames.append(table_checks(L, s["fact_returns"], [
         Rule("completeness", "fact_returns foreign keys not null", count_if(_any_null(fr_keys))),
         Rule("validity", "returned quantities positive",
              count_if(F.col("quantity_returned") <= 0)),
-        Rule("uniqueness", "fact_returns.return_id unique", dup_count("return_id")),
     ]))
     refunds = s["fact_returns"].select("order_item_id", "refund_amount").join(
         s["fact_sales"].select("order_item_id", "net_revenue"), "order_item_id")

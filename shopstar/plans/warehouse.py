@@ -9,6 +9,7 @@ every query instead of being re-derived each time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopstar.plans.staging import stage_all
 from shopstar.plans.star import build_star
@@ -48,14 +49,34 @@ class Warehouse:
         return self._star
 
 
-_CACHE: dict[tuple[int, str], Warehouse] = {}
+_CACHE: dict[tuple[int, str], tuple[Warehouse, tuple]] = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the folder's files, summed up (a listing job)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.parquet").load(sf_dir))
+    return tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
+def release(spark: SparkSession, sf_dir: str) -> None:
+    """Drop the folder's cached tables."""
+    found = _CACHE.pop((id(spark), sf_dir.rstrip("/")), None)
+    if found:
+        for tables in (found[0]._sources, found[0]._staged, found[0]._star):
+            for df in (tables or {}).values():
+                df.unpersist()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse for this session and folder, built once: staged and
-    star tables are cached on first use and shared by every query."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    wh = _CACHE.get(key)
-    if wh is None or wh.spark is not spark:
-        wh = _CACHE[key] = Warehouse(spark, sf_dir.rstrip("/"), CachedStore())
+    star tables are cached on first use and shared by every query, until the
+    folder's files change or :func:`release` is called."""
+    sf_dir = sf_dir.rstrip("/")
+    key, stamp = (id(spark), sf_dir), _stamp(spark, sf_dir)
+    wh, seen = _CACHE.get(key, (None, None))
+    if wh is None or wh.spark is not spark or seen != stamp:
+        release(spark, sf_dir)
+        wh = Warehouse(spark, sf_dir, CachedStore())
+        _CACHE[key] = wh, stamp
     return wh
