@@ -99,13 +99,14 @@ def scan_words(windows: tuple, words: list[bytes], hit: np.ndarray, items: set[s
                 items.update(owners[k])
 
 
-def _blocks(benchmark: DataFrame, size: int, max_windows: int) -> list[tuple]:
+def _blocks(benchmark: DataFrame, size: int, max_windows: int) -> Iterator[tuple[tuple, bool]]:
+    """(window set, is it the last) block by block: the driver holds one at a time."""
     windows = written(item_windows(benchmark, size), "benchmark_windows")
     n = windows.agg(F.coalesce(F.sum(F.greatest(F.size("items"), F.lit(1))), F.lit(0))).first()[0]
     blocks = max(1, -(-n // max_windows))
     block = F.pmod(F.xxhash64("window"), F.lit(blocks))
-    return [window_set([tuple(r) for r in windows.where(block == b).collect()])
-            for b in range(blocks)]
+    for b in range(blocks):
+        yield window_set([tuple(r) for r in windows.where(block == b).collect()]), b == blocks - 1
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -146,15 +147,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "report", s
     if mode not in ("report", "documents", "spans"):
         raise ValueError(f"unknown mode {mode!r}")
     spark = docs.sparkSession
-    blocks = _blocks(benchmark, size, max_windows)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
         if mode == "report" else docs.select(F.col(text_col).alias("text"), F.struct("*").alias("row"))
     state = rows.select("*", F.lit(None).cast("binary").alias("hit"),
                         F.array().cast("array<string>").alias("items"))
     final = (f"doc_id {docs.schema[id_col].dataType.simpleString()}, {_REPORT}" if mode == "report"
              else rows.select("row", "text").schema)
-    for k, windows in enumerate(blocks):
-        last = k == len(blocks) - 1
+    for windows, last in _blocks(benchmark, size, max_windows):
         shared = spark.sparkContext.broadcast(windows)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
@@ -192,6 +191,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "report", s
         state = state.mapInArrow(run, final if last else state.schema)
         if not last:
             state = written(state, "hits")
+            shared.unpersist()
     if mode == "report":
         return state
     return state.select(*[
