@@ -116,6 +116,21 @@ def test_components_of_chains_stars_and_rings(spark):
     assert {r.node: r.root for r in got.collect()} == expected
 
 
+def test_components_of_random_links(spark):
+    rng = np.random.default_rng(3)
+    drawn = [(int(c) * 100 + int(a), int(c) * 100 + int(b)) for c, size in enumerate((2, 3, 9, 40, 90))
+             for a, b in rng.integers(0, size, (size, 2))]
+    low = {x: x for link in drawn for x in link if link[0] != link[1]}
+    for _ in low:
+        for a, b in drawn:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    got = components.connected_components(spark.createDataFrame(drawn, "a int, b int")).collect()
+    assert {r.node: r.root for r in got} == low and len(got) == len(low)
+    none = components.connected_components(spark.createDataFrame([(4, 4), (None, 1)], "a int, b int"))
+    assert none.count() == 0
+
+
 def test_packing(docs, texts, tokenizer):
     got = packing.pack_documents(docs, pool_tokens=20_000).collect()
     ids = {k: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for k, t in texts.items()}
