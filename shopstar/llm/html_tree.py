@@ -2,7 +2,9 @@
 
 Handles what pages in the wild hold: unclosed and stray tags, implied ends of
 paragraphs, list items and table cells, raw text of scripts and styles,
-comments, a page cut off anywhere. One pass, no recursion.
+comments, SVG and MathML with their self-closed tags, a page cut off anywhere.
+One pass, no recursion. Only elements whose content HTML itself reads as raw
+text are passed over; all others are in the tree, and the model decides.
 """
 
 from __future__ import annotations
@@ -18,12 +20,18 @@ _NAME = re.compile(r"[A-Za-z]+|\d+")
 
 # HTML's own classes of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: Elements inside which tags follow XML's rules ("/>" closes, nothing is raw), those inside them that hold
+#: HTML again, and the tags that end them where their own end is missing.
+FOREIGN = frozenset(("svg", "math"))
+HTML_AGAIN = frozenset(("foreignobject", "annotation-xml"))
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption "
                      "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section "
                      "table ul".split())
+LEAVES_FOREIGN = CLOSES_P | frozenset("b big body br code dd dt em embed head i img li meta nobr ruby s small span "
+                                      "strike strong sub sup tt u var".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
             "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",),
             "tbody": ("tbody", "thead", "tr"), "thead": ("tbody", "tr"), "tfoot": ("tbody", "thead", "tr")}
@@ -34,7 +42,7 @@ ROLE_OF_TAG = {
     "article": "main", "main": "main", "nav": "menu", "menu": "menu", "header": "header", "footer": "footer",
     "aside": "sidebar", "form": "form", "button": "form", "select": "form", "fieldset": "form",
     "textarea": "code", "script": "code", "style": "code", "noscript": "code", "template": "code",
-    "iframe": "code", "svg": "code", "math": "code", "head": "code", "title": "code", "dialog": "notice"}
+    "iframe": "code", "svg": "code", "head": "code", "title": "code", "dialog": "notice"}
 ROLE_OF_WORD = {w: role for role, words in {
     "main": "article main content entry post story maincontent articlebody",
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc tabs topbar",
@@ -80,7 +88,7 @@ def parse(page: str) -> list[Node]:
     """Block nodes in page order, parents before children; node 0 is the page."""
     nodes = [Node("#page", -1)]
     stack: list[tuple[str, int]] = [("#page", 0)]  # open elements and their block node
-    links, at, place = 0, 0, 0
+    links, at, place, n_foreign = 0, 0, 0, 0
 
     def text(value: str) -> None:
         nonlocal place
@@ -93,8 +101,9 @@ def parse(page: str) -> list[Node]:
             place += 1
 
     def close_to(depth: int) -> None:
-        nonlocal links
+        nonlocal links, n_foreign
         links -= sum(tag == "a" for tag, _ in stack[depth:])
+        n_foreign -= sum(tag in FOREIGN for tag, _ in stack[depth:])
         del stack[depth:]
 
     def close(tags: tuple[str, ...], within: frozenset) -> None:
@@ -104,6 +113,15 @@ def parse(page: str) -> list[Node]:
             if stack[k][0] in within:
                 return None
 
+    def foreign() -> int:
+        """Place of the SVG or MathML element whose rules hold here, else 0."""
+        for k in range(len(stack) - 1, 0, -1) if n_foreign else ():
+            if stack[k][0] in FOREIGN:
+                return k
+            if stack[k][0] in HTML_AGAIN:
+                return 0
+        return 0
+
     while (m := _TAG.search(page, at)) is not None:
         text(page[at:m.start()])
         at = m.end()
@@ -120,23 +138,28 @@ def parse(page: str) -> list[Node]:
             continue
         if tag not in INLINE:
             text(" ")
-        if tag in VOID:
+        if tag in LEAVES_FOREIGN:
+            while k := foreign():
+                close_to(k)
+        inside = foreign()
+        if tag in VOID or (inside or tag in FOREIGN) and attributes.endswith("/"):
             continue
         if tag in CLOSES_P:
             close(("p",), frozenset(("button", "table", "td", "th")))
         if tag in SIBLINGS:
             close(SIBLINGS[tag], SCOPES - {"body", "html"} if tag != "body" else frozenset())
         role = role_of(tag, attributes)
-        if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(page, at)
+        if tag in RAW and not inside:
+            end = re.compile(f"</{re.escape(tag)}(?:[\\s/][^>]*)?>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if tag in INLINE and not role:
+        if (tag in INLINE or tag == "math" or inside) and not role:
             stack.append((tag, stack[-1][1]))
         else:
             nodes.append(Node(tag, stack[-1][1], role))
             stack.append((tag, len(nodes) - 1))
         links += tag == "a"
+        n_foreign += tag in FOREIGN
     text(page[at:] if not re.match(r"<[a-zA-Z/!?]", page[at:]) else "")
     return nodes
 

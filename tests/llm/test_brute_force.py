@@ -386,6 +386,22 @@ def test_html_regions_that_the_training_pages_lack(inside):
         "Second one with enough words in it.")
 
 
+@pytest.mark.parametrize("odd, text", [
+    ('<svg width="9"/>', ""), ("<math/>", ""), ("<svg><path d='M0'/></svg>", ""), ("<svg><title>Icon<path>", ""),
+    ("<svg><style/><title/></svg>", ""), ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x = 2"),
+    ("<div><noscript><img src=x></div>", ""), ("<div><template><p>later</div>", ""),
+    ("<script>a</script >", ""), ("<svg><foreignObject><p>label</p></foreignObject></svg>", "")])
+def test_html_foreign_elements_leave_the_rest_of_the_page(odd, text):
+    before, after = "Words that come before it and are read.", "Words that come after it and are read too."
+    page = f"<body><article><p>{before}</p>{odd}<p>{after}</p></article><svg><g></g></svg></body>"
+    assert html_extract.extract_text(page, html_extract.Model(Counter())) == " ".join(
+        x for x in (before, text, after) if x)
+    inside = f"<article><p>Where <math><mi>x</mi><mo>&lt;</mo><mn>2</mn></math> it {odd} holds for all.</article>"
+    if text:
+        assert html_extract.extract_text(inside, html_extract.Model(Counter())) == (
+            f"Where x < 2 it {text} holds for all.")
+
+
 def test_pipeline(spark, texts, tokenizer):
     """The rows of run() against the five stages in plain Python."""
     source = {r.doc_id: r.source for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
