@@ -3,8 +3,9 @@
 Texts are reduced to lower-case words joined by one blank. A notice that may
 differ by ``k`` edits is cut into ``k + 1`` seeds: an occurrence with at most
 ``k`` edits keeps one seed whole (pigeonhole), so exact search for the seeds
-finds every candidate place. Around each, the regex library's bounded-error
-matching ``(?:notice){e<=k}`` verifies the edits and gives the span.
+finds every candidate place. At each word near it where an occurrence can
+begin, the regex library's bounded-error matching ``(?:notice){e<=k}`` verifies
+the edits and gives the least edited span.
 
 One narrow pass over whole texts, no shuffle. Defined cases: null, empty and
 wordless texts give a row with no places; repeated rows a row each; an empty
@@ -72,6 +73,18 @@ def _places(data: bytes, part: bytes) -> Iterator[int]:
         at = data.find(part, at + 1)
 
 
+def _word_starts(joined: bytes, starts: list[int], reach: int) -> Iterator[int]:
+    """Places where words begin within ``reach`` of one of ``starts``, in order."""
+    done = -1
+    for at in starts:
+        a = max(done + 1, at - reach)
+        a = 0 if a <= 0 else joined.find(b" ", a - 1) + 1
+        while a <= at + reach and (a or done < 0):
+            yield a
+            done = a
+            a = joined.find(b" ", a) + 1
+
+
 def base_places(joined: bytes) -> list[tuple[int, str]]:
     """(start in ``joined``, label) of the exact phrases, word by word."""
     padded = b" " + joined + b" "
@@ -81,32 +94,21 @@ def base_places(joined: bytes) -> list[tuple[int, str]]:
 
 def fuzzy_places(joined: bytes, notices: tuple[Notice, ...] = NOTICES) -> list[tuple[int, int, str, int, float]]:
     """(start, end, label, edits, similarity) of the notices in ``joined``:
-    byte spans that begin and end at words. Candidates whose windows overlap
-    are searched together. Of readings that overlap, the least edited (then the
-    longest) stays: a notice one word away from another is not the other."""
+byte spans that begin and end at words. Each word at which a notice can begin
+is tried by itself, so that no reading hides another. Of readings that overlap,
+the least edited (then the longest) stays: a notice one word away from another
+is not the other."""
     out = []
     for notice in notices:
-        spans: list[list[int]] = []
-        reach = len(notice.text.encode()) + notice.edits
-        starts = sorted({at - shift for shift, seed in notice.seeds for at in _places(joined, seed)})
-        for at in starts:  # a match begins within the edits of where the seed puts it
-            lo, hi = max(0, at - 4 * notice.edits), min(len(joined), at + reach + 4 * notice.edits)
-            if spans and lo <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], hi)
-            else:
-                spans.append([lo, hi])
-        for lo, hi in spans:  # whole words
-            lo, hi = joined.rfind(b" ", 0, lo) + 1, len(joined) if (end := joined.find(b" ", hi)) < 0 else end
-            window = joined[lo:hi].decode("utf-8", "surrogatepass")
-            pos, pattern = 0, _pattern(notice)
-            while (m := pattern.search(window, pos)) is not None:
-                a = lo + len(window[:m.start()].encode("utf-8", "surrogatepass"))
-                b = a + len(m.group().encode("utf-8", "surrogatepass"))
-                a, b = a + (joined[a:a + 1] == b" "), b - (joined[b - 1:b] == b" ")
-                edits = sum(m.fuzzy_counts)
-                if b > a:
-                    out.append((a, b, notice.label, edits, 1 - edits / len(notice.text)))
-                pos = max(m.end(), m.start() + 1)
+        pattern, reach = _pattern(notice), 4 * notice.edits  # an edit moves an end by four bytes at most
+        for a in _word_starts(joined, sorted({at - shift for shift, seed in notice.seeds
+                                              for at in _places(joined, seed)}), reach):
+            end = joined.find(b" ", a + len(notice.text.encode()) + reach)  # whole words
+            window = joined[a:len(joined) if end < 0 else end].decode("utf-8", "surrogatepass")
+            if (m := pattern.match(window)) is not None:
+                b, edits = a + len(m.group().encode("utf-8", "surrogatepass")), sum(m.fuzzy_counts)
+                b -= joined[b - 1:b] == b" "
+                out.append((a, b, notice.label, edits, 1 - edits / len(notice.text)))
     kept: list[tuple[int, int, str, int, float]] = []
     for x in sorted(set(out), key=lambda x: (x[3], x[0] - x[1], x)):
         if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):

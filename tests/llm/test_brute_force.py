@@ -253,6 +253,17 @@ def test_license_scan_finds_edited_notices(text):
         assert x["first_word"] >= 2 or "unreleased" in text
 
 
+@pytest.mark.parametrize("edited", ["released under the mit lisense", "relesed under teh mit license"])
+@pytest.mark.parametrize("between", [" ", " and ", " or else it is "])
+def test_license_scan_finds_edited_notices_before_exact_ones(edited, between):
+    exact = "released under the mit license"
+    for parts in ([edited, exact], [edited, edited, exact, edited], [exact, edited, exact]):
+        got = license_scan.scan_text(f"it is {between.join(parts)} ok")["spans"]
+        step = 5 + len(between.split())
+        assert [(x["first_word"], x["last_word"], x["edits"] > 0) for x in got] == [
+            (2 + k * step, 6 + k * step, p == edited) for k, p in enumerate(parts)]
+
+
 def test_stirling_numbers_count_seatings():
     d, table = 0.4, pitman_yor.log_stirling(0.4)
 
