@@ -1,8 +1,7 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-A token's context restaurant belongs to the class of the word before it
-(``n_contexts`` classes by hash: a documented bound on the restaurants, not on
-words or text). All context restaurants share one parent, whose dishes are the
+A token's context restaurant is that of the word before it, each word its own.
+All context restaurants share one parent, whose dishes are the
 words and whose base is uniform over the known words and one unknown. Each
 restaurant holds customers (tokens) at tables; a table is a customer of the
 parent. Seating is sampled by Gibbs: given everything else, the tables of a
@@ -13,14 +12,17 @@ given the last state, customers of near equal rank in one binomial draw.
 Predictive probabilities are averaged over the samples; texts are scored by
 them, perplexity is 10 ** (-score / n_tokens).
 
-As Spark jobs: one pass tokenises the texts and sends, per block of documents
-and slice of the vocabulary, the distinct (word, context) keys, their training
-counts and the documents they occur in, as compressed arrays. A slice holds
-all contexts of its words (a hash range; the number of slices follows the
-corpus), so seating, parent and scores are local to it. Slices exchange only
-per-context totals (32 rows). The shuffled rows are checkpointed once; three
-jobs read them: exact totals, seating (per-sample table totals), and the same
-seating again, from the same seeds, with the scores.
+As Spark jobs: one pass tokenises the texts into blocks of documents. A block
+sends its distinct (word, context) pairs, without documents, to slices dealt by
+the hash of the pair, so that neither a frequent word nor a frequent context
+meets in one task; the block's own tokens are kept as numbers of its pairs. A
+slice adds up its pairs once. In each sweep the slices seat their dishes and
+send the tables per word and per context to the owners of the word's and the
+context's hash (at most one number per slice and word); an owner adds them up,
+seats the parent's dishes and replies the true totals for the next sweep. In
+the end each slice sends the probabilities back to the blocks, which score
+their documents. The number of slices follows the corpus; the driver sees a
+few sums per slice. Each step is written to the shared folder.
 
 Defined cases: null and empty texts are the end token alone; repeated rows are
 scored each (and train as often); null ids count as held out (crc32 of the
@@ -31,7 +33,8 @@ Ids are integers.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,10 +45,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstar.llm.common import LOWER, text_bytes
-from shopstar.session import ensure_checkpoint_dir
+from shopstar.llm.common import LOWER, text_bytes, written
 
-N_CONTEXTS = 4096
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 3, 3
 #: Largest number of customers whose tables are drawn from the exact law.
@@ -127,8 +128,93 @@ def _slice_of(key: np.ndarray, slices: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)
 
 
-def _gather(docs: DataFrame, slices: int, n_contexts: int) -> DataFrame:
-    """(slice, block, payload) rows of the whole corpus."""
+def _pack(*arrays: np.ndarray) -> bytes:
+    head = ";".join(f"{a.dtype.str},{a.size}" for a in arrays).encode() + b"\n"
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+
+
+def _unpack(payload: bytes) -> list[np.ndarray]:
+    data, out = zstandard.ZstdDecompressor().decompress(payload), []
+    at = data.index(b"\n") + 1
+    for kind, size in (x.split(",") for x in data[:at - 1].decode().split(";")):
+        out.append(np.frombuffer(data, kind, int(size), at))
+        at += int(size) * np.dtype(kind).itemsize
+    return out
+
+
+def _joined(payloads: list[bytes], n: int) -> list[np.ndarray]:
+    """The ``n`` arrays of each payload, end to end."""
+    parts = [_unpack(p) for p in payloads]
+    return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(n)]
+
+
+def _pair_hash(word: np.ndarray, before: np.ndarray) -> np.ndarray:
+    h = word * np.uint64(0x9E3779B185EBCA87) + before * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x165667B19E3779F9)
+    return h ^ (h >> np.uint64(29))
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+
+
+#: A message: the slice, owner or home of a block it goes to; what it is; the slice or owner and the block it is from.
+_MESSAGE = "to int, kind string, slice int, block bigint, payload binary"
+Message = tuple[int, str, int, int, bytes]
+
+
+def _messages(rows: list[Message]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+                                      ["to", "kind", "slice", "block", "payload"])
+
+
+def _block_messages(block: int, ids: list, held: list[bool], hashes: list[np.ndarray],
+                    slices: int) -> Iterator[Message]:
+    """``p``, to each slice: distinct pairs (word, word before) of the block and
+    their training counts. ``e``, to the block's home: tokens of each document,
+    ids, id validity, pairs of each slice, and each token's pair."""
+    sizes = np.array([h.size for h in hashes], np.int64)
+    word = np.concatenate(hashes)
+    before = np.concatenate(([0], word[:-1])).astype(np.uint64)
+    before[np.cumsum(sizes) - sizes] = _START
+    h = _pair_hash(word, before)
+    order = np.argsort(h, kind="stable")
+    h, word, before = h[order], word[order], before[order]
+    first = _runs((np.diff(h) != 0) | (np.diff(word) != 0) | (np.diff(before) != 0))
+    pair = np.empty(h.size, "<u4")
+    pair[order] = np.repeat(np.arange(first.size), np.diff(np.append(first, h.size)))
+    train = np.bincount(pair, np.repeat(~np.array(held, bool), sizes), first.size).astype("<u4")
+    part = _slice_of(h[first], slices)
+    cuts = np.searchsorted(part, np.arange(slices + 1))
+    by_word = np.lexsort((word[first], part))  # a slice's pairs by word: runs of it
+    number = np.empty(first.size, "<u4")
+    number[by_word] = np.arange(first.size)
+    pair, train, word, before = number[pair], train[by_word], word[first][by_word], before[first][by_word]
+    for s in np.flatnonzero(np.diff(cuts)):
+        own = slice(cuts[s], cuts[s + 1])
+        runs = _runs(np.diff(word[own]) != 0)
+        contexts, at = np.unique(before[own], return_inverse=True)
+        yield int(s), "p", int(s), block, _pack(
+            word[own][runs], np.diff(np.append(runs, at.size)).astype("<u4"), contexts,
+            at.astype("<u2" if contexts.size <= 1 << 16 else "<u4"), train[own])
+    id_values = np.array([0 if i is None else i for i in ids], "<i8")
+    id_valid = np.array([i is not None for i in ids], "u1")
+    yield _home(block, slices), "e", 0, block, _pack(sizes, id_values, id_valid, np.diff(cuts), pair)
+
+
+def _pairs(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, word before and training count of each pair of a ``p`` message."""
+    words, runs, contexts, at, train = _unpack(payload)
+    return np.repeat(words, runs), contexts[at], train
+
+
+def _home(block: int, slices: int) -> int:
+    return xxhash.xxh64_intdigest(str(block), 0) % slices
+
+
+def _gather(docs: DataFrame, slices: int) -> DataFrame:
+    """The messages of all blocks of the corpus."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, part, n_blocks = _Hashes(), TaskContext.get().partitionId() << 32, 0
         ids: list = []
@@ -138,12 +224,10 @@ def _gather(docs: DataFrame, slices: int, n_contexts: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             nonlocal ids, held, hashes, tokens, n_blocks
-            rows = list(_block_rows(ids, held, hashes, slices, n_contexts))
-            block, n_blocks = part + n_blocks, n_blocks + 1
+            rows = list(_block_messages(part + n_blocks, ids, held, hashes, slices))
+            n_blocks += 1
             ids, held, hashes, tokens = [], [], [], 0
-            return pa.RecordBatch.from_arrays(
-                [pa.array([s for s, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()),
-                 pa.array([p for _, p in rows], pa.binary())], ["slice", "block", "payload"])
+            return _messages(rows)
 
         for batch in batches:
             for doc_id, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
@@ -161,7 +245,7 @@ def _gather(docs: DataFrame, slices: int, n_contexts: int) -> DataFrame:
         if ids:
             yield flush()
 
-    return docs.mapInArrow(run, "slice int, block bigint, payload binary")
+    return docs.mapInArrow(run, _MESSAGE)
 
 
 class Slice:
@@ -185,15 +269,6 @@ class Slice:
         return np.bincount(self.context, values, n)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], n_contexts: int) -> Iterator[tuple[int, Slice]]:
-    rows: dict[int, list[tuple[int, bytes]]] = {}
-    for batch in batches:
-        for s, block, payload in zip(*(c.to_pylist() for c in batch.columns)):
-            rows.setdefault(s, []).append((block, payload))
-    for s in sorted(rows):
-        yield s, Slice(rows.pop(s), n_contexts)
-
-
 # --- seating ----------------------------------------------------------------
 
 @dataclass
@@ -292,9 +367,8 @@ class Sample:
 
 def seat(part: Slice, number: int, totals: Totals, strength: float, burn_in: int, samples: int,
          n_contexts: int) -> Iterator[Sample]:
-    """Gibbs samples of the slice. Table totals of whole restaurants, which the
-    draws need, are carried over from the slice by the exact number of dishes:
-    words fall into slices by hash."""
+    """Gibbs samples of a slice that holds all words, in one process: the
+    sweeps that the jobs below share out."""
     rng = np.random.default_rng([number, 20])
     d, d0 = totals.discount(0), totals.discount(1)
     seen = np.flatnonzero(part.count)
@@ -302,15 +376,12 @@ def seat(part: Slice, number: int, totals: Totals, strength: float, burn_in: int
     n_words = part.word_count.size
     trained = part.word_count > 0
     dishes, parent = Dishes(d), Dishes(d0)
-    own_dishes = np.bincount(context, minlength=n_contexts)
     t = np.minimum(c, 1)
     s = trained.astype(np.int64)
     for k in range(burn_in + samples):
         tw = np.bincount(word, t, n_words)
-        scale = totals.words / max(1, trained.sum())
-        t_all, s_all = tw.sum() * scale, s.sum() * scale
-        own_t = np.bincount(context, t, n_contexts)
-        tu = np.where(own_dishes > 0, own_t / np.maximum(1, own_dishes), 1.0) * totals.dishes
+        t_all, s_all = tw.sum(), s.sum()
+        tu = np.bincount(context, t, n_contexts)
         new0 = (strength + d0 * s_all) / (totals.words + 1)
         p = (tw - d0 * s + new0) / (strength + t_all)
         t = dishes.draw(c, ((strength + d * tu)[context] * p[word]), rng)
@@ -322,50 +393,6 @@ def seat(part: Slice, number: int, totals: Totals, strength: float, burn_in: int
             yield Sample(out, tw, s)
 
 
-# --- jobs -------------------------------------------------------------------
-
-def _exact_totals(rows: DataFrame, n_contexts: int) -> Totals:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, part in _slices(batches, n_contexts):
-            types = np.bincount(part.word, part.count > 0, part.word_count.size)
-            cols = [np.arange(n_contexts), part.per_context(part.count, n_contexts),
-                    part.per_context(part.count > 0, n_contexts)]
-            cols += [np.full(n_contexts, x) / n_contexts for x in (
-                (part.word_count > 0).sum(), (part.count == 1).sum(), (part.count == 2).sum(),
-                (types == 1).sum(), (types == 2).sum())]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(float)) for c in cols],
-                                             ["context", "c", "d", "v", "n1", "n2", "k1", "k2"])
-
-    out = rows.mapInArrow(run, "context double, c double, d double, v double, n1 double, n2 double, "
-                               "k1 double, k2 double")
-    got = out.groupBy("context").agg(*[F.sum(c).alias(c) for c in out.columns[1:]]).collect()
-    customers, dishes = np.zeros(n_contexts), np.zeros(n_contexts)
-    for r in got:
-        customers[int(r.context)], dishes[int(r.context)] = r.c, r.d
-    v, n1, n2, k1, k2 = (round(sum(r[c] for r in got)) for c in ("v", "n1", "n2", "k1", "k2"))
-    return Totals(round(customers.sum()), v, customers, dishes, (n1, k1), (n2, k2))
-
-
-def _table_totals(rows: DataFrame, totals: Totals, strength: float, burn_in: int, samples: int,
-                  n_contexts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per sample: tables of each context, and of the parent."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part in _slices(batches, n_contexts):
-            for k, x in enumerate(seat(part, number, totals, strength, burn_in, samples, n_contexts)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n_contexts, k)), pa.array(np.arange(n_contexts)),
-                     pa.array(part.per_context(x.tables, n_contexts)),
-                     pa.array(np.full(n_contexts, x.parent_tables.sum() / n_contexts))],
-                    ["sample", "context", "t", "s"])
-
-    out = rows.mapInArrow(run, "sample bigint, context bigint, t double, s double")
-    tables, parent = np.zeros((samples, n_contexts)), np.zeros(samples)
-    for r in out.groupBy("sample", "context").agg(F.sum("t").alias("t"), F.sum("s").alias("s")).collect():
-        tables[r["sample"], r.context] = r.t
-        parent[r["sample"]] += r.s
-    return tables, parent
-
-
 def predictive(part: Slice, seated: Iterator[Sample], totals: Totals, tables: np.ndarray,
                parent: np.ndarray, strength: float) -> np.ndarray:
     """Probability of each key of the slice, averaged over the samples."""
@@ -379,37 +406,221 @@ def predictive(part: Slice, seated: Iterator[Sample], totals: Totals, tables: np
     return out / len(parent)
 
 
-def _scores(rows: DataFrame, totals: Totals, tables: np.ndarray, parent: np.ndarray, strength: float,
-            burn_in: int, samples: int, n_contexts: int) -> DataFrame:
+# --- jobs -------------------------------------------------------------------
+
+Inbox = dict[str, list[tuple[int, int, bytes]]]
+
+
+def _met(messages: list[DataFrame], slices: int, name: str,
+         answer: Callable[[int, Inbox], Iterator[Message]], passed: str = "") -> DataFrame:
+    """What the receivers answer to the messages, each given its own by kind,
+    in the senders' order; written. Messages of the kind ``passed`` go through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inbox: dict[int, Inbox] = defaultdict(lambda: defaultdict(list))
+        for batch in batches:
+            for to, kind, part, block, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == passed:
+                    yield _messages([(to, kind, part, block, payload)])
+                else:
+                    inbox[to][kind].append((part, block, payload))
+        for to in sorted(inbox):
+            own = inbox.pop(to)
+            for rows in own.values():
+                rows.sort()
+            if out := list(answer(to, own)):
+                yield _messages(out)
+
+    together = messages[0]
+    for m in messages[1:]:
+        together = together.unionByName(m)
+    spark, key = together.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")  # the shuffle's files are of no use once the answers are written
+    try:
+        return written(together.repartitionById(slices, F.col("to")).mapInArrow(run, _MESSAGE), name)
+    finally:
+        spark.conf.set(key, before)
+
+
+def _drop(*tables: DataFrame) -> None:
+    """Deletes written answers that no later step reads."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _sums(df: DataFrame, n: int) -> list[int]:
+    """The ``t`` messages (a few numbers from each sender), added up."""
+    total = [0] * n
+    for r in df.where("kind = 't'").select("payload").toLocalIterator():
+        total = [a + int(x) for a, x in zip(total, _unpack(bytes(r.payload))[0])]
+    return total
+
+
+def _add_up(me: int, inbox: Inbox, slices: int) -> Iterator[Message]:
+    """A slice's pairs from its blocks. ``k``: word and context numbers and
+    training count of each pair, words and contexts at each owner; ``i``: the
+    pairs of each block; ``m``, to owners: words and contexts with their counts
+    and dishes; ``t``: pairs seen once and twice."""
+    rows = [(block, _pairs(payload)) for _, block, payload in inbox["p"]]
+    word, before, train = (np.concatenate([r[k] for _, r in rows]) for k in range(3))
+    order = np.lexsort((before, word))
+    word, before = word[order], before[order]
+    first = _runs((np.diff(word) != 0) | (np.diff(before) != 0))
+    at = np.empty(order.size, "<u4")
+    at[order] = np.repeat(np.arange(first.size), np.diff(np.append(first, order.size)))
+    count = np.add.reduceat(train[order].astype(np.int64), first)
+    words, w = np.unique(word[first], return_inverse=True)
+    contexts, u = np.unique(before[first], return_inverse=True)
+    edges = np.arange(slices + 1)
+    w_cuts, u_cuts = (np.searchsorted(_slice_of(x, slices), edges) for x in (words, contexts))
+    yield me, "k", me, 0, _pack(w.astype("<u4"), u.astype("<u4"), count, w_cuts, u_cuts)
+    yield me, "i", me, 0, _pack(np.array([b for b, _ in rows]), np.array([r[0].size for _, r in rows]), at)
+    sums = [np.bincount(k, x, n).astype(np.int64) for k, n in ((w, words.size), (u, contexts.size))
+            for x in (count, count > 0)]
+    for j in np.flatnonzero(np.diff(w_cuts) + np.diff(u_cuts)):
+        own_w, own_u = slice(w_cuts[j], w_cuts[j + 1]), slice(u_cuts[j], u_cuts[j + 1])
+        yield int(j), "m", me, 0, _pack(words[own_w], sums[0][own_w], sums[1][own_w],
+                                        contexts[own_u], sums[2][own_u], sums[3][own_u])
+    yield me, "t", me, 0, _pack(np.array([(count == 1).sum(), (count == 2).sum()]))
+
+
+def _own(me: int, inbox: Inbox) -> Iterator[Message]:
+    """An owner's words and contexts. ``x``: their numbers in each slice's
+    order; ``c``, to slices: their training counts; ``r``: the first tables, one
+    for each dish; ``t``: tokens, words, words in one and in two contexts, tables, parent's tables."""
+    rows = [(part, _unpack(payload)) for part, _, payload in inbox["m"]]
+    word, count, dishes, context, customers, tables = (np.concatenate([r[k] for _, r in rows]) for k in range(6))
+    words, w = np.unique(word, return_inverse=True)
+    contexts, u = np.unique(context, return_inverse=True)
+    count, dishes = (np.bincount(w, x, words.size).astype(np.int64) for x in (count, dishes))
+    customers, tables = (np.bincount(u, x, contexts.size).astype(np.int64) for x in (customers, tables))
+    parts = np.array([part for part, _ in rows])
+    w_at, u_at = _offsets([r[0].size for _, r in rows]), _offsets([r[3].size for _, r in rows])
+    yield me, "x", me, 0, _pack(parts, w_at, u_at, w.astype("<u4"), u.astype("<u4"))
+    for k, part in enumerate(parts):
+        own_w, own_u = w[w_at[k]:w_at[k + 1]], u[u_at[k]:u_at[k + 1]]
+        yield int(part), "c", me, 0, _pack(count[own_w], customers[own_u])
+        yield int(part), "r", me, 0, _pack(dishes[own_w], np.minimum(count, 1)[own_w], tables[own_u])
+    yield me, "t", me, 0, _pack(np.array([count.sum(), (count > 0).sum(), (dishes == 1).sum(), (dishes == 2).sum(),
+                                          dishes.sum(), (count > 0).sum()]))
+
+
+def _parent(me: int, inbox: Inbox, new0: float, d0: float, sweep: int) -> Iterator[Message]:
+    """An owner's totals and parent seating. ``r``, to slices: tables of each
+    word, its tables in the parent, tables of each context; ``t``: their sums."""
+    parts, w_at, u_at, w, u = _unpack(inbox["x"][0][2])
+    tables, in_context = _joined([payload for _, _, payload in inbox["m"]], 2)
+    tables, in_context = (np.bincount(k, x).astype(np.int64) for k, x in ((w, tables), (u, in_context)))
+    rng = np.random.default_rng([me, sweep, 21])
+    s = Dishes(d0).draw(tables, np.full(tables.size, new0), rng)
+    for k, part in enumerate(parts):
+        own_w, own_u = w[w_at[k]:w_at[k + 1]], u[u_at[k]:u_at[k + 1]]
+        yield int(part), "r", me, 0, _pack(tables[own_w], s[own_w], in_context[own_u])
+    yield me, "t", me, 0, _pack(np.array([tables.sum(), s.sum()]))
+
+
+@dataclass
+class Seated:
+    """A slice between sweeps: its pairs, their tables, what the owners told."""
+    word: np.ndarray
+    context: np.ndarray
+    count: np.ndarray
+    cuts: tuple[np.ndarray, np.ndarray]
+    tables: np.ndarray
+    open: np.ndarray
+    total: np.ndarray
+    p: np.ndarray
+    in_context: np.ndarray
+
+    @classmethod
+    def of(cls, inbox: Inbox, totals: Totals, strength: float, t_all: int, s_all: int) -> "Seated":
+        word, context, count, *cuts = _unpack(inbox["k"][0][2])
+        tables, open_, total = (_unpack(inbox["s"][0][2]) if inbox["s"] else
+                                (np.minimum(count, 1), np.zeros(0), np.zeros(count.size)))
+        tw, s, tu = _joined([payload for _, _, payload in inbox["r"]], 3)
+        d0 = totals.discount(1)
+        p = (tw - d0 * s + (strength + d0 * s_all) / (totals.words + 1)) / (strength + t_all)
+        return cls(word, context, count, tuple(cuts), tables.astype(np.int64), open_, total, p, tu)
+
+    def predicted(self, inbox: Inbox, totals: Totals, strength: float) -> np.ndarray:
+        """Probability of each pair by the present seating."""
+        d, customers = totals.discount(0), _joined([payload for _, _, payload in inbox["c"]], 2)[1]
+        left = (strength + d * self.in_context) / (strength + customers)
+        own = (self.count - d * self.tables) / (strength + customers)[self.context]
+        return own + left[self.context] * self.p[self.word]
+
+
+def _sweep(me: int, inbox: Inbox, totals: Totals, strength: float, t_all: int, s_all: int, sweep: int,
+           sampled: bool) -> Iterator[Message]:
+    """A slice's next seating. ``s``: tables, openings of large dishes, sum of
+    the samples' probabilities; ``m``, to owners: tables per word and context."""
+    x, d = Seated.of(inbox, totals, strength, t_all, s_all), totals.discount(0)
+    total = x.total + x.predicted(inbox, totals, strength) if sampled else x.total
+    seen = np.flatnonzero(x.count)
+    c = x.count[seen]
+    dishes, rng = Dishes(d), np.random.default_rng([me, sweep, 20])
+    if x.open.size:
+        dishes.size, dishes.open = c[c > EXACT], x.open.astype(float)
+    t = np.zeros(x.count.size, np.int64)
+    t[seen] = dishes.draw(c, (strength + d * x.in_context)[x.context[seen]] * x.p[x.word[seen]], rng)
+    opened = np.zeros(0) if dishes.size is None else dishes.open
+    yield me, "s", me, 0, _pack(t.astype("<u4"), opened.astype("<u4"), total)
+    tw = np.bincount(x.word, t, x.p.size).astype("<u4")
+    tu = np.bincount(x.context, t, x.in_context.size).astype("<u4")
+    w_cuts, u_cuts = x.cuts
+    for j in np.flatnonzero(np.diff(w_cuts) + np.diff(u_cuts)):
+        yield int(j), "m", me, 0, _pack(tw[w_cuts[j]:w_cuts[j + 1]], tu[u_cuts[j]:u_cuts[j + 1]])
+
+
+def _answer_blocks(me: int, inbox: Inbox, totals: Totals, strength: float, t_all: int, s_all: int, samples: int,
+                   slices: int) -> Iterator[Message]:
+    """``q``, to the blocks' homes: score and word's training count of each pair."""
+    x = Seated.of(inbox, totals, strength, t_all, s_all)
+    score = np.log10((x.total + x.predicted(inbox, totals, strength)) / samples)
+    count = _joined([payload for _, _, payload in inbox["c"]], 2)[0][x.word]
+    blocks, sizes, at = _unpack(inbox["i"][0][2])
+    ends = _offsets(sizes)
+    for k, block in enumerate(blocks):
+        own = at[ends[k]:ends[k + 1]]
+        yield _home(int(block), slices), "q", me, int(block), _pack(score[own], count[own])
+
+
+def _block_scores(messages: list[DataFrame], totals: Totals, slices: int) -> DataFrame:
+    """The documents' scores, a block at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part in _slices(batches, n_contexts):
-            seated = seat(part, number, totals, strength, burn_in, samples, n_contexts)
-            score = np.log10(predictive(part, seated, totals, tables, parent, strength))
-            c = part.word_count[part.word]
-            base = np.log10((c + 0.1) / (totals.tokens + 0.1 * (totals.words + 1)))
-            for at, (block, (_, _, runs, doc, count, number_, ids, valid)) in zip(part.at, part.blocks):
-                entry = np.repeat(at, runs)
-                cols = [np.bincount(doc, w * count, ids.size) for w in (
-                    np.ones(entry.size), c[entry] > 0, base[entry], score[entry])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(ids.size, block)), pa.array(number_.astype(np.int64)),
-                     pa.array(ids, mask=valid == 0), *[pa.array(x.astype(np.int64)) for x in cols[:2]],
-                     *map(pa.array, cols[2:])],
-                    ["block", "number", "doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-    return rows.mapInArrow(run, "block bigint, number bigint, doc_id bigint, n_tokens bigint, "
-                                "n_known bigint, base_score double, score double")
+        tokens: dict[int, bytes] = {}
+        pairs: dict[int, list[tuple[int, bytes]]] = defaultdict(list)
+        for batch in batches:
+            for _, kind, part, block, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == "e":
+                    tokens[block] = payload
+                else:
+                    pairs[block].append((part, payload))
+        for block in sorted(tokens):
+            sizes, ids, valid, _, pair = _unpack(tokens.pop(block))
+            score, count = _joined([payload for _, payload in sorted(pairs.pop(block))], 2)
+            base = np.log10((count + 0.1) / (totals.tokens + 0.1 * (totals.words + 1)))
+            starts = np.cumsum(sizes) - sizes
+            n_known, base, score = (np.add.reduceat(x[pair], starts) for x in
+                                    ((count > 0).astype(np.int64), base, score))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, mask=valid == 0), *map(pa.array, (sizes, n_known, base, score))],
+                ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    together = messages[0].unionByName(messages[1])
+    return together.repartitionById(slices, F.col("to")).mapInArrow(
+        run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    n_contexts: int = N_CONTEXTS, strength: float = STRENGTH, burn_in: int = BURN_IN,
+                    strength: float = STRENGTH, burn_in: int = BURN_IN,
                     samples: int = SAMPLES, slice_bytes: int = SLICE_BYTES,
                     min_slices: int = MIN_SLICES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     perplexity) per row of ``docs``; see the module's text."""
-    if n_contexts & (n_contexts - 1):
-        raise ValueError("n_contexts must be a power of two")
-    ensure_checkpoint_dir(docs.sparkSession)
     key = F.col(id_col).cast("long")
 
     def held(c):
@@ -418,13 +629,30 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(key.alias("doc_id"), held(key).alias("held_out"), F.col(text_col).alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     slices = max(min_slices, -(-size // slice_bytes))
-    rows = _gather(texts, slices, n_contexts).repartitionById(slices, F.col("slice")).checkpoint()
-    totals = _exact_totals(rows, n_contexts)
-    tables, parent = _table_totals(rows, totals, strength, burn_in, samples, n_contexts)
-    parts = _scores(rows, totals, tables, parent, strength, burn_in, samples, n_contexts)
-    out = parts.groupBy("block", "number").agg(
-        F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in (
-            "n_tokens", "n_known", "base_score", "score")])
+    parts = _met([_gather(texts, slices)], slices, "slices", lambda me, x: _add_up(me, x, slices), passed="e")
+    replies = _met([parts.where("kind = 'm'")], slices, "owners", _own)
+    n1, n2 = _sums(parts, 2)
+    tokens, words, k1, k2, t_all, s_all = _sums(replies, 6)
+    totals = Totals(tokens, words, np.zeros(0), np.zeros(0), (n1, k1), (n2, k2))
+    d0 = totals.discount(1)
+    pairs, numbers = parts.where("kind = 'k'"), replies.where("kind = 'x'")
+    counts = replies.where("kind = 'c'")
+    told, state, old = replies.where("kind = 'r'"), [], []
+    for k in range(burn_in + samples):
+        sampled = k > burn_in
+        moved = _met([pairs, told, *state, *[counts] * sampled], slices, "seats",
+                     lambda me, x, a=(t_all, s_all, k, sampled): _sweep(me, x, totals, strength, *a))
+        new0 = (strength + d0 * s_all) / (totals.words + 1)
+        replies = _met([numbers, moved.where("kind = 'm'")], slices, "parents",
+                       lambda me, x, a=(new0, d0, k): _parent(me, x, *a))
+        t_all, s_all = _sums(replies, 2)
+        _drop(*old)
+        old = [moved, replies]
+        told, state = replies.where("kind = 'r'"), [moved.where("kind = 's'")]
+    scores = _met([pairs, told, *state, counts, parts.where("kind = 'i'")], slices, "scores",
+                  lambda me, x: _answer_blocks(me, x, totals, strength, t_all, s_all, samples, slices))
+    _drop(*old)
+    out = _block_scores([parts.where("kind = 'e'"), scores], totals, slices)
     return out.select(
         "doc_id", held(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
         F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score", "score",

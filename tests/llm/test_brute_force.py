@@ -323,6 +323,38 @@ def test_language_model(spark, texts):
     assert sum(got[k].score for k in held) / tokens > sum(got[k].base_score for k in held) / tokens + 0.05
 
 
+def test_each_word_is_its_own_context(spark):
+    """Words that follow one word each: more contexts than 4,096 classes could keep apart."""
+    rows = [(k, f"x{k % 20_000} y{k % 20_000}") for k in range(200_000)]
+    got = pitman_yor.score_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), min_slices=4)
+    # the end is near certain, and so is y after x; x alone is one of 20,000
+    assert got.agg({"score": "avg"}).first()[0] > -math.log10(20_000) - 0.5
+
+
+def zipf_rows(n):
+    rng = np.random.default_rng(7)
+    return [(k, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 5000)) for k in range(n)]
+
+
+def test_scores_do_not_depend_on_the_slices(spark):
+    docs = spark.createDataFrame(zipf_rows(3000), "doc_id bigint, text string").repartition(3)
+    few, many = (pitman_yor.score_documents(docs, min_slices=n).agg(
+        {"score": "sum", "n_tokens": "sum"}).first() for n in (1, 48))
+    assert few["sum(n_tokens)"] == many["sum(n_tokens)"] == 183_000
+    assert abs(few["sum(score)"] - many["sum(score)"]) / 183_000 < 0.002
+
+
+def test_a_frequent_word_is_dealt_to_many_slices():
+    """Half of all tokens are one word; no slice gets much more than its share of the pairs."""
+    rng, hot = np.random.default_rng(5), xxhash.xxh64_intdigest(b"hot", 0)
+    words = rng.integers(0, 2**64, 40_000, np.uint64)
+    words[1::2] = hot
+    rows = list(pitman_yor._block_messages(0, [1], [False], [words], 16))
+    pairs = [pitman_yor._pairs(r[4]) for r in rows if r[1] == "p"]
+    assert len(pairs) == 16 and sum(int(x[2].sum()) for x in pairs) == 40_000
+    assert max((x[0] == np.uint64(hot)).sum() for x in pairs) < 2 * 20_000 / 16
+
+
 def test_predictive_probabilities_sum_to_one():
     """Over the known words and the unknown one, in every context."""
     rng = np.random.default_rng(3)
