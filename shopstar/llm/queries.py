@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstar.llm import (chat_collapse, decontamination, hash_tree, html_extract, license_scan, line_dedup, packing,
-                          pitman_yor, quality_rules, simhash)
+from shopstar.llm import (chat_collapse, collocations, decontamination, hash_tree, html_extract, license_scan,
+                          line_dedup, packing, pitman_yor, prefix_trie, quality_rules, sentencepiece_bpe, simhash)
 from shopstar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,10 +63,23 @@ def op10_html_tree(spark: SparkSession, d: str) -> DataFrame:
     return html_extract.extract(table(spark, d, "pages"))
 
 
+def op11_phrase_tries(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents"))
+
+
+def op12_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return sentencepiece_bpe.encode_documents(table(spark, d, "documents"), with_ids=False)
+
+
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, d, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_pitman_yor, op3_packing, op4_hash_tree, op5_license_scan, op6_chat_collapse,
-        op7_simhash, op8_decontamination, op9_quality_rules, op10_html_tree)}
+        op7_simhash, op8_decontamination, op9_quality_rules, op10_html_tree, op11_phrase_tries,
+        op12_sentencepiece, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -166,5 +179,75 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op1_line_dedup": _LINES, "op6_chat_collapse": _CHAT,
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM worded, (VALUES (1), (2), (3)) s(size))
+  GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 10),
+inside AS (
+  SELECT lang, part, max(a) AS longer
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part
+        FROM candidates WHERE size = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN inside i ON c.lang = i.lang AND c.phrase = i.part
+  WHERE longer IS NULL OR 100 * longer < 50 * c.a),
+cuts AS (
+  SELECT k.lang, k.phrase, k.a, cut, x.a AS l, y.a AS r,
+         (1000000::HUGEINT * k.a * k.a) // (x.a::HUGEINT * y.a) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM kept) k
+  JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+_TRIE = r"""
+WITH t AS (
+  SELECT conv_id, list({'h': md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')),
+    'w': len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crc AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda y, k: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM t),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(o.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+  FROM crc c LEFT JOIN t o ON o.conv_id = c.conv_id - c.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, len(turns) AS size, d AS depth, turns[d].w AS words,
+         md5(array_to_string(list_transform(turns[1:d], lambda x: x.h), '')) AS key,
+         md5(array_to_string(list_transform(turns[1:d - 1], lambda x: x.h), '')) AS above
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT depth, key, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(any_value(words), 0) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), ''))
+           AS ends_sha256
+  FROM prefixes GROUP BY depth, key),
+children AS (SELECT depth - 1 AS depth, above AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+whole AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (depth, key)),
+sums AS (
+  SELECT p.depth, p.key, count(*) FILTER (WHERE n.n_children = 0) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+  FROM whole n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY ALL)
+SELECT w.conv_id, w.depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM whole w JOIN sums s USING (depth, key)
+LEFT JOIN nodes up ON w.depth > 0 AND up.depth = w.depth - 1 AND up.key = w.above
+"""
+
+ORACLES = {"op11_phrase_tries": _PHRASES, "op13_prefix_trie": _TRIE, "op1_line_dedup": _LINES, "op6_chat_collapse": _CHAT,
            "op8_decontamination": _CONTAMINATION, "op9_quality_rules": _LEDGER}
