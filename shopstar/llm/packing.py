@@ -13,9 +13,11 @@ stream by, in pools of ``pool_tokens``, so nothing is shuffled, memory is
 bounded, and a lost task is simply run again. Sequence and group numbers carry
 the partition in their upper bits.
 
-Token ids are those of the byte-level BPE file, computed by tiktoken with the
-same vocabulary as ranks (the same ids, about four times as fast); a text that
-tiktoken refuses goes to the tokenizers library itself.
+Token ids are those of the byte-level BPE file. Its added tokens are cut out of
+a text first, as the tokenizers library does, and the text between them is
+computed by tiktoken with the same vocabulary as ranks (the same ids, about four
+times as fast); a text that tiktoken refuses, and any text of a file whose added
+tokens have conditions of their own, goes to the tokenizers library itself.
 
 Defined cases: null and empty texts are the end token alone; repeated rows are
 packed each; null ids are kept; an empty table gives no pieces; other columns
@@ -26,7 +28,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import os
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -47,7 +51,8 @@ STEP_TOKENS = 1 << 16
 
 
 class Encoder:
-    """Ids of ordinary text under the tokenizer file ``<name>.json``."""
+    """Ids of texts under the tokenizer file ``<name>.json``, with
+    add_special_tokens=False: an added token's string in a text is that token."""
 
     def __init__(self, name: str = TOKENIZER):
         import public_tokenizers
@@ -57,19 +62,36 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN,
                                        mergeable_ranks=ranks, special_tokens={})
-        self._json = public_tokenizers.path(f"{name}.json")
+        self._json, self._library = public_tokenizers.path(f"{name}.json"), None
+        with open(self._json, encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        self._added = {t["content"]: t["id"] for t in added}
+        self._plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
+        # the longest first, so that none hides behind another that begins it
+        self._cut = re.compile(f"({'|'.join(map(re.escape, sorted(self._added, key=len, reverse=True)))})")
+
+    def _exact(self, text: str) -> list[int]:
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            self._library = Tokenizer.from_file(self._json)
+        return self._library.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
         try:
-            return np.array(self._fast.encode_ordinary(text), np.uint32)
+            if not any(t in text for t in self._added):
+                return np.array(self._fast.encode_ordinary(text), np.uint32)
+            if self._plain:
+                ids: list[int] = []
+                for part in filter(None, self._cut.split(text)):
+                    ids += [self._added[part]] if part in self._added else self._fast.encode_ordinary(part)
+                return np.array(ids, np.uint32)
         except Exception:  # its pattern engine gives up on some endless runs
-            from tokenizers import Tokenizer
-
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            exact = Tokenizer.from_file(self._json)
-            return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
+            pass
+        return np.array(self._exact(text), np.uint32)
 
 
 class Packer:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import itertools
+import json
 import math
 import re
 import zlib
@@ -166,6 +167,32 @@ def test_token_ids_are_those_of_the_tokenizer_file(tokenizer, text):
     assert packing.Encoder()(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def added_tokens():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return [t["content"] for t in json.load(f)["added_tokens"]]
+
+
+@pytest.mark.parametrize("form", ["{}", "{0}{0}", "a {} b", "a{}b", " {} ", "{0} {0}\n{0}", "l'été {}'s", "<{}>", "x{0}x{0}"])
+@pytest.mark.parametrize("token", added_tokens())
+def test_added_tokens_are_cut_out_first(spark, tokenizer, token, form):
+    text = form.format(token)
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert packing.Encoder()(text).tolist() == want and tokenizer.token_to_id(token) in want
+
+
+def test_packed_pieces_of_added_tokens(spark, tokenizer):
+    texts = {k: f" {t} ".join("word" * k for _ in range(600)) for k, t in enumerate(added_tokens() * 3)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    pieces = packing.pack_documents(df).collect()
+    for k, text in texts.items():
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        own = sorted((r for r in pieces if r.doc_id == k), key=lambda r: r.start)
+        assert [r.start for r in own] == [0, *np.cumsum([r.length for r in own])[:-1]]
+        for r in own:
+            assert r.doc_tokens == ids.size
+            assert r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes())
+
+
 def draws(doc_id, tree):
     """The descent, by plain Python over the same hash."""
     while tree.children:
