@@ -11,6 +11,7 @@ from shopstar.session import scratch_folder
 
 #: Separators of the two word definitions, as Java and RE2 both read them.
 SPACES = r"[\x20\x09-\x0D]+"
+WORD_CHAR = r"[^\x20\x09-\x0D]"
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 _AZ = bytes(range(ord("A"), ord("Z") + 1))

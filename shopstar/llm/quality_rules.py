@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstar.llm.common import SPACES, let, split_words
+from shopstar.llm.common import WORD_CHAR, let, split_words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 3
@@ -54,6 +54,10 @@ class Policy:
     def mask(self) -> int:
         return sum(1 << r.bit for r in RULES if r.name in self.rules)
 
+    @property
+    def column(self) -> str:
+        return f"kept_{self.name}_v{self.version}"
+
 
 BASE = Policy("base", 1, ("few_words", "repeated_words"))
 WEB = Policy("web", 1, tuple(r.name for r in RULES))
@@ -89,7 +93,7 @@ def _measured(docs: DataFrame, key: Column, text_col: str) -> DataFrame:
     by_words = let(split_words(F.col(text_col)), lambda w: F.struct(
         F.size(w).alias("n_words"), F.length(F.array_join(w, "")).alias("word_chars"),
         _n_repeat_words(w).alias("n_repeat_words")))
-    by_lines = let(F.filter(F.split(text, "\n"), lambda x: ~x.rlike(f"^(?:{SPACES})?$")),
+    by_lines = let(F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD_CHAR)),
                    lambda x: F.struct(F.size(x).alias("n_lines"),
                                       (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
     found = docs.select(key.alias("key"), by_words.alias("w"), by_lines.alias("l"),
@@ -106,17 +110,21 @@ def _bits(rules: tuple[Rule, ...]) -> Column:
     return bits
 
 
+def _book(docs: DataFrame, key: Column, text_col: str, rules: tuple[Rule, ...]) -> DataFrame:
+    return _measured(docs, key, text_col).withColumn("fail_bits", _bits(rules))
+
+
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, the measurements, fail_bits): bit ``rule.bit`` is set if it failed."""
-    found = _measured(docs, F.col(id_col), text_col).withColumn("fail_bits", _bits(rules))
-    return found.withColumnRenamed("key", "doc_id")
+    return _book(docs, F.col(id_col), text_col, rules).withColumnRenamed("key", "doc_id")
 
 
 def keep_documents(docs: DataFrame, policy: "Policy", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass ``policy``, all columns unchanged."""
-    found = _measured(docs, F.struct("*"), text_col).withColumn("fail_bits", _bits(RULES))
-    return found.where(passes(policy)).select(*[F.col("key")[c].alias(c) for c in docs.columns])
+    """The rows of ``docs`` that pass ``policy``, all columns unchanged: the
+    policy is applied to a ledger whose key is the whole row."""
+    book = apply_policies(_book(docs, F.struct("*"), text_col, RULES), (policy,))
+    return book.where(F.col(policy.column)).select(*[F.col("key")[c].alias(c) for c in docs.columns])
 
 
 def passes(policy: Policy) -> Column:
@@ -125,7 +133,7 @@ def passes(policy: Policy) -> Column:
 
 def apply_policies(book: DataFrame, policies: tuple[Policy, ...]) -> DataFrame:
     """The ledger with one boolean ``kept_<name>_v<version>`` per policy."""
-    return book.select("*", *[passes(p).alias(f"kept_{p.name}_v{p.version}") for p in policies])
+    return book.select("*", *[passes(p).alias(p.column) for p in policies])
 
 
 def ablations(book: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULES) -> DataFrame:

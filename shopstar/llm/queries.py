@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopstar.llm import (chat_collapse, collocations, decontamination, hash_tree, html_extract, license_scan,
                           line_dedup, packing, pitman_yor, prefix_trie, quality_rules, sentencepiece_bpe, simhash)
-from shopstar.llm.common import table
+from shopstar.llm.common import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,11 +52,24 @@ def op8_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+POLICIES = (quality_rules.BASE, quality_rules.WEB)
+
+
 def op9_quality_rules(spark: SparkSession, d: str) -> DataFrame:
-    book = quality_rules.ledger(table(spark, d, "documents"))
-    base, web = quality_rules.passes(quality_rules.BASE), quality_rules.passes(quality_rules.WEB)
+    book = quality_rules.apply_policies(quality_rules.ledger(table(spark, d, "documents")), POLICIES)
+    base, web = (F.col(p.column) for p in POLICIES)
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       (~base).alias("base_failed"), (base & web).alias("kept"))
+                       (~base).alias("base_failed"), (base & web).alias("kept"),
+                       "fail_bits", *[p.column for p in POLICIES])
+
+
+def quality_ablations(spark: SparkSession, d: str) -> DataFrame:
+    """Per policy and rule what the ledger of all documents says of it. The
+    ledger is written once; the policies read its bits, not the texts."""
+    book = written(quality_rules.ledger(table(spark, d, "documents")), "quality_ledger")
+    found = [quality_rules.ablations(book, p).select(F.lit(f"{p.name}_v{p.version}").alias("policy"), "*")
+             for p in POLICIES]
+    return found[0].unionByName(found[1])
 
 
 def op10_html_tree(spark: SparkSession, d: str) -> DataFrame:
@@ -79,7 +92,7 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_pitman_yor, op3_packing, op4_hash_tree, op5_license_scan, op6_chat_collapse,
         op7_simhash, op8_decontamination, op9_quality_rules, op10_html_tree, op11_phrase_tries,
-        op12_sentencepiece, op13_prefix_trie)}
+        op12_sentencepiece, op13_prefix_trie, quality_ablations)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -109,7 +122,7 @@ FROM marked GROUP BY doc_id
 UNION ALL SELECT doc_id, NULL, 0, 0 FROM documents WHERE text IS NULL
 """
 
-_LEDGER = r"""
+_BOOK = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -129,12 +142,31 @@ m AS (
          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
          CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines
-  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id))
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+book AS (
+  SELECT *, CAST(CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+         + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
+         + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END AS BIGINT) AS fail_bits
+  FROM m)
+"""
+
+_LEDGER = _BOOK + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words
-            OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
-FROM m
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, fail_bits = 0 AS kept, fail_bits,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS kept_base_v1, fail_bits = 0 AS kept_web_v1
+FROM book
+"""
+
+_ABLATIONS = _BOOK + """,
+rules(policy, mask, rule, bit) AS (VALUES
+  ('base_v1', 3, 'few_words', 1), ('base_v1', 3, 'repeated_words', 2), ('web_v1', 31, 'few_words', 1),
+  ('web_v1', 31, 'repeated_words', 2), ('web_v1', 31, 'symbols', 4), ('web_v1', 31, 'repeated_lines', 8),
+  ('web_v1', 31, 'word_length', 16))
+SELECT policy, rule, count(*) FILTER (WHERE fail_bits & bit <> 0) AS n_failed,
+       count(*) FILTER (WHERE fail_bits & mask = bit) AS n_only,
+       coalesce(bit_or(fail_bits & mask) FILTER (WHERE fail_bits & bit <> 0), 0) AS with_any,
+       coalesce(bit_and(fail_bits & mask) FILTER (WHERE fail_bits & bit <> 0), 0) AS with_all
+FROM rules LEFT JOIN book ON true GROUP BY ALL
 """
 
 _CHAT = r"""
@@ -250,4 +282,4 @@ LEFT JOIN nodes up ON w.depth > 0 AND up.depth = w.depth - 1 AND up.key = w.abov
 """
 
 ORACLES = {"op11_phrase_tries": _PHRASES, "op13_prefix_trie": _TRIE, "op1_line_dedup": _LINES, "op6_chat_collapse": _CHAT,
-           "op8_decontamination": _CONTAMINATION, "op9_quality_rules": _LEDGER}
+           "op8_decontamination": _CONTAMINATION, "op9_quality_rules": _LEDGER, "quality_ablations": _ABLATIONS}

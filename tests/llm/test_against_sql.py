@@ -24,4 +24,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_each_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in queries()] == list(range(1, 14))
+    assert [int(n[2:].split("_")[0]) for n in queries() if n.startswith("op")] == list(range(1, 14))
