@@ -1,9 +1,10 @@
 """Boilerplate lines by their frequency within a site.
 
 For each host: pages that contain a line, divided by the host's pages. Lines
-above ``max_ratio`` (on ``min_pages`` pages at least, so that a line of a site
-with a handful of pages is not boilerplate by itself) are dropped from every
-page of that host; other text stays as it was.
+above ``max_ratio`` are dropped from every page of that host; other text stays
+as it was. A line must stand on two pages at least: a frequency within a site
+means nothing for a line that occurs on one page, and the lines of a host with
+a single page all have the ratio 1.
 
 Lines are the trimmed parts between newlines; blank lines are never dropped.
 They are counted by a 128-bit hash, each page's lines made distinct first and
@@ -28,7 +29,7 @@ from shopstar.llm.common import SPACES, let, written
 
 #: Production parameters.
 MAX_RATIO = 0.08
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 
 def _line_hash(line: Column) -> Column:
@@ -36,7 +37,7 @@ def _line_hash(line: Column) -> Column:
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, f"^{SPACES}|{SPACES}$", "")
+    return F.regexp_replace(line, rf"\A{SPACES}|{SPACES}\z", "")  # $ also matches before U+0085, U+2028, U+2029
 
 
 def _hashes(text: Column) -> Column:

@@ -3,6 +3,9 @@ clashing extra columns: each operator's defined results."""
 
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,8 +65,29 @@ def test_quality_ablation_counts(spark):
         (False, False), (False, False), (True, False), (True, True)]
 
 
+ENDS = ("\u0085", "\u2028", "\u2029", "\x0b", "\x0c", "\r", "\x1c", "\u00a0", "\u3000")
+
+
+def test_line_ends_of_other_alphabets_are_word_characters(spark):
+    """Only the ASCII blanks separate words and bound lines; others stand in words."""
+    rng = random.Random(7)
+    parts = [*ENDS, " ", "\t", "\n", "\n", "\n", "a", "foo bar", ""]
+    texts = ["\u0085\n\u0085", "foo bar\u2028\n\u2028\nfoo bar\u2028", *(
+        "".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(300))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for r in quality_rules.ledger(df).collect():
+        lines = [x for x in texts[r.doc_id].split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r.n_lines, r.n_dup_lines) == (len(lines), len(lines) - len(set(lines)))
+        assert r.n_words == len(re.findall(r"[^\x20\x09-\x0D]+", texts[r.doc_id]))
+    pages = [*[(k, f"foo\u2028\nown {k}", "h") for k in range(4)], (4, "foo", "h"), (5, " foo\u2028\t", "h"),
+             (6, "foo\u0085", "h")]
+    out = line_dedup.drop_boilerplate(spark.createDataFrame(pages, "doc_id int, text string, source string"))
+    assert {r.row.doc_id: r.new_text for r in out.collect()} == {
+        **{k: f"own {k}" for k in range(4)}, 4: "foo", 5: "", 6: "foo\u0085"}
+
+
 def test_line_dedup(spark, docs, none):
-    got = line_dedup.clean_documents(docs)
+    got = line_dedup.clean_documents(docs, min_pages=5)
     assert got.columns == docs.columns and rows(got.drop("n_chars")) == rows(docs.drop("n_chars"))
     assert line_dedup.clean_documents(none).count() == 0
     page = [(k, f"menu\n own {k} \n\nmenu ", None) for k in range(6)] + [(9, "menu\nx", "b")]
@@ -72,6 +96,15 @@ def test_line_dedup(spark, docs, none):
         *((k, f" own {k} \n", 4, 2) for k in range(6)), (9, "menu\nx", 2, 0)}
 
 
+def test_line_dedup_on_small_hosts(spark):
+    """The ratio decides on hosts of any size; a line of one page is never boilerplate."""
+    pages = [(k, f"own {k}\nfooter", "four") for k in range(4)] + [(9, "alone\nfooter", "one")]
+    pages += [(20 + k, f"p{k}\n" + ("rare" if k < 2 else "x" * k), "thirty") for k in range(30)]
+    out = line_dedup.drop_boilerplate(spark.createDataFrame(pages, "doc_id int, text string, source string"))
+    got = {r.row.doc_id: r.new_text for r in out.collect()}
+    assert [got[k] for k in (0, 3, 9, 20, 21)] == ["own 0", "own 3", "alone\nfooter", "p0\nrare", "p1\nrare"]
+
+
 def test_simhash(docs, none):
     got = simhash.near_duplicates(docs)
     assert got.count() == 8 and simhash.near_duplicates(none).count() == 0
