@@ -14,9 +14,11 @@ table an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -109,11 +111,14 @@ is not the other."""
                 b, edits = a + len(m.group().encode("utf-8", "surrogatepass")), sum(m.fuzzy_counts)
                 b -= joined[b - 1:b] == b" "
                 out.append((a, b, notice.label, edits, 1 - edits / len(notice.text)))
+    starts: list[int] = []  # of what is kept: spans that do not overlap, in order
     kept: list[tuple[int, int, str, int, float]] = []
     for x in sorted(set(out), key=lambda x: (x[3], x[0] - x[1], x)):
-        if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):
-            kept.append(x)
-    return sorted(kept)
+        k = bisect_left(starts, x[0])
+        if (k == 0 or kept[k - 1][1] <= x[0]) and (k == len(kept) or x[1] <= starts[k]):
+            starts.insert(k, x[0])
+            kept.insert(k, x)
+    return kept
 
 
 def scan_text(text: str | None, notices: tuple[Notice, ...] = NOTICES) -> dict:
@@ -122,8 +127,10 @@ def scan_text(text: str | None, notices: tuple[Notice, ...] = NOTICES) -> dict:
     joined = b" ".join(words)
     base, fuzzy = base_places(joined), fuzzy_places(joined, notices)
 
+    blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+
     def word_at(k: int) -> int:
-        return joined.count(b" ", 0, k)
+        return int(np.searchsorted(blanks, k))
 
     starts = [word_at(at) for at, _ in base]
     found = {label for _, label in base}
