@@ -45,8 +45,9 @@ TIE_PRIOR = {("none", "none"): ((97, 3), (25, 75)), ("none", "main"): ((50, 1),
              ("other", "other"): ((10, 90), (0.1, 99))}
 
 #: Largest log odds that one trait of a node can give: a tag that the sample
-#: shows only in content says much, but not all.
-BOUND = {"tag": 2.0, "length": 1.5, "links": 2.0, "role": 12.0}
+#: shows only in content says much, but not all, and so does a role that only
+#: words of a class declare; a role declared by the tag itself says more.
+BOUND = {"tag": 2.0, "length": 1.5, "links": 2.0, "word": 4.0, "role": 12.0}
 
 
 def _length_class(words: int) -> int:
@@ -58,7 +59,7 @@ def looks(node: Node) -> list[tuple[str, object]]:
     text = "".join(p for _, p in node.pieces)
     chars = len(text.strip())
     links = min(3, math.ceil(3 * node.link_chars / chars)) if chars else 0
-    return [("tag", node.tag), ("role", node.role), ("length", _length_class(len(text.split()))),
+    return [("tag", node.tag), ("word" if node.by_word else "role", node.role), ("length", _length_class(len(text.split()))),
             ("links", links)]
 
 
@@ -91,9 +92,11 @@ class Model:
     """Log potentials from training counts and the prior."""
 
     def __init__(self, counts: Counter):
-        kinds: dict[str, dict[str, list[float]]] = {"tag": {}, "length": {}, "links": {}, "role": {}}
+        kinds: dict[str, dict[str, list[float]]] = {kind: {} for kind in BOUND}
         for role, (yes, no) in ROLE_PRIOR.items():
             kinds["role"][role] = [no, yes]
+            if role:
+                kinds["word"][role] = [no, yes]
         for key, n in counts.items():
             if key[0] == "look":
                 kinds[key[1]].setdefault(key[2], [1.0, 1.0])[key[3]] += n

@@ -3,7 +3,8 @@
 Handles what pages in the wild hold: unclosed and stray tags, implied ends of
 paragraphs, list items and table cells, raw text of scripts and styles,
 comments, SVG and MathML with their self-closed tags, a page cut off anywhere.
-One pass, no recursion. Only elements whose content HTML itself reads as raw
+One pass, no recursion, linear in the page: what an end tag closes is looked up
+by name. Only elements whose content HTML itself reads as raw
 text are passed over; all others are in the tree, and the model decides.
 """
 
@@ -11,9 +12,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
+_TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[A-Za-z]+|\d+")
@@ -25,6 +27,8 @@ RAW = frozenset("script style textarea title iframe xmp noembed noframes".split(
 #: HTML again, and the tags that end them where their own end is missing.
 FOREIGN = frozenset(("svg", "math"))
 HTML_AGAIN = frozenset(("foreignobject", "annotation-xml"))
+#: Elements without content that stand in a line of text, as an image does in a word.
+IN_LINE_VOID = VOID - frozenset(("br", "hr", "col"))
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption "
@@ -60,35 +64,44 @@ class Node:
     tag: str
     parent: int
     role: str = ""
+    by_word: bool = False  # only words of its class, id or role attribute declare the role
     pieces: list = field(default_factory=list)  # (place in the page, text) directly inside
     link_chars: int = 0
 
 
-def role_of(tag: str, attributes: str) -> str:
-    """The role an element declares, "" if none. What it declares by class,
-    id or role is looked at unless its tag already says it."""
+def role_of(tag: str, attributes: str) -> tuple[str, bool]:
+    """The role that an element declares, and whether only words of its class,
+    id or role attribute do. They are looked at unless the tag has a role of
+    its own; a compound's last word that is known is what it names
+    ("post-comments": comments). A word of the main text counts beside others."""
     role = ROLE_OF_TAG.get(tag, "")
-    if attributes and role in ("", "main"):
-        found = set()
-        for m in _ATTR.finditer(attributes):
-            name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
-            if name == "hidden" or name == "style" and "display:none" in value.replace(" ", "").lower() \
-                    or name == "aria-hidden" and value == "true":
-                return "code"
-            if name in ("class", "id", "role"):
-                found |= {ROLE_OF_WORD.get(w.lower(), "") for w in _NAME.findall(value)}
-        found.discard("")
-        if found - {"main"}:
-            return sorted(found - {"main"})[0]
-        role = role or next(iter(found), "")
-    return role
+    if not attributes or role not in ("", "main"):
+        return role, False
+    found = set()
+    for m in _ATTR.finditer(attributes):
+        name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
+        if name == "hidden" or name == "style" and "display:none" in value.replace(" ", "").lower() \
+                or name == "aria-hidden" and value == "true":
+            return "code", False
+        if name in ("class", "id", "role"):
+            for word in value.split():
+                known = [ROLE_OF_WORD[w.lower()] for w in _NAME.findall(word) if w.lower() in ROLE_OF_WORD]
+                found.update(known[-1:])
+    if not found:
+        return role, False
+    if "main" in found:
+        return "main", not role
+    return min(found), True
 
 
 def parse(page: str) -> list[Node]:
     """Block nodes in page order, parents before children; node 0 is the page."""
     nodes = [Node("#page", -1)]
     stack: list[tuple[str, int]] = [("#page", 0)]  # open elements and their block node
-    links, at, place, n_foreign = 0, 0, 0, 0
+    # places in the stack of the open elements of each name, and of all that are not inline
+    opened: dict[str, list[int]] = defaultdict(list)
+    blocks: list[int] = [0]
+    at, place = 0, 0
 
     def text(value: str) -> None:
         nonlocal place
@@ -97,30 +110,34 @@ def parse(page: str) -> list[Node]:
                 value = html.unescape(value)
             node = nodes[stack[-1][1]]
             node.pieces.append((place, value))
-            node.link_chars += len(value) if links else 0
+            node.link_chars += len(value) if opened["a"] else 0
             place += 1
 
+    def open_(tag: str, node: int) -> None:
+        opened[tag].append(len(stack))
+        if tag not in INLINE:
+            blocks.append(len(stack))
+        stack.append((tag, node))
+
     def close_to(depth: int) -> None:
-        nonlocal links, n_foreign
-        links -= sum(tag == "a" for tag, _ in stack[depth:])
-        n_foreign -= sum(tag in FOREIGN for tag, _ in stack[depth:])
+        for tag, _ in reversed(stack[depth:]):
+            opened[tag].pop()
+        while blocks[-1] >= depth:
+            blocks.pop()
         del stack[depth:]
 
+    def nearest(tags) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
     def close(tags: tuple[str, ...], within: frozenset) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                return close_to(k)
-            if stack[k][0] in within:
-                return None
+        k = nearest(tags)
+        if k and k >= nearest(within):
+            close_to(k)
 
     def foreign() -> int:
         """Place of the SVG or MathML element whose rules hold here, else 0."""
-        for k in range(len(stack) - 1, 0, -1) if n_foreign else ():
-            if stack[k][0] in FOREIGN:
-                return k
-            if stack[k][0] in HTML_AGAIN:
-                return 0
-        return 0
+        k = nearest(FOREIGN)
+        return k if k > nearest(HTML_AGAIN) else 0
 
     while (m := _TAG.search(page, at)) is not None:
         text(page[at:m.start()])
@@ -131,12 +148,12 @@ def parse(page: str) -> list[Node]:
         if m.group(1):
             if tag in VOID and tag != "br":
                 continue
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if k and not (tag in INLINE and any(t not in INLINE for t, _ in stack[k + 1:])):
+            k = nearest((tag,))
+            if k and not (tag in INLINE and blocks[-1] > k):
                 close_to(k)
             text(" " if tag not in INLINE else "")
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in IN_LINE_VOID:
             text(" ")
         if tag in LEAVES_FOREIGN:
             while k := foreign():
@@ -148,18 +165,16 @@ def parse(page: str) -> list[Node]:
             close(("p",), frozenset(("button", "table", "td", "th")))
         if tag in SIBLINGS:
             close(SIBLINGS[tag], SCOPES - {"body", "html"} if tag != "body" else frozenset())
-        role = role_of(tag, attributes)
+        role, by_word = role_of(tag, attributes)
         if tag in RAW and not inside:
             end = re.compile(f"</{re.escape(tag)}(?:[\\s/][^>]*)?>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
         if (tag in INLINE or tag == "math" or inside) and not role:
-            stack.append((tag, stack[-1][1]))
+            open_(tag, stack[-1][1])
         else:
-            nodes.append(Node(tag, stack[-1][1], role))
-            stack.append((tag, len(nodes) - 1))
-        links += tag == "a"
-        n_foreign += tag in FOREIGN
+            nodes.append(Node(tag, stack[-1][1], role, by_word))
+            open_(tag, len(nodes) - 1)
     text(page[at:] if not re.match(r"<[a-zA-Z/!?]", page[at:]) else "")
     return nodes
 

@@ -8,6 +8,7 @@ import itertools
 import json
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -526,3 +527,42 @@ def test_windows_of_the_report_equal_the_digest(spark, texts):
                         found.add(str(item))
         assert (got[k].n_words, got[k].n_hit, got[k].n_items) == (len(words), len(hit), len(found))
         assert got[k].items_sha256 == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+
+
+# -- pages and notices of odd form and great length ---------------------------
+
+ARTICLE = " ".join(f"Word number {k} of a sentence that goes on, as articles do." for k in range(6))
+
+
+@pytest.fixture(scope="module")
+def page_model(spark):
+    return html_extract.train(spark.read.parquet(f"{SF}/pages.parquet"))
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>one <!-- a --!> two</p><p>three</p>", "one two three"), ("<p>a<!-->b</p>", "ab"), ("<p>c<!--->d</p>", "cd"),
+    ("<p>a<!-- x -- > y -->b</p>", "ab"), ("<p>fo<img src=x>o ba<input>r</p>", "foo bar"), ("<p>a<br>b</p>", "a b"),
+    (f'<div class="post-social-main"><p>{ARTICLE}</p></div>', ARTICLE),
+    (f'<div class="article read-more"><p>{ARTICLE}</p></div>', ARTICLE),
+    (f'<article class="post social"><p>{ARTICLE}</p></article>', ARTICLE),
+    (f'<article><p>{ARTICLE}</p><div class="post-comments"><p>{ARTICLE.lower()}</p></div></article>', ARTICLE),
+    (f'<article><p>{ARTICLE}</p></article><div class="main-nav"><a href=x>Home</a></div>', ARTICLE)])
+def test_comments_classes_and_inline_voids(page_model, page, want):
+    assert html_extract.extract_text(f"<html><body><main>{page}</main></body></html>", page_model) == want
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<div>x</b>", "<p>x", "<b><i>x</i>", "<a><div>", "<svg>", "<li>x", "<td>",
+                                  "<table><tr>", "</p>", "<!--->", "<math><mi>x"])
+def test_a_megabyte_of_tags_takes_seconds(page_model, unit):
+    page = unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    html_extract.extract_text(page, page_model)
+    assert time.process_time() - began < 30  # some 5 s; the square of the tags would be hours
+
+
+def test_a_megabyte_of_notices_takes_seconds():
+    began = time.process_time()
+    got = license_scan.scan_text("all rights reserved " * 50_000)
+    assert time.process_time() - began < 30
+    assert len(got["spans"]) == got["n_base"] == 50_000 and got["last_word"] == 3 * 49_999
+    assert [x["first_word"] for x in got["spans"][:3]] == [0, 3, 6]
