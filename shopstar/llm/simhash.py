@@ -15,7 +15,8 @@ Defined cases: null, empty and blank texts have fingerprint zero and link like
 any other; fewer words than a shingle make one shingle; repeated rows give a
 row each; a null id gets its component's id, the smallest non-null one (null
 if there is none); an empty table gives an empty result; other columns are
-ignored by the operator and kept by ``drop_near_duplicates``.
+ignored by the operator and kept by ``drop_near_duplicates``, which judges each
+row by its own text, whether its id is null or repeated.
 """
 
 from __future__ import annotations
@@ -139,19 +140,26 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataF
     return tiles.select("fps").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
-    """(doc_id, fp, component_id) for each row: the component's smallest id."""
-    fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+def _classes(fps: DataFrame, max_bits: int, tile: int) -> DataFrame:
+    """(fp, root, component_id) of the distinct fingerprints of ``fps``
+    (doc_id, fp): the component's smallest fingerprint and smallest id."""
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct_fingerprints")
     roots = connected_components(links(nodes, max_bits, tile))
     roots = written(roots.select(F.col("node").alias("fp"), "root"), "fingerprint_roots")
     lows = written(roots.join(nodes, "fp").groupBy("root").agg(F.min("low").alias("component_id")),
                    "component_ids")
-    linked = roots.join(lows, "root").select("fp", "component_id")
-    classes = written(nodes.join(linked, "fp", "left").select(
-        "fp", F.when(F.col("component_id").isNotNull(), F.col("component_id"))
-        .otherwise(F.col("low")).alias("component_id")), "fingerprint_classes")
+    linked = roots.join(lows, "root").select("fp", "root", "component_id")
+    return written(nodes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNotNull(), F.col("component_id")).otherwise(F.col("low")).alias("component_id")),
+        "fingerprint_classes")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
+    """(doc_id, fp, component_id) for each row: the component's smallest id."""
+    fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    classes = _classes(fps, max_bits, tile)
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -159,17 +167,35 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id (one
-    of its repeated rows). A row without an id cannot be named as the one to
-    stay: such rows are all kept."""
-    found = near_duplicates(docs, id_col, **params)
-    dropped = written(found.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min("component_id").alias("c"), F.count("*").alias("n"))
-        .where("doc_id <> c or n > 1").select("doc_id", (F.col("doc_id") == F.col("c")).alias("repeated")),
-        "near_duplicates")
-    rows = docs.select(F.struct("*").alias("row"))
-    one = rows.join(dropped.where("repeated"), F.col("row")[id_col] == F.col("doc_id"), "left_semi")
-    once = one.groupBy(F.col("row")[id_col]).agg(F.first("row").alias("row")).select("row")
-    return rows.join(dropped, F.col("row")[id_col] == F.col("doc_id"), "left_anti") \
-        .unionByName(once).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+def _comparable(docs: DataFrame, column: str) -> Column:
+    """The column as something that can be hashed: a map or variant by its JSON form."""
+    kind = docs.schema[column].dataType.simpleString()
+    if "map<" in kind or "variant" in kind:
+        return F.to_json(F.struct(F.col(f"`{column}`")))
+    return F.col(f"`{column}`")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                         max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (a null
+    id after all others), then of the smallest hashes of its text and of the
+    whole row; one of rows that are equal in all columns. Rows are told apart
+    by those hashes, 192 bits, not by ids, so rows that share an id but not a
+    text are judged by their own texts."""
+    whole = F.xxhash64(*[_comparable(docs, c) for c in docs.columns])
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), whole.alias("r"))
+    keyed = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), key.alias("key")).alias("id"), text.alias("text"))
+    fps = written(fingerprints(keyed, "id", "text", shingle).select("doc_id.*", "fp"), "fingerprints")
+    classes = _classes(fps.select(F.col("id").alias("doc_id"), "fp"), max_bits, tile)
+    placed = fps.join(classes.select("fp", "root"), "fp")
+    chosen = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "key")).alias("stays"))
+    # few rows go, so those are named; a key that stays is named if it has several rows
+    counted = placed.groupBy("root", "id", "key").agg(F.count("*").alias("n")).join(chosen, "root")
+    same = F.col("key") == F.col("stays.key")
+    named = written(counted.where(~same | (F.col("n") > 1)).select("key", same.alias("stays")), "near_duplicates")
+    row = F.col("row")
+    own = docs.select(F.struct("*").alias("row"), key.alias("key"))
+    once = own.join(named.where("stays"), "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    return own.join(named, "key", "left_anti").select("row").unionByName(once.select("row")).select(
+        *[row.getField(c).alias(c) for c in docs.columns])

@@ -6,6 +6,7 @@ from __future__ import annotations
 import random
 import re
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,26 @@ def test_simhash(docs, none):
     assert simhash.drop_near_duplicates(none).count() == 0
 
 
+def filler(seed, n=80):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+
+
+def test_near_duplicates_by_row(spark):
+    """Rows that share an id, or have none, are judged by their own texts."""
+    a, b, c, d = (filler(k) for k in range(4))
+    rows = [(5, a, "x"), (5, b, "x"), (2, a + "\n", "x"), (None, c, "x"), (None, c.upper(), "y"), (None, c, "x"),
+            (9, d, "z"), (9, d, "z"), (9, d, "y"), (None, d, "x"), (None, None, None), (1, "", "q")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, fp string").withColumn("m", F.create_map("fp", "fp"))
+    df = df.where("fp is not null").unionByName(df.where("fp is null").withColumn("m", F.lit(None).cast("map<string,string>")))
+    got = simhash.drop_near_duplicates(df)
+    assert got.schema == df.schema
+    kept = [(r.doc_id, (r.text or "").strip().lower()) for r in got.collect()]
+    assert sorted(kept, key=repr) == sorted([(2, a), (5, b), (None, c), (9, d), (1, "")], key=repr)
+    again = [(r.doc_id, r.text, r.fp) for r in simhash.drop_near_duplicates(df.repartition(7)).collect()]
+    assert sorted(again, key=repr) == sorted([(r.doc_id, r.text, r.fp) for r in got.collect()], key=repr)
+
+
 def test_decontamination(docs, none, items):
     got = decontamination.decontaminate(docs, items)
     by_id = {r.doc_id: r for r in got.collect()}
@@ -194,3 +215,31 @@ def test_chat(spark):
     assert got[4].rendered == "<|im_start|>user\nh< |im_end|><|im_end|>\n"
     assert got[6].rendered.index("x") < got[6].rendered.index("y")
     assert chat_collapse.collapse(c.where("false")).count() == 0
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Null and repeated ids, ties, repeated rows and clashing columns go
+    through every stage; each row is judged by its own text."""
+    texts, more = [filler(k) for k in range(30)], [filler(k) for k in range(40, 60)]
+    item = filler(99, 14)
+    rows = [(k, t, "site") for k, t in enumerate(texts)]
+    rows += [(3, more[0], "site"), (3, texts[3], "site"), (None, more[1], None), (None, more[1] + " end", "b"),
+             (None, more[2], "b"), (50, None, "b"), (None, None, None), (51, "", "b"), (52, "too short", "b"),
+             (53, more[3] + " " + item + " " + more[4], "b"), (54, more[5].upper() + " end", "c"),
+             (2, more[5] + " end", "d"), (60, more[6] + "\nfooter", "four"), (61, more[7] + "\nfooter", "four")]
+    names = ("lang string, n_chars bigint, words array<string>, fp bigint, row string, host string, line string, key "
+             "string, component_id int, hit string, ids int")
+    df = spark.createDataFrame([(*r, None, len(r[1] or ""), [], 1, "r", None, "l", "k", 2, "h", 3) for r in rows],
+                               f"doc_id bigint, text string, source string, {names}")
+    spark.createDataFrame([(1, item), (None, None)], "item_id bigint, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, str(tmp_path))
+        assert out.columns == df.columns and stage(spark, df.where("false"), str(tmp_path)).count() == 0
+        df = spark.createDataFrame(out.collect(), df.schema)
+    want = [*enumerate(texts), (3, more[0]), (None, more[1]), (None, more[2]), (2, more[5] + " end"),
+            (60, more[6]), (61, more[7])]
+    got = [(r.doc_id, r.text.removesuffix(" end") if r.doc_id is None else r.text) for r in df.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path)).collect()
+    assert sum(r.length for r in pieces) == sum({(r.doc_id, r.doc_tokens): r.doc_tokens for r in pieces}.values())
