@@ -16,13 +16,16 @@ As Spark jobs: one pass tokenises the texts into blocks of documents. A block
 sends its distinct (word, context) pairs, without documents, to slices dealt by
 the hash of the pair, so that neither a frequent word nor a frequent context
 meets in one task; the block's own tokens are kept as numbers of its pairs. A
-slice adds up its pairs once. In each sweep the slices seat their dishes and
-send the tables per word and per context to the owners of the word's and the
-context's hash (at most one number per slice and word); an owner adds them up,
-seats the parent's dishes and replies the true totals for the next sweep. In
-the end each slice sends the probabilities back to the blocks, which score
-their documents. The number of slices follows the corpus; the driver sees a
-few sums per slice. Each step is written to the shared folder.
+slice adds up its pairs once. A pair seen once has one table in every sample,
+so only pairs seen twice or more take part in the sweeps: the slices seat them
+and send the tables per word and per context to the owners of the word's and
+the context's hash; an owner adds them to the fixed tables, seats the parent's
+dishes and replies the true totals for the next sweep. In the end the owners
+send each sample's totals to the slices, these the averaged probabilities to
+the blocks, which score their documents. The number of slices follows the
+corpus, an eighth of them are owners; the driver sees a few sums per slice.
+Each step is written to the shared folder, and deleted by kind once no later
+step reads it.
 
 Defined cases: null and empty texts are the end token alone; repeated rows are
 scored each (and train as often); null ids count as held out (crc32 of the
@@ -45,7 +48,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopstar.llm.common import LOWER, text_bytes, written
+from shopstar.llm.common import LOWER, text_bytes
+from shopstar.session import scratch_folder
 
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 3, 3
@@ -53,7 +57,7 @@ BURN_IN, SAMPLES = 3, 3
 EXACT = 48
 #: Tokens a task gathers for one block; text bytes a slice stands for.
 BLOCK_TOKENS, SLICE_BYTES = 2_000_000, 30_000_000
-MIN_SLICES = 32
+MIN_SLICES, SLICES_PER_OWNER = 12, 8
 _START, _END = xxhash.xxh64_intdigest(b"\n^", 0), xxhash.xxh64_intdigest(b"\n$", 0)
 
 
@@ -69,79 +73,38 @@ class _Hashes(dict):
 
 # --- blocks ---------------------------------------------------------------
 
-def _payload(arrays: list[np.ndarray]) -> bytes:
-    head = np.array([a.size for a in arrays], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
-
-
-_LAYOUT = ("<u8", "<u4", "<u4", "<u4", "<u4", "<u4", "<i8", "u1")
-
-
-def _arrays(payload: bytes) -> list[np.ndarray]:
-    data, at, out = zstandard.ZstdDecompressor().decompress(payload), 8 * len(_LAYOUT), []
-    for size, kind in zip(np.frombuffer(data, "<i8", len(_LAYOUT)), _LAYOUT):
-        out.append(np.frombuffer(data, kind, size, at))
-        at += int(size) * np.dtype(kind).itemsize
-    return out
-
-
 def _runs(changed: np.ndarray) -> np.ndarray:
     """Starts of runs, from the flags that an element differs from the one before."""
     return np.flatnonzero(np.concatenate((np.ones(min(1, changed.size + 1), bool), changed)))
 
 
-def _block_rows(ids: list, held: list[bool], hashes: list[np.ndarray], slices: int,
-                n_contexts: int) -> Iterator[tuple[int, bytes]]:
-    """(slice, payload) of one block. Payload: distinct keys (word hash with
-    the context in its low bits), their training counts, entries per key; per
-    entry its document and count; the documents' numbers, ids, id validity."""
-    sizes = np.array([h.size for h in hashes])
-    word = np.concatenate(hashes)
-    before = np.concatenate(([0], word[:-1])).astype(np.uint64)
-    before[np.cumsum(sizes) - sizes] = _START
-    low = np.uint64(n_contexts - 1)
-    key = (word & ~low) | (before & low)
-    doc = np.repeat(np.arange(len(ids), dtype=np.uint32), sizes)
-    order = np.argsort(key, kind="stable")
-    key, doc = key[order], doc[order]
-    entry = _runs((np.diff(key) != 0) | (np.diff(doc) != 0))
-    count = np.diff(np.append(entry, key.size)).astype(np.uint32)
-    key, doc = key[entry], doc[entry]
-    first = _runs(np.diff(key) != 0)
-    train = np.add.reduceat(np.where(np.array(held)[doc], 0, count), first)
-    cuts = np.searchsorted(_slice_of(key[first], slices), np.arange(slices + 1))
-    ends = np.append(first, key.size)
-    id_values = np.array([0 if i is None else i for i in ids], "<i8")
-    id_valid = np.array([i is not None for i in ids], "u1")
-    for s in range(slices):
-        lo, hi = cuts[s], cuts[s + 1]
-        if lo < hi:
-            a, b = ends[lo], ends[hi]
-            present, local = np.unique(doc[a:b], return_inverse=True)
-            yield s, _payload([
-                key[first[lo:hi]], train[lo:hi].astype("<u4"), np.diff(ends[lo:hi + 1]).astype("<u4"),
-                local.astype("<u4"), count[a:b], present.astype("<u4"), id_values[present],
-                id_valid[present]])
-
-
 def _slice_of(key: np.ndarray, slices: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as bytes, all lowest bytes of an array first: small numbers and
+    small gaps leave planes of zeros."""
     head = ";".join(f"{a.dtype.str},{a.size}" for a in arrays).encode() + b"\n"
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(a.size, a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
 def _unpack(payload: bytes) -> list[np.ndarray]:
     data, out = zstandard.ZstdDecompressor().decompress(payload), []
     at = data.index(b"\n") + 1
     for kind, size in (x.split(",") for x in data[:at - 1].decode().split(";")):
-        out.append(np.frombuffer(data, kind, int(size), at))
-        at += int(size) * np.dtype(kind).itemsize
+        kind, size = np.dtype(kind), int(size)
+        planes = np.frombuffer(data, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(size))
+        at += size * kind.itemsize
     return out
 
 
+def _gaps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
+
+
 def _joined(payloads: list[bytes], n: int) -> list[np.ndarray]:
     """The ``n`` arrays of each payload, end to end."""
     parts = [_unpack(p) for p in payloads]
@@ -173,7 +136,7 @@ def _block_messages(block: int, ids: list, held: list[bool], hashes: list[np.nda
                     slices: int) -> Iterator[Message]:
     """``p``, to each slice: distinct pairs (word, word before) of the block and
     their training counts. ``e``, to the block's home: tokens of each document,
-    ids, id validity, pairs of each slice, and each token's pair."""
+    ids, id validity, and the pairs of each document's tokens, ascending."""
     sizes = np.array([h.size for h in hashes], np.int64)
     word = np.concatenate(hashes)
     before = np.concatenate(([0], word[:-1])).astype(np.uint64)
@@ -187,7 +150,7 @@ def _block_messages(block: int, ids: list, held: list[bool], hashes: list[np.nda
     train = np.bincount(pair, np.repeat(~np.array(held, bool), sizes), first.size).astype("<u4")
     part = _slice_of(h[first], slices)
     cuts = np.searchsorted(part, np.arange(slices + 1))
-    by_word = np.lexsort((word[first], part))  # a slice's pairs by word: runs of it
+    by_word = np.lexsort((before[first], word[first], part))  # a slice's pairs by word, then context
     number = np.empty(first.size, "<u4")
     number[by_word] = np.arange(first.size)
     pair, train, word, before = number[pair], train[by_word], word[first][by_word], before[first][by_word]
@@ -196,17 +159,22 @@ def _block_messages(block: int, ids: list, held: list[bool], hashes: list[np.nda
         runs = _runs(np.diff(word[own]) != 0)
         contexts, at = np.unique(before[own], return_inverse=True)
         yield int(s), "p", int(s), block, _pack(
-            word[own][runs], np.diff(np.append(runs, at.size)).astype("<u4"), contexts,
+            _gaps(word[own][runs]), np.diff(np.append(runs, at.size)).astype("<u4"), _gaps(contexts),
             at.astype("<u2" if contexts.size <= 1 << 16 else "<u4"), train[own])
     id_values = np.array([0 if i is None else i for i in ids], "<i8")
     id_valid = np.array([i is not None for i in ids], "u1")
-    yield _home(block, slices), "e", 0, block, _pack(sizes, id_values, id_valid, np.diff(cuts), pair)
+    doc = np.repeat(np.arange(sizes.size, dtype=np.uint64), sizes)
+    pair = np.sort(doc << np.uint64(32) | pair).astype("<u4")  # a document's pairs in ascending order: gaps
+    gaps = _gaps(pair)
+    starts = np.cumsum(sizes) - sizes
+    gaps[starts] = pair[starts]
+    yield _home(block, slices), "e", 0, block, _pack(sizes, id_values, id_valid, gaps)
 
 
 def _pairs(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word, word before and training count of each pair of a ``p`` message."""
     words, runs, contexts, at, train = _unpack(payload)
-    return np.repeat(words, runs), contexts[at], train
+    return np.repeat(np.cumsum(words, dtype=np.uint64), runs), np.cumsum(contexts, dtype=np.uint64)[at], train
 
 
 def _home(block: int, slices: int) -> int:
@@ -248,38 +216,15 @@ def _gather(docs: DataFrame, slices: int) -> DataFrame:
     return docs.mapInArrow(run, _MESSAGE)
 
 
-class Slice:
-    """All blocks' rows of one vocabulary slice."""
-
-    def __init__(self, rows: list[tuple[int, bytes]], n_contexts: int):
-        self.blocks = [(block, _arrays(payload)) for block, payload in sorted(rows)]
-        self.keys, inverse = np.unique(np.concatenate([b[0] for _, b in self.blocks]), return_inverse=True)
-        self.count = np.bincount(inverse, np.concatenate([b[1] for _, b in self.blocks]),
-                                 self.keys.size).astype(np.int64)
-        ends = np.cumsum([0] + [b[0].size for _, b in self.blocks])
-        self.at = [inverse[a:b] for a, b in zip(ends, ends[1:])]
-        low = np.uint64(n_contexts - 1)
-        self.context = (self.keys & low).astype(np.int64)
-        words = self.keys & ~low
-        starts = _runs(np.diff(words) != 0)
-        self.word = np.repeat(np.arange(starts.size), np.diff(np.append(starts, words.size)))
-        self.word_count = np.add.reduceat(self.count, starts)
-
-    def per_context(self, values: np.ndarray, n: int) -> np.ndarray:
-        return np.bincount(self.context, values, n)
-
-
 # --- seating ----------------------------------------------------------------
 
 @dataclass
 class Totals:
-    """Of all training tokens: tokens, distinct words, per context the tokens
-    and distinct words, and how many dishes have one and two customers, in the
-    contexts and (by contexts they occur in) in the parent."""
+    """Of all training tokens: tokens, distinct words, and how many dishes have
+    one and two customers, in the contexts and (by contexts they occur in) in
+    the parent."""
     tokens: int
     words: int
-    customers: np.ndarray
-    dishes: np.ndarray
     ones: tuple[int, int]
     twos: tuple[int, int]
 
@@ -357,64 +302,15 @@ class Dishes:
         return t
 
 
-@dataclass
-class Sample:
-    """One sample of a slice: tables of its dishes, and of its words in the parent."""
-    tables: np.ndarray
-    customers: np.ndarray
-    parent_tables: np.ndarray
-
-
-def seat(part: Slice, number: int, totals: Totals, strength: float, burn_in: int, samples: int,
-         n_contexts: int) -> Iterator[Sample]:
-    """Gibbs samples of a slice that holds all words, in one process: the
-    sweeps that the jobs below share out."""
-    rng = np.random.default_rng([number, 20])
-    d, d0 = totals.discount(0), totals.discount(1)
-    seen = np.flatnonzero(part.count)
-    c, context, word = part.count[seen], part.context[seen], part.word[seen]
-    n_words = part.word_count.size
-    trained = part.word_count > 0
-    dishes, parent = Dishes(d), Dishes(d0)
-    t = np.minimum(c, 1)
-    s = trained.astype(np.int64)
-    for k in range(burn_in + samples):
-        tw = np.bincount(word, t, n_words)
-        t_all, s_all = tw.sum(), s.sum()
-        tu = np.bincount(context, t, n_contexts)
-        new0 = (strength + d0 * s_all) / (totals.words + 1)
-        p = (tw - d0 * s + new0) / (strength + t_all)
-        t = dishes.draw(c, ((strength + d * tu)[context] * p[word]), rng)
-        tw = np.bincount(word, t, n_words).astype(np.int64)
-        s = parent.draw(tw, np.full(n_words, new0), rng)
-        if k >= burn_in:
-            out = np.zeros(part.count.size, np.int64)
-            out[seen] = t
-            yield Sample(out, tw, s)
-
-
-def predictive(part: Slice, seated: Iterator[Sample], totals: Totals, tables: np.ndarray,
-               parent: np.ndarray, strength: float) -> np.ndarray:
-    """Probability of each key of the slice, averaged over the samples."""
-    d, d0, out = totals.discount(0), totals.discount(1), np.zeros(part.keys.size)
-    for x, tu, s_all in zip(seated, tables, parent):
-        new0 = (strength + d0 * s_all) / (totals.words + 1)
-        p = (x.customers - d0 * x.parent_tables + new0) / (strength + tu.sum())
-        left = (strength + d * tu) / (strength + totals.customers)
-        own = (part.count - d * x.tables) / (strength + totals.customers)[part.context]
-        out += own + left[part.context] * p[part.word]
-    return out / len(parent)
-
-
 # --- jobs -------------------------------------------------------------------
 
 Inbox = dict[str, list[tuple[int, int, bytes]]]
 
 
-def _met(messages: list[DataFrame], slices: int, name: str,
-         answer: Callable[[int, Inbox], Iterator[Message]], passed: str = "") -> DataFrame:
+def _answers(messages: list[DataFrame], receivers: int, answer: Callable[[int, Inbox], Iterator[Message]],
+             passed: str = "") -> DataFrame:
     """What the receivers answer to the messages, each given its own by kind,
-    in the senders' order; written. Messages of the kind ``passed`` go through."""
+    in the senders' order. Messages of the kind ``passed`` go through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inbox: dict[int, Inbox] = defaultdict(lambda: defaultdict(list))
         for batch in batches:
@@ -427,164 +323,209 @@ def _met(messages: list[DataFrame], slices: int, name: str,
             own = inbox.pop(to)
             for rows in own.values():
                 rows.sort()
-            if out := list(answer(to, own)):
-                yield _messages(out)
+            for row in answer(to, own):
+                yield _messages([row])
 
     together = messages[0]
     for m in messages[1:]:
         together = together.unionByName(m)
-    spark, key = together.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")  # the shuffle's files are of no use once the answers are written
-    try:
-        return written(together.repartitionById(slices, F.col("to")).mapInArrow(run, _MESSAGE), name)
-    finally:
-        spark.conf.set(key, before)
-
-
-def _drop(*tables: DataFrame) -> None:
-    """Deletes written answers that no later step reads."""
-    for df in tables:
-        context = df.sparkSession.sparkContext
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return together.repartitionById(receivers, F.col("to")).mapInArrow(run, _MESSAGE)
+
+
+class Written:
+    """Answers in the shared folder, a folder for each kind; a kind is deleted
+    once no later step reads it."""
+
+    def __init__(self, answers: DataFrame, name: str):
+        self.spark, self.path = answers.sparkSession, scratch_folder(answers.sparkSession, name)
+        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(key, "false")
+        self.spark.conf.set(key, "true")  # the shuffle's files are of no use once the answers are written
+        try:
+            answers.withColumn("folder", F.col("kind")).write.partitionBy("folder").parquet(self.path)
+        finally:
+            self.spark.conf.set(key, before)
+
+    def __getitem__(self, kind: str) -> DataFrame:
+        return self.spark.read.schema(f"{_MESSAGE}, folder string").parquet(self.path).where(
+            F.col("folder") == kind).drop("folder")
+
+    def drop(self, *kinds: str) -> None:
+        context = self.spark.sparkContext
+        for kind in kinds:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/folder={kind}")
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
+    def sums(self, n: int) -> list[int]:
+        """The ``t`` messages (a few numbers from each sender), added up."""
+        total = [0] * n
+        for r in self["t"].select("payload").toLocalIterator():
+            total = [a + int(x) for a, x in zip(total, _unpack(bytes(r.payload))[0])]
+        return total
+
 
-def _sums(df: DataFrame, n: int) -> list[int]:
-    """The ``t`` messages (a few numbers from each sender), added up."""
-    total = [0] * n
-    for r in df.where("kind = 't'").select("payload").toLocalIterator():
-        total = [a + int(x) for a, x in zip(total, _unpack(bytes(r.payload))[0])]
-    return total
+def _per(numbers: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(numbers, values, n).astype(np.int64)
 
 
-def _add_up(me: int, inbox: Inbox, slices: int) -> Iterator[Message]:
-    """A slice's pairs from its blocks. ``k``: word and context numbers and
-    training count of each pair, words and contexts at each owner; ``i``: the
-    pairs of each block; ``m``, to owners: words and contexts with their counts
-    and dishes; ``t``: pairs seen once and twice."""
+def _add_up(me: int, inbox: Inbox, owners: int) -> Iterator[Message]:
+    """A slice's pairs from its blocks. ``k``: pairs of each word, context number
+    and training count of each pair; ``k2``: of the pairs seen twice or more
+    the numbers of word and context among those of such pairs, the count, and
+    words and contexts at each owner; ``i``: the pairs of each block; ``m``, to
+    owners: words and contexts with their customers, dishes of one customer and
+    larger dishes; ``t``: pairs seen once and twice."""
     rows = [(block, _pairs(payload)) for _, block, payload in inbox["p"]]
     word, before, train = (np.concatenate([r[k] for _, r in rows]) for k in range(3))
     order = np.lexsort((before, word))
     word, before = word[order], before[order]
     first = _runs((np.diff(word) != 0) | (np.diff(before) != 0))
     at = np.empty(order.size, "<u4")
-    at[order] = np.repeat(np.arange(first.size), np.diff(np.append(first, order.size)))
+    at[order] = np.repeat(np.arange(first.size, dtype="<u4"), np.diff(np.append(first, order.size)))
     count = np.add.reduceat(train[order].astype(np.int64), first)
     words, w = np.unique(word[first], return_inverse=True)
     contexts, u = np.unique(before[first], return_inverse=True)
-    edges = np.arange(slices + 1)
-    w_cuts, u_cuts = (np.searchsorted(_slice_of(x, slices), edges) for x in (words, contexts))
-    yield me, "k", me, 0, _pack(w.astype("<u4"), u.astype("<u4"), count, w_cuts, u_cuts)
-    yield me, "i", me, 0, _pack(np.array([b for b, _ in rows]), np.array([r[0].size for _, r in rows]), at)
-    sums = [np.bincount(k, x, n).astype(np.int64) for k, n in ((w, words.size), (u, contexts.size))
-            for x in (count, count > 0)]
-    for j in np.flatnonzero(np.diff(w_cuts) + np.diff(u_cuts)):
-        own_w, own_u = slice(w_cuts[j], w_cuts[j + 1]), slice(u_cuts[j], u_cuts[j + 1])
-        yield int(j), "m", me, 0, _pack(words[own_w], sums[0][own_w], sums[1][own_w],
-                                        contexts[own_u], sums[2][own_u], sums[3][own_u])
+    yield me, "k", me, 0, _pack(np.bincount(w, minlength=words.size).astype("<u4"), u.astype("<u4"), count.astype("<u4"))
+    edges, places = np.arange(owners + 1), []
+    seen = np.flatnonzero(count > 1)
+    for names, number in ((words, w), (contexts, u)):
+        again = np.unique(number[seen])
+        places += [np.searchsorted(again, number[seen]).astype("<u4"),
+                   np.searchsorted(_slice_of(names[again], owners), edges)]
+    yield me, "k2", me, 0, _pack(places[0], places[2], count[seen], places[1], places[3])
+    ends = _offsets([r[0].size for _, r in rows])
+    yield me, "i", me, 0, _pack(np.array([b for b, _ in rows]), np.diff(ends),
+                                np.concatenate([_gaps(at[a:b]) for a, b in zip(ends, ends[1:])]))
+    sides = []
+    for names, number in ((words, w), (contexts, u)):
+        cuts = np.searchsorted(_slice_of(names, owners), edges)
+        sides.append((cuts, (names, *(_per(number, x, names.size) for x in (count, count == 1, count > 1)))))
+    for j in np.flatnonzero(sum(np.diff(cuts) for cuts, _ in sides)):
+        yield int(j), "m", me, 0, _pack(*[
+            f(a[cuts[j]:cuts[j + 1]]) for cuts, (names, *sums) in sides
+            for f, a in ((_gaps, names), *((lambda x: x.astype("<u4"), x) for x in sums))])
     yield me, "t", me, 0, _pack(np.array([(count == 1).sum(), (count == 2).sum()]))
 
 
 def _own(me: int, inbox: Inbox) -> Iterator[Message]:
-    """An owner's words and contexts. ``x``: their numbers in each slice's
-    order; ``c``, to slices: their training counts; ``r``: the first tables, one
-    for each dish; ``t``: tokens, words, words in one and in two contexts, tables, parent's tables."""
+    """An owner's words and contexts. ``x``: for both, their numbers in each
+    slice's order, which of them the slice seats, customers and the tables of
+    dishes of one customer; ``r``, to slices: the first tables, one for each
+    dish; ``t``: tokens, words, words in one and in two contexts, tables,
+    parent's tables."""
     rows = [(part, _unpack(payload)) for part, _, payload in inbox["m"]]
-    word, count, dishes, context, customers, tables = (np.concatenate([r[k] for _, r in rows]) for k in range(6))
-    words, w = np.unique(word, return_inverse=True)
-    contexts, u = np.unique(context, return_inverse=True)
-    count, dishes = (np.bincount(w, x, words.size).astype(np.int64) for x in (count, dishes))
-    customers, tables = (np.bincount(u, x, contexts.size).astype(np.int64) for x in (customers, tables))
-    parts = np.array([part for part, _ in rows])
-    w_at, u_at = _offsets([r[0].size for _, r in rows]), _offsets([r[3].size for _, r in rows])
-    yield me, "x", me, 0, _pack(parts, w_at, u_at, w.astype("<u4"), u.astype("<u4"))
-    for k, part in enumerate(parts):
-        own_w, own_u = w[w_at[k]:w_at[k + 1]], u[u_at[k]:u_at[k + 1]]
-        yield int(part), "c", me, 0, _pack(count[own_w], customers[own_u])
-        yield int(part), "r", me, 0, _pack(dishes[own_w], np.minimum(count, 1)[own_w], tables[own_u])
+    parts, out, told = np.array([part for part, _ in rows]), [], []
+    for k in (0, 4):
+        names = np.concatenate([np.cumsum(r[k], dtype=np.uint64) for _, r in rows])
+        customers, single, larger = (np.concatenate([r[k + j] for _, r in rows]).astype(np.int64) for j in (1, 2, 3))
+        names, number = np.unique(names, return_inverse=True)
+        sums = [_per(number, x, names.size) for x in (customers, single, larger)]
+        at = _offsets([r[k].size for _, r in rows])
+        out += [at, number.astype("<u4"), larger > 0, sums[0], sums[1]]
+        told.append((at, number, larger > 0, sums[0], sums[1] + sums[2]))
+    yield me, "x", me, 0, _pack(parts, *out)
+    (_, _, _, count, dishes), (_, _, _, _, tables) = told
+    yield from _replies(me, parts, [t[:3] for t in told], dishes, np.minimum(count, 1), tables)
     yield me, "t", me, 0, _pack(np.array([count.sum(), (count > 0).sum(), (dishes == 1).sum(), (dishes == 2).sum(),
                                           dishes.sum(), (count > 0).sum()]))
 
 
-def _parent(me: int, inbox: Inbox, new0: float, d0: float, sweep: int) -> Iterator[Message]:
-    """An owner's totals and parent seating. ``r``, to slices: tables of each
-    word, its tables in the parent, tables of each context; ``t``: their sums."""
-    parts, w_at, u_at, w, u = _unpack(inbox["x"][0][2])
-    tables, in_context = _joined([payload for _, _, payload in inbox["m"]], 2)
-    tables, in_context = (np.bincount(k, x).astype(np.int64) for k, x in ((w, tables), (u, in_context)))
+def _replies(me: int, parts: np.ndarray, sides: list, tables: np.ndarray, s: np.ndarray,
+             in_context: np.ndarray) -> Iterator[Message]:
+    """``r``, to slices: of what they seat, tables of each word, its tables in
+    the parent, tables of each context."""
+    (w_at, w, w_seen), (u_at, u, u_seen) = sides
+    for k, part in enumerate(parts):
+        a, b = slice(w_at[k], w_at[k + 1]), slice(u_at[k], u_at[k + 1])
+        own_w, own_u = w[a][w_seen[a]], u[b][u_seen[b]]
+        yield int(part), "r", me, 0, _pack(*[x.astype("<u4") for x in (tables[own_w], s[own_w], in_context[own_u])])
+
+
+def _parent(me: int, inbox: Inbox, new0: float, d0: float, sweep: int, sampled: bool) -> Iterator[Message]:
+    """An owner's totals and parent seating: ``r`` to the slices; ``h``, kept of
+    a sample: tables of each word, its tables in the parent, tables of each
+    context; ``t``: the sums of the first two."""
+    parts, w_at, w, w_seen, _, tables, u_at, u, u_seen, _, in_context = _unpack(inbox["x"][0][2])
+    more = _joined([payload for _, _, payload in inbox["m"]], 2)
+    tables = tables + _per(w[w_seen], more[0], tables.size)
+    in_context = in_context + _per(u[u_seen], more[1], in_context.size)
     rng = np.random.default_rng([me, sweep, 21])
     s = Dishes(d0).draw(tables, np.full(tables.size, new0), rng)
-    for k, part in enumerate(parts):
-        own_w, own_u = w[w_at[k]:w_at[k + 1]], u[u_at[k]:u_at[k + 1]]
-        yield int(part), "r", me, 0, _pack(tables[own_w], s[own_w], in_context[own_u])
+    yield from _replies(me, parts, [(w_at, w, w_seen), (u_at, u, u_seen)], tables, s, in_context)
+    if sampled:
+        yield me, "h", me, sweep, _pack(*[x.astype("<u4") for x in (tables, s, in_context)])
     yield me, "t", me, 0, _pack(np.array([tables.sum(), s.sum()]))
 
 
-@dataclass
-class Seated:
-    """A slice between sweeps: its pairs, their tables, what the owners told."""
-    word: np.ndarray
-    context: np.ndarray
-    count: np.ndarray
-    cuts: tuple[np.ndarray, np.ndarray]
-    tables: np.ndarray
-    open: np.ndarray
-    total: np.ndarray
-    p: np.ndarray
-    in_context: np.ndarray
-
-    @classmethod
-    def of(cls, inbox: Inbox, totals: Totals, strength: float, t_all: int, s_all: int) -> "Seated":
-        word, context, count, *cuts = _unpack(inbox["k"][0][2])
-        tables, open_, total = (_unpack(inbox["s"][0][2]) if inbox["s"] else
-                                (np.minimum(count, 1), np.zeros(0), np.zeros(count.size)))
-        tw, s, tu = _joined([payload for _, _, payload in inbox["r"]], 3)
-        d0 = totals.discount(1)
-        p = (tw - d0 * s + (strength + d0 * s_all) / (totals.words + 1)) / (strength + t_all)
-        return cls(word, context, count, tuple(cuts), tables.astype(np.int64), open_, total, p, tu)
-
-    def predicted(self, inbox: Inbox, totals: Totals, strength: float) -> np.ndarray:
-        """Probability of each pair by the present seating."""
-        d, customers = totals.discount(0), _joined([payload for _, _, payload in inbox["c"]], 2)[1]
-        left = (strength + d * self.in_context) / (strength + customers)
-        own = (self.count - d * self.tables) / (strength + customers)[self.context]
-        return own + left[self.context] * self.p[self.word]
+def _word_p(tables: np.ndarray, s: np.ndarray, totals: Totals, strength: float, t_all: int, s_all: int) -> np.ndarray:
+    """The parent's probability of words."""
+    d0 = totals.discount(1)
+    return (tables - d0 * s + (strength + d0 * s_all) / (totals.words + 1)) / (strength + t_all)
 
 
 def _sweep(me: int, inbox: Inbox, totals: Totals, strength: float, t_all: int, s_all: int, sweep: int,
            sampled: bool) -> Iterator[Message]:
-    """A slice's next seating. ``s``: tables, openings of large dishes, sum of
-    the samples' probabilities; ``m``, to owners: tables per word and context."""
-    x, d = Seated.of(inbox, totals, strength, t_all, s_all), totals.discount(0)
-    total = x.total + x.predicted(inbox, totals, strength) if sampled else x.total
-    seen = np.flatnonzero(x.count)
-    c = x.count[seen]
+    """A slice's next seating of its pairs seen twice or more. ``s``: tables,
+    openings of large dishes, sum of the samples' tables; ``m``, to owners:
+    tables per word and context."""
+    word, context, c, w_cuts, u_cuts = _unpack(inbox["k2"][0][2])
+    t, open_, total = (_unpack(inbox["s"][0][2]) if inbox["s"] else
+                       (np.ones(c.size, "<u4"), np.zeros(0), np.zeros(c.size, "<u4")))
+    tw, s, tu = _joined([payload for _, _, payload in inbox["r"]], 3)
+    d = totals.discount(0)
     dishes, rng = Dishes(d), np.random.default_rng([me, sweep, 20])
-    if x.open.size:
-        dishes.size, dishes.open = c[c > EXACT], x.open.astype(float)
-    t = np.zeros(x.count.size, np.int64)
-    t[seen] = dishes.draw(c, (strength + d * x.in_context)[x.context[seen]] * x.p[x.word[seen]], rng)
+    if open_.size:
+        dishes.size, dishes.open = c[c > EXACT], open_.astype(float)
+    if c.size:
+        p = _word_p(tw, s, totals, strength, t_all, s_all)
+        t = dishes.draw(c, (strength + d * tu)[context] * p[word], rng)
     opened = np.zeros(0) if dishes.size is None else dishes.open
-    yield me, "s", me, 0, _pack(t.astype("<u4"), opened.astype("<u4"), total)
-    tw = np.bincount(x.word, t, x.p.size).astype("<u4")
-    tu = np.bincount(x.context, t, x.in_context.size).astype("<u4")
-    w_cuts, u_cuts = x.cuts
+    yield me, "s", me, 0, _pack(t.astype("<u4"), opened.astype("<u4"),
+                                (total + t if sampled else total).astype("<u4"))
+    tw, tu = _per(word, t, tw.size).astype("<u4"), _per(context, t, tu.size).astype("<u4")
     for j in np.flatnonzero(np.diff(w_cuts) + np.diff(u_cuts)):
         yield int(j), "m", me, 0, _pack(tw[w_cuts[j]:w_cuts[j + 1]], tu[u_cuts[j]:u_cuts[j + 1]])
 
 
-def _answer_blocks(me: int, inbox: Inbox, totals: Totals, strength: float, t_all: int, s_all: int, samples: int,
+def _samples(me: int, inbox: Inbox) -> Iterator[Message]:
+    """``f``, an owner's words and contexts to the slices that hold them:
+    customers and, of each sample, tables (and, of words, the parent's)."""
+    parts, w_at, w, _, count, _, u_at, u, _, customers, _ = _unpack(inbox["x"][0][2])
+    kept = [_unpack(payload) for _, _, payload in inbox["h"]]
+    of_words = [count, *[a for tables, s, _ in kept for a in (tables, s)]]
+    of_contexts = [customers, *[in_context for _, _, in_context in kept]]
+    for k, part in enumerate(parts):
+        own_w, own_u = w[w_at[k]:w_at[k + 1]], u[u_at[k]:u_at[k + 1]]
+        yield int(part), "f", me, 0, _pack(*[a[own_w].astype("<u4") for a in of_words],
+                                           *[a[own_u].astype("<u4") for a in of_contexts])
+
+
+def _probabilities(inbox: Inbox, totals: Totals, strength: float, sums: list[tuple[int, int]]) -> tuple:
+    """(probability, word's customers) of each pair of a slice, averaged over
+    the samples, whose sums of tables are ``sums``."""
+    runs, context, count = _unpack(inbox["k"][0][2])
+    n, d = len(sums), totals.discount(0)
+    told = [x.astype(np.int64) for x in _joined([payload for _, _, payload in inbox["f"]], 2 + 3 * n)]
+    of_word, samples, customers, in_context = told[0], told[1:1 + 2 * n], told[1 + 2 * n], told[2 + 2 * n:]
+    word = np.repeat(np.arange(runs.size), runs)
+    tables = np.where(count == 1, n, 0)
+    tables[count > 1] = _unpack(inbox["s"][0][2])[2]
+    out = (n * count.astype(np.int64) - d * tables) / (strength + customers)[context]
+    for k, (t_all, s_all) in enumerate(sums):
+        p = _word_p(samples[2 * k], samples[2 * k + 1], totals, strength, t_all, s_all)
+        out += ((strength + d * in_context[k]) / (strength + customers))[context] * p[word]
+    return out / n, of_word[word]
+
+
+def _answer_blocks(me: int, inbox: Inbox, totals: Totals, strength: float, sums: list[tuple[int, int]],
                    slices: int) -> Iterator[Message]:
     """``q``, to the blocks' homes: score and word's training count of each pair."""
-    x = Seated.of(inbox, totals, strength, t_all, s_all)
-    score = np.log10((x.total + x.predicted(inbox, totals, strength)) / samples)
-    count = _joined([payload for _, _, payload in inbox["c"]], 2)[0][x.word]
-    blocks, sizes, at = _unpack(inbox["i"][0][2])
+    p, count = _probabilities(inbox, totals, strength, sums)
+    score, count = np.log10(p).astype("<f4"), count.astype("<u4")
+    blocks, sizes, gaps = _unpack(inbox["i"][0][2])
     ends = _offsets(sizes)
     for k, block in enumerate(blocks):
-        own = at[ends[k]:ends[k + 1]]
+        own = np.cumsum(gaps[ends[k]:ends[k + 1]], dtype=np.int64)
         yield _home(int(block), slices), "q", me, int(block), _pack(score[own], count[own])
 
 
@@ -600,12 +541,14 @@ def _block_scores(messages: list[DataFrame], totals: Totals, slices: int) -> Dat
                 else:
                     pairs[block].append((part, payload))
         for block in sorted(tokens):
-            sizes, ids, valid, _, pair = _unpack(tokens.pop(block))
+            sizes, ids, valid, gaps = _unpack(tokens.pop(block))
             score, count = _joined([payload for _, payload in sorted(pairs.pop(block))], 2)
             base = np.log10((count + 0.1) / (totals.tokens + 0.1 * (totals.words + 1)))
             starts = np.cumsum(sizes) - sizes
+            pair = np.cumsum(gaps, dtype=np.int64)
+            pair -= np.repeat(pair[starts] - gaps[starts], sizes)
             n_known, base, score = (np.add.reduceat(x[pair], starts) for x in
-                                    ((count > 0).astype(np.int64), base, score))
+                                    ((count > 0).astype(np.int64), base, score.astype(float)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, mask=valid == 0), *map(pa.array, (sizes, n_known, base, score))],
                 ["doc_id", "n_tokens", "n_known", "base_score", "score"])
@@ -629,30 +572,39 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(key.alias("doc_id"), held(key).alias("held_out"), F.col(text_col).alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     slices = max(min_slices, -(-size // slice_bytes))
-    parts = _met([_gather(texts, slices)], slices, "slices", lambda me, x: _add_up(me, x, slices), passed="e")
-    replies = _met([parts.where("kind = 'm'")], slices, "owners", _own)
-    n1, n2 = _sums(parts, 2)
-    tokens, words, k1, k2, t_all, s_all = _sums(replies, 6)
-    totals = Totals(tokens, words, np.zeros(0), np.zeros(0), (n1, k1), (n2, k2))
-    d0 = totals.discount(1)
-    pairs, numbers = parts.where("kind = 'k'"), replies.where("kind = 'x'")
-    counts = replies.where("kind = 'c'")
-    told, state, old = replies.where("kind = 'r'"), [], []
+    owners = max(min_slices, slices // SLICES_PER_OWNER)
+    parts = Written(_answers([_gather(texts, slices)], slices, lambda me, x: _add_up(me, x, owners), passed="e"),
+                    "slices")
+    told = Written(_answers([parts["m"]], owners, _own), "owners")
+    parts.drop("m")
+    n1, n2 = parts.sums(2)
+    tokens, words, k1, k2, t_all, s_all = told.sums(6)
+    totals = Totals(tokens, words, (n1, k1), (n2, k2))
+    d0, numbers = totals.discount(1), told["x"]
+    state: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    sums: list[tuple[int, int]] = []
     for k in range(burn_in + samples):
-        sampled = k > burn_in
-        moved = _met([pairs, told, *state, *[counts] * sampled], slices, "seats",
-                     lambda me, x, a=(t_all, s_all, k, sampled): _sweep(me, x, totals, strength, *a))
+        sampled = k >= burn_in
+        moved = Written(_answers([parts["k2"], told["r"], *state], slices,
+                                 lambda me, x, a=(t_all, s_all, k, sampled): _sweep(me, x, totals, strength, *a)),
+                        "seats")
+        told.drop("r")
+        if k:
+            last.drop("s")
         new0 = (strength + d0 * s_all) / (totals.words + 1)
-        replies = _met([numbers, moved.where("kind = 'm'")], slices, "parents",
-                       lambda me, x, a=(new0, d0, k): _parent(me, x, *a))
-        t_all, s_all = _sums(replies, 2)
-        _drop(*old)
-        old = [moved, replies]
-        told, state = replies.where("kind = 'r'"), [moved.where("kind = 's'")]
-    scores = _met([pairs, told, *state, counts, parts.where("kind = 'i'")], slices, "scores",
-                  lambda me, x: _answer_blocks(me, x, totals, strength, t_all, s_all, samples, slices))
-    _drop(*old)
-    out = _block_scores([parts.where("kind = 'e'"), scores], totals, slices)
+        told = Written(_answers([numbers, moved["m"]], owners,
+                                lambda me, x, a=(new0, d0, k, sampled): _parent(me, x, *a)), "parents")
+        moved.drop("m")
+        t_all, s_all = told.sums(2)
+        last, state = moved, [moved["s"]]
+        if sampled:
+            kept.append(told["h"])
+            sums.append((t_all, s_all))
+    found = Written(_answers([numbers, *kept], owners, _samples), "samples")["f"]
+    scores = _answers([parts["k"], parts["i"], found, *state], slices,
+                      lambda me, x: _answer_blocks(me, x, totals, strength, sums, slices))
+    out = _block_scores([parts["e"], scores], totals, slices)
     return out.select(
         "doc_id", held(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
         F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score", "score",

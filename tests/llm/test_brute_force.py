@@ -383,33 +383,85 @@ def test_a_frequent_word_is_dealt_to_many_slices():
     assert max((x[0] == np.uint64(hot)).sum() for x in pairs) < 2 * 20_000 / 16
 
 
+def deliver(messages, receivers, answer):
+    """The answers to messages, without Spark."""
+    inbox = {k: defaultdict(list) for k in range(receivers)}
+    for to, kind, part, block, payload in messages:
+        inbox[to][kind].append((part, block, payload))
+    out = [m for to, own in inbox.items() if own for m in answer(to, {k: sorted(v) for k, v in own.items()})]
+    return {kind: [m for m in out if m[1] == kind] for kind in sorted({m[1] for m in out})}
+
+
 def test_predictive_probabilities_sum_to_one():
-    """Over the known words and the unknown one, in every context."""
-    rng = np.random.default_rng(3)
-    n_ctx, words = 4, [xxhash.xxh64_intdigest(str(k), 0) for k in range(60)]
-    docs = [np.array([words[int(x)] for x in rng.zipf(1.5, 400) % 60], np.uint64) for _ in range(5)]
-    every = np.array([(w & ~3) | c for w in words for c in range(n_ctx)], np.uint64)
-    rows = [(0, p) for _, p in pitman_yor._block_rows([*range(5)], [False] * 5, docs, 1, n_ctx)]
-    seen = pitman_yor._arrays(rows[0][1])[0]
-    absent = np.sort(np.setdiff1d(every, seen))
-    rows.append((1, pitman_yor._payload([
-        absent, *[np.zeros(absent.size, "<u4")] * 2, *[np.zeros(0, "<u4")] * 3, np.zeros(0, "<i8"), np.zeros(0, "u1")])))
-    part = pitman_yor.Slice(rows, n_ctx)
-    known = part.word_count > 0
-    totals = pitman_yor.Totals(
-        int(part.count.sum()), int(known.sum()), part.per_context(part.count, n_ctx),
-        part.per_context(part.count > 0, n_ctx), (20, 5), (10, 5))
-    samples = list(pitman_yor.seat(part, 0, totals, 1.0, 2, 3, n_ctx))
-    tables = np.array([part.per_context(x.tables, n_ctx) for x in samples])
-    parent = np.array([x.parent_tables.sum() for x in samples])
-    p = pitman_yor.predictive(part, iter(samples), totals, tables, parent, 1.0)
-    is_known = known[part.word]
-    unknown = 0
-    for x, tu, s in zip(samples, tables, parent):
-        new0 = (1 + totals.discount(1) * s) / (totals.words + 1) / (1 + tu.sum())
-        unknown = unknown + (1 + totals.discount(0) * tu) / (1 + totals.customers) * new0 / len(samples)
-    for c in range(n_ctx):
-        assert math.isclose(p[(part.context == c) & is_known].sum() + unknown[c], 1, rel_tol=1e-9)
+    """The functions of the jobs, handed their messages: in every context the
+    probabilities of all words, the end and one unknown word sum to one."""
+    rng, v, slices, owners, strength, burn_in, samples = np.random.default_rng(3), 40, 3, 2, 1.0, 2, 3
+    word = xxhash.xxh64_intdigest
+    names = np.array([word(f"w{k}".encode(), 0) for k in range(v)], np.uint64)
+    train = [np.append(names[rng.zipf(1.4, 50) % v], np.uint64(pitman_yor._END)) for _ in range(60)]
+    asked = np.array([*sorted({w for t in train for w in t.tolist()}), word(b"unknown", 0)], np.uint64)
+    # each (context, word) once, in documents that train nothing
+    held = [np.array([c, w], np.uint64) for c in asked.tolist() for w in asked.tolist()]
+    blocks = [(train[:30], [False] * 30), (train[30:] + held, [False] * 30 + [True] * len(held))]
+    gathered = [m for k, (docs, out) in enumerate(blocks)
+                for m in pitman_yor._block_messages(k, [*range(len(docs))], out, docs, slices)]
+    as_inbox = lambda f: (lambda me, x: f(me, defaultdict(list, x)))
+    parts = deliver([m for m in gathered if m[1] == "p"], slices, as_inbox(
+        lambda me, x: pitman_yor._add_up(me, x, owners)))
+    told = deliver(parts["m"], owners, as_inbox(pitman_yor._own))
+
+    def sums(messages):
+        return [int(sum(x)) for x in zip(*(pitman_yor._unpack(m[4])[0] for m in messages))]
+
+    n1, n2 = sums(parts["t"])
+    tokens, words, k1, k2, t_all, s_all = sums(told["t"])
+    assert (tokens, words) == (sum(t.size for t in train), asked.size - 1)
+    totals = pitman_yor.Totals(tokens, words, (n1, k1), (n2, k2))
+    numbers, state, kept, per_sample = told["x"], [], [], []
+    for k in range(burn_in + samples):
+        on, d0 = k >= burn_in, totals.discount(1)
+        moved = deliver(parts["k2"] + told["r"] + state, slices, as_inbox(
+            lambda me, x: pitman_yor._sweep(me, x, totals, strength, t_all, s_all, k, on)))
+        new0 = (strength + d0 * s_all) / (totals.words + 1)
+        told = deliver(numbers + moved["m"], owners, as_inbox(
+            lambda me, x: pitman_yor._parent(me, x, new0, d0, k, on)))
+        (t_all, s_all), state = sums(told["t"]), moved["s"]
+        if on:
+            kept += told["h"]
+            per_sample.append((t_all, s_all))
+    found = deliver(numbers + kept, owners, as_inbox(pitman_yor._samples))["f"]
+    scores = deliver(parts["k"] + parts["i"] + found + state, slices, as_inbox(
+        lambda me, x: pitman_yor._answer_blocks(me, x, totals, strength, per_sample, slices)))
+    held_scores = {}
+    for block, (docs, _) in enumerate(blocks):
+        replies = sorted((m[2], m[4]) for m in scores["q"] if m[3] == block)
+        score = np.concatenate([pitman_yor._unpack(p)[0] for _, p in replies]).astype(float)
+        tokens_of = next(m[4] for m in gathered if m[1] == "e" and m[3] == block)
+        sizes, ids, _, gaps = pitman_yor._unpack(tokens_of)
+        at = 0
+        for size, k in zip(sizes, ids):
+            pairs = np.cumsum(gaps[at:at + size], dtype=np.int64)
+            at += size
+            held_scores[block, int(k)] = score[pairs]
+    # P(first word c) times the sum over all next words, added up over all c
+    assert math.isclose(sum(10 ** x.sum() for (block, k), x in held_scores.items() if block and k >= 30), 1,
+                        rel_tol=1e-5)
+
+
+def test_scores_of_a_text_without_repetition(spark):
+    """One text of distinct words: every dish has one table, so nothing is
+    drawn and the probabilities follow from the formula."""
+    n = 30
+    text = " ".join(f"w{k}" for k in range(n - 1))
+    df = spark.createDataFrame([(1, text), (2, "w1 w2 other")], "doc_id bigint, text string")
+    held = {k: zlib.crc32(str(k).encode()) % 10 == 0 for k in (1, 2)}
+    df = df.where("doc_id = 1") if not held[2] else df
+    got = {r.doc_id: r for r in pitman_yor.score_documents(df, min_slices=3).collect()}
+    d = d0 = 0.95  # all dishes have one customer
+    p = (1 - d0 + (1 + d0 * n) / (n + 1)) / (1 + n)
+    want = n * math.log10((1 - d) / 2 + (1 + d) / 2 * p)
+    assert math.isclose(got[1].score, want, rel_tol=1e-5) and got[1].train_tokens == n
+
 
 
 def test_marginals_equal_enumeration():
