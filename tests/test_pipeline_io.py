@@ -4,6 +4,7 @@ published build, its gates, run log and audit."""
 from __future__ import annotations
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -157,8 +158,12 @@ def test_files_round_trip_and_full_run(spark, small_warehouse, tmp_path):
     for name in SOURCE:
         assert sources[name].exceptAll(small_warehouse.sources[name]).isEmpty()
         assert small_warehouse.sources[name].exceptAll(sources[name]).isEmpty()
+    back, products = sources["products"].drop("attributes"), small_warehouse.sources["products"].drop("attributes")
+    assert back.exceptAll(products).isEmpty() and products.exceptAll(back).isEmpty()
+    for path in (tmp_path / "landing" / "products.json").glob("part-*"):
+        assert isinstance(json.loads(path.read_text()), list)  # each file an array, as landed
     lake = str(tmp_path / "lake")
-    counts = run_pipeline(spark, sources, lake, as_of=dt.date(2002, 1, 1))  # all gates pass
+    counts = run_pipeline(spark, str(tmp_path / "landing"), lake, as_of=dt.date(2002, 1, 1))  # all gates pass
     star = published_star(spark, lake)
     assert counts["fact_sales"] == counts["stg_order_items"] == star["fact_sales"].count()
     want = A.revenue_by_category(small_warehouse.star).collect()
