@@ -3,22 +3,28 @@
 1. Texts are cut into pieces and words once. A task numbers the words of a
    run of documents of one language and writes them as flat arrays: the run's
    distinct word hashes, and a place in them for each text position (0 between
-   pieces). The run's word counts go through one aggregation.
+   pieces); beside them the run's words and their counts.
 2. Apriori, level by level: a phrase of k words is a candidate if both phrases
-   of k - 1 words in it may be frequent. Frequent shorter phrases are a bitmap
-   of fixed size (a false hit only makes a candidate more). Candidates are
-   gathered per run, summed, and kept if they may reach the least count.
-3. Candidates are dealt to blocks of bounded size by their hash. A block is a
+   of k - 1 words in it may be frequent. Each run gathers its phrases; only
+   ``KEY_BITS`` of a phrase's hash and its count are shuffled and summed, with
+   the first run that holds it. A key that reaches the least count is put into
+   a bitmap of fixed size together with that run, which then spells it out. A
+   false hit of a bitmap makes a candidate more, never one fewer.
+3. Candidates are dealt to blocks of bounded size by their first words (those
+   of a very frequent first word by their second too). A block is a
    double-array trie over the block's own words, built in a task and broadcast
-   alone. numpy moves the states of all text positions of a run at once, one
-   level after the other; accepting states are counted by ``bincount`` and the
-   runs' counts are summed. More candidates are more blocks.
+   alone. numpy moves the states of all text positions of a run that begin a
+   phrase of the block at once, one level after the other; accepting states are
+   counted by ``bincount`` and the runs' counts are summed. More candidates are
+   more blocks, each over fewer positions.
+   Phrases that share a key are noticed, since their counts do not add up to
+   the key's sum, and are spelled out by all runs and counted too.
 4. Counts are joined to their parts' counts; cuts are scored in exact decimal
    arithmetic; the best of each language come from bounded first rounds.
 
-Word hashes are 64 bits of language and word; that no two words of the corpus
-share one is checked, and another seed is taken if they do. A hot word, pair
-or language is summed in each run before it is shuffled.
+Word hashes are 64 bits of language and word; that no other word of the corpus
+shares a frequent word's is checked, and another seed is taken if one does. A
+hot word, pair or language is summed in each run before it is shuffled.
 
 Defined cases: a null text has no words, a null language is ``und`` (one group
 with a literal ``und``); repeated rows and null ids count each; an empty table
@@ -34,10 +40,12 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstar.llm.common import text_bytes, written
+from shopstar.llm.common import text_bytes, written, written_once
 
 LEAST = 10
 LONGEST = 3
@@ -46,11 +54,13 @@ TOP = 2000
 COVER = 50
 SCALE = 1_000_000
 #: Positions of a run; bytes of a text that are split at a time.
-RUN_TOKENS = 1 << 20
+RUN_TOKENS = 1 << 21
 SPLIT_BYTES = 1 << 22
+#: Bits of a phrase's hash that its first sums go by.
+KEY_BITS = 48
 #: log2 of the bits of a level's bitmap of frequent phrases.
 FILTER_BITS = 26
-#: Candidates of a block: its trie takes some 100 bytes for each.
+#: Candidates of a block on average: its trie takes some 50 bytes for each.
 BLOCK = 1 << 18
 #: Bits of a digit of a word's number in a trie.
 DIGIT_BITS = 10
@@ -80,37 +90,46 @@ def _numbered(pieces: bytes, numbers: _Numbers) -> np.ndarray:
     return np.append(found[found >= 0], np.int32(0))
 
 
-_RUN = "lang string, words binary, tokens binary, word binary, h bigint, f bigint"
+def _seeded(seed: int, lang: str) -> int:
+    """The seed of a language's word hashes, as Spark's xxhash64(seed, lang, word) has it."""
+    return xxhash.xxh64_intdigest(lang.encode(), xxhash.xxh64_intdigest(seed.to_bytes(8, "little"), 42))
+
+
+def _hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed).cast("long"), F.col("lang"), F.col("word"))
+
+
+_RUN = "run bigint, lang string, words binary, tokens binary, word binary, f bigint"
 
 
 def _runs(docs: DataFrame, text_col: str, lang_col: str, seed: int, run_tokens: int) -> DataFrame:
-    """Two kinds of rows: runs (lang, words, tokens) and word counts of a run
-    (lang, word, h, f)."""
+    """Two kinds of rows: runs (run, lang, words, tokens), and the words of a run
+    (lang, word, f)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("lang", pa.string()), ("words", pa.binary()), ("tokens", pa.binary()),
-                            ("word", pa.binary()), ("h", pa.int64()), ("f", pa.int64())])
+        number = TaskContext.get().partitionId() << 32
+        schema = pa.schema([("run", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("tokens", pa.binary()),
+                            ("word", pa.binary()), ("f", pa.int64())])
         open_: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal number
             for lang, (numbers, parts) in open_.items():
                 words = [w for w, n in numbers.items() if n > 0]
                 if not words:
                     continue
-                tokens = np.concatenate(parts)
-                base = xxhash.xxh64_intdigest(lang.encode(), seed)
+                tokens, base = np.concatenate(parts), _seeded(seed, lang)
                 hashes = np.array([xxhash.xxh64_intdigest(w, base) for w in words], np.uint64)
                 f = np.bincount(tokens, minlength=len(words) + 1)[1:]
-                small = tokens.astype(np.uint16 if len(words) < 1 << 16 else np.uint32)
-                yield pa.RecordBatch.from_pylist([{"lang": lang, "words": hashes.tobytes(), "tokens": small.tobytes()}],
+                number += 1
+                yield pa.RecordBatch.from_pylist([{"run": number, "lang": lang, "words": hashes.tobytes(), "tokens": _small(tokens)}],
                                                  schema)
                 for k in range(0, len(words), 1 << 16):
                     part = slice(k, k + (1 << 16))
                     n = len(words[part])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
-                         pa.array(words[part], pa.binary()), pa.array(hashes[part].view(np.int64)),
-                         pa.array(f[part])], schema=schema)
+                        [pa.nulls(n, pa.int64()), pa.array([lang] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+                         pa.array(words[part], pa.binary()), pa.array(f[part])], schema=schema)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -131,13 +150,19 @@ def _runs(docs: DataFrame, text_col: str, lang_col: str, seed: int, run_tokens:
                        F.col(text_col).alias("text")).mapInArrow(run, _RUN)
 
 
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(hashes, tokens) of each run: hash 0 stands for no word."""
+def _small(tokens: np.ndarray) -> bytes:
+    """Numbers byte by byte, all lowest bytes first: high bytes are mostly zero."""
+    planes = tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(hashes, tokens, number) of each run: hash 0 stands for no word."""
     for batch in batches:
-        for words, tokens in zip(batch.column(0), batch.column(1)):
-            hashes = np.frombuffer(words.as_py(), np.uint64)
-            kind = np.uint16 if hashes.size < 1 << 16 else np.uint32
-            yield np.concatenate((np.zeros(1, np.uint64), hashes)), np.frombuffer(tokens.as_py(), kind).astype(np.int64)
+        for words, tokens, number in zip(*batch.columns):
+            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(tokens.as_py()), np.uint8).reshape(4, -1)
+            yield (np.concatenate((np.zeros(1, np.uint64), np.frombuffer(words.as_py(), np.uint64))),
+                   np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64), number.as_py())
 
 
 def _mixed(hashes: list[np.ndarray]) -> np.ndarray:
@@ -148,72 +173,110 @@ def _mixed(hashes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _bitmap(phrases: DataFrame, k: int, bits: int) -> np.ndarray:
-    """The hashes of ``phrases`` (h1..hk) as a bitmap of 2**bits bits, one row
-    per 64 of them at most on the driver."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            place = _mixed([b.column(j).to_numpy().view(np.uint64) for j in range(k)]) >> np.uint64(64 - bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((place >> np.uint64(6)).astype(np.int64)),
-                 pa.array((np.uint64(1) << (place & np.uint64(63))).view(np.int64))], ["slot", "bits"])
-
-    slots = phrases.select(*[f"h{j + 1}" for j in range(k)]).mapInArrow(run, "slot bigint, bits bigint").groupBy(
-        "slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(max(1, 1 << (bits - 6)), np.uint64)
+def _key(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - KEY_BITS)
+
+
+def _salt(number: int) -> np.uint64:
+    """What a run's number changes its keys by where key and run go together."""
+    return np.uint64(xxhash.xxh64_intdigest(number.to_bytes(8, "little", signed=True), 42) >> (64 - KEY_BITS))
+
+
+_SALTED = "key ^ shiftrightunsigned(xxhash64(run), {})".format(64 - KEY_BITS)
+
+
+def _bitmap(keys: DataFrame, key: str, bits: int):
+    """The first ``bits`` bits of the keys as a broadcast bitmap, at most one
+    row per 64 of them on the driver."""
+    place = F.shiftrightunsigned(F.expr(key), KEY_BITS - bits)
+    slots = keys.groupBy(F.shiftrightunsigned(place, 6).alias("slot")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")))
+        .alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
     out[slots.column(0).to_numpy()] = slots.column(1).to_numpy().view(np.uint64)
-    return out
+    return keys.sparkSession.sparkContext.broadcast(out)
 
 
-def _holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(64 - (bitmap.size.bit_length() + 5))
+def _holds(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys >> np.uint64(KEY_BITS - (bitmap.size.bit_length() + 5))
     return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _candidates(runs: DataFrame, shorter: DataFrame, k: int, least: int, bits: int) -> DataFrame:
-    """(h1..hk, n): phrases of k words whose parts of k - 1 may be frequent,
-    gathered in the runs; ``n`` is at least ``least``."""
-    shared = runs.sparkSession.sparkContext.broadcast(_bitmap(shorter, k - 1, bits))
-    names = [f"h{j + 1}" for j in range(k)]
+def _frequent_words(rows: DataFrame, seed: int, least: int, bits: int) -> tuple[DataFrame, object] | None:
+    """(lang, word, h, f) of the words with ``least`` occurrences or more, and
+    the bitmap of their hashes; None if another word has the hash of one."""
+    hashed = rows.withColumn("h", _hash(seed))
+    keys = hashed.groupBy(F.shiftrightunsigned("h", 64 - KEY_BITS).alias("key")).agg(F.sum("f").alias("n")) \
+        .where(F.col("n") >= least)
+    shared = _bitmap(written_once(keys.select("key"), "phrase_keys"), "key", bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_holds(shared.value, _key(b.column(2).to_numpy().view(np.uint64)))))
+
+    found = written_once(hashed.select("lang", "word", "h", "f").mapInArrow(
+        run, "lang string, word binary, h bigint, f bigint").groupBy("lang", "word", "h").agg(F.sum("f").alias("f")),
+        "phrase_words")
+    alike = found.groupBy("h").agg(F.count("*").alias("n"), F.max("f").alias("f")).where(
+        (F.col("f") >= least) & ((F.col("n") > 1) | (F.col("h") == 0)))
+    return None if alike.limit(1).collect() else (found.where(F.col("f") >= least), shared)
+
+
+def _gathered(runs: DataFrame, k: int, shorter, own=None, salted: bool = True) -> DataFrame:
+    """Each run's phrases of k words whose parts of k - 1 words the bitmap
+    ``shorter`` holds: (key, n, run), or (h1..hk) of those that the bitmap
+    ``own`` holds for the run (if not ``salted``: for any run)."""
+    names = ["key", "n", "run"] if own is None else [f"h{j + 1}" for j in range(k)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
-        for hashes, tokens in _opened(batches):
+        for hashes, tokens, number in _opened(batches):
             at = [tokens[j:tokens.size - k + 1 + j] for j in range(k)]
             if k == 2:  # words are tested once, not at each position
-                good = _holds(bitmap, hashes)
+                good = _holds(shorter.value, _key(hashes))
                 good[0] = False
                 ok = good[at[0]] & good[at[1]]
             else:
-                parts = [_holds(bitmap, _mixed([hashes[a] for a in at[j:j + k - 1]])) for j in range(2)]
-                ok = parts[0] & parts[1]
-                for a in at:
-                    ok &= a > 0
+                shifted = [tokens[j:tokens.size - k + 2 + j] for j in range(k - 1)]
+                part = _holds(shorter.value, _key(_mixed([hashes[x] for x in shifted])))
+                part &= np.logical_and.reduce([x > 0 for x in shifted])
+                ok = part[:-1] & part[1:]
             rows = [a[ok] for a in at]
             if not rows[0].size:
                 continue
-            # a phrase as one number of the run, where it fits
             size = hashes.size
-            if size ** k < 1 << 63:
+            if size ** k < 1 << 63:  # a phrase as one number of the run, where it fits
                 code = rows[0]
                 for r in rows[1:]:
                     code = code * size + r
                 code, n = np.unique(code, return_counts=True)
                 cols = []
                 for _ in range(k):
-                    cols.append(code % size)
+                    cols.append(hashes[code % size])
                     code = code // size
                 cols.reverse()
             else:
                 found, n = np.unique(np.stack(rows, axis=1), axis=0, return_counts=True)
-                cols = list(found.T)
-            for lo in range(0, n.size, 1 << 17):
-                part = slice(lo, lo + (1 << 17))
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(hashes[c[part]].view(np.int64)) for c in cols], pa.array(n[part])], [*names, "n"])
+                cols = [hashes[c] for c in found.T]
+            key = _key(_mixed(cols))
+            if own is None:
+                cols = [key, n, np.full(n.size, number)]
+            else:
+                held = _holds(own.value, key ^ _salt(number) if salted else key)
+                cols = [c[held] for c in cols]
+            for lo in range(0, cols[0].size, 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + (1 << 17)].view(np.int64)) for c in cols], names)
+
+    found = runs.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
+    return found.groupBy("key").agg(F.sum("n").alias("n"), F.min("run").alias("run")) if own is None \
+        else found.distinct()
 
-    schema = ", ".join(f"{n} bigint" for n in [*names, "n"])
-    return runs.mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+def _candidates(runs: DataFrame, shorter, k: int, least: int, bits: int) -> tuple[DataFrame, DataFrame, object]:
+    """(key, n, run) of the keys of k words that reach ``least``, (h1..hk) of
+    their phrases, and the bitmap of the keys."""
+    keys = written_once(_gathered(runs, k, shorter).where(F.col("n") >= least), "phrase_keys")
+    phrases = _gathered(runs, k, shorter, _bitmap(keys, _SALTED, bits))
+    return keys, written_once(phrases, f"phrases_{k}"), _bitmap(keys, "key", bits)
 
 
 class DoubleArray:
@@ -248,8 +311,8 @@ class DoubleArray:
         self.base[slot] = shift
         self.check = np.full(size, -1)
         self.check[slot[1:]] = slot[parent]
-        self.accept = np.full(size, -1)
-        self.accept[slot[node]] = order
+        self.ends = np.empty(order.size, np.int64)
+        self.ends[order] = slot[node]
 
     @property
     def digits(self) -> int:
@@ -265,7 +328,7 @@ class DoubleArray:
         rounds of random shifts, those with one child into what is free."""
         rng = np.random.default_rng(1)
         alphabet = 1 << DIGIT_BITS
-        size = 3 * label.size + 2 * alphabet
+        size = label.size + label.size // 4 + 2 * alphabet
         used = np.zeros(size, bool)
         used[0] = True  # the root
         shift = np.zeros(nodes, np.int64)
@@ -303,84 +366,96 @@ class DoubleArray:
         shift[parent[single]] = free - label[single]
         return shift, max(size, int(shift.max(initial=0)) + alphabet)
 
-    def count(self, hashes: np.ndarray, tokens: np.ndarray, width: int) -> np.ndarray:
-        """How often each phrase stands at consecutive positions of a run."""
+    def count(self, hashes: np.ndarray, tokens: np.ndarray, width: int, firsts: np.ndarray) -> np.ndarray:
+        """How often each phrase stands at consecutive positions of a run.
+        ``firsts``: the numbers of the words that begin a phrase."""
         at = np.minimum(np.searchsorted(self.words, hashes), self.words.size - 1)
         number = np.where(self.words[at] == hashes, at, -1)
         number[0] = -1
-        numbers = number[tokens]
-        place = np.flatnonzero(numbers >= 0)
+        begins = np.zeros(self.words.size + 1, bool)
+        begins[firsts] = True
+        place = np.flatnonzero(begins[number][tokens])
         state = np.zeros(place.size, np.int64)
         counts = np.zeros(self.check.size, np.int64)
         for level in range(width):
-            inside = place + level < numbers.size
+            inside = place + level < tokens.size
             place, state = place[inside], state[inside]
-            word = numbers[place + level]
+            word = number[tokens[place + level]]
             place, state, word = place[word >= 0], state[word >= 0], word[word >= 0]
             for d in range(self.digits):
                 to = self.base[state] + self._digit(word, d)
                 ok = self.check[to] == state
                 place, state, word = place[ok], to[ok].astype(np.int64), word[ok]
             counts += np.bincount(state, minlength=self.check.size)
-        out = np.zeros(int(self.accept.max()) + 1, np.int64)
-        ends = self.accept >= 0
-        out[self.accept[ends]] = counts[ends]
-        return out
+        return counts[self.ends]
 
 
-_ARRAYS = ("words", "base", "check", "accept", "phrases")
+#: The arrays of a block: its trie, and its phrases as numbers of the trie's words (-1 beyond a phrase's end).
+_ARRAYS = {"words": np.uint64, "base": np.int32, "check": np.int32, "ends": np.int32, "phrases": np.int32}
 
 
-def _tries(candidates: DataFrame, width: int, blocks: int) -> DataFrame:
-    """(block, the trie's arrays) with a row per block of candidates."""
-    names = [f"h{j + 1}" for j in range(width)]
+def _blocks(candidates: DataFrame, names: list[str], block: int) -> tuple[DataFrame, int]:
+    """The candidates with their block, and the number of blocks."""
+    firsts = written_once(candidates.groupBy("h1").agg(F.count("*").alias("n")), "phrase_firsts")
+    total = firsts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // block))
+    wide = firsts.where(F.col("n") > max(1, block // 8)).select("h1", F.lit(True).alias("wide"))  # 8 * blocks rows at most
+    deal = F.when(F.col("wide"), F.xxhash64("h1", "h2")).otherwise(F.xxhash64("h1"))
+    return candidates.join(F.broadcast(wide), "h1", "left").select(
+        *names, F.pmod(deal, F.lit(blocks)).cast("int").alias("block")), blocks
+
 
+def _tries(candidates: DataFrame, names: list[str]) -> DataFrame:
+    """(block, the arrays) with a row per block of candidates."""
     def build(table: pa.Table) -> pa.Table:
         phrases = np.stack([table.column(n).to_numpy() for n in names], axis=1).view(np.uint64)
         trie = DoubleArray(phrases)
-        arrays = [trie.words, trie.base.astype(np.int32), trie.check.astype(np.int32), trie.accept.astype(np.int32),
-                  phrases]
-        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()),
-                         **{n: pa.array([a.tobytes()], pa.binary()) for n, a in zip(_ARRAYS, arrays)}})
+        numbers = np.where(phrases != 0, np.searchsorted(trie.words, phrases), -1)
+        arrays = (trie.words, trie.base, trie.check, trie.ends, numbers)
+        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), **{
+            n: pa.array([a.astype(kind).tobytes()], pa.binary()) for (n, kind), a in zip(_ARRAYS.items(), arrays)}})
 
-    block = F.pmod(F.xxhash64(*names), F.lit(blocks)).cast("int").alias("block")
-    return candidates.select(*names, block).groupBy("block").applyInArrow(
-        build, "block int, " + ", ".join(f"{n} binary" for n in _ARRAYS))
+    return candidates.groupBy("block").applyInArrow(build, "block int, " + ", ".join(f"{n} binary" for n in _ARRAYS))
 
 
 def phrase_counts(runs: DataFrame, candidates: DataFrame, width: int, block: int) -> DataFrame:
-    """(h1..h<width>, a): how often each candidate occurs in the runs."""
+    """(h1..h<width>, key, a): how often each candidate (0 beyond its end)
+    occurs in the runs, and its key."""
     names = [f"h{j + 1}" for j in range(width)]
-    schema = ", ".join(f"{n} bigint" for n in [*names, "a"])
+    schema = ", ".join(f"{n} bigint" for n in [*names, "key", "a"])
     spark = runs.sparkSession
-    blocks = max(1, -(-candidates.count() // block))
-    tries = written(_tries(candidates, width, blocks), "phrase_tries")
-    found: DataFrame | None = None
+    dealt, blocks = _blocks(candidates, names, block)
+    tries = written_once(_tries(dealt, names), "phrase_tries")
+    found = spark.createDataFrame([], schema)
     for k in range(blocks):
-        row = tries.where(F.col("block") == k).drop("block").first()
-        if row is None:
+        rows = tries.where(F.col("block") == k).drop("block").toArrow()
+        if not rows.num_rows:
             continue
-        shared = spark.sparkContext.broadcast(tuple(bytes(x) for x in row))
+        shared = spark.sparkContext.broadcast(tuple(rows.column(n)[0].as_py() for n in _ARRAYS))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             trie = DoubleArray.__new__(DoubleArray)
-            kinds = (np.uint64, np.int32, np.int32, np.int32, np.uint64)
-            trie.words, trie.base, trie.check, trie.accept, phrases = (
-                np.frombuffer(x, t) for x, t in zip(shared.value, kinds))
-            phrases = phrases.reshape(-1, width).view(np.int64)
+            trie.words, trie.base, trie.check, trie.ends, phrases = (
+                np.frombuffer(x, t) for x, t in zip(shared.value, _ARRAYS.values()))
+            phrases = phrases.reshape(-1, width)
+            firsts = np.unique(phrases[:, 0])
             total = np.zeros(phrases.shape[0], np.int64)
-            for hashes, tokens in _opened(batches):
-                total += trie.count(hashes, tokens, width)
+            for hashes, tokens, _ in _opened(batches):
+                total += trie.count(hashes, tokens, width, firsts)
             seen = np.flatnonzero(total)
             for lo in range(0, seen.size, 1 << 17):
-                part = seen[lo:lo + (1 << 17)]
+                part = phrases[seen[lo:lo + (1 << 17)]]
+                cols = [np.where(part[:, j] >= 0, trie.words[part[:, j]], np.uint64(0)) for j in range(width)]
+                key = _key(_mixed(cols[:2]))
+                for j in range(2, width):
+                    key = np.where(part[:, j] >= 0, _key(_mixed(cols[:j + 1])), key)
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.ascontiguousarray(phrases[part, j])) for j in range(width)], pa.array(total[part])],
-                    [*names, "a"])
+                    [*[pa.array(c.view(np.int64)) for c in (*cols, key)], pa.array(total[seen[lo:lo + (1 << 17)]])],
+                    [*names, "key", "a"])
 
-        own = runs.mapInArrow(run, schema).groupBy(*names).agg(F.sum("a").alias("a"))
-        found = own if found is None else found.unionByName(own)
-    return found if found is not None else spark.createDataFrame([], schema)
+        own = runs.mapInArrow(run, schema).groupBy(*names, "key").agg(F.sum("a").alias("a"))
+        found = own if k == 0 else found.unionByName(own)
+    return written_once(found, "phrase_counts")
 
 
 def _score(l_: str, r: str) -> Column:
@@ -407,19 +482,27 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     of two and three words."""
     for seed in count():
         runs = written(_runs(docs, text_col, lang_col, seed, run_tokens), "phrase_runs")
-        words = written(runs.where("word is not null").groupBy("lang", "word", "h").agg(F.sum("f").alias("f")),
-                        "phrase_words")
-        if not words.groupBy("h").agg(F.count("*").alias("n")).where("n > 1 or h = 0").limit(1).collect():
+        words = runs.where("word is not null").select("lang", "word", "f")
+        if found := _frequent_words(words, seed, least, filter_bits):
             break
-    runs = runs.where("word is null").select("words", "tokens")
-    frequent = words.where(F.col("f") >= least)
-    singles = frequent.select(F.col("h").alias("h1"))
-    pairs = written(_candidates(runs, singles, 2, least, filter_bits), "phrase_pairs")
-    triples = written(_candidates(runs, pairs, 3, least, filter_bits), "phrase_triples")
+    frequent, singles = found
+    runs = runs.where("word is null").select("words", "tokens", "run")
+    keys2, pairs, twos = _candidates(runs, singles, 2, least, filter_bits)
+    keys3, triples, _ = _candidates(runs, twos, 3, least, filter_bits)
     zero = F.lit(0).cast("long").alias("h3")
-    counted = written(phrase_counts(
-        runs, pairs.select("h1", "h2", zero).unionByName(triples.select("h1", "h2", "h3")), LONGEST, block)
-        .where(F.col("a") >= least), "phrase_counts")
+    counted = phrase_counts(runs, pairs.select("h1", "h2", zero).unionByName(triples), LONGEST, block)
+    # a key whose phrases do not add up to its sum has phrases that its run did not hold
+    size = F.when(F.col("h3") == 0, 2).otherwise(3).alias("size")
+    sums = counted.groupBy(size, "key").agg(F.sum("a").alias("known"))
+    shared = written_once(
+        keys2.select(F.lit(2).alias("size"), "key", "n").unionByName(keys3.select(F.lit(3).alias("size"), "key", "n"))
+        .join(sums, ["size", "key"], "left").where(F.coalesce("known", F.lit(0)) != F.col("n")), "shared_keys")
+    if shared.limit(1).collect():
+        more = [_gathered(runs, k, shorter, _bitmap(shared.where(F.col("size") == k), "key", filter_bits), salted=False)
+                for k, shorter in ((2, singles), (3, twos))]
+        rest = more[0].select("h1", "h2", zero).unionByName(more[1]).join(counted, ["h1", "h2", "h3"], "left_anti")
+        counted = counted.unionByName(phrase_counts(runs, written_once(rest, "shared_phrases"), LONGEST, block))
+    counted = counted.where(F.col("a") >= least).drop("key")
 
     def word(k: int) -> DataFrame:
         return frequent.select(F.col("h").alias(f"h{k}"), F.col("word").cast("string").alias(f"w{k}"),

@@ -46,5 +46,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """As ``written``; the job's shuffle files are deleted once it is done."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def text_bytes(value: str | None) -> bytes:
     return (value or "").encode("utf-8", "surrogatepass")

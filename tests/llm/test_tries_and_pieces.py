@@ -65,19 +65,28 @@ def test_collocations_equal_plain_counts(spark, phrase_docs, params):
 
 def test_word_hash_collisions_take_another_seed(spark, phrase_docs, monkeypatch):
     docs = phrase_docs[:60]
-    real, seeds = collocations._runs, []
+    real, seeds = collocations._hash, []
 
-    def colliding(df, text_col, lang_col, seed, run_tokens):
+    def colliding(seed):
         seeds.append(seed)
-        runs = real(df, text_col, lang_col, seed, run_tokens)
-        return runs.selectExpr("lang", "words", "tokens", "word", "h % 3 AS h", "f") if seed == 0 else runs
+        return real(seed) % 3 if seed == 0 else real(seed)
 
-    monkeypatch.setattr(collocations, "_runs", colliding)
+    monkeypatch.setattr(collocations, "_hash", colliding)
     df = spark.createDataFrame(docs, "lang string, text string")
     assert sorted(tuple(r) for r in collocations.collocations(df).collect()) == plain_collocations(docs)
     assert seeds == [0, 1]
 
 
+def test_phrases_that_share_a_key_are_all_counted(spark, phrase_docs, monkeypatch):
+    """Keys of a few bits: most keys have several phrases, in different runs."""
+    real = collocations._key
+    monkeypatch.setattr(collocations, "_mixed", lambda hashes: collocations.np.bitwise_xor.reduce(hashes) % 7 << 50
+                        if len(hashes) > 1 else hashes[0])
+    df = spark.createDataFrame(phrase_docs, "lang string, text string")
+    got = sorted(tuple(r) for r in collocations.collocations(df, run_tokens=400).collect())
+    assert got == plain_collocations(phrase_docs) and real is collocations._key
+
+
 def test_double_array_counts_like_a_dictionary():
     rng = np.random.default_rng(4)
     words = rng.integers(1, 1 << 62, 3000).astype(np.uint64)  # more than one digit a word
@@ -91,7 +100,8 @@ def test_double_array_counts_like_a_dictionary():
         phrases[k, :len(p)] = hashes[list(p)]
     trie = collocations.DoubleArray(phrases)
     assert trie.digits == 2
-    assert trie.count(hashes, tokens, 3).tolist() == [seen[p] for p in chosen]
+    firsts = np.unique(np.searchsorted(trie.words, phrases[:, 0]))
+    assert trie.count(hashes, tokens, 3, firsts).tolist() == [seen[p] for p in chosen]
 
 
 # -- pieces ----------------------------------------------------------------
