@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from shopstar.functions.cleaning import date_key
 
 
+def _month(day: dt.date) -> int:
+    return day.year * 100 + day.month
+
+
 @dataclass(frozen=True)
 class QueryFilters:
     start_date: dt.date | None = None
@@ -30,12 +34,17 @@ class QueryFilters:
         object.__setattr__(self, "categories", tuple(self.categories))
         object.__setattr__(self, "channels", tuple(self.channels))
 
-    def _dates(self, df: DataFrame, col: str) -> DataFrame:
-        """Bounds as the keys of their days: constants that reach the scan."""
+    def _dates(self, df: DataFrame, col: str, month: str) -> DataFrame:
+        """Bounds as the keys of their days: constants that reach the scan.
+        Over a fact written by month they bound the months too, so that other
+        months' folders are not listed for reading."""
+        by_month = month in df.columns
         if self.start_date:
             df = df.where(F.col(col) >= date_key(F.lit(self.start_date)))
+            df = df.where(F.col(month) >= _month(self.start_date)) if by_month else df
         if self.end_date:
             df = df.where(F.col(col) <= date_key(F.lit(self.end_date)))
+            df = df.where(F.col(month) <= _month(self.end_date)) if by_month else df
         return df
 
     def _channels(self, df: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
@@ -46,7 +55,7 @@ class QueryFilters:
 
     def sales(self, star: dict[str, DataFrame]) -> DataFrame:
         """``fact_sales`` restricted to the slice."""
-        f = self._dates(star["fact_sales"], "order_date_key")
+        f = self._dates(star["fact_sales"], "order_date_key", "order_month")
         if self.categories:
             cats = star["dim_category"].where(F.col("parent_category").isin(*self.categories))
             f = f.join(cats.select("category_key"), "category_key", "left_semi")
@@ -54,7 +63,7 @@ class QueryFilters:
 
     def returns(self, star: dict[str, DataFrame]) -> DataFrame:
         """``fact_returns`` restricted to the slice (category via the product)."""
-        r = self._dates(star["fact_returns"], "return_date_key")
+        r = self._dates(star["fact_returns"], "return_date_key", "return_month")
         if self.categories:
             cats = star["dim_category"].where(F.col("parent_category").isin(*self.categories))
             prods = star["dim_product"].join(cats.select("category_key"), "category_key",

@@ -172,9 +172,8 @@ def analytics_checks(star: dict[str, DataFrame], as_of: dt.date,
 def staleness_check(layer: str, star: dict[str, DataFrame], as_of: dt.date,
                     max_days: int) -> DataFrame:
     """Days from the latest sold day to ``as_of``; 99999 without sales."""
-    f, d = star["fact_sales"], star["dim_date"]
-    latest = f.select("order_date_key").distinct().join(
-        d, F.col("order_date_key") == F.col("date_key"))
+    days = F.broadcast(star["dim_date"].select("date_key", "full_date"))  # a row per calendar day
+    latest = star["fact_sales"].select("order_date_key").join(days, F.col("order_date_key") == F.col("date_key"))
     return table_checks(layer, latest, [Rule(
         "timeliness", "latest order date is recent",
         F.coalesce(F.datediff(F.lit(as_of), F.max("full_date")), F.lit(99999)), max_days)])

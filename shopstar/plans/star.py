@@ -96,20 +96,24 @@ def one_payment_per_order(payments: DataFrame) -> DataFrame:
         F.min_by("payment_method", "payment_id").alias("payment_method"))
 
 
-def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
-    """One row per order item (B11). Inner joins drop items whose order,
-    customer, product or channel is unknown; cancelled orders still count."""
+def order_lines(stg: dict[str, DataFrame]) -> DataFrame:
+    """Order items with what their order and its payment say. All three tables
+    meet on the order: over staging laid out by it, without a shuffle."""
     orders = stg["stg_orders"].select(
         "order_id", "customer_id", "channel_id", "promotion_id",
         date_key(F.col("order_date")).alias("order_date_key"))
-    items = stg["stg_order_items"]
-    pay = one_payment_per_order(stg["stg_payments"])
+    paid = one_payment_per_order(stg["stg_payments"])
+    return stg["stg_order_items"].join(orders.join(paid, "order_id", "left"), "order_id")
+
+
+def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+    """One row per order item (B11). Inner joins drop items whose order,
+    customer, product or channel is unknown; cancelled orders still count."""
     methods = dims["dim_payment_method"].where(
         F.col("payment_method_key") != UNKNOWN_PAYMENT_KEY)
     promo_lookup = dims["dim_promotion"].where(F.col("promotion_id").isNotNull()) \
         .select("promotion_key", "promotion_id")
-    fact = (items.join(orders, "order_id")
-            .join(pay, "order_id", "left")
+    fact = (order_lines(stg)
             .join(dims["dim_customer"].select("customer_key", "customer_id"), "customer_id")
             .join(dims["dim_product"].select("product_key", "product_id", "category_key"),
                   "product_id")
@@ -131,6 +135,9 @@ def fact_sales(stg: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFra
     return conform(dense_key(fact, ["order_item_id"], "sales_key"), STAR["fact_sales"])
 
 
+#: The written facts' partition column and the date key that it is the month of.
+MONTHS = {"fact_sales": ("order_month", "order_date_key"), "fact_returns": ("return_month", "return_date_key")}
+
 #: Rows in one clustered file, a few hundred MB of a fact.
 ROWS_PER_FILE = 8_000_000
 
@@ -175,8 +182,8 @@ def build_star(stg: dict[str, DataFrame], store: LazyStore | None = None) -> dic
                                           "dim_product", "dim_channel", "dim_promotion",
                                           "dim_payment_method")}
     sales = store.put("fact_sales", cluster_by(fact_sales(stg, dims), "order_date_key",
-                                            "order_item_id"))
+                                            "order_item_id"), MONTHS["fact_sales"])
     returns = store.put("fact_returns",
                         cluster_by(fact_returns(stg, sales), "return_date_key",
-                                           "return_id"))
+                                           "return_id"), MONTHS["fact_returns"])
     return {**dims, "fact_sales": sales, "fact_returns": returns}

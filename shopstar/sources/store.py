@@ -12,6 +12,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopstar.session import scratch_folder
 
@@ -27,7 +28,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 class LazyStore:
     parallel = 1
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
+    def put(self, name: str, df: DataFrame, months: tuple[str, str] | None = None) -> DataFrame:
+        """Keep a table. ``months``: (column, date key); a store that writes
+        files writes a folder for each month of the key, in that column."""
         return df
 
     def put_all(self, builders: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -51,8 +54,12 @@ class ParquetStore(LazyStore):
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def put(self, name: str, df: DataFrame, months: tuple[str, str] | None = None) -> DataFrame:
+        write = df.write
+        if months:
+            column, key = months
+            write = df.withColumn(column, F.floor(F.col(key) / 100).cast("int")).write.partitionBy(column)
+        write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
     def get(self, name: str) -> DataFrame:
@@ -67,5 +74,5 @@ class CachedStore(LazyStore):
 
     parallel = 4
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
+    def put(self, name: str, df: DataFrame, months: tuple[str, str] | None = None) -> DataFrame:
         return df.persist()
