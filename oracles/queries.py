@@ -121,10 +121,8 @@ _BUYERS = """buyers AS (FROM sold SELECT customer_key, count(DISTINCT order_id)
 
 def segments(part: str) -> str:
     return with_star(f"""{part}, {_BUYERS},
-        tiers(least, spending_tier) AS (VALUES (5000, 'VIP (5k+)'), (1000, 'High (1k-5k)'),
-                                               (250, 'Mid (250-1k)'), (-1e15, 'Low (<250)')),
-        placed AS (FROM buyers JOIN tiers ON spent >= least
-                   SELECT customer_key, spent, arg_max(spending_tier, least) AS spending_tier GROUP BY ALL)
+        placed AS (FROM buyers SELECT spent, CASE WHEN spent >= 5000 THEN 'VIP (5k+)' WHEN spent >= 1000 THEN 'High (1k-5k)'
+                   WHEN spent >= 250 THEN 'Mid (250-1k)' ELSE 'Low (<250)' END AS spending_tier)
         FROM placed SELECT spending_tier, count(*) AS customers, {_d('sum(spent)')} AS net_revenue GROUP BY ALL""")
 
 
@@ -213,12 +211,11 @@ def promo_vs_baseline() -> str:
     return with_star(f"""{_offers(WHOLE)},
         h AS (FROM offers SELECT *, promotion_code = 'NONE' AS plain,
               (CAST(quantity AS HUGEINT) * 200 + lines) // (2 * lines) AS hundredths),
-        m AS (FROM h SELECT CAST(sum(orders) FILTER (NOT plain) AS BIGINT) AS promo_orders,
-              {_d('sum(discount_amount) FILTER (NOT plain)')} AS promo_discounts,
-              {ratio('sum(hundredths) FILTER (NOT plain)', 'count(*) FILTER (NOT plain) * 100')} AS avg_items_promo,
-              {ratio('sum(hundredths) FILTER (plain)', 'count(*) FILTER (plain) * 100')} AS avg_items_baseline)
-        FROM m SELECT *, round(avg_items_promo * 100 - avg_items_baseline * 100) / 100.0 AS avg_items_delta"""
-        .replace("FILTER (NOT plain)", "FILTER (WHERE NOT plain)").replace("FILTER (plain)", "FILTER (WHERE plain)"))
+        m AS (FROM h SELECT CAST(sum(orders) FILTER (WHERE NOT plain) AS BIGINT) AS promo_orders,
+              {_d('sum(discount_amount) FILTER (WHERE NOT plain)')} AS promo_discounts,
+              {ratio('sum(hundredths) FILTER (WHERE NOT plain)', 'count(*) FILTER (WHERE NOT plain) * 100')} AS avg_items_promo,
+              {ratio('sum(hundredths) FILTER (WHERE plain)', 'count(*) FILTER (WHERE plain) * 100')} AS avg_items_baseline)
+        FROM m SELECT *, round(avg_items_promo * 100 - avg_items_baseline * 100) / 100.0 AS avg_items_delta""")
 
 
 def clv_histogram(bins: int = 50) -> str:
@@ -503,6 +500,13 @@ def oracle_sql() -> dict[str, str]:
     q["j12_interval_join"] = with_star(
         "SELECT o.order_id, p.promotion_id FROM stg_orders o JOIN stg_promotions p "
         "ON CAST(o.order_date AS DATE) BETWEEN p.start_date AND p.end_date")
+    q["j12_open_windows"] = with_star(
+        ", w AS (FROM stg_promotions SELECT promotion_id, CASE WHEN promotion_id % 4 <> 1 THEN start_date END AS since, "
+        "CASE promotion_id % 4 WHEN 2 THEN start_date + INTERVAL 1200 MONTH WHEN 0 THEN NULL ELSE end_date END AS until) "
+        "SELECT w.promotion_id, count(*) AS orders, CAST(sum(total_amount) AS DOUBLE) AS total_amount, "
+        "min(order_id) AS first_order, strftime(max(order_date), '%Y-%m-%d %H:%M:%S') AS last_at "
+        "FROM stg_orders, w WHERE CAST(order_date AS DATE) >= coalesce(since, DATE '0001-01-01') "
+        "AND CAST(order_date AS DATE) <= coalesce(until, DATE '9999-12-31') GROUP BY w.promotion_id")
     q["w1_w2_bucketed_rank"] = with_star(
         "SELECT ROW_NUMBER() OVER (ORDER BY net_revenue DESC, order_item_id) AS rank, "
         "order_item_id, CAST(net_revenue AS DOUBLE) AS net, "
@@ -554,7 +558,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT order_item_id, CAST(net_revenue AS DOUBLE) AS net_revenue FROM fact_sales "
         "ORDER BY fact_sales.net_revenue DESC, order_item_id LIMIT 100")
     q["g_guarded_sql"] = with_star(
-        "SELECT c.parent_category, COUNT(DISTINCT f.order_id) AS orders, "
-        "CAST(SUM(f.net_revenue) AS DOUBLE) AS net_revenue "
-        "FROM fact_sales f JOIN dim_category c USING (category_key) GROUP BY 1")
+        ", sold AS (FROM fact_sales SELECT category_key, order_id, net_revenue WHERE quantity > 0) "
+        "FROM sold JOIN dim_category USING (category_key) SELECT parent_category, count(DISTINCT order_id) AS orders, "
+        f"{_d('sum(net_revenue)')} AS net_revenue GROUP BY ALL")
     return q

@@ -95,9 +95,8 @@ def price_staged_returns(stg: dict[str, DataFrame]) -> DataFrame:
 
 def _billing(spark: SparkSession, d: str) -> DataFrame:
     """Parameterised SELECT over a source table."""
-    warehouse(spark, d).sources["customer_addresses"].createOrReplaceTempView("s4_addresses")
-    return read_sql(spark, "SELECT customer_id, city, state, country FROM s4_addresses "
-                           "WHERE address_type = :kind", {"kind": "billing"})
+    return read_sql(spark, "SELECT customer_id, city, state, country FROM {addresses} WHERE address_type = :kind",
+                    {"kind": "billing"}, addresses=warehouse(spark, d).sources["customer_addresses"])
 
 
 def _latest_order(spark: SparkSession, d: str) -> DataFrame:
@@ -136,6 +135,20 @@ def active_promotions(stg: dict[str, DataFrame]) -> DataFrame:
         .select("order_id", "promotion_id")
 
 
+def orders_in_open_windows(stg: dict[str, DataFrame]) -> DataFrame:
+    """Orders and revenue in long and open windows (J12): of four promotions
+    one has no end, one no start, one lasts a hundred years."""
+    kind = F.col("promotion_id") % 4
+    windows = stg["stg_promotions"].select(
+        "promotion_id", F.when(kind != 1, F.col("start_date")).alias("since"),
+        F.when(kind == 2, F.add_months("start_date", 1200)).when(kind != 0, F.col("end_date")).alias("until"))
+    met = interval_join(stg["stg_orders"].select("order_id", "order_date", "total_amount"), "order_date",
+                        windows, "since", "until", "promotion_id")
+    return edge(met.groupBy("promotion_id").agg(
+        F.count("*").alias("orders"), F.sum("total_amount").cast("decimal(22,2)").alias("total_amount"),
+        F.min("order_id").alias("first_order"), F.max("order_date").alias("last_at")))
+
+
 def ranked_lines(star: dict[str, DataFrame]) -> DataFrame:
     """Global rank and running revenue of all sales lines."""
     f = star["fact_sales"].select(
@@ -177,9 +190,12 @@ def moved_customers(stg: dict[str, DataFrame]) -> DataFrame:
     return edge(upsert(cu, changes, ["customer_id"]))
 
 
-GUARDED_SQL = ("SELECT c.parent_category, COUNT(DISTINCT f.order_id) AS orders, "
-               "CAST(SUM(f.net_revenue) AS DOUBLE) AS net_revenue "
-               "FROM fact_sales f JOIN dim_category c USING (category_key) GROUP BY 1")
+GUARDED_SQL = """
+WITH sold AS (SELECT category_key, order_id, net_revenue FROM fact_sales WHERE quantity > 0)
+SELECT parent_category, count(DISTINCT order_id) AS orders, CAST(sum(net_revenue) AS DOUBLE) AS net_revenue
+FROM dim_category JOIN sold ON sold.category_key = dim_category.category_key
+GROUP BY parent_category
+"""
 
 
 CAPPED_SQL = ("SELECT order_item_id, CAST(net_revenue AS DOUBLE) AS net_revenue FROM fact_sales "
@@ -238,6 +254,7 @@ def queries() -> dict[str, Query]:
     q["n21_price_order_lines"] = _order_lines
     q["n22_price_returns"] = _over_staged(price_staged_returns)
     q["j12_interval_join"] = _over_staged(active_promotions)
+    q["j12_open_windows"] = _over_staged(orders_in_open_windows)
     q["w1_w2_bucketed_rank"] = _an(ranked_lines)
     q["w6_segmented_running_sum"] = _an(running_sums)
     q["s13_upsert_channels"] = _upsert

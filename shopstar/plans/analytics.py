@@ -17,12 +17,15 @@ action. Shape rules used throughout:
 
 from __future__ import annotations
 
+from decimal import ROUND_CEILING, Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstar.functions.filters import EVERYTHING, QueryFilters
 from shopstar.functions.money import cents, half_up_ratio, idiv
 from shopstar.operators.ordering import global_order
+from shopstar.operators.selection import rank_reaching
 from shopstar.sources.store import written
 
 Star = dict[str, DataFrame]
@@ -231,12 +234,23 @@ def revenue_concentration(star: Star, entity: str = "product",
 
 def pareto_threshold(star: Star, entity: str = "product", share: float = 80.0,
                      filters: QueryFilters = EVERYTHING) -> DataFrame:
-    """Smallest share of ranked entities reaching ``share`` % of revenue."""
-    curve = revenue_concentration(star, entity, filters)
-    return curve.where(F.col("cumulative_revenue_pct") >= share).agg(
-        F.min("entity_pct").alias("entity_pct"), F.min("rank").alias("entities")
-    ).select(F.lit(entity).alias("entity"), F.lit(float(share)).alias("revenue_share"),
-             "entity_pct", F.col("entities").cast("long").alias("entities"))
+    """Smallest share of ranked entities reaching ``share`` % of revenue (N20),
+    found by weighted selection over the entities' totals: no curve, no sort.
+    Without positive revenue no share is reached."""
+    key = {"customer": "customer_key"}.get(entity, "product_key")
+    spark = star["fact_sales"].sparkSession
+    totals = written(filters.sales(star).groupBy(key).agg(F.sum("net_revenue").alias("net"))
+                     .select(cents(F.col("net")).alias("net_c")), "entity_totals")
+    n, total = totals.agg(F.count("*"), F.coalesce(F.sum("net_c"), F.lit(0))).first()
+    # the share of revenue is rounded half up to hundredths of a percent: reached from this sum on
+    hundredths = int((Decimal(str(share)) * 100).to_integral_value(ROUND_CEILING))
+    target = max(1, -(-int(total) * (2 * hundredths - 1) // 20_000)) if total > 0 else None
+    rank = rank_reaching(totals, "net_c", target) if target else None
+    return spark.range(1).select(
+        F.lit(entity).alias("entity"), F.lit(float(share)).alias("revenue_share"),
+        F.lit(rank).cast("long").alias("entities"), F.lit(n).cast("long").alias("n")).select(
+        "entity", "revenue_share",
+        half_up_ratio(F.col("entities"), F.col("n"), 2, scale=100).alias("entity_pct"), "entities")
 
 
 # ------------------------------------------------------------------ N12 / N13

@@ -119,9 +119,10 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
                            properties=properties or {})
 
 
-def read_sql(spark: SparkSession, sql: str, args: dict | None = None) -> DataFrame:
-    """A parameterised SELECT with named markers bound as values."""
-    return spark.sql(sql, args=args or {})
+def read_sql(spark: SparkSession, sql: str, args: dict | None = None, **tables: DataFrame) -> DataFrame:
+    """A parameterised SELECT with named markers bound as values (S4). Tables
+    are handed in by name, ``{name}`` in the text; the session gets no view."""
+    return spark.sql(sql, args=args or {}, **tables)
 
 
 def write_csv(df: DataFrame, path: str) -> int:

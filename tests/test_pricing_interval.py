@@ -6,7 +6,9 @@ import datetime as dt
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
-from shopstar.operators.interval_join import interval_join, lowest_active
+from pyspark.sql import functions as F
+
+from shopstar.operators.interval_join import cover, interval_join, lowest_active
 from shopstar.plans.pricing import price_order_lines
 
 D = Decimal
@@ -71,3 +73,41 @@ def test_interval_join_inclusive_and_lowest(spark):
     low = {r.id: r.best for r in lowest_active(rows, "ts", windows, "s", "e", "pid", "best")
            .collect()}
     assert low == {1: 5, 2: 3, 3: 3, 4: None}
+
+
+def _pairs(points, windows, low, high):
+    return sorted((i, w) for i, p in points for w, a, b in windows
+                  if p is not None and (low if a is None else a) <= p <= (high if b is None else b))
+
+
+def test_open_and_long_windows(spark):
+    """Random windows, open ones and one of 8000 years against every pair, on days and on microseconds."""
+    rnd = random.Random(3)
+    start = dt.date(2000, 1, 1)
+    days = [(k, start + dt.timedelta(days=rnd.randint(-900, 900))) for k in range(150)] + [(999, None)]
+    windows = [(k, a if rnd.random() > 0.1 else None, a + dt.timedelta(days=rnd.choice([-3, 0, 0, 1, 7, 500]))
+                if rnd.random() > 0.1 else None) for k in range(80)
+               for a in [start + dt.timedelta(days=rnd.randint(-900, 900))]]
+    windows += [(900, dt.date(1, 1, 1), dt.date(9999, 12, 31)), (901, None, None), (902, None, dt.date(1999, 2, 3))]
+    rows = spark.createDataFrame(days, "id long, p date")
+    w = spark.createDataFrame(windows, "pid long, s date, e date")
+    want = _pairs(days, windows, dt.date.min, dt.date.max)
+    assert sorted((r.id, r.pid) for r in interval_join(rows, "p", w, "s", "e", "pid").collect()) == want
+    best = {i: min((p for j, p in want if j == i), default=None) for i, _ in days}
+    assert {r.id: r.best for r in lowest_active(rows, "p", w, "s", "e", "pid", "best").collect()} == best
+
+    moments = [(k, dt.datetime(2024, 3, 31, 1, 59, 59) + dt.timedelta(microseconds=rnd.randint(0, 40))) for k in range(60)]
+    spans = [(k, a if k % 9 else None, a + dt.timedelta(microseconds=rnd.randint(-1, 9)) if k % 7 else None)
+             for k in range(40) for a in [dt.datetime(2024, 3, 31, 1, 59, 59) + dt.timedelta(microseconds=rnd.randint(0, 40))]]
+    for kind in ("timestamp_ntz", "timestamp"):
+        got = interval_join(spark.createDataFrame(moments, f"id long, p {kind}"), "p",
+                            spark.createDataFrame(spans, f"pid long, s {kind}, e {kind}"), "s", "e", "pid")
+        assert sorted((r.id, r.pid) for r in got.collect()) == _pairs(moments, spans, dt.datetime.min, dt.datetime.max)
+
+
+def test_a_cover_is_small_and_exact(spark):
+    for low, high in [(0, 0), (-5, 9), (7, 7), (-(1 << 61), (1 << 61) - 1), (1, (1 << 60) + 3), (-1, 0), (-4097, -2)]:
+        got = spark.range(1).select(F.inline(cover(F.lit(low).cast("long"), F.lit(high).cast("long")))).collect()
+        spans = sorted((r.node << r.level, ((r.node + 1) << r.level) - 1) for r in got)
+        assert spans[0][0] == low and spans[-1][1] == high and len(spans) <= 124
+        assert all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
