@@ -38,6 +38,8 @@ MAX_BITS = 3
 SEED = 42
 #: Fingerprints of one salt of a key; a tile holds two salts.
 TILE = 1024
+#: Rows of 25 bytes, told apart by their hashes, that may be broadcast.
+BROADCAST_ROWS = 400_000
 #: Shingles whose bits are counted at a time.
 CHUNK = 1 << 16
 
@@ -194,6 +196,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     counted = placed.groupBy("root", "id", "key").agg(F.count("*").alias("n")).join(chosen, "root")
     same = F.col("key") == F.col("stays.key")
     named = written(counted.where(~same | (F.col("n") > 1)).select("key", same.alias("stays")), "near_duplicates")
+    if named.count() <= BROADCAST_ROWS:  # else texts and keys meet by a shuffle
+        named = F.broadcast(named)
     row = F.col("row")
     own = docs.select(F.struct("*").alias("row"), key.alias("key"))
     once = own.join(named.where("stays"), "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
