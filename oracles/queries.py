@@ -507,6 +507,18 @@ def oracle_sql() -> dict[str, str]:
         "min(order_id) AS first_order, strftime(max(order_date), '%Y-%m-%d %H:%M:%S') AS last_at "
         "FROM stg_orders, w WHERE CAST(order_date AS DATE) >= coalesce(since, DATE '0001-01-01') "
         "AND CAST(order_date AS DATE) <= coalesce(until, DATE '9999-12-31') GROUP BY w.promotion_id")
+    q["a2_sketched_counts"] = with_star(
+        " FROM fact_sales JOIN dim_date ON date_key = order_date_key JOIN dim_channel USING (channel_key) "
+        "SELECT year, month, channel_name, count(DISTINCT order_id) AS orders, count(DISTINCT customer_key) AS customers, "
+        "CAST(sum(net_revenue) AS DOUBLE) AS net_revenue, true AS orders_close, true AS customers_close GROUP BY ALL")
+    q["p6_attribute_counts"] = with_star(
+        ", a AS (SELECT parent_category, key AS attribute, value, CASE WHEN j.type IN ('BIGINT', 'UBIGINT', 'DOUBLE') "
+        "THEN 'number' WHEN j.type = 'VARCHAR' THEN 'text' WHEN j.type = 'BOOLEAN' THEN 'boolean' ELSE 'other' END AS kind "
+        "FROM stg_products, json_each(attributes) j) "
+        "FROM a SELECT parent_category, attribute, kind, count(*) AS products, "
+        "count(DISTINCT CAST(value AS VARCHAR)) AS distinct_values, "
+        "min(CASE kind WHEN 'number' THEN CAST(value AS DOUBLE) END) AS least, "
+        "max(CASE kind WHEN 'number' THEN CAST(value AS DOUBLE) END) AS most GROUP BY ALL")
     q["w1_w2_bucketed_rank"] = with_star(
         "SELECT ROW_NUMBER() OVER (ORDER BY net_revenue DESC, order_item_id) AS rank, "
         "order_item_id, CAST(net_revenue AS DOUBLE) AS net, "

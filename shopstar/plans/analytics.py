@@ -337,9 +337,9 @@ def promo_vs_baseline(star: Star, filters: QueryFilters = EVERYTHING) -> DataFra
 # ------------------------------------------------------------------ N17 / N18 / N19
 def clv_histogram(star: Star, bins: int = 50, filters: QueryFilters = EVERYTHING) -> DataFrame:
     """Customers per equal-width lifetime-value bin between the smallest and
-    largest value; the maximum falls in the last bin (N17)."""
-    per = written(filters.sales(star).groupBy("customer_key").agg(
-        cents(F.sum("net_revenue")).alias("v")), "customer_totals")  # read for bounds and bins
+    largest value; the maximum falls in the last bin (N17). Bounds and bins
+    read the customers' totals from the same shuffle."""
+    per = filters.sales(star).groupBy("customer_key").agg(cents(F.sum("net_revenue")).alias("v"))
     bounds = per.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     width = F.col("hi") - F.col("lo")
     bucket = F.when(width == 0, F.lit(1)).otherwise(

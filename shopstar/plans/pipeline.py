@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shopstar.plans import quality as Q
 from shopstar.plans.staging import stage_all
 from shopstar.plans.star import build_star
+from shopstar.session import scratch_scope
 from shopstar.sources.bucketed import open_bucketed, write_bucketed
 from shopstar.sources.io import RELATIONAL, load, read_landing, record_audit
 from shopstar.sources.schemas import DIMENSIONS, FACTS
@@ -103,7 +104,12 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, root:
     unknown = run - set(STEPS)
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
-    as_of = as_of or _now().date()
+    with scratch_scope(spark):  # all results are under ``root`` at its end
+        return _run_steps(spark, sources, root, run, as_of or _now().date())
+
+
+def _run_steps(spark: SparkSession, sources: dict[str, DataFrame] | str, root: str, run: set[str],
+               as_of: dt.date) -> dict[str, int]:
     counts: dict[str, int] = {}
     landed_path, staged_path = f"{root}/landed", f"{root}/staging"
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from shopstar.functions.money import cents, from_cents, idiv
 from shopstar.operators.lookup import left_lookup
 from shopstar.operators.ordering import segmented_exclusive_sum
-from shopstar.sources.store import written
 
 
 def price_order_lines(order_items: DataFrame, orders: DataFrame,
@@ -29,9 +28,9 @@ def price_order_lines(order_items: DataFrame, orders: DataFrame,
     lines = left_lookup(lines, "promotion_id", promotions, "order_item_id",
                         "promotion_code", "discount_type", "discount_value")
     gross_c = cents(F.col("quantity") * F.col("unit_price"))
-    lines = written(lines.withColumn("__gross_c", gross_c), "priced_lines")  # joined once
-    lines = segmented_exclusive_sum(lines, ["order_id"], "order_item_id", "__gross_c",
-                                    "__before_c")
+    # totals of segments and sums inside them read the lines from the same shuffles
+    lines = segmented_exclusive_sum(lines.withColumn("__gross_c", gross_c), ["order_id"], "order_item_id",
+                                    "__gross_c", "__before_c")
     pct_c = cents(F.col("discount_value"))
     percent_c = idiv(F.col("__gross_c") * pct_c * 2 + 10_000, F.lit(20_000))
     budget_left = cents(F.col("discount_value")) - F.coalesce(F.col("__before_c"), F.lit(0))

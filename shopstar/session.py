@@ -6,6 +6,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,9 +62,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or current
 
 
+#: Scratch folders of the open scopes, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables, under the shared
     checkpoint folder the session names (never a machine-local path on a
-    cluster)."""
-    import uuid
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    cluster). An open :func:`scratch_scope` deletes it at its end."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the intermediate tables written inside. Results that
+    read them must have been used by then; scopes are opened by one thread at a
+    time, the jobs inside may run on several."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _SCOPES.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)

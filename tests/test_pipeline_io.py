@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -15,7 +16,9 @@ from shopstar.functions.cleaning import nan_to_null
 from shopstar.plans.pipeline import current_build, last_refresh, published_star, run_pipeline
 from shopstar.sources.io import (SourceNotFound, export_sources, read_csv, read_documents, read_landing,
                                  read_sources, read_sql, write_csv)
+from shopstar.session import scratch_scope
 from shopstar.sources.schemas import SOURCE
+from shopstar.sources.store import written
 
 
 def test_missing_source_is_a_clear_error(spark):
@@ -123,6 +126,17 @@ def test_run_from_landing_files(spark, landing, tmp_path):
         run_pipeline(spark, str(landing), lake, steps=("load-sources",))
 
 
+def test_a_run_leaves_no_scratch_tables(spark, landing, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.iterdir())
+    run_pipeline(spark, str(landing), str(tmp_path / "lake"), as_of=dt.date(2024, 3, 1))
+    assert set(shared.iterdir()) <= before
+    with scratch_scope(spark):
+        kept = written(spark.range(5), "five")
+        assert kept.count() == 5 and set(shared.iterdir()) - before
+    assert set(shared.iterdir()) <= before
+
+
 def test_no_build_is_published_without_its_gate(spark, landing, tmp_path):
     lake = str(tmp_path / "lake")
     run_pipeline(spark, str(landing), lake, as_of=dt.date(2024, 3, 1))

@@ -23,7 +23,7 @@ FLAGS = {
     "cartesian product": re.compile(r"CartesianProduct"),
     "coalesce to one task": re.compile(r"\bCoalesce 1\b"),
     "python evaluation": re.compile(r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas"
-                                    r"|MapInPandas)"),
+                                    r"|MapInPandas|MapInArrow|FlatMapGroupsInArrow)"),
 }
 
 
@@ -36,7 +36,7 @@ def line(name: str, df) -> str:
 
 
 class AuditStore(ParquetStore):
-    def put(self, name, df):
+    def put(self, name, df, months=None):
         print(line(name, df), flush=True)
         return super().put(name, df)
 
