@@ -283,15 +283,15 @@ def _union(checks: list[str], plants: dict | None = None, derived: bool = False)
 def dq_staging(plants: dict | None = None) -> str:
     L = "staging"
     return _union([
-        _check(L, "completeness", "customer emails present",
+        _check(L, "completeness", "every customer has an e-mail",
                _count("stg_customers", "email IS NULL OR email = ''")),
-        _check(L, "completeness", "order dates present", _count("stg_orders", "order_date IS NULL")),
-        _check(L, "uniqueness", "order ids unique", _dup("stg_orders", "order_id")),
-        _check(L, "consistency", "order items reference orders",
+        _check(L, "completeness", "every order has a date", _count("stg_orders", "order_date IS NULL")),
+        _check(L, "uniqueness", "no order id twice", _dup("stg_orders", "order_id")),
+        _check(L, "consistency", "lines belong to a staged order",
                _orphans("stg_order_items", "order_id", "stg_orders", "order_id")),
-        _check(L, "consistency", "order items reference products",
+        _check(L, "consistency", "lines name a staged product",
                _orphans("stg_order_items", "product_id", "stg_products", "product_id")),
-        _check(L, "accuracy", "order totals match line sums",
+        _check(L, "accuracy", "order total is the sum of its lines",
                "SELECT count(*) FROM (FROM stg_order_items SELECT order_id, sum(line_total) AS lines "
                "GROUP BY ALL) NATURAL JOIN stg_orders WHERE lines NOT BETWEEN total_amount - 0.01 "
                "AND total_amount + 0.01"),
@@ -301,15 +301,15 @@ def dq_staging(plants: dict | None = None) -> str:
 def dq_analytics(plants: dict | None = None) -> str:
     L = "analytics"
     return _union([
-        _check(L, "completeness", "fact_sales keys not null",
+        _check(L, "completeness", "sales rows carry their keys",
                _count("fact_sales", "customer_key IS NULL OR product_key IS NULL "
                                     "OR order_date_key IS NULL")),
-        _check(L, "uniqueness", "fact_sales grain unique", _dup("fact_sales", "order_item_id")),
-        _check(L, "accuracy", "net revenue = gross - discount",
+        _check(L, "uniqueness", "one sales row per order line", _dup("fact_sales", "order_item_id")),
+        _check(L, "accuracy", "net is gross less discount",
                _count("fact_sales", "abs(gross_revenue - discount_amount - net_revenue) > 0.01")),
-        _check(L, "consistency", "fact_sales products exist in dim_product",
+        _check(L, "consistency", "sold products are in the product dimension",
                _orphans("fact_sales", "product_key", "dim_product", "product_key")),
-        _check(L, "timeliness", "latest order date is recent",
+        _check(L, "timeliness", "newest sale is recent enough",
                "SELECT ifnull(DATE '2002-01-01' - max(full_date), 99999) FROM dim_date "
                "WHERE date_key IN (SELECT order_date_key FROM fact_sales)", 400),
     ], plants)

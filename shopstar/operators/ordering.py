@@ -12,8 +12,9 @@ every row into one task (``Exchange SinglePartition``). Here, at every size:
 3. a row's number is its partition's offset plus its position, a running sum
    its partition's offset plus a window inside the partition.
 
-The input is run twice (bounds, rows) and shuffled once; the written table
-cuts the lineage, so places stay the same when tasks are retried. Sums must be
+The input is run twice (bounds, rows) and shuffled once. The written table
+cuts the lineage, so places stay the same when tasks are retried; for running
+sums it is bucketed by the partition, so their windows need no shuffle. Sums must be
 decimals or integers so they do not depend on the order of addition.
 """
 
@@ -24,9 +25,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopstar.sources.bucketed import written_bucketed
 from shopstar.sources.store import written
 
-_PLACE = "__place"
+_PLACE, _PART = "__place", "__part"
 _POSITION_BITS = 33  # of monotonically_increasing_id
 
 
@@ -61,23 +63,27 @@ def global_order(
     """
     running_sums = dict(running_sums or {})
     value_names = {name: f"__v_{name}" for name in running_sums}
-    placed = written(place_rows(df, order_cols, **{
-        value_names[k]: _as_col(v) for k, v in running_sums.items()}), "ordered")
-    part = F.shiftright(_PLACE, _POSITION_BITS)
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
-    offsets = (placed.groupBy(part.alias("__part")).agg(
+    part = F.shiftright(_PLACE, _POSITION_BITS).alias(_PART)
+    placed = place_rows(df, order_cols, **{value_names[k]: _as_col(v) for k, v in running_sums.items()})
+    if running_sums:  # a partition's rows stay together: its running sums move no rows
+        placed = written_bucketed(placed.select("*", part), "ordered", _PART, _PLACE)
+    else:
+        placed = written(placed, "ordered").select("*", part)
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = (placed.groupBy(_PART).agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(v) for v in value_names.values()])
-        .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n"),
+        .select(_PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n"),
                 *[F.sum(v).over(before).alias(f"{v}_before") for v in value_names.values()]))
-    out = placed.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+    inside = Window.partitionBy(_PART).orderBy(_PLACE) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = placed.select("*", *[F.sum(v).over(inside).alias(f"{v}_own") for v in value_names.values()]) \
+        .join(F.broadcast(offsets), _PART)
     if row_number_col:
         position = F.col(_PLACE).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
         out = out.withColumn(row_number_col, (F.col("__n") + position + start).cast("long"))
-    inside = Window.partitionBy("__part").orderBy(_PLACE) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for name, value in value_names.items():
         kind = placed.select(F.sum(value)).schema[0].dataType
-        so_far, own = F.col(f"{value}_before"), F.sum(value).over(inside)
+        so_far, own = F.col(f"{value}_before"), F.col(f"{value}_own")
         out = out.withColumn(name, F.when(so_far.isNull(), own).when(own.isNull(), so_far)
                              .otherwise((so_far + own).cast(kind)))
     added = [c for c in [row_number_col, *running_sums] if c]

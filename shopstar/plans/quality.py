@@ -126,16 +126,16 @@ def staging_checks(stg: dict[str, DataFrame]) -> DataFrame:
     """The staging gate."""
     L = "staging"
     emails = table_checks(L, stg["stg_customers"], [
-        Rule("completeness", "customer emails present",
+        Rule("completeness", "every customer has an e-mail",
              count_if(F.col("email").isNull() | (F.col("email") == ""))),
     ])
     orders = table_checks(L, stg["stg_orders"], [
-        Rule("completeness", "order dates present", count_if(F.col("order_date").isNull())),
-        Rule("uniqueness", "order ids unique", dup_count("order_id")),
+        Rule("completeness", "every order has a date", count_if(F.col("order_date").isNull())),
+        Rule("uniqueness", "no order id twice", dup_count("order_id")),
     ])
     items = orphan_rule_rows(L, stg["stg_order_items"], [
-        ("order items reference orders", "order_id", stg["stg_orders"], "order_id"),
-        ("order items reference products", "product_id", stg["stg_products"], "product_id"),
+        ("lines belong to a staged order", "order_id", stg["stg_orders"], "order_id"),
+        ("lines name a staged product", "product_id", stg["stg_products"], "product_id"),
     ])
     return union_all([emails, orders, items, order_total_check(L, stg)])
 
@@ -145,7 +145,7 @@ def order_total_check(layer: str, stg: dict[str, DataFrame]) -> DataFrame:
     sums = stg["stg_order_items"].groupBy("order_id").agg(F.sum("line_total").alias("s"))
     j = stg["stg_orders"].select("order_id", "total_amount").join(sums, "order_id")
     return table_checks(layer, j, [Rule(
-        "accuracy", "order totals match line sums",
+        "accuracy", "order total is the sum of its lines",
         count_if(F.abs(F.col("total_amount") - F.col("s")) > F.lit(0.01)))])
 
 
@@ -155,16 +155,16 @@ def analytics_checks(star: dict[str, DataFrame], as_of: dt.date,
     L = "analytics"
     f = star["fact_sales"]
     facts = table_checks(L, f, [
-        Rule("completeness", "fact_sales keys not null",
+        Rule("completeness", "sales rows carry their keys",
              count_if(F.col("customer_key").isNull() | F.col("product_key").isNull()
                       | F.col("order_date_key").isNull())),
-        Rule("uniqueness", "fact_sales grain unique", dup_count("order_item_id")),
-        Rule("accuracy", "net revenue = gross - discount",
+        Rule("uniqueness", "one sales row per order line", dup_count("order_item_id")),
+        Rule("accuracy", "net is gross less discount",
              count_if(F.abs(F.col("gross_revenue") - F.col("discount_amount")
                             - F.col("net_revenue")) > F.lit(0.01))),
     ])
     product = orphan_rule_rows(L, f, [
-        ("fact_sales products exist in dim_product", "product_key", star["dim_product"],
+        ("sold products are in the product dimension", "product_key", star["dim_product"],
          "product_key")])
     return union_all([facts, product, staleness_check(L, star, as_of, max_staleness_days)])
 
@@ -175,7 +175,7 @@ def staleness_check(layer: str, star: dict[str, DataFrame], as_of: dt.date,
     days = F.broadcast(star["dim_date"].select("date_key", "full_date"))  # a row per calendar day
     latest = star["fact_sales"].select("order_date_key").join(days, F.col("order_date_key") == F.col("date_key"))
     return table_checks(layer, latest, [Rule(
-        "timeliness", "latest order date is recent",
+        "timeliness", "newest sale is recent enough",
         F.coalesce(F.datediff(F.lit(as_of), F.max("full_date")), F.lit(99999)), max_days)])
 
 

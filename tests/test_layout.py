@@ -9,6 +9,7 @@ import re
 import pytest
 
 from shopstar.catalog import SLICE
+from shopstar.operators.ordering import global_order
 from shopstar.plans import analytics as A
 from shopstar.plans import quality as Q
 from shopstar.plans.pipeline import BY_ORDER, read_staging, write_staging
@@ -58,14 +59,25 @@ def test_a_bucketed_table_is_found_again(spark, tmp_path):
     df = spark.range(50).selectExpr("id AS order_id", "cast(id AS string) AS `a b`")
     assert write_bucketed(df, str(tmp_path), "t", "order_id", 3) == 50
     assert write_bucketed(df.where("order_id < 20"), str(tmp_path), "t", "order_id", 5) == 20  # laid out anew
-    for table in spark.catalog.listTables():
-        if table.name.startswith("bucketed_"):
-            spark.sql(f"DROP TABLE {table.name}")  # as in a session that never saw it
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
     again = open_bucketed(spark, str(tmp_path), "t")
     assert again.count() == 20 and again.dtypes == df.dtypes
     assert "Exchange" not in plan(again.groupBy("order_id").count())
 
 
+def test_running_sums_shuffle_once(spark):
+    """The range shuffle of the ordering itself is in the written table's job."""
+    df = spark.range(5000).selectExpr("id", "id % 7 AS v")
+    out = global_order(df, ["v", "id"], "rank", running_sums={"total": "v"})
+    assert "Window" in plan(out) and set(re.findall(r"(?<!Broadcast)Exchange (\w+)", plan(out))) <= {"SinglePartition"}
+    want, total = [], 0
+    for k, (v, i) in enumerate(sorted((i % 7, i) for i in range(5000)), 1):
+        total += v
+        want.append((i, v, k, total))
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
 @pytest.fixture(scope="module")
 def written_star(spark, staging, tmp_path_factory):
     return build_star(read_staging(spark, staging), ParquetStore(spark, str(tmp_path_factory.mktemp("star"))))
