@@ -45,7 +45,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstar.llm.common import text_bytes, written, written_once
+from shopstar.llm.common import delete_folder, text_bytes, written_once
+from shopstar.session import scratch_folder
 
 LEAST = 10
 LONGEST = 3
@@ -57,7 +58,7 @@ SCALE = 1_000_000
 RUN_TOKENS = 1 << 21
 SPLIT_BYTES = 1 << 22
 #: Bits of a phrase's hash that its first sums go by.
-KEY_BITS = 48
+KEY_BITS = 44
 #: log2 of the bits of a level's bitmap of frequent phrases.
 FILTER_BITS = 26
 #: Candidates of a block on average: its trie takes some 50 bytes for each.
@@ -202,9 +203,10 @@ def _holds(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _frequent_words(rows: DataFrame, seed: int, least: int, bits: int) -> tuple[DataFrame, object] | None:
-    """(lang, word, h, f) of the words with ``least`` occurrences or more, and
-    the bitmap of their hashes; None if another word has the hash of one."""
+def _frequent_words(rows: DataFrame, seed: int, least: int, bits: int) -> tuple[DataFrame, object, DataFrame] | None:
+    """(lang, word, h, f) of the words with ``least`` occurrences or more, the
+    bitmap of their hashes, and (lang, n) of all words; None if another word
+    has the hash of a frequent one."""
     hashed = rows.withColumn("h", _hash(seed))
     keys = hashed.groupBy(F.shiftrightunsigned("h", 64 - KEY_BITS).alias("key")).agg(F.sum("f").alias("n")) \
         .where(F.col("n") >= least)
@@ -219,7 +221,10 @@ def _frequent_words(rows: DataFrame, seed: int, least: int, bits: int) -> tuple[
         "phrase_words")
     alike = found.groupBy("h").agg(F.count("*").alias("n"), F.max("f").alias("f")).where(
         (F.col("f") >= least) & ((F.col("n") > 1) | (F.col("h") == 0)))
-    return None if alike.limit(1).collect() else (found.where(F.col("f") >= least), shared)
+    if alike.limit(1).collect():
+        return None
+    totals = written_once(rows.groupBy("lang").agg(F.sum("f").alias("n")), "phrase_totals")
+    return found.where(F.col("f") >= least), shared, totals
 
 
 def _gathered(runs: DataFrame, k: int, shorter, own=None, salted: bool = True) -> DataFrame:
@@ -275,8 +280,10 @@ def _candidates(runs: DataFrame, shorter, k: int, least: int, bits: int) -> tupl
     """(key, n, run) of the keys of k words that reach ``least``, (h1..hk) of
     their phrases, and the bitmap of the keys."""
     keys = written_once(_gathered(runs, k, shorter).where(F.col("n") >= least), "phrase_keys")
-    phrases = _gathered(runs, k, shorter, _bitmap(keys, _SALTED, bits))
-    return keys, written_once(phrases, f"phrases_{k}"), _bitmap(keys, "key", bits)
+    spelled = _bitmap(keys, _SALTED, bits)
+    phrases = written_once(_gathered(runs, k, shorter, spelled), f"phrases_{k}")
+    spelled.destroy()
+    return keys, phrases, _bitmap(keys, "key", bits)
 
 
 class DoubleArray:
@@ -453,9 +460,10 @@ def phrase_counts(runs: DataFrame, candidates: DataFrame, width: int, block: int
                     [*[pa.array(c.view(np.int64)) for c in (*cols, key)], pa.array(total[seen[lo:lo + (1 << 17)]])],
                     [*names, "key", "a"])
 
-        own = runs.mapInArrow(run, schema).groupBy(*names, "key").agg(F.sum("a").alias("a"))
-        found = own if k == 0 else found.unionByName(own)
-    return written_once(found, "phrase_counts")
+        found = found.unionByName(written_once(
+            runs.mapInArrow(run, schema).groupBy(*names, "key").agg(F.sum("a").alias("a")), "phrase_counts"))
+        shared.destroy()  # one block at a time on the executors
+    return found
 
 
 def _score(l_: str, r: str) -> Column:
@@ -480,15 +488,22 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                  block: int = BLOCK) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases
     of two and three words."""
+    spark = docs.sparkSession
     for seed in count():
-        runs = written(_runs(docs, text_col, lang_col, seed, run_tokens), "phrase_runs")
-        words = runs.where("word is not null").select("lang", "word", "f")
-        if found := _frequent_words(words, seed, least, filter_bits):
+        # runs and words in folders of their own: the words are done with first
+        path = scratch_folder(spark, "phrase_runs")
+        kind = F.when(F.col("word").isNull(), "run").otherwise("word")
+        _runs(docs, text_col, lang_col, seed, run_tokens).withColumn("kind", kind).write.partitionBy("kind").parquet(path)
+        both = spark.read.schema(f"{_RUN}, kind string").parquet(path)
+        found = _frequent_words(both.where("kind = 'word'").select("lang", "word", "f"), seed, least, filter_bits)
+        delete_folder(spark, f"{path}/kind=word")
+        if found:
             break
-    frequent, singles = found
-    runs = runs.where("word is null").select("words", "tokens", "run")
+        delete_folder(spark, path)
+    frequent, singles, totals = found
+    runs = both.where("kind = 'run'").select("words", "tokens", "run")
     keys2, pairs, twos = _candidates(runs, singles, 2, least, filter_bits)
-    keys3, triples, _ = _candidates(runs, twos, 3, least, filter_bits)
+    keys3, triples, threes = _candidates(runs, twos, 3, least, filter_bits)
     zero = F.lit(0).cast("long").alias("h3")
     counted = phrase_counts(runs, pairs.select("h1", "h2", zero).unionByName(triples), LONGEST, block)
     # a key whose phrases do not add up to its sum has phrases that its run did not hold
@@ -502,13 +517,15 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                 for k, shorter in ((2, singles), (3, twos))]
         rest = more[0].select("h1", "h2", zero).unionByName(more[1]).join(counted, ["h1", "h2", "h3"], "left_anti")
         counted = counted.unionByName(phrase_counts(runs, written_once(rest, "shared_phrases"), LONGEST, block))
+    for bitmap in (singles, twos, threes):
+        bitmap.destroy()
     counted = counted.where(F.col("a") >= least).drop("key")
 
     def word(k: int) -> DataFrame:
         return frequent.select(F.col("h").alias(f"h{k}"), F.col("word").cast("string").alias(f"w{k}"),
                                F.col("f").alias(f"f{k}"), *(["lang"] if k == 1 else []))
 
-    two = written(counted.where("h3 = 0").drop("h3").join(word(1), "h1").join(word(2), "h2"), "phrase_twos")
+    two = written_once(counted.where("h3 = 0").drop("h3").join(word(1), "h1").join(word(2), "h2"), "phrase_twos")
     three = counted.where("h3 <> 0")
     inside = three.select("h1", "h2", "a").unionByName(three.select(
         F.col("h2").alias("h1"), F.col("h3").alias("h2"), "a")).groupBy("h1", "h2").agg(F.max("a").alias("longer"))
@@ -525,7 +542,6 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                          F.when(first, F.col("f1")).otherwise(F.col("f12")).alias("l"),
                          F.when(first, F.col("f23")).otherwise(F.col("f3")).alias("r"),
                          F.least("s1", "s2").alias("score"))
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     deals = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     best = _best(scored2.unionByName(scored3), top, deals)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -57,5 +57,12 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a written intermediate table that no later step reads."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_bytes(value: str | None) -> bytes:
     return (value or "").encode("utf-8", "surrogatepass")
