@@ -35,9 +35,9 @@ class TimedStore(ParquetStore):
         super().__init__(*args, **kw)
         self.seconds: dict[str, float] = {}
 
-    def put(self, name, df, months=None):
+    def put(self, name, df, months=None, unique=None):
         began = time.perf_counter()
-        out = super().put(name, df, months)
+        out = super().put(name, df, months, unique)
         self.seconds[name] = time.perf_counter() - began
         return out
 

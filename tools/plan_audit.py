@@ -36,9 +36,9 @@ def line(name: str, df) -> str:
 
 
 class AuditStore(ParquetStore):
-    def put(self, name, df, months=None):
+    def put(self, name, df, months=None, unique=None):
         print(line(name, df), flush=True)
-        return super().put(name, df)
+        return super().put(name, df, months, unique)
 
 
 def main() -> None:
