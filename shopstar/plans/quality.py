@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECK_SCHEMA = "layer string, dimension string, check_name string, observed long, passed boolean"
 
@@ -73,32 +74,49 @@ def orphan_rule_rows(layer: str, child: DataFrame, links: list[tuple[str, str, D
     by a third of the rows ships as one row per task; the distinct keys then
     meet all parents' distinct keys in one anti join. A NULL foreign key counts
     as dangling, as in ``LEFT JOIN ... WHERE parent.key IS NULL``; links whose
-    name ends in '?' skip NULL keys."""
-    pairs, parents, rules = [], [], []
+    name ends in '?' skip NULL keys. Whole-number links keep their keys as
+    numbers, the others compare them as text, each kind in a scan of its own."""
+    rules, kinds = [], {}
     for k, (name, fk, parent, pk) in enumerate(links):
-        pairs.append(F.struct(F.lit(k).alias("link"), F.col(fk).cast("string").alias("key")))
-        parents.append(parent.select(F.lit(k).alias("link"), F.col(pk).cast("string").alias("key")))
+        kind = _key_kind((child, fk), (parent, pk))
+        pairs, parents = kinds.setdefault(kind, ([], []))
+        pairs.append(F.struct(F.lit(k).alias("link"), F.col(fk).cast(kind).alias("key")))
+        parents.append(parent.select(F.lit(k).alias("link"), F.col(pk).cast(kind).alias("key")))
         hit = F.col("link") == k
         if name.endswith("?"):
-            name, hit = name[:-1], hit & F.col("key").isNotNull()
+            name, hit = name[:-1], hit & F.col("known")
         rules.append(Rule(dimension, name, F.sum(F.when(hit, F.col("n")))))
-    keys = child.select(F.inline(F.array(*pairs))).groupBy("link", "key").agg(
-        F.count(F.lit(1)).alias("n"))
-    missing = keys.join(union_all(parents).distinct(), ["link", "key"], "left_anti")
-    return table_checks(layer, missing, rules)
+    missing = []
+    for pairs, parents in kinds.values():
+        keys = child.select(F.inline(F.array(*pairs))).groupBy("link", "key").agg(F.count(F.lit(1)).alias("n"))
+        missing.append(keys.join(union_all(parents).distinct(), ["link", "key"], "left_anti")
+                       .select("link", "n", F.col("key").isNotNull().alias("known")))
+    return table_checks(layer, union_all(missing), rules)
+
+
+def _key_kind(*columns: tuple[DataFrame, str]) -> str:
+    """The type that keys are compared in: a number takes less of a task's
+    hash table than its text."""
+    whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for df, c in columns)
+    return "bigint" if whole else "string"
 
 
 def duplicate_rule_rows(layer: str, keys: list[tuple[str, DataFrame, str]],
                         dimension: str = "uniqueness") -> DataFrame:
     """``COUNT(*) - COUNT(DISTINCT key)`` for several (check, table, key) at
     once: all keys are counted by (check, key), combined map-side, in one
-    shuffle. NULL keys count as violations."""
-    pairs = union_all([df.select(F.lit(k).alias("link"), F.col(key).cast("string").alias("key"))
-                       for k, (_, df, key) in enumerate(keys)])
-    counted = pairs.groupBy("link", "key").agg(F.count(F.lit(1)).alias("n"))
+    shuffle of the whole numbers and one of the other keys, as text. NULL keys
+    count as violations."""
+    kinds: dict[str, list[DataFrame]] = {}
+    for k, (_, df, key) in enumerate(keys):
+        kind = _key_kind((df, key))
+        kinds.setdefault(kind, []).append(df.select(F.lit(k).alias("link"), F.col(key).cast(kind).alias("key")))
+    counted = union_all([
+        union_all(frames).groupBy("link", "key").agg(F.count(F.lit(1)).alias("n"))
+        .select("link", "n", F.col("key").isNotNull().alias("known")) for frames in kinds.values()])
     return table_checks(layer, counted, [
         Rule(dimension, name, F.sum(F.when(F.col("link") == k, F.col("n")))
-             - F.count(F.when((F.col("link") == k) & F.col("key").isNotNull(), 1)))
+             - F.count(F.when((F.col("link") == k) & F.col("known"), 1)))
         for k, (name, _, _) in enumerate(keys)])
 
 
