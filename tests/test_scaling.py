@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shopstar.functions.cleaning import dedupe_first, dedupe_rare
 from shopstar.operators.ordering import place_rows
 from shopstar.plans.quality import duplicate_rule_rows, orphan_rule_rows
-from shopstar.session import ensure_checkpoint_dir, size_tasks
+from shopstar.session import ensure_checkpoint_dir, scratch_folder, size_tasks
 from shopstar.sources.store import CachedStore
 
 
@@ -60,4 +60,6 @@ def test_partitions_follow_the_input(spark):
 
 
 def test_the_checkpoint_folder_is_made_once(spark):
-    assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark)
+    folder, own = ensure_checkpoint_dir(spark), spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark) == folder and spark.sparkContext.getCheckpointDir() == own
+    assert scratch_folder(spark, "t").startswith(f"{folder.rstrip('/')}/t-")
