@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from shopstar import catalog
 from shopstar.functions.cleaning import dedupe_first, dedupe_rare
-from shopstar.operators.ordering import place_rows
+from shopstar.operators.ordering import global_order, place_rows
+from shopstar.plans import star as star_module
 from shopstar.plans.quality import duplicate_rule_rows, orphan_rule_rows
+from shopstar.plans.warehouse import Warehouse
 from shopstar.session import ensure_checkpoint_dir, scratch_folder, size_tasks
 from shopstar.sources.store import CachedStore
 
@@ -63,3 +67,65 @@ def test_the_checkpoint_folder_is_made_once(spark):
     folder, own = ensure_checkpoint_dir(spark), spark.sparkContext.getCheckpointDir()
     assert ensure_checkpoint_dir(spark) == folder and spark.sparkContext.getCheckpointDir() == own
     assert scratch_folder(spark, "t").startswith(f"{folder.rstrip('/')}/t-")
+
+
+def test_columns_that_only_order_are_not_written(spark):
+    df = spark.createDataFrame([(2, "x", 5), (1, "y", 6), (1, "x", 7)], "a int, b string, c int")
+    out = global_order(df, ["a", "b"], "n", keep=["c"])
+    assert out.columns == ["c", "n"] and {r.n: r.c for r in out.collect()} == {1: 7, 2: 6, 3: 5}
+    assert not {"a", "b"} & set(spark.read.parquet(*out.inputFiles()).columns)
+
+
+@pytest.fixture()
+def tiny(spark):
+    """Staging and dimensions with unmatched, missing and repeated keys."""
+    stg = {
+        "stg_orders": spark.sql("""SELECT CAST(a AS long) order_id, CAST(b AS long) customer_id, CAST(c AS long) channel_id,
+            CAST(d AS long) promotion_id, TIMESTAMP_NTZ'2024-01-05 00:00:00' order_date
+            FROM VALUES (1, 1, 1, 1), (2, 1, 2, NULL), (3, -1, 1, 1), (4, 1, 99, 1), (5, NULL, 1, 1), (6, 2, 1, 999) v(a, b, c, d)"""),
+        "stg_payments": spark.sql("""SELECT CAST(a AS long) payment_id, CAST(b AS long) order_id, c payment_method
+            FROM VALUES (9, 1, 'cash'), (8, 1, 'card'), (7, 6, NULL) v(a, b, c)"""),
+        "stg_order_items": spark.sql("""SELECT CAST(a AS long) order_item_id, CAST(b AS long) order_id, c product_id, 2 quantity,
+            CAST(3 AS decimal(10,2)) unit_price, CAST(0 AS decimal(10,2)) discount_amount, CAST(6 AS decimal(12,2)) line_total
+            FROM VALUES (1, 1, 'P1'), (2, 1, 'PX'), (3, 2, 'P1'), (4, 3, 'P1'), (5, 4, 'P1'), (6, 5, 'P1'), (7, 6, 'P2'),
+            (8, NULL, 'P1'), (9, 77, 'P1'), (10, 6, NULL) v(a, b, c)"""),
+    }
+    dims = {
+        "dim_customer": spark.sql("SELECT 11L customer_key, 1L customer_id UNION ALL SELECT 12L, 2L UNION ALL SELECT 13L, 2L"),
+        "dim_channel": spark.sql("SELECT 21L channel_key, 1L channel_id UNION ALL SELECT 22L, 2L"),
+        "dim_product": spark.sql("SELECT 31L product_key, 'P1' product_id, 41L category_key UNION ALL SELECT 32L, 'P2', 42L"),
+        "dim_promotion": spark.sql("SELECT 1L promotion_key, CAST(NULL AS long) promotion_id UNION ALL SELECT 2L, 1L"),
+        "dim_payment_method": spark.sql("SELECT 0L payment_method_key, 'UNKNOWN' payment_method UNION ALL SELECT 1L, 'card'"),
+    }
+    return stg, dims
+
+
+def test_lines_without_a_match_are_dropped_and_repeats_multiply(tiny):
+    got = sorted((r.order_item_id, r.customer_key, r.product_key, r.category_key, r.channel_key, r.promotion_key,
+                  r.payment_method_key, r.order_date_key, float(r.gross_revenue)) for r in star_module.fact_sales(*tiny).collect())
+    assert got == [(1, 11, 31, 41, 21, 2, 1, 20240105, 6.0), (3, 11, 31, 41, 22, 1, 0, 20240105, 6.0),
+                   (7, 12, 32, 42, 21, 1, 0, 20240105, 6.0), (7, 13, 32, 42, 21, 1, 0, 20240105, 6.0)]
+
+
+def test_lines_are_not_shuffled_by_what_their_order_says(spark, tiny, monkeypatch):
+    made = []
+    monkeypatch.setattr(star_module, "dense_key", lambda df, *a, **k: made.append(df) or df.withColumn("sales_key", F.lit(1)))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        star_module.fact_sales(*tiny)
+        lines = plan(made[0]).splitlines()
+    finally:
+        spark.conf.set(key, before)
+    found = [below for line, below in zip(lines, lines[1:]) if "Exchange hashpartitioning(customer_id" in line]
+    assert found and not [x for x in found if "line_total" in x]
+
+
+def test_a_fact_over_other_staging_needs_no_clean_fact(spark, small_warehouse, monkeypatch):
+    def star(self):
+        raise AssertionError("the clean facts are built")
+
+    monkeypatch.setattr(Warehouse, "star", property(star))
+    for name in ("b11_fact_sales_dangling", "dq_cross_layer_planted"):
+        assert not catalog.queries()[name](spark, small_warehouse.sf_dir).isEmpty()
