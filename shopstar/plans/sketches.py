@@ -16,20 +16,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstar.functions.filters import EVERYTHING, QueryFilters
+from shopstar.session import setting
+from shopstar.sources.store import written
 
 LOG_K = 14
+KEYS = ("order_date_key", "category_key", "channel_key")
 SUMS = {"gross_revenue": "gross_revenue", "total_discounts": "discount_amount", "net_revenue": "net_revenue",
         "units_sold": "quantity"}
 
 
 def daily_sketches(star: dict[str, DataFrame], log_k: int = LOG_K) -> DataFrame:
     """A row per day, category and channel: sums, and sketches of orders and
-    customers. Built map-side in one pass over the fact; write it to keep it."""
-    return star["fact_sales"].groupBy("order_date_key", "category_key", "channel_key").agg(
+    customers. The fact's few columns are range-partitioned and sorted by those
+    keys, so a group's lines come one after another and fill one sketch:
+    merging sketches of a few lines each copies a growing one per merge. Keep it
+    by :func:`stored_sketches`."""
+    lines = star["fact_sales"].select(*KEYS, "order_id", "customer_key", *SUMS.values())
+    return lines.repartitionByRange(*KEYS).sortWithinPartitions(*KEYS).groupBy(*KEYS).agg(
         F.hll_sketch_agg("order_id", log_k).alias("orders"), F.hll_sketch_agg("customer_key", log_k).alias("customers"),
         *[F.sum(c).alias(n) for n, c in SUMS.items()])
 
 
+def stored_sketches(star: dict[str, DataFrame], log_k: int = LOG_K) -> DataFrame:
+    """:func:`daily_sketches` as a written table, its files clustered by day: a
+    task that reads some holds few months. Sorted groups are aggregated in one
+    step, in their order."""
+    with setting(star["fact_sales"].sparkSession, "spark.sql.execution.replaceHashWithSortAgg", "true"):
+        return written(daily_sketches(star, log_k), "sales_sketches")
+
+
 def sketched_kpis(star: dict[str, DataFrame], sketches: DataFrame, filters: QueryFilters = EVERYTHING,
                   *by: str) -> DataFrame:
     """Sums and estimated distinct orders and customers of a slice, in all or

@@ -12,6 +12,7 @@ from shopstar.functions.cleaning import dedupe_first, dedupe_rare
 from shopstar.operators.ordering import global_order, place_rows
 from shopstar.plans import star as star_module
 from shopstar.plans.quality import duplicate_rule_rows, orphan_rule_rows
+from shopstar.plans.sketches import stored_sketches
 from shopstar.plans.warehouse import Warehouse
 from shopstar.session import ensure_checkpoint_dir, scratch_folder, size_tasks
 from shopstar.sources.store import CachedStore
@@ -129,3 +130,21 @@ def test_a_fact_over_other_staging_needs_no_clean_fact(spark, small_warehouse, m
     monkeypatch.setattr(Warehouse, "star", property(star))
     for name in ("b11_fact_sales_dangling", "dq_cross_layer_planted"):
         assert not catalog.queries()[name](spark, small_warehouse.sf_dir).isEmpty()
+
+
+def test_sketches_are_filled_once_per_group(spark, monkeypatch):
+    fact = spark.range(3000).selectExpr(
+        "cast(20240101 + id % 28 AS int) order_date_key", "nullif(id % 11, 0) category_key", "id % 3 channel_key",
+        "id div 4 order_id", "id % 77 customer_key", "2 quantity",
+        *[f"cast(id AS decimal(12,2)) {c}" for c in ("gross_revenue", "discount_amount", "net_revenue")])
+    plans = []
+    monkeypatch.setattr("shopstar.plans.sketches.written", lambda df, name: plans.append(plan(df)) or df)
+    before = spark.conf.get("spark.sql.execution.replaceHashWithSortAgg")
+    out = stored_sketches({"fact_sales": fact})
+    assert plans[0].count("hll_sketch_agg(order_id") == 1 and "merge" not in plans[0] and plans[0].count("Exchange") == 1
+    assert spark.conf.get("spark.sql.execution.replaceHashWithSortAgg") == before
+    keys = ["order_date_key", "category_key", "channel_key"]
+    want = fact.groupBy(*keys).agg(F.count_distinct("order_id").alias("o"), F.count_distinct("customer_key").alias("c"),
+                                   F.sum("net_revenue").alias("n"), F.sum("quantity").alias("u"))
+    got = out.select(*keys, F.hll_sketch_estimate("orders"), F.hll_sketch_estimate("customers"), "net_revenue", "units_sold")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
