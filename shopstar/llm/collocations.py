@@ -7,15 +7,16 @@
 2. Apriori, level by level: a phrase of k words is a candidate if both phrases
    of k - 1 words in it may be frequent. Each run gathers its phrases; only
    ``KEY_BITS`` of a phrase's hash and its count are shuffled and summed, with
-   the first run that holds it. A key that reaches the least count is put into
-   a bitmap of fixed size together with that run, which then spells it out. A
-   false hit of a bitmap makes a candidate more, never one fewer.
+   the first run that holds it. A key that reaches the least count goes to that
+   run, which spells it out, and into a bitmap for the next level. A false hit
+   of a bitmap makes a key more to sum, never a candidate.
 3. Candidates are dealt to blocks of bounded size by their first words (those
    of a very frequent first word by their second too). A block is a
    double-array trie over the block's own words, built in a task and broadcast
    alone. numpy moves the states of all text positions of a run that begin a
-   phrase of the block at once, one level after the other; accepting states are
-   counted by ``bincount`` and the runs' counts are summed. More candidates are
+   phrase of the block at once, one level after the other; the states are
+   counted by ``bincount`` over many runs at a time, and a task's counts are
+   summed by the phrase's place in the block. More candidates are
    more blocks, each over fewer positions.
    Phrases that share a key are noticed, since their counts do not add up to
    the key's sum, and are spelled out by all runs and counted too.
@@ -59,12 +60,17 @@ RUN_TOKENS = 1 << 21
 SPLIT_BYTES = 1 << 22
 #: Bits of a phrase's hash that its first sums go by.
 KEY_BITS = 44
-#: log2 of the bits of a level's bitmap of frequent phrases.
+#: log2 of the bits of a level's bitmap of frequent phrases, at least; it has
+#: ``BITS_PER_KEY`` bits a key, as far as 2^MOST_FILTER_BITS bits go (32 MB).
 FILTER_BITS = 26
+BITS_PER_KEY = 16
+MOST_FILTER_BITS = 28
 #: Candidates of a block on average: its trie takes some 50 bytes for each.
-BLOCK = 1 << 18
+BLOCK = 1 << 19
 #: Bits of a digit of a word's number in a trie.
 DIGIT_BITS = 10
+#: log2 of the places of the table that tells most words that no phrase of a trie has.
+KNOWN_BITS = 20
 UNKNOWN_LANG = "und"
 
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -178,18 +184,12 @@ def _key(hashes: np.ndarray) -> np.ndarray:
     return hashes >> np.uint64(64 - KEY_BITS)
 
 
-def _salt(number: int) -> np.uint64:
-    """What a run's number changes its keys by where key and run go together."""
-    return np.uint64(xxhash.xxh64_intdigest(number.to_bytes(8, "little", signed=True), 42) >> (64 - KEY_BITS))
-
-
-_SALTED = "key ^ shiftrightunsigned(xxhash64(run), {})".format(64 - KEY_BITS)
-
-
-def _bitmap(keys: DataFrame, key: str, bits: int):
-    """The first ``bits`` bits of the keys as a broadcast bitmap, at most one
-    row per 64 of them on the driver."""
-    place = F.shiftrightunsigned(F.expr(key), KEY_BITS - bits)
+def _bitmap(keys: DataFrame, bits: int):
+    """The first bits of the keys as a broadcast bitmap, at most one row per 64
+    of its bits on the driver. Its size follows the number of keys: at a fixed
+    one, false hits would grow with the square of the input."""
+    bits = max(bits, min((BITS_PER_KEY * keys.count()).bit_length(), MOST_FILTER_BITS))
+    place = F.shiftrightunsigned("key", KEY_BITS - bits)
     slots = keys.groupBy(F.shiftrightunsigned(place, 6).alias("slot")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")))
         .alias("bits")).toArrow()
@@ -210,7 +210,7 @@ def _frequent_words(rows: DataFrame, seed: int, least: int, bits: int) -> tuple[
     hashed = rows.withColumn("h", _hash(seed))
     keys = hashed.groupBy(F.shiftrightunsigned("h", 64 - KEY_BITS).alias("key")).agg(F.sum("f").alias("n")) \
         .where(F.col("n") >= least)
-    shared = _bitmap(written_once(keys.select("key"), "phrase_keys"), "key", bits)
+    shared = _bitmap(written_once(keys.select("key"), "phrase_keys"), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -227,63 +227,89 @@ def _frequent_words(rows: DataFrame, seed: int, least: int, bits: int) -> tuple[
     return found.where(F.col("f") >= least), shared, totals
 
 
-def _gathered(runs: DataFrame, k: int, shorter, own=None, salted: bool = True) -> DataFrame:
-    """Each run's phrases of k words whose parts of k - 1 words the bitmap
-    ``shorter`` holds: (key, n, run), or (h1..hk) of those that the bitmap
-    ``own`` holds for the run (if not ``salted``: for any run)."""
-    names = ["key", "n", "run"] if own is None else [f"h{j + 1}" for j in range(k)]
+def _held(hashes: np.ndarray, tokens: np.ndarray, k: int, shorter: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """A run's phrases of k words whose parts of k - 1 words the bitmap
+    ``shorter`` holds, as k columns of word hashes, and their counts."""
+    at = [tokens[j:tokens.size - k + 1 + j] for j in range(k)]
+    if k == 2:  # words are tested once, not at each position
+        good = _holds(shorter, _key(hashes))
+        good[0] = False
+        ok = good[at[0]] & good[at[1]]
+    else:
+        shifted = [tokens[j:tokens.size - k + 2 + j] for j in range(k - 1)]
+        part = _holds(shorter, _key(_mixed([hashes[x] for x in shifted])))
+        part &= np.logical_and.reduce([x > 0 for x in shifted])
+        ok = part[:-1] & part[1:]
+    rows = [a[ok] for a in at]
+    size = hashes.size
+    if size ** k < 1 << 63 or not rows[0].size:  # a phrase as one number of the run, where it fits
+        code = rows[0]
+        for r in rows[1:]:
+            code = code * size + r
+        code, n = np.unique(code, return_counts=True)
+        cols = []
+        for _ in range(k):
+            cols.append(hashes[code % size])
+            code = code // size
+        return cols[::-1], n
+    found, n = np.unique(np.stack(rows, axis=1), axis=0, return_counts=True)
+    return [hashes[c] for c in found.T], n
+
+
+def _in_parts(cols: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, cols[0].size, 1 << 17):
+        yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + (1 << 17)].view(np.int64)) for c in cols], names)
+
+
+def _gathered(runs: DataFrame, k: int, shorter) -> DataFrame:
+    """(key, n, run) of the phrases of k words whose parts of k - 1 words the
+    bitmap ``shorter`` holds: their sum, and the first run that has some."""
+    names = ["key", "n", "run"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes, tokens, number in _opened(batches):
-            at = [tokens[j:tokens.size - k + 1 + j] for j in range(k)]
-            if k == 2:  # words are tested once, not at each position
-                good = _holds(shorter.value, _key(hashes))
-                good[0] = False
-                ok = good[at[0]] & good[at[1]]
-            else:
-                shifted = [tokens[j:tokens.size - k + 2 + j] for j in range(k - 1)]
-                part = _holds(shorter.value, _key(_mixed([hashes[x] for x in shifted])))
-                part &= np.logical_and.reduce([x > 0 for x in shifted])
-                ok = part[:-1] & part[1:]
-            rows = [a[ok] for a in at]
-            if not rows[0].size:
-                continue
-            size = hashes.size
-            if size ** k < 1 << 63:  # a phrase as one number of the run, where it fits
-                code = rows[0]
-                for r in rows[1:]:
-                    code = code * size + r
-                code, n = np.unique(code, return_counts=True)
-                cols = []
-                for _ in range(k):
-                    cols.append(hashes[code % size])
-                    code = code // size
-                cols.reverse()
-            else:
-                found, n = np.unique(np.stack(rows, axis=1), axis=0, return_counts=True)
-                cols = [hashes[c] for c in found.T]
-            key = _key(_mixed(cols))
-            if own is None:
-                cols = [key, n, np.full(n.size, number)]
-            else:
-                held = _holds(own.value, key ^ _salt(number) if salted else key)
-                cols = [c[held] for c in cols]
-            for lo in range(0, cols[0].size, 1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + (1 << 17)].view(np.int64)) for c in cols], names)
-
-    found = runs.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
-    return found.groupBy("key").agg(F.sum("n").alias("n"), F.min("run").alias("run")) if own is None \
-        else found.distinct()
-
-
-def _candidates(runs: DataFrame, shorter, k: int, least: int, bits: int) -> tuple[DataFrame, DataFrame, object]:
-    """(key, n, run) of the keys of k words that reach ``least``, (h1..hk) of
-    their phrases, and the bitmap of the keys."""
+            cols, n = _held(hashes, tokens, k, shorter.value)
+            yield from _in_parts([_key(_mixed(cols)), n, np.full(n.size, number)], names)
+
+    return runs.mapInArrow(run, "key bigint, n bigint, run bigint").groupBy("key").agg(
+        F.sum("n").alias("n"), F.min("run").alias("run"))
+
+
+def _spelled(runs: DataFrame, k: int, shorter, keys: DataFrame) -> DataFrame:
+    """(h1..hk) of the phrases that ``keys`` (key, run) stand for, each key
+    spelled out by its run alone: as many phrases as keys, but for keys that
+    two phrases of a run share."""
+    names = [f"h{j + 1}" for j in range(k)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (hashes, tokens, _), own in zip(_opened([batch.select(["words", "tokens", "run"])]), batch.column("keys")):
+                cols, _ = _held(hashes, tokens, k, shorter.value)
+                wanted = np.isin(_key(_mixed(cols)), own.values.to_numpy().view(np.uint64))
+                yield from _in_parts([c[wanted] for c in cols], names)
+
+    dealt = keys.groupBy("run").agg(F.collect_list("key").alias("keys"))  # no more of a run than it has phrases
+    return runs.join(dealt, "run").select("words", "tokens", "run", "keys").mapInArrow(
+        run, ", ".join(f"{n} bigint" for n in names))
+
+
+def _alike(runs: DataFrame, k: int, shorter, keys) -> DataFrame:
+    """(h1..hk) of all runs' phrases whose keys the bitmap ``keys`` holds."""
+    names = [f"h{j + 1}" for j in range(k)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, tokens, _ in _opened(batches):
+            cols, _ = _held(hashes, tokens, k, shorter.value)
+            wanted = _holds(keys.value, _key(_mixed(cols)))
+            yield from _in_parts([c[wanted] for c in cols], names)
+
+    return runs.mapInArrow(run, ", ".join(f"{n} bigint" for n in names)).distinct()
+
+
+def _candidates(runs: DataFrame, shorter, k: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """(key, n, run) of the keys of k words that reach ``least``, and (h1..hk) of their phrases."""
     keys = written_once(_gathered(runs, k, shorter).where(F.col("n") >= least), "phrase_keys")
-    spelled = _bitmap(keys, _SALTED, bits)
-    phrases = written_once(_gathered(runs, k, shorter, spelled), f"phrases_{k}")
-    spelled.destroy()
-    return keys, phrases, _bitmap(keys, "key", bits)
+    return keys, written_once(_spelled(runs, k, shorter, keys.select("run", "key")), f"phrases_{k}")
 
 
 class DoubleArray:
@@ -294,14 +320,14 @@ class DoubleArray:
 
     def __init__(self, phrases: np.ndarray):
         self.words = np.unique(phrases[phrases != 0])
-        number = np.searchsorted(self.words, phrases)
-        spelled = np.stack([self._digit(number, d) for d in range(self.digits)], axis=2)
+        number = np.searchsorted(self.words, phrases).astype(np.int32)
+        spelled = np.stack([self._digit(number, d).astype(np.int16) for d in range(self.digits)], axis=2)
         spelled[phrases == 0] = -1
         spelled = spelled.reshape(phrases.shape[0], -1)
         order = np.lexsort(spelled.T[::-1])
         spelled = spelled[order]
         # nodes are numbered level by level; an edge leads to each but the root
-        node = np.zeros(order.size, np.int64)
+        node = np.zeros(order.size, np.int32)
         parents, labels, made = [], [], 1
         for level in range(spelled.shape[1]):
             live = np.flatnonzero(spelled[:, level] >= 0)
@@ -373,17 +399,30 @@ class DoubleArray:
         shift[parent[single]] = free - label[single]
         return shift, max(size, int(shift.max(initial=0)) + alphabet)
 
-    def count(self, hashes: np.ndarray, tokens: np.ndarray, width: int, firsts: np.ndarray) -> np.ndarray:
-        """How often each phrase stands at consecutive positions of a run.
-        ``firsts``: the numbers of the words that begin a phrase."""
-        at = np.minimum(np.searchsorted(self.words, hashes), self.words.size - 1)
-        number = np.where(self.words[at] == hashes, at, -1)
+    #: Whether a word of the trie has these first bits; made when first asked.
+    _known: np.ndarray | None = None
+
+    def numbered(self, hashes: np.ndarray) -> np.ndarray:
+        """The number among the trie's words of each word of a run, or -1."""
+        first = np.uint64(64 - KNOWN_BITS)
+        if self._known is None:
+            self._known = np.zeros(1 << KNOWN_BITS, bool)
+            self._known[self.words >> first] = True
+        some = np.flatnonzero(self._known[hashes >> first])  # most of a run's words are in no phrase of a block
+        at = np.minimum(np.searchsorted(self.words, hashes[some]), self.words.size - 1)
+        number = np.full(hashes.size, -1)
+        number[some] = np.where(self.words[at] == hashes[some], at, -1)
         number[0] = -1
+        return number
+
+    def walk(self, hashes: np.ndarray, tokens: np.ndarray, width: int, firsts: np.ndarray) -> Iterator[np.ndarray]:
+        """The states that a run's positions reach by 1 to ``width`` words.
+        ``firsts``: the numbers of the words that begin a phrase."""
+        number = self.numbered(hashes)
         begins = np.zeros(self.words.size + 1, bool)
         begins[firsts] = True
         place = np.flatnonzero(begins[number][tokens])
         state = np.zeros(place.size, np.int64)
-        counts = np.zeros(self.check.size, np.int64)
         for level in range(width):
             inside = place + level < tokens.size
             place, state = place[inside], state[inside]
@@ -393,8 +432,27 @@ class DoubleArray:
                 to = self.base[state] + self._digit(word, d)
                 ok = self.check[to] == state
                 place, state, word = place[ok], to[ok].astype(np.int64), word[ok]
-            counts += np.bincount(state, minlength=self.check.size)
-        return counts[self.ends]
+            yield state
+
+    def counts(self, runs: Iterator[tuple[np.ndarray, np.ndarray]], width: int, firsts: np.ndarray) -> np.ndarray:
+        """How often each phrase stands at consecutive positions of the runs
+        (hashes, tokens). States are added up once they are as many as the
+        table has slots, so a run costs its own positions, not the table."""
+        total, seen, held = np.zeros(self.check.size, np.int64), [], 0
+        for hashes, tokens in runs:
+            for state in self.walk(hashes, tokens, width, firsts):
+                seen.append(state)
+                held += state.size
+            if held >= total.size:
+                total += np.bincount(np.concatenate(seen), minlength=total.size)
+                seen, held = [], 0
+        if seen:
+            total += np.bincount(np.concatenate(seen), minlength=total.size)
+        return total[self.ends]
+
+    def count(self, hashes: np.ndarray, tokens: np.ndarray, width: int, firsts: np.ndarray) -> np.ndarray:
+        """:meth:`counts` of one run."""
+        return self.counts(iter([(hashes, tokens)]), width, firsts)
 
 
 #: The arrays of a block: its trie, and its phrases as numbers of the trie's words (-1 beyond a phrase's end).
@@ -425,6 +483,14 @@ def _tries(candidates: DataFrame, names: list[str]) -> DataFrame:
     return candidates.groupBy("block").applyInArrow(build, "block int, " + ", ".join(f"{n} binary" for n in _ARRAYS))
 
 
+def _opened_trie(arrays: tuple[bytes, ...], width: int) -> tuple[DoubleArray, np.ndarray]:
+    """A block's trie and its phrases as numbers of the trie's words."""
+    trie = DoubleArray.__new__(DoubleArray)
+    trie.words, trie.base, trie.check, trie.ends, phrases = (
+        np.frombuffer(x, t) for x, t in zip(arrays, _ARRAYS.values()))
+    return trie, phrases.reshape(-1, width)
+
+
 def phrase_counts(runs: DataFrame, candidates: DataFrame, width: int, block: int) -> DataFrame:
     """(h1..h<width>, key, a): how often each candidate (0 beyond its end)
     occurs in the runs, and its key."""
@@ -441,27 +507,25 @@ def phrase_counts(runs: DataFrame, candidates: DataFrame, width: int, block: int
         shared = spark.sparkContext.broadcast(tuple(rows.column(n)[0].as_py() for n in _ARRAYS))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            trie = DoubleArray.__new__(DoubleArray)
-            trie.words, trie.base, trie.check, trie.ends, phrases = (
-                np.frombuffer(x, t) for x, t in zip(shared.value, _ARRAYS.values()))
-            phrases = phrases.reshape(-1, width)
-            firsts = np.unique(phrases[:, 0])
-            total = np.zeros(phrases.shape[0], np.int64)
-            for hashes, tokens, _ in _opened(batches):
-                total += trie.count(hashes, tokens, width, firsts)
+            trie, phrases = _opened_trie(shared.value, width)
+            total = trie.counts(((h, t) for h, t, _ in _opened(batches)), width, np.unique(phrases[:, 0]))
             seen = np.flatnonzero(total)
-            for lo in range(0, seen.size, 1 << 17):
-                part = phrases[seen[lo:lo + (1 << 17)]]
+            yield from _in_parts([seen, total[seen]], ["place", "a"])
+
+        def spell(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            trie, phrases = _opened_trie(shared.value, width)
+            for batch in batches:
+                part = phrases[batch.column(0).to_numpy()]
                 cols = [np.where(part[:, j] >= 0, trie.words[part[:, j]], np.uint64(0)) for j in range(width)]
                 key = _key(_mixed(cols[:2]))
                 for j in range(2, width):
                     key = np.where(part[:, j] >= 0, _key(_mixed(cols[:j + 1])), key)
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c.view(np.int64)) for c in (*cols, key)], pa.array(total[seen[lo:lo + (1 << 17)]])],
-                    [*names, "key", "a"])
+                    [*[pa.array(c.view(np.int64)) for c in (*cols, key)], batch.column(1)], [*names, "key", "a"])
 
-        found = found.unionByName(written_once(
-            runs.mapInArrow(run, schema).groupBy(*names, "key").agg(F.sum("a").alias("a")), "phrase_counts"))
+        # a phrase goes by its place in the block until its counts are summed
+        sums = runs.mapInArrow(run, "place bigint, a bigint").groupBy("place").agg(F.sum("a").alias("a"))
+        found = found.unionByName(written_once(sums.mapInArrow(spell, schema), "phrase_counts"))
         shared.destroy()  # one block at a time on the executors
     return found
 
@@ -502,8 +566,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         delete_folder(spark, path)
     frequent, singles, totals = found
     runs = both.where("kind = 'run'").select("words", "tokens", "run")
-    keys2, pairs, twos = _candidates(runs, singles, 2, least, filter_bits)
-    keys3, triples, threes = _candidates(runs, twos, 3, least, filter_bits)
+    keys2, pairs = _candidates(runs, singles, 2, least)
+    twos = _bitmap(keys2, filter_bits)
+    keys3, triples = _candidates(runs, twos, 3, least)
     zero = F.lit(0).cast("long").alias("h3")
     counted = phrase_counts(runs, pairs.select("h1", "h2", zero).unionByName(triples), LONGEST, block)
     # a key whose phrases do not add up to its sum has phrases that its run did not hold
@@ -513,11 +578,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         keys2.select(F.lit(2).alias("size"), "key", "n").unionByName(keys3.select(F.lit(3).alias("size"), "key", "n"))
         .join(sums, ["size", "key"], "left").where(F.coalesce("known", F.lit(0)) != F.col("n")), "shared_keys")
     if shared.limit(1).collect():
-        more = [_gathered(runs, k, shorter, _bitmap(shared.where(F.col("size") == k), "key", filter_bits), salted=False)
+        more = [_alike(runs, k, shorter, _bitmap(shared.where(F.col("size") == k), filter_bits))
                 for k, shorter in ((2, singles), (3, twos))]
         rest = more[0].select("h1", "h2", zero).unionByName(more[1]).join(counted, ["h1", "h2", "h3"], "left_anti")
         counted = counted.unionByName(phrase_counts(runs, written_once(rest, "shared_phrases"), LONGEST, block))
-    for bitmap in (singles, twos, threes):
+    for bitmap in (singles, twos):
         bitmap.destroy()
     counted = counted.where(F.col("a") >= least).drop("key")
 

@@ -63,6 +63,23 @@ def test_collocations_equal_plain_counts(spark, phrase_docs, params):
     assert collocations.collocations(df.where("false")).count() == 0
 
 
+def test_no_rare_phrase_is_a_candidate(spark, phrase_docs, monkeypatch):
+    """However full the bitmaps are: rare phrases would be counted by as many more passes over all runs."""
+    dealt, real = [], collocations.phrase_counts
+    monkeypatch.setattr(collocations, "phrase_counts", lambda runs, found, *a: dealt.append(found.count()) or real(runs, found, *a))
+    monkeypatch.setattr(collocations, "MOST_FILTER_BITS", 6, raising=False)
+    docs = [*phrase_docs, *(("en", f"w{k % 40} v{k % 37} u{k % 31}") for k in range(400))]
+    df = spark.createDataFrame(docs, "lang string, text string")
+    got = sorted(tuple(r) for r in collocations.collocations(df, run_tokens=500, filter_bits=6).collect())
+    assert got == plain_collocations(docs)
+    f = Counter()
+    for lang, text in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            f.update((lang or "und", *w[i:i + k]) for k in (2, 3) for i in range(len(w) - k + 1))
+    assert dealt == [sum(n >= 10 for n in f.values())]
+
+
 def test_word_hash_collisions_take_another_seed(spark, phrase_docs, monkeypatch):
     docs = phrase_docs[:60]
     real, seeds = collocations._hash, []
