@@ -12,6 +12,8 @@ they are.
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ def sketched_kpis(star: dict[str, DataFrame], sketches: DataFrame, filters: Quer
     """Sums and estimated distinct orders and customers of a slice, in all or
     per ``by`` columns (of the sketches or of ``dim_date``), from the stored
     sketches: the fact is not read."""
-    rows = filters.sales({**star, "fact_sales": sketches})
+    rows = filters.sales(ChainMap({"fact_sales": sketches}, star))
     days = F.broadcast(star["dim_date"].withColumnRenamed("date_key", "order_date_key"))
     rows = rows.join(days, "order_date_key") if set(by) - set(rows.columns) else rows
     return rows.groupBy(*by).agg(

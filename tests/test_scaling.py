@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from shopstar import catalog
 from shopstar.functions.cleaning import dedupe_first, dedupe_rare
-from shopstar.operators.ordering import global_order, place_rows
+from shopstar.operators.ordering import global_order, place_rows, ranges
 from shopstar.plans import star as star_module
 from shopstar.plans.quality import duplicate_rule_rows, orphan_rule_rows
 from shopstar.plans.sketches import stored_sketches
+from shopstar.plans.staging import stage_on_demand
 from shopstar.plans.warehouse import Warehouse
-from shopstar.session import ensure_checkpoint_dir, scratch_folder, size_tasks
-from shopstar.sources.store import CachedStore
+from shopstar.session import ensure_checkpoint_dir, scratch_folder, scratch_scope, size_tasks
+from shopstar.sources import planted as P
+from shopstar.sources.store import CachedStore, Tables
 
 
 def plan(df):
@@ -148,3 +150,67 @@ def test_sketches_are_filled_once_per_group(spark, monkeypatch):
                                    F.sum("net_revenue").alias("n"), F.sum("quantity").alias("u"))
     got = out.select(*keys, F.hll_sketch_estimate("orders"), F.hll_sketch_estimate("customers"), "net_revenue", "units_sold")
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_a_question_builds_only_what_it_reads(spark, monkeypatch):
+    """b5_dim_category reads products: neither orders nor lines are numbered, shuffled or written for it."""
+    def unread(*_):
+        raise AssertionError("a table is built that the question does not read")
+
+    for name in ("orders", "order_lines", "customer_addresses"):
+        monkeypatch.setattr(f"shopstar.sources.fixture.{name}", unread)
+    wh = Warehouse(spark, "/root/testdata/sf0.001", CachedStore())
+    assert wh.star["dim_category"].count() > 0 and set(wh.star) >= {"fact_sales", "fact_returns", "dim_date"}
+    monkeypatch.setattr(star_module, "fact_returns", unread)
+    monkeypatch.setattr("shopstar.plans.warehouse.warehouse", lambda *_: wh)
+    assert P.planted(wh.star, P.STAR)["dim_category"].count() > wh.star["dim_category"].count()
+
+
+def test_tables_of_a_session_fill_no_memory_and_outlive_scopes(spark):
+    kept = Tables({"t": lambda: CachedStore().put("t", spark.range(5))})
+    with scratch_scope(spark):
+        assert not kept["t"].is_cached
+    assert kept["t"].count() == 5 and kept["t"] is kept["t"]
+
+
+def test_tables_without_repeats_are_views(spark, monkeypatch):
+    monkeypatch.setattr(CachedStore, "put", lambda *_: pytest.fail("a second copy is written"))
+    rows = spark.range(9).selectExpr("id payment_id", "id order_id", "' x ' payment_method", "1 amount", "id payment_date", "'s' status")
+    assert stage_on_demand({"payments": rows}, CachedStore())["stg_payments"].first().payment_method == "x"
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    size_tasks(spark, 0)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 50])
+def test_rows_in_ranges_are_numbered_as_one(spark, n):
+    df = spark.range(6000).selectExpr("nullif(id div 2 % 2500, 7) k", "id v", "id % 5 b")
+    parts = ranges(df, "k", n, "b")
+    assert sum(rows.count() for rows, *_ in parts) == 6000 and (len(parts) > 1 or n == 1)
+    assert all(rows.agg(F.min("b"), F.max("b")).first() == (low, high) for rows, low, high in parts)
+    want = global_order(df, ["k", "v"], "rank")
+    got = global_order(parts[0][0], ["k", "v"], "rank", parts=[rows for rows, *_ in parts[1:]])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    nothing = ranges(df.where("false"), "k", n, "b")
+    assert [(rows.count(), low, high) for rows, low, high in nothing] == [(0, None, None)]
+
+
+def test_a_fact_in_slices_is_the_fact(spark, tiny, monkeypatch):
+    stg, dims = tiny
+    many = stg["stg_order_items"].crossJoin(spark.range(400).withColumnRenamed("id", "k"))
+    many = many.withColumn("order_item_id", F.col("order_item_id") + 10 * F.col("k")).drop("k")
+    stg = {**stg, "stg_order_items": many.unionByName(stg["stg_order_items"].withColumn("order_item_id", F.lit(None).cast("long")))}
+    whole = star_module.fact_sales(stg, dims)
+    written = []
+    real = star_module.dense_key
+    monkeypatch.setattr(star_module, "dense_key", lambda *a: written.append(len(a) - 3) or real(*a))
+    monkeypatch.setattr(star_module, "SLICE_BYTES", 10)
+    sliced = star_module.fact_sales(stg, dims, 40)
+    assert written == [4] and sliced.count() == whole.count() > 1600
+    assert sorted(r.sales_key for r in sliced.collect()) == list(range(1, whole.count() + 1))
+    assert sliced.drop("sales_key").exceptAll(whole.drop("sales_key")).isEmpty()
+    known = F.col("order_item_id").isNotNull()  # rows with one id may be numbered either way
+    pairs = [f.where(known).select("order_item_id", "sales_key", "product_key").distinct().count() for f in (sliced, whole)]
+    assert pairs[0] == pairs[1]
